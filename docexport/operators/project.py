@@ -95,6 +95,12 @@ def select_fields(df: DataFrame, fields, metadata=(), id_col: str | None = "_id"
     parent object of a flattened path is removed: a field that is also the
     first segment of a dotted field comes out empty.
     """
+    return df.select(field_columns(df, fields, metadata, id_col, falsy, drop_parents))
+
+
+def field_columns(df: DataFrame, fields, metadata=(), id_col: str | None = "_id",
+                  falsy: str = "keep", drop_parents: bool = False) -> list[Column]:
+    """The columns of :func:`select_fields`, for use in a wider projection."""
     schema = df.schema
     out: list[Column] = []
     seen: set[str] = set()
@@ -110,7 +116,7 @@ def select_fields(df: DataFrame, fields, metadata=(), id_col: str | None = "_id"
             out.append(field_column(schema, name, falsy))
     if id_col is not None and id_col not in seen and id_col in schema.fieldNames():
         out.append(qcol(id_col))  # carried for dedup and order, dropped before writing
-    return df.select(out)
+    return out
 
 
 def rename_columns(df: DataFrame, mapping: dict[str, str]) -> DataFrame:

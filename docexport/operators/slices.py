@@ -87,7 +87,7 @@ def slice_plan(df: DataFrame, time_field: str, spec: SliceSpec) -> DataFrame:
         F.aggregate(F.coalesce("__h", F.array().cast("array<struct<k:bigint,c:bigint,mn:bigint>>")),
                     start, visit)["cuts"],
         F.array().cast("array<bigint>")))
-    last = F.coalesce(F.element_at("__cuts", -1), F.lit(0).cast("long"))
+    last = F.coalesce(F.try_element_at("__cuts", F.lit(-1)), F.lit(0).cast("long"))
     r0 = F.array_min(F.transform(F.filter("__h", lambda b: b["k"] >= last), lambda b: b["mn"]))
     return folded.select(
         "__lo", "__hi", "__total", F.lit(n).alias("__n"), "__cuts",
@@ -100,7 +100,7 @@ def _slice_of(us: Column) -> Column:
     """Slice id of a time in micros, given the plan columns in scope."""
     m, w = F.col("__m"), F.col("__n") - F.col("__m")
     r0, hi = F.col("__r0"), F.col("__hi")
-    cut_us = F.col("__lo") + F.coalesce(F.element_at("__cuts", -1), F.lit(0)) * F.coalesce(
+    cut_us = F.col("__lo") + F.coalesce(F.try_element_at("__cuts", F.lit(-1)), F.lit(0)) * F.coalesce(
         F.col("__step"), F.lit(0))
     k = F.expr("(__us - __lo) div __step")
     before = F.size(F.filter("__cuts", lambda c: c <= k))
@@ -133,7 +133,7 @@ def slice_table(df: DataFrame, time_field: str, spec: SliceSpec) -> DataFrame:
     i, m, w = F.col("slice_id"), F.col("__m"), F.col("__n") - F.col("__m")
     lo, hi, r0 = F.col("__lo"), F.col("__hi"), F.col("__r0")
     step = F.coalesce(F.col("__step"), F.lit(0))
-    cut_at = lambda idx: lo + F.element_at("__cuts", idx) * step  # noqa: E731 (1-based idx)
+    cut_at = lambda idx: lo + F.try_element_at("__cuts", idx) * step  # noqa: E731 (1-based idx)
 
     def eq_start(shift: int) -> Column:
         # r0 + ceil(j * (hi - r0) / w) with j = slice_id - m + shift, in integers

@@ -20,7 +20,7 @@ from ..functions.fmt import round_floats
 from ..operators.aggregate import aggregate
 from ..operators.dedup import dedup_by_fields, dedup_by_id
 from ..operators.predicate import select_documents, time_column
-from ..operators.project import qcol, rename_columns, select_fields
+from ..operators.project import field_columns, qcol, rename_columns
 from ..sinks.csv import write_csv
 from ..sources.readers import read_csv
 from ..spec import AggSpec, ExportSpec
@@ -38,14 +38,12 @@ def export_frame(docs: DataFrame, spec: ExportSpec, id_col: str = "_id",
     """
     rows = select_documents(docs, spec.predicate, spec.time_field, spec.start, spec.end,
                             spec.zone)
-    projected = select_fields(rows, spec.fields, spec.metadata, id_col=id_col,
-                              falsy=spec.falsy, drop_parents=spec.falsy == "null")
-    has_id = id_col in projected.columns
+    cols = field_columns(rows, spec.fields, spec.metadata, id_col=id_col, falsy=spec.falsy,
+                         drop_parents=spec.falsy == "null")
     if spec.time_field is not None and spec.order:
-        tcol, _ = time_column(rows, spec.time_field)
-        projected = projected.withColumn(_T, tcol) if spec.time_field not in projected.columns \
-            else projected.withColumn(_T, qcol(spec.time_field))
-    projected = round_floats(projected, spec.rounding)
+        cols.append(time_column(rows, spec.time_field)[0].alias(_T))  # order key, not exported
+    projected = round_floats(rows.select(cols), spec.rounding)
+    has_id = id_col in projected.columns
     exported = list(spec.columns)
     if spec.dedup == "fields":
         order = [c for c in (_T, id_col) if c in projected.columns]

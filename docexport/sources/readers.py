@@ -15,13 +15,13 @@ from ..spec import METADATA_FIELDS
 
 
 _SCHEME = r"^[A-Za-z][A-Za-z0-9+.-]*:(//[^/]*)?"
+# A data file's extension, dropped from index names taken from file names.
+_DATA_EXT = r"(\.(snappy|gz|zstd|zst|lz4))?\.(parquet|json|jsonl|ndjson|csv|orc|avro|txt)(\.(gz|bz2|zst))?$"
 
 
 def _index_name(path: str) -> str:
     """Index name of a concrete path: its last element, less a data file extension."""
-    last = path.rstrip("/").split("/")[-1]
-    return re.sub(r"(\.(parquet|json|jsonl|ndjson|csv|orc|avro|txt))(\.(gz|bz2|zst|snappy))?$",
-                  "", last)
+    return re.sub(_DATA_EXT, "", path.rstrip("/").split("/")[-1])
 
 
 def scan(spark: SparkSession, source, fmt: str = "parquet", id_field: str | None = None,
@@ -53,8 +53,7 @@ def scan(spark: SparkSession, source, fmt: str = "parquet", id_field: str | None
             # The element of each file's path at the depth of the first wildcard.
             file_parts = F.split(F.regexp_replace(F.col("_metadata.file_path"), _SCHEME, ""), "/")
             index = F.element_at(file_parts, F.lit(depth + 1))
-            if depth == len(parts) - 1:  # the wildcard matched files: drop extensions
-                index = F.regexp_replace(index, r"\.[^/]*$", "")
+            index = F.regexp_replace(index, _DATA_EXT, "")
         else:
             index = F.lit(_index_name(path))
         cols = [index.alias("_index")]
