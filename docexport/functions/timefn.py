@@ -44,6 +44,8 @@ def micros_to_ntz(us: Column) -> Column:
 
 def local_wall_clock(col: Column, dtype: DataType, zone: str) -> Column:
     """Wall clock of the instant in ``zone`` (``timestamp_ntz``)."""
+    if zone in ("UTC", "Etc/UTC", "Z"):
+        return as_utc_ntz(col, dtype)
     return F.convert_timezone(F.lit("UTC"), F.lit(zone), as_utc_ntz(col, dtype))
 
 

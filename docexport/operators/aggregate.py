@@ -107,8 +107,14 @@ def _finish(fn: str, parts: list[Column], dtype: DataType) -> Column:
     return F.when(n > 0, total.cast("double") / n.cast("double"))
 
 
+def date_bounds(df: DataFrame, time_field: str, zone: str) -> DataFrame:
+    """One row: the first and last local dates over all rows (``__d0``, ``__d1``)."""
+    d = local_date(qcol(time_field), df.schema[time_field].dataType, zone)
+    return df.agg(F.min(d).alias(BUCKET_ORIGIN), F.max(d).alias("__d1"))
+
+
 def add_bucket(df: DataFrame, time_field: str, days: int, zone: str,
-               name: str | None = None, origin: str = BUCKET_ORIGIN) -> DataFrame:
+               name: str | None = None, bounds: DataFrame | None = None) -> DataFrame:
     """Add the first local date of the ``days``-day bucket holding each row (A4).
 
     The grid starts at the local date of the earliest row (over all rows).
@@ -121,11 +127,12 @@ def add_bucket(df: DataFrame, time_field: str, days: int, zone: str,
     with_d = df.withColumn("__d", d)
     if days == 1:
         return with_d.withColumn(name, F.col("__d")).drop("__d")
-    bounds = with_d.agg(F.min("__d").alias(origin))
-    idx = F.floor(F.datediff(F.col("__d"), F.col(origin)) / F.lit(days)).cast("int")
-    return (with_d.crossJoin(F.broadcast(bounds))
-            .withColumn(name, F.date_add(F.col(origin), idx * F.lit(days)))
-            .drop("__d", origin))
+    if bounds is None:
+        bounds = date_bounds(df, time_field, zone)
+    idx = F.floor(F.datediff(F.col("__d"), F.col(BUCKET_ORIGIN)) / F.lit(days)).cast("int")
+    return (with_d.crossJoin(F.broadcast(bounds.select(BUCKET_ORIGIN)))
+            .withColumn(name, F.date_add(F.col(BUCKET_ORIGIN), idx * F.lit(days)))
+            .drop("__d", BUCKET_ORIGIN))
 
 
 def aggregate(df: DataFrame, spec: AggSpec, sort: bool = True, pre_round: bool = True) -> DataFrame:
@@ -148,10 +155,14 @@ def aggregate(df: DataFrame, spec: AggSpec, sort: bool = True, pre_round: bool =
         work = round_floats(work.select([qcol(c) for c in work.columns]), spec.rounding)
     group_cols = list(r.keys)
     dense = False
+    bounds = None
     if r.time_field is not None:
-        work = add_bucket(work, r.time_field, spec.days, spec.zone)
-        group_cols = [r.time_field] + group_cols
         dense = not r.keys
+        if dense or spec.days > 1:
+            # One small aggregate gives both the grid origin and the calendar.
+            bounds = date_bounds(work, r.time_field, spec.zone)
+        work = add_bucket(work, r.time_field, spec.days, spec.zone, bounds=bounds)
+        group_cols = [r.time_field] + group_cols
     if not spec.keep_null_keys:
         for k in group_cols:
             work = work.filter(qcol(k).isNotNull())
@@ -168,7 +179,7 @@ def aggregate(df: DataFrame, spec: AggSpec, sort: bool = True, pre_round: bool =
     grouped = work.groupBy(*[qcol(k) for k in group_cols]).agg(*exprs)
 
     if dense:
-        grouped = _densify(grouped, r.time_field, spec.days)
+        grouped = _densify(grouped, r.time_field, spec.days, bounds)
 
     out = [qcol(k) for k in group_cols]
     for c, fn, base, dtype in plan:
@@ -183,17 +194,18 @@ def aggregate(df: DataFrame, spec: AggSpec, sort: bool = True, pre_round: bool =
     return result
 
 
-def _densify(grouped: DataFrame, bucket: str, days: int) -> DataFrame:
+def _densify(grouped: DataFrame, bucket: str, days: int, bounds: DataFrame) -> DataFrame:
     """Every bucket from the first to the last, empty ones included.
 
-    The calendar is generated from a one-row min/max of the grouped result
-    (one row per bucket), so it is bounded by span / width.
+    The calendar is generated from the one-row date bounds, so it holds
+    span / width rows whatever the size of the data.
     """
-    span = grouped.agg(F.min(qcol(bucket)).alias("__lo"), F.max(qcol(bucket)).alias("__hi"))
-    n_buckets = F.datediff("__hi", "__lo") / F.lit(days)
-    calendar = span.select(F.explode(
+    lo, hi = F.col(BUCKET_ORIGIN), F.col("__d1")
+    last = F.date_add(lo, (F.floor(F.datediff(hi, lo) / F.lit(days)) * F.lit(days)).cast("int"))
+    n_buckets = F.datediff(hi, lo) / F.lit(days)
+    calendar = bounds.filter(lo.isNotNull()).select(F.explode(
         F.when(n_buckets <= MAX_CALENDAR_BUCKETS,
-               F.expr(f"sequence(__lo, __hi, interval {int(days)} days)"))
+               F.sequence(lo, last, F.expr(f"interval {int(days)} days")))
         .otherwise(F.raise_error(F.lit("calendar too large for a dense result")))
     ).alias(bucket))
     return calendar.join(grouped, bucket, "left")

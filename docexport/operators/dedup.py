@@ -5,6 +5,7 @@ from __future__ import annotations
 from functools import reduce
 
 from pyspark.sql import DataFrame, functions as F
+from pyspark.sql.types import StringType
 
 from .project import qcol
 
@@ -40,7 +41,13 @@ def dedup_by_fields(df: DataFrame, fields, order_cols) -> DataFrame:
     rest = [c for c in others if c not in order_cols]
     packed = F.struct(*[qcol(c).alias(f"o{i}") for i, c in enumerate(order_cols)],
                       *[qcol(c).alias(f"r{i}") for i, c in enumerate(rest)])
-    best = df.groupBy(*[qcol(c) for c in fields]).agg(F.min(packed).alias("__w"))
+    keys = [qcol(c) for c in fields]
+    if any(isinstance(df.schema[c].dataType, StringType) for c in fields):
+        # The winner is kept in a sort-based aggregate; leading the keys with a
+        # hash of the fields makes most comparisons of long texts a comparison
+        # of two longs. The fields stay keys, so a hash collision merges nothing.
+        keys = [F.xxhash64(*[qcol(c) for c in fields]).alias("__h")] + keys
+    best = df.groupBy(*keys).agg(F.min(packed).alias("__w"))
     out = []
     for c in df.columns:
         if c in fields:

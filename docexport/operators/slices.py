@@ -122,16 +122,21 @@ def slice_table(df: DataFrame, time_field: str, spec: SliceSpec) -> DataFrame:
     """One row per slice: id, start, end and the number of documents (A2).
 
     ``slice_end`` is exclusive except for the last slice, which ends at the
-    last document inclusive.
+    last document inclusive. The plan row travels with the labelled rows, so
+    it is computed once: rows -> count per slice (at most n groups) -> one
+    row holding the plan and the counts -> one row per slice.
     """
     plan = slice_plan(df, time_field, spec)
-    labelled = _with_us(df, time_field).select("__us").filter(F.col("__us").isNotNull())
-    counts = (labelled.crossJoin(F.broadcast(plan))
-              .select(_slice_of(F.col("__us")).alias("slice_id"))
-              .groupBy("slice_id").agg(F.count(F.lit(1)).alias("n_docs")))
-    ids = plan.select("*", F.explode(F.sequence(F.lit(0), F.col("__n") - 1)).alias("slice_id"))
-    i, m, w = F.col("slice_id"), F.col("__m"), F.col("__n") - F.col("__m")
-    lo, hi, r0 = F.col("__lo"), F.col("__hi"), F.col("__r0")
+    labelled = (_with_us(df, time_field).select("__us").filter(F.col("__us").isNotNull())
+                .crossJoin(F.broadcast(plan))
+                .withColumn("slice_id", _slice_of(F.col("__us"))))
+    plan_cols = [c for c in plan.columns]
+    per_slice = labelled.groupBy("slice_id", *plan_cols).agg(F.count(F.lit(1)).alias("n"))
+    one = per_slice.groupBy(*plan_cols).agg(
+        F.map_from_entries(F.collect_list(F.struct("slice_id", "n"))).alias("__counts"))
+    ids = one.select("*", F.explode(F.sequence(F.lit(0), F.col("__n") - 1)).alias("slice_id"))
+    i, m = F.col("slice_id"), F.col("__m")
+    lo, hi = F.col("__lo"), F.col("__hi")
     step = F.coalesce(F.col("__step"), F.lit(0))
     cut_at = lambda idx: lo + F.try_element_at("__cuts", idx) * step  # noqa: E731 (1-based idx)
 
@@ -142,8 +147,6 @@ def slice_table(df: DataFrame, time_field: str, spec: SliceSpec) -> DataFrame:
 
     start = F.when(i < m, F.when(i == 0, lo).otherwise(cut_at(i))).otherwise(eq_start(0))
     end = F.when(i < m, cut_at(i + 1)).when(i == F.col("__n") - 1, hi).otherwise(eq_start(1))
-    table = ids.select("slice_id", micros_to_ntz(start).alias("slice_start"),
-                       micros_to_ntz(end).alias("slice_end"))
-    return (table.join(counts, "slice_id", "left")
-            .select("slice_id", "slice_start", "slice_end",
-                    F.coalesce("n_docs", F.lit(0).cast("long")).alias("n_docs")))
+    return ids.select(
+        "slice_id", micros_to_ntz(start).alias("slice_start"), micros_to_ntz(end).alias("slice_end"),
+        F.coalesce(F.try_element_at("__counts", i), F.lit(0).cast("long")).alias("n_docs"))

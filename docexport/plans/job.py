@@ -40,22 +40,29 @@ def export_frame(docs: DataFrame, spec: ExportSpec, id_col: str = "_id",
                             spec.zone)
     cols = field_columns(rows, spec.fields, spec.metadata, id_col=id_col, falsy=spec.falsy,
                          drop_parents=spec.falsy == "null")
+    order_key = None
     if spec.time_field is not None and spec.order:
-        cols.append(time_column(rows, spec.time_field)[0].alias(_T))  # order key, not exported
+        if spec.time_field in spec.columns and spec.time_field in rows.columns:
+            order_key = spec.time_field  # exported as is: order on the exported column
+        else:
+            cols.append(time_column(rows, spec.time_field)[0].alias(_T))  # order key only
+            order_key = _T
     projected = round_floats(rows.select(cols), spec.rounding)
     has_id = id_col in projected.columns
     exported = list(spec.columns)
+    extra = [_T] if _T in projected.columns else []
     if spec.dedup == "fields":
-        order = [c for c in (_T, id_col) if c in projected.columns]
+        order = [c for c in (order_key, id_col) if c is not None and c in projected.columns]
         deduped = dedup_by_fields(projected, exported, order)
     elif has_id:
-        extra = [_T] if _T in projected.columns else []
         deduped = dedup_by_id(projected, exported + extra, id_col)
     else:
         deduped = projected.dropDuplicates()
     out = deduped
-    if _T in out.columns:
-        keys = [F.asc_nulls_last(_T)] + ([F.asc_nulls_last(qcol(id_col))] if has_id else [])
+    if order_key is not None:
+        keys = [F.asc_nulls_last(qcol(order_key))]
+        if has_id and id_col != order_key:
+            keys.append(F.asc_nulls_last(qcol(id_col)))
         out = out.orderBy(*keys)
     drop = [_T] + ([id_col] if id_col not in spec.columns else [])
     out = out.select([qcol(c) for c in out.columns if c not in drop])
