@@ -12,7 +12,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, functions as F
-from pyspark.sql.types import (BooleanType, DataType, DecimalType, DoubleType, FloatType,
+from pyspark.sql.types import (BooleanType, DataType, DoubleType, FloatType,
                                IntegralType, NumericType, StringType)
 
 from ..functions.fmt import round_floats
@@ -75,36 +75,40 @@ def occurrences(col: Column, dtype: DataType) -> Column:
 
 def _agg_exprs(fn: str, col: Column, dtype: DataType, rounding: int | None) -> list[Column]:
     """Spark aggregate expressions for one function; see ``_finish``."""
-    exact_scale = rounding if isinstance(dtype, (DoubleType, FloatType)) and rounding is not None else None
     if fn == "count":
         return [F.count(col)]
     if fn in ("min", "max"):
         return [F.min(col) if fn == "min" else F.max(col)]
     if not isinstance(dtype, NumericType):
         raise ValueError(f"{fn} needs a numeric column, got {dtype.simpleString()}")
-    if exact_scale is not None:
-        # Values already have ``rounding`` decimals: a decimal sum is exact and
-        # does not depend on the partitioning.
-        total = F.sum(col.cast(DecimalType(28, exact_scale)))
-    elif isinstance(dtype, IntegralType):
-        total = F.sum(col.cast(DecimalType(38, 0)))
+    if isinstance(dtype, (DoubleType, FloatType)) and rounding is not None:
+        # Values already have ``rounding`` decimals: summing them as whole
+        # multiples of 10^-rounding in a long is exact, does not depend on the
+        # partitioning, and stays in codegen (a wide decimal sum does not).
+        # Overflow raises under ANSI mode rather than wrapping.
+        total = F.sum(F.rint(col * F.lit(float(10 ** rounding))).cast("long"))
     else:
         total = F.sum(col)
     return [total, F.count(col)]
 
 
-def _finish(fn: str, parts: list[Column], dtype: DataType) -> Column:
+def _finish(fn: str, parts: list[Column], dtype: DataType, rounding: int | None) -> Column:
     if fn == "count":
         return F.coalesce(parts[0], F.lit(0).cast("long"))
     if fn in ("min", "max"):
         return parts[0]
     total, n = parts
+    if isinstance(dtype, (DoubleType, FloatType)) and rounding is not None:
+        value = total.cast("double") / F.lit(float(10 ** rounding))
+    elif isinstance(dtype, IntegralType):
+        value = total
+    else:
+        value = total.cast("double")
     if fn == "sum":
-        if isinstance(dtype, IntegralType):
-            return F.coalesce(total.cast("long"), F.lit(0).cast("long"))
-        return F.coalesce(total.cast("double"), F.lit(0.0))
+        zero = F.lit(0).cast("long") if isinstance(dtype, IntegralType) else F.lit(0.0)
+        return F.coalesce(value, zero)
     # mean: NULL for a group without values
-    return F.when(n > 0, total.cast("double") / n.cast("double"))
+    return F.when(n > 0, value.cast("double") / n.cast("double"))
 
 
 def date_bounds(df: DataFrame, time_field: str, zone: str) -> DataFrame:
@@ -185,7 +189,7 @@ def aggregate(df: DataFrame, spec: AggSpec, sort: bool = True, pre_round: bool =
     for c, fn, base, dtype in plan:
         n_parts = 1 if fn in ("count", "min", "max") else 2
         parts = [F.col(f"__p{base + j}") for j in range(n_parts)]
-        out.append(_finish(fn, parts, dtype).alias(r.names[c]))
+        out.append(_finish(fn, parts, dtype, spec.rounding).alias(r.names[c]))
     result = grouped.select(out)
     if spec.rounding is not None:
         result = round_floats(result, spec.rounding)
