@@ -21,7 +21,7 @@ from ..operators.aggregate import aggregate
 from ..operators.dedup import dedup_by_fields, dedup_by_id
 from ..operators.predicate import select_documents, time_column
 from ..operators.project import field_columns, qcol, rename_columns
-from ..sinks.csv import write_csv
+from ..sinks.csv import write_csv, write_single_csv
 from ..sources.readers import read_csv
 from ..spec import AggSpec, ExportSpec
 
@@ -69,12 +69,18 @@ def export_frame(docs: DataFrame, spec: ExportSpec, id_col: str = "_id",
     return out if keep_names else rename_columns(out, spec.rename)
 
 
-def export(docs: DataFrame, spec: ExportSpec, path: str) -> str:
-    """Write the export CSV (part files; one file with ``single_file``)."""
-    frame = export_frame(docs, spec)
+def _write_export(frame: DataFrame, spec: ExportSpec, path: str) -> str:
+    if spec.single_file:
+        return write_single_csv(frame, path, sep=spec.sep, decimal=spec.decimal,
+                                rounding=spec.rounding, keep_parts=spec.keep_parts,
+                                max_rows_per_file=spec.max_rows_per_file, overwrite=spec.overwrite)
     return write_csv(frame, path, sep=spec.sep, decimal=spec.decimal, rounding=spec.rounding,
-                     max_rows_per_file=spec.max_rows_per_file, single_file=spec.single_file,
-                     overwrite=spec.overwrite)
+                     max_rows_per_file=spec.max_rows_per_file, overwrite=spec.overwrite)
+
+
+def export(docs: DataFrame, spec: ExportSpec, path: str) -> str:
+    """Write the export CSV: a folder of part files, or one file with ``single_file``."""
+    return _write_export(export_frame(docs, spec), spec, path)
 
 
 def aggregate_frame(frame: DataFrame, agg: AggSpec, rename: dict[str, str] | None = None) -> DataFrame:
@@ -92,12 +98,9 @@ def export_and_aggregate(docs: DataFrame, spec: ExportSpec, agg: AggSpec, path:
     """
     frame = export_frame(docs, spec, keep_names=True).persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        write_csv(rename_columns(frame, spec.rename), path, sep=spec.sep, decimal=spec.decimal,
-                  rounding=spec.rounding, max_rows_per_file=spec.max_rows_per_file,
-                  single_file=spec.single_file, overwrite=spec.overwrite)
-        write_csv(aggregate_frame(frame, agg, spec.rename), agg_path, sep=spec.sep,
-                  decimal=spec.decimal, rounding=agg.rounding, single_file=True,
-                  overwrite=spec.overwrite)
+        _write_export(rename_columns(frame, spec.rename), spec, path)
+        write_single_csv(aggregate_frame(frame, agg, spec.rename), agg_path, sep=spec.sep,
+                         decimal=spec.decimal, rounding=agg.rounding, overwrite=spec.overwrite)
     finally:
         frame.unpersist()
     return path, agg_path
@@ -108,5 +111,5 @@ def aggregate_only(spark: SparkSession, raw_csv: str, agg: AggSpec, agg_path: st
                    rename: dict[str, str] | None = None, overwrite: bool = False) -> str:
     """Aggregate a raw CSV written earlier (or by any tool) and write the result."""
     frame = read_csv(spark, raw_csv, schema, sep, decimal)
-    return write_csv(aggregate_frame(frame, agg, rename), agg_path, sep=sep, decimal=decimal,
-                     rounding=agg.rounding, single_file=True, overwrite=overwrite)
+    return write_single_csv(aggregate_frame(frame, agg, rename), agg_path, sep=sep,
+                            decimal=decimal, rounding=agg.rounding, overwrite=overwrite)

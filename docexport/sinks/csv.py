@@ -9,7 +9,8 @@ Options that make the text faithful on a round trip:
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark import StorageLevel
+from pyspark.sql import DataFrame
 from pyspark.sql.types import DoubleType, FloatType
 
 from ..functions.fmt import decimal_mark, round_floats
@@ -73,6 +74,45 @@ def write_csv(df: DataFrame, path: str, columns=None, sep: str = ",", decimal: s
     return path
 
 
+def write_single_csv(df: DataFrame, path: str, columns=None, sep: str = ",", decimal: str = ".",
+                     rounding: int | None = 2, keep_parts: bool = False,
+                     max_rows_per_file: int | None = None, overwrite: bool = False) -> str:
+    """Write ``df`` as one CSV file at ``path`` (for results small enough for one task).
+
+    The rows go through a single task into a staging folder next to
+    ``path`` and the one part is then renamed to ``path``. With
+    ``keep_parts`` the rows are first written in parallel as bounded parts
+    (kept in ``path + ".parts"``) from a persisted frame, so the upstream
+    plan runs only once for both outputs.
+    """
+    spark = df.sparkSession
+    jvm = spark.sparkContext._jvm
+    hconf = spark.sparkContext._jsc.hadoopConfiguration()
+    target = jvm.org.apache.hadoop.fs.Path(path)
+    fs = target.getFileSystem(hconf)
+    if fs.exists(target):
+        if not overwrite:
+            raise FileExistsError(f"{path} exists (pass overwrite=True to replace it)")
+        fs.delete(target, True)
+    out = prepare_csv(df, columns, rounding, decimal)
+    if keep_parts:
+        out = out.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        if keep_parts:
+            write_csv(out, path + ".parts", sep=sep, rounding=None,
+                      max_rows_per_file=max_rows_per_file, overwrite=overwrite)
+        staging = path + ".staging"
+        # coalesce keeps partition order, so a sorted frame stays sorted
+        write_csv(out.coalesce(1), staging, sep=sep, rounding=None, overwrite=True)
+        staged = part_files(spark, staging)
+        fs.rename(jvm.org.apache.hadoop.fs.Path(staged[0]), target)
+        fs.delete(jvm.org.apache.hadoop.fs.Path(staging), True)
+    finally:
+        if keep_parts:
+            out.unpersist()
+    return path
+
+
 def part_files(spark, path: str) -> list[str]:
     """Names of the CSV part files under ``path``, in name (= partition) order."""
     files = (spark.read.format("binaryFile").option("pathGlobFilter", "*.csv")

@@ -88,3 +88,18 @@ def test_nested_cells_as_json(spark, tmp_path):
     write_csv(df, path, single_file=True)
     got = read_csv(spark, path, "id long, o string, l string").first()
     assert got["o"] == '{"a":1,"b":"x"}' and got["l"] == "[1,2]"
+
+
+def test_single_file_and_kept_parts(spark, tmp_path):
+    from docexport.sinks.csv import write_single_csv
+    df = spark.range(0, 3000).selectExpr("id", "id * 0.5 AS x").repartition(4).orderBy("id")
+    path = str(tmp_path / "one.csv")
+    write_single_csv(df, path, keep_parts=True, max_rows_per_file=500)
+    lines = open(path).read().splitlines()
+    assert lines[0] == "id,x" and len(lines) == 3001
+    assert [int(line.split(",")[0]) for line in lines[1:]] == list(range(3000))  # order kept
+    assert len(part_files(spark, path + ".parts")) >= 6
+    with pytest.raises(FileExistsError):
+        write_single_csv(df, path)
+    write_single_csv(df.limit(2), path, overwrite=True)
+    assert len(open(path).read().splitlines()) == 3
