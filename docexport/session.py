@@ -26,10 +26,13 @@ DEFAULT_CONF = {
 }
 
 
-def build_session(master: str = "local[*]", app: str = "docexport",
+def build_session(master: str | None = "local[*]", app: str = "docexport",
                   shuffle_partitions: int | None = None,
                   extra: dict[str, str] | None = None) -> SparkSession:
-    builder = SparkSession.builder.master(master).appName(app)
+    """A session with this package's settings; ``master=None`` keeps spark-submit's."""
+    builder = SparkSession.builder.appName(app)
+    if master:
+        builder = builder.master(master)
     for k, v in DEFAULT_CONF.items():
         builder = builder.config(k, v)
     if shuffle_partitions is not None:
