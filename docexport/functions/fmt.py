@@ -58,7 +58,7 @@ def word_match(col: Column, word: str) -> Column:
     """
     w = word.lower()
     if w and re.fullmatch(r"\w+", w) and "_" not in w:
-        pattern = r"(^|[^\p{L}\p{N}])" + re.escape(w) + r"($|[^\p{L}\p{N}])"
+        pattern = r"(?<![\p{L}\p{N}])" + re.escape(w) + r"(?![\p{L}\p{N}])"
         return F.coalesce(F.lower(col).rlike(pattern), F.lit(False))
     return F.coalesce(F.array_contains(F.split(F.lower(col), WORD_SPLIT), F.lit(w)),
                       F.lit(False))

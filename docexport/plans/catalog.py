@@ -12,7 +12,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ..functions.fmt import round_floats, word_match
+from ..functions.fmt import keyword_match, round_floats, word_match
 from ..operators.aggregate import aggregate, count_rows
 from ..operators.dedup import dedup_by_fields, union_parts
 from ..operators.order import first_last, time_bounds, top_n, with_position
@@ -94,6 +94,31 @@ def scan_fields(spark, d):
     return select_fields(docs, ["ts", "user_id", "event_type", "value", "country"], id_col=None)
 
 
+@register("scan_wildcard", """
+SELECT 'events' AS _index, event_id AS _id, ts, event_type FROM events
+""")
+def scan_wildcard(spark, d):
+    """An index pattern: ``_index`` is the name the wildcard matched."""
+    docs = scan(spark, f"{d}/ev*.parquet", id_field="event_id")
+    return select_fields(docs, ["ts", "event_type"], metadata=["_index", "_id"])
+
+
+@register("scan_indices", f"""
+SELECT 'events' AS _index, event_id AS _id, ts, {r2('value')} AS value,
+       CAST(NULL AS TIMESTAMP) AS o_orderdate, CAST(NULL AS DOUBLE) AS o_totalprice
+FROM events
+UNION ALL
+SELECT 'orders', o_orderkey, NULL, NULL, o_orderdate, {r2('o_totalprice')} FROM orders
+""")
+def scan_indices(spark, d):
+    """Two indices with different fields, united by name; dedup on (_index, _id, fields)."""
+    docs = scan(spark, {"events": f"{d}/events.parquet", "orders": f"{d}/orders.parquet"},
+                id_field={"events": "event_id", "orders": "o_orderkey"})
+    spec = ExportSpec(fields=["ts", "value", "o_orderdate", "o_totalprice"],
+                      metadata=["_index", "_id"])
+    return export_frame(docs, spec)
+
+
 @register("metadata_columns", """
 SELECT 'events' AS _index, event_id AS _id, ts, event_type, value FROM events
 """)
@@ -211,7 +236,7 @@ WHERE list_contains(regexp_split_to_array(lower(text), '[^\p{L}\p{N}]+'), 'the')
 def predicate_and(spark, d):
     docs = scan(spark, f"{d}/documents.parquet", id_field="doc_id")
     spec = ExportSpec(fields=["doc_id", "lang", "source", "n_chars"],
-                      predicate=word_match(F.col("text"), "the") & (F.col("lang") == "en"),
+                      predicate=word_match(F.col("text"), "the") & keyword_match(F.col("lang"), "en"),
                       order=False)
     return export_frame(docs, spec)
 

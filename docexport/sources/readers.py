@@ -24,15 +24,16 @@ def _index_name(path: str) -> str:
     return re.sub(_DATA_EXT, "", path.rstrip("/").split("/")[-1])
 
 
-def scan(spark: SparkSession, source, fmt: str = "parquet", id_field: str | None = None,
+def scan(spark: SparkSession, source, fmt: str = "parquet", id_field=None,
          schema: StructType | str | None = None, options: dict | None = None) -> DataFrame:
     """Documents of one index, a wildcard pattern or several indices.
 
     ``source`` is a path, a glob, a list of them, or a dict ``{index: path}``.
     Every row gets ``_index``: the dict key, or the name of the path element
     that the wildcard matched (else the path's last element). ``id_field``
-    names the column that plays ``_id``. Filters and projections applied
-    later are pushed into the scan by the optimizer.
+    names the column that plays ``_id`` (a dict gives one per index). Indices
+    with different fields are united by name, missing fields being NULL.
+    Filters and projections applied later are pushed into each scan.
     """
     if isinstance(source, dict):
         items = list(source.items())
@@ -57,8 +58,9 @@ def scan(spark: SparkSession, source, fmt: str = "parquet", id_field: str | None
         else:
             index = F.lit(_index_name(path))
         cols = [index.alias("_index")]
-        if id_field is not None:
-            cols.append(qcol(id_field).alias("_id"))
+        idf = id_field.get(name) if isinstance(id_field, dict) else id_field
+        if idf is not None:
+            cols.append(qcol(idf).alias("_id"))
         frames.append(df.select(*cols, "*"))
     return union_parts(*frames)
 
