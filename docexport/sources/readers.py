@@ -112,15 +112,18 @@ def write_hits_json(df: DataFrame, path: str, id_field: str, index: str,
 
 
 def read_csv(spark: SparkSession, path, schema: StructType | str | None = None,
-             sep: str = ",", decimal: str = ".") -> DataFrame:
+             sep: str = ",", decimal: str = ".", multi_line: bool = True) -> DataFrame:
     """A raw CSV with header, separator and decimal mark (S3).
 
     With a decimal comma, columns declared as double are read as text and
-    converted; Spark's CSV reader itself only knows the dot.
+    converted; Spark's CSV reader itself only knows the dot. Cells may hold
+    line breaks, so each file is read whole by one task; for big files known
+    to have none, ``multi_line=False`` lets Spark split them.
     """
     if isinstance(schema, str):
         schema = StructType.fromDDL(schema)
     opts = text_options(sep)
+    opts["multiLine"] = "true" if multi_line else "false"
     if schema is None:
         return spark.read.options(**opts).option("inferSchema", "true").csv(path)
     if decimal == ".":
