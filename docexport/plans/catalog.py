@@ -23,7 +23,7 @@ from ..session import scratch_path
 from ..sinks.csv import write_csv
 from ..sources.readers import read_csv, read_hits_json, read_parts, scan, write_hits_json
 from ..spec import AggSpec, ExportSpec, SliceSpec
-from .job import export_frame
+from .job import export_and_aggregate, export_frame
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -64,6 +64,9 @@ def dmean(expr: str) -> str:
     return f"round_even(CAST(sum(CAST({expr} AS DECIMAL(28,2))) AS DOUBLE) / count({expr}), 2)"
 
 
+_K_TEXT = "CAST(json_extract_string(props, '$.k') AS BIGINT)"
+
+
 # ---------------------------------------------------------------- flagship
 
 @register("events_daily_by_type", f"""
@@ -141,6 +144,23 @@ def hits_from_json(spark, d):
                          "value", "props")
 
 
+@register("hits_export", f"""
+SELECT 'events' AS _index, CAST(event_id AS VARCHAR) AS _id, ts, {_K_TEXT} AS "props.k",
+       event_type, {r2('value')} AS value
+FROM events
+WHERE ts BETWEEN TIMESTAMP '2024-01-03 00:00:00' AND TIMESTAMP '2024-01-20 12:00:00'
+""")
+def hits_export(spark, d):
+    """The whole export over hit-shaped JSON with a nested body: range, flatten, dedup, order."""
+    events = table(spark, d, "events").withColumn("props", F.from_json("props", "k bigint"))
+    path = scratch_path(spark, "hits-nested")
+    write_hits_json(events, path, id_field="event_id", index="events")
+    hits = read_hits_json(spark, path, events.schema, metadata=["_index", "_id"])
+    spec = ExportSpec(fields=["ts", "props.k", "event_type", "value"], metadata=["_index", "_id"],
+                      time_field="ts", start="2024-01-03T00:00:00", end="2024-01-20T12:00:00")
+    return export_frame(hits, spec)
+
+
 # ------------------------------------------------------------ P3 flattening
 
 _K = "CAST(json_extract_string(props, '$.k') AS BIGINT)"
@@ -582,6 +602,26 @@ def merge_partials(spark, d):
     return read_parts(spark, [p1, p2], [first.schema, rest.schema])
 
 
+@register("export_then_aggregate", f"""
+SELECT ts AS day, event_type AS kind, count(event_id) AS agg__event_id__count,
+       COALESCE({dsum(r2('value'))}, 0.0) AS total
+FROM (SELECT event_id, CAST(ts AS DATE) AS ts, event_type, value FROM events
+      WHERE ts >= TIMESTAMP '2024-01-02 00:00:00')
+GROUP BY 1, 2
+""")
+def export_then_aggregate(spark, d):
+    """The export-and-aggregate job: raw CSV and aggregated CSV written, aggregate read back."""
+    spec = ExportSpec(fields=["event_id", "ts", "event_type", "value"], time_field="ts",
+                      start="2024-01-02T00:00:00", rename="event_type--kind,ts--day",
+                      max_rows_per_file=5000)
+    agg = AggSpec(keys=["event_type"], functions="event_id--count,value--sum",
+                  names="value--total", time_field="ts", days=1)
+    raw, aggregated = scratch_path(spark, "raw"), scratch_path(spark, "agg") + ".csv"
+    export_and_aggregate(events_docs(spark, d), spec, agg, raw, aggregated)
+    return read_csv(spark, aggregated,
+                    "day date, kind string, agg__event_id__count long, total double")
+
+
 # ------------------------------------------------------------ U2 U3
 
 @register("dedup_by_id", f"""
