@@ -10,12 +10,13 @@ bounded by the time span divided by the bucket width, not by the data.
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
-from pyspark.sql.types import (BooleanType, DataType, DoubleType, FloatType,
-                               IntegralType, NumericType, StringType)
+from pyspark.sql.types import (BooleanType, DataType, DateType, DoubleType, FloatType,
+                               IntegralType, LongType, NumericType, StringType)
 
-from ..functions.fmt import round_floats
+from ..functions.fmt import round_half_even
 from ..functions.timefn import local_date
 from ..spec import AggSpec
 from .project import qcol
@@ -111,6 +112,14 @@ def _finish(fn: str, parts: list[Column], dtype: DataType, rounding: int | None)
     return F.when(n > 0, value.cast("double") / n.cast("double"))
 
 
+def _is_double_result(fn: str, dtype: DataType) -> bool:
+    if fn == "mean":
+        return True
+    if fn == "sum":
+        return not isinstance(dtype, IntegralType)
+    return fn in ("min", "max") and isinstance(dtype, (DoubleType, FloatType))
+
+
 def date_bounds(df: DataFrame, time_field: str, zone: str) -> DataFrame:
     """One row: the first and last local dates over all rows (``__d0``, ``__d1``)."""
     d = local_date(qcol(time_field), df.schema[time_field].dataType, zone)
@@ -118,7 +127,8 @@ def date_bounds(df: DataFrame, time_field: str, zone: str) -> DataFrame:
 
 
 def add_bucket(df: DataFrame, time_field: str, days: int, zone: str,
-               name: str | None = None, bounds: DataFrame | None = None) -> DataFrame:
+               name: str | None = None, bounds: DataFrame | None = None,
+               dtype: DataType | None = None) -> DataFrame:
     """Add the first local date of the ``days``-day bucket holding each row (A4).
 
     The grid starts at the local date of the earliest row (over all rows).
@@ -126,17 +136,16 @@ def add_bucket(df: DataFrame, time_field: str, days: int, zone: str,
     across clock changes. The origin is one row, broadcast to every task.
     """
     name = name or time_field
-    dtype = df.schema[time_field].dataType
+    dtype = dtype or df.schema[time_field].dataType
     d = local_date(qcol(time_field), dtype, zone)
-    with_d = df.withColumn("__d", d)
     if days == 1:
-        return with_d.withColumn(name, F.col("__d")).drop("__d")
+        return df.withColumn(name, d)
     if bounds is None:
         bounds = date_bounds(df, time_field, zone)
-    idx = F.floor(F.datediff(F.col("__d"), F.col(BUCKET_ORIGIN)) / F.lit(days)).cast("int")
-    return (with_d.crossJoin(F.broadcast(bounds.select(BUCKET_ORIGIN)))
+    idx = F.floor(F.datediff(d, F.col(BUCKET_ORIGIN)) / F.lit(days)).cast("int")
+    return (df.crossJoin(F.broadcast(bounds.select(BUCKET_ORIGIN)))
             .withColumn(name, F.date_add(F.col(BUCKET_ORIGIN), idx * F.lit(days)))
-            .drop("__d", BUCKET_ORIGIN))
+            .drop(BUCKET_ORIGIN))
 
 
 def aggregate(df: DataFrame, spec: AggSpec, sort: bool = True, pre_round: bool = True) -> DataFrame:
@@ -151,12 +160,20 @@ def aggregate(df: DataFrame, spec: AggSpec, sort: bool = True, pre_round: bool =
     schema = {f.name: f.dataType for f in df.schema.fields}
     used = list(dict.fromkeys([*r.keys, *r.functions, *r.bool_columns]
                               + ([r.time_field] if r.time_field else [])))
-    work = df.select([qcol(c) for c in used])
-    for b in r.bool_columns:
-        work = work.withColumn(b, occurrences(qcol(b), schema[b]))
-        schema[b] = work.schema[b].dataType
-    if pre_round and spec.rounding is not None:
-        work = round_floats(work.select([qcol(c) for c in work.columns]), spec.rounding)
+    rounding = spec.rounding if pre_round else None
+    # One projection: pruning (P5), booleans to 0/1 (A7), rounding (A10).
+    cols, types = [], {}
+    for c in used:
+        dt = schema[c]
+        if c in r.bool_columns:
+            col, dt = occurrences(qcol(c), dt), LongType()
+        elif rounding is not None and isinstance(dt, (DoubleType, FloatType)):
+            col, dt = round_half_even(qcol(c).cast("double"), rounding), DoubleType()
+        else:
+            col = qcol(c)
+        cols.append(col.alias(c))
+        types[c] = dt
+    work = df.select(cols)
     group_cols = list(r.keys)
     dense = False
     bounds = None
@@ -165,16 +182,17 @@ def aggregate(df: DataFrame, spec: AggSpec, sort: bool = True, pre_round: bool =
         if dense or spec.days > 1:
             # One small aggregate gives both the grid origin and the calendar.
             bounds = date_bounds(work, r.time_field, spec.zone)
-        work = add_bucket(work, r.time_field, spec.days, spec.zone, bounds=bounds)
+        work = add_bucket(work, r.time_field, spec.days, spec.zone, bounds=bounds,
+                          dtype=types[r.time_field])
+        types[r.time_field] = DateType()
         group_cols = [r.time_field] + group_cols
-    if not spec.keep_null_keys:
-        for k in group_cols:
-            work = work.filter(qcol(k).isNotNull())
+    if not spec.keep_null_keys and group_cols:
+        work = work.filter(reduce(lambda a, b: a & b, [qcol(k).isNotNull() for k in group_cols]))
 
     exprs: list[Column] = []
     plan: list[tuple[str, str, int, DataType]] = []
     for c, fn in r.functions.items():
-        dtype = work.schema[c].dataType if c != r.time_field else schema[c]
+        dtype = types[c]
         parts = _agg_exprs(fn, qcol(c), dtype, spec.rounding)
         base = len(exprs)
         for j, p in enumerate(parts):
@@ -189,10 +207,11 @@ def aggregate(df: DataFrame, spec: AggSpec, sort: bool = True, pre_round: bool =
     for c, fn, base, dtype in plan:
         n_parts = 1 if fn in ("count", "min", "max") else 2
         parts = [F.col(f"__p{base + j}") for j in range(n_parts)]
-        out.append(_finish(fn, parts, dtype, spec.rounding).alias(r.names[c]))
+        value = _finish(fn, parts, dtype, spec.rounding)
+        if spec.rounding is not None and _is_double_result(fn, dtype):
+            value = round_half_even(value.cast("double"), spec.rounding)  # A10: round again
+        out.append(value.alias(r.names[c]))
     result = grouped.select(out)
-    if spec.rounding is not None:
-        result = round_floats(result, spec.rounding)
     if sort:
         result = result.orderBy(*[F.asc_nulls_first(qcol(k)) for k in group_cols])
     return result
