@@ -2,7 +2,7 @@
 
 Plan shape: ``prune -> booleans to 0/1 -> round -> bucket -> drop null keys ->
 groupBy.agg (partial + final hash aggregate, one exchange) -> round -> sort``.
-The bucket origin is a one-row aggregate cross-joined by broadcast; the dense
+The bucket origin is a one-row aggregate read as a scalar subquery; the dense
 calendar (bucket as the only key) is generated from that row, so its size is
 bounded by the time span divided by the bucket width, not by the data.
 """
@@ -133,7 +133,8 @@ def add_bucket(df: DataFrame, time_field: str, days: int, zone: str,
 
     The grid starts at the local date of the earliest row (over all rows).
     Calendar arithmetic on dates keeps buckets aligned to local midnight
-    across clock changes. The origin is one row, broadcast to every task.
+    across clock changes. The origin is a scalar subquery over one small
+    aggregate, so no join is needed to attach it.
     """
     name = name or time_field
     dtype = dtype or df.schema[time_field].dataType
@@ -142,10 +143,11 @@ def add_bucket(df: DataFrame, time_field: str, days: int, zone: str,
         return df.withColumn(name, d)
     if bounds is None:
         bounds = date_bounds(df, time_field, zone)
-    idx = F.floor(F.datediff(d, F.col(BUCKET_ORIGIN)) / F.lit(days)).cast("int")
-    return (df.crossJoin(F.broadcast(bounds.select(BUCKET_ORIGIN)))
-            .withColumn(name, F.date_add(F.col(BUCKET_ORIGIN), idx * F.lit(days)))
-            .drop(BUCKET_ORIGIN))
+    # One value, computed once; the whole bounds row is read so the same
+    # aggregate serves the dense calendar and can be reused.
+    origin = bounds.select(F.struct(*bounds.columns).alias("b")).scalar().getField(BUCKET_ORIGIN)
+    idx = F.floor(F.datediff(d, origin) / F.lit(days)).cast("int")
+    return df.withColumn(name, F.date_add(origin, idx * F.lit(days)))
 
 
 def aggregate(df: DataFrame, spec: AggSpec, sort: bool = True, pre_round: bool = True) -> DataFrame:

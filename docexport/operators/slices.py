@@ -3,8 +3,8 @@
 A slice plan is a one-row DataFrame (bounds in epoch microseconds, grid
 step, cut points, remainder start). It is built from two distributed
 aggregates over the data (bounds, then a histogram on the step grid) and
-then cross-joined by broadcast to the rows to label each row with its
-slice. The only array ever built holds the non-empty histogram buckets,
+reaches the rows as a scalar subquery (computed once, inlined as a value)
+to label each row with its slice. The only array ever built holds the non-empty histogram buckets,
 whose number is bounded by span / step and checked inside the plan.
 
 Slice membership: slices are half-open ``[start, end)``, the last one is
@@ -28,6 +28,13 @@ def _with_us(df: DataFrame, time_field: str) -> DataFrame:
     return df.withColumn("__us", epoch_micros(col, dtype))
 
 
+def scalar_columns(one_row: DataFrame, names=None) -> list[Column]:
+    """Columns of a one-row frame as values of one scalar subquery (no join)."""
+    names = list(names or one_row.columns)
+    packed = one_row.select(F.struct(*names).alias("s")).scalar()
+    return [packed.getField(c).alias(c) for c in names]
+
+
 def _bounds(rows_us: DataFrame) -> DataFrame:
     return rows_us.agg(F.min("__us").alias("__lo"), F.max("__us").alias("__hi"),
                        F.count("__us").alias("__total"))
@@ -63,12 +70,12 @@ def slice_plan(df: DataFrame, time_field: str, spec: SliceSpec) -> DataFrame:
         .otherwise(F.lit(True)).alias("__ok"))
     # Histogram on the step grid anchored at the first document; only
     # non-empty buckets exist, at most span / step of them.
-    hist = (rows.crossJoin(F.broadcast(checked))
+    hist = (rows.select("__us", *scalar_columns(checked, ["__lo", "__ok"]))
             .filter(F.col("__ok"))
             .groupBy(F.expr(f"(__us - __lo) div {step_us}").alias("k"))
             .agg(F.count(F.lit(1)).alias("c"), F.min("__us").alias("mn")))
     gathered = hist.agg(F.array_sort(F.collect_list(F.struct("k", "c", "mn"))).alias("__h"))
-    plan = checked.crossJoin(gathered)
+    plan = gathered.select(*scalar_columns(checked), "__h")
 
     quota = F.col("__total").cast("double") / F.lit(float(n))
     room = F.col("__hi") - F.col("__lo")
@@ -114,7 +121,7 @@ def assign_slices(df: DataFrame, time_field: str, spec: SliceSpec,
                   name: str = "slice_id") -> DataFrame:
     """Label every row with its slice (I1 without a step, I2 with one)."""
     plan = slice_plan(df, time_field, spec)
-    labelled = _with_us(df, time_field).crossJoin(F.broadcast(plan))
+    labelled = _with_us(df, time_field).select("*", *scalar_columns(plan))
     return labelled.withColumn(name, _slice_of(F.col("__us"))).drop(*plan.columns, "__us")
 
 
@@ -128,7 +135,7 @@ def slice_table(df: DataFrame, time_field: str, spec: SliceSpec) -> DataFrame:
     """
     plan = slice_plan(df, time_field, spec)
     labelled = (_with_us(df, time_field).select("__us").filter(F.col("__us").isNotNull())
-                .crossJoin(F.broadcast(plan))
+                .select("__us", *scalar_columns(plan))
                 .withColumn("slice_id", _slice_of(F.col("__us"))))
     plan_cols = [c for c in plan.columns]
     per_slice = labelled.groupBy("slice_id", *plan_cols).agg(F.count(F.lit(1)).alias("n"))
