@@ -113,7 +113,8 @@ def field_columns(df: DataFrame, fields, metadata=(), id_col: str | None = "_id"
             out.append(F.lit(None).cast(schema[name].dataType if name in schema.fieldNames()
                                         else StringType()).alias(name))
         else:
-            out.append(field_column(schema, name, falsy))
+            out.append(field_column(schema, name, falsy,
+                                    absent_type="double" if name == "_score" else "string"))
     if id_col is not None and id_col not in seen and id_col in schema.fieldNames():
         out.append(qcol(id_col))  # carried for dedup and order, dropped before writing
     return out

@@ -118,9 +118,13 @@ def _slice_of(us: Column) -> Column:
 
 
 def assign_slices(df: DataFrame, time_field: str, spec: SliceSpec,
-                  name: str = "slice_id") -> DataFrame:
-    """Label every row with its slice (I1 without a step, I2 with one)."""
-    plan = slice_plan(df, time_field, spec)
+                  name: str = "slice_id", plan: DataFrame | None = None) -> DataFrame:
+    """Label every row with its slice (I1 without a step, I2 with one).
+
+    ``plan`` (from :func:`slice_plan`) may come from another frame holding
+    the same times, e.g. the filtered documents before deduplication.
+    """
+    plan = plan if plan is not None else slice_plan(df, time_field, spec)
     labelled = _with_us(df, time_field).select("*", *scalar_columns(plan))
     return labelled.withColumn(name, _slice_of(F.col("__us"))).drop(*plan.columns, "__us")
 

@@ -23,7 +23,7 @@ from ..session import scratch_path
 from ..sinks.csv import write_csv
 from ..sources.readers import read_csv, read_hits_json, read_parts, scan, write_hits_json
 from ..spec import AggSpec, ExportSpec, SliceSpec
-from .job import export_and_aggregate, export_frame
+from .job import export, export_and_aggregate, export_frame
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -678,8 +678,8 @@ def slice_counts(spark, d):
     return slice_table(table(spark, d, "events"), "ts", SliceSpec(n=4))
 
 
-def _load_slices_sql(table_name: str, t: str, n: int, step_us: int) -> str:
-    """DuckDB form of load-balanced slices: a recursive walk over the histogram."""
+def _load_plan_sql(table_name: str, t: str, n: int, step_us: int) -> str:
+    """DuckDB CTEs ``b`` (bounds), ``h`` (histogram) and ``p`` (plan) of load slices."""
     return f"""
 WITH RECURSIVE
 b AS (SELECT min(epoch_us({t})) AS lo, max(epoch_us({t})) AS hi, count({t}) AS total
@@ -703,14 +703,23 @@ p0 AS (SELECT lo, hi, cuts, len(cuts) AS m,
        FROM b, fin),
 p AS (SELECT lo, hi, cuts, m, last_cut,
              COALESCE((SELECT min(mn) FROM h WHERE h.k >= p0.last_cut), lo) AS r0
-      FROM p0),
-rows AS (SELECT epoch_us({t}) AS us FROM {table_name} WHERE {t} IS NOT NULL),
-lab AS (SELECT CAST(CASE
-          WHEN m > 0 AND us < lo + last_cut * {step_us}
-            THEN len(list_filter(cuts, lambda c: c <= (us - lo) // {step_us}))
+      FROM p0)"""
+
+
+def _load_label_sql(us: str, n: int, step_us: int) -> str:
+    """DuckDB form of the slice of a time in micros ``us``, plan ``p`` in scope."""
+    return f"""CAST(CASE
+          WHEN m > 0 AND {us} < lo + last_cut * {step_us}
+            THEN len(list_filter(cuts, lambda c: c <= ({us} - lo) // {step_us}))
           WHEN hi = r0 THEN m
-          ELSE m + least({n} - m - 1, ((us - r0) * ({n} - m)) // (hi - r0)) END AS INTEGER) AS slice_id
-        FROM rows, p),
+          ELSE m + least({n} - m - 1, (({us} - r0) * ({n} - m)) // (hi - r0)) END AS INTEGER)"""
+
+
+def _load_slices_sql(table_name: str, t: str, n: int, step_us: int) -> str:
+    """DuckDB form of load-balanced slices: a recursive walk over the histogram."""
+    return _load_plan_sql(table_name, t, n, step_us) + f""",
+rows AS (SELECT epoch_us({t}) AS us FROM {table_name} WHERE {t} IS NOT NULL),
+lab AS (SELECT {_load_label_sql('us', n, step_us)} AS slice_id FROM rows, p),
 cnt AS (SELECT slice_id, count(*) AS n_docs FROM lab GROUP BY 1),
 ids AS (SELECT CAST(i AS INTEGER) AS slice_id FROM range(0, {n}) t(i))
 SELECT ids.slice_id,
@@ -731,6 +740,22 @@ FROM ids CROSS JOIN p LEFT JOIN cnt ON ids.slice_id = cnt.slice_id
 _DAY_US = 86_400 * 1_000_000
 
 
+@register("sliced_export", _load_plan_sql("orders", "o_orderdate", 12, 7 * _DAY_US) + f"""
+SELECT o_orderkey, o_orderdate, {r2('o_totalprice')} AS o_totalprice,
+       {_load_label_sql('epoch_us(o_orderdate)', 12, 7 * _DAY_US)} AS slice_id
+FROM orders, p
+""")
+def sliced_export(spark, d):
+    """Export written as one folder of parts per load-balanced time slice, read back."""
+    spec = ExportSpec(fields=["o_orderkey", "o_orderdate", "o_totalprice"],
+                      time_field="o_orderdate", slices=SliceSpec(n=12, step="7d"),
+                      max_rows_per_file=4000)
+    path = scratch_path(spark, "sliced")
+    export(orders_docs(spark, d), spec, path)
+    return read_csv(spark, path,
+                    "o_orderkey long, o_orderdate timestamp_ntz, o_totalprice double, slice_id int")
+
+
 @register("load_slices", _load_slices_sql("events", "ts", 4, 3 * _DAY_US))
 def load_slices(spark, d):
     return slice_table(table(spark, d, "events"), "ts", SliceSpec(n=4, step="3d"))

@@ -21,11 +21,13 @@ from ..operators.aggregate import aggregate
 from ..operators.dedup import dedup_by_fields, dedup_by_id
 from ..operators.predicate import select_documents, time_column
 from ..operators.project import field_columns, qcol, rename_columns
+from ..operators.slices import assign_slices, slice_plan
 from ..sinks.csv import write_csv, write_single_csv
 from ..sources.readers import read_csv
 from ..spec import AggSpec, ExportSpec
 
 _T = "__t"
+SLICE_COL = "slice_id"
 
 
 def export_frame(docs: DataFrame, spec: ExportSpec, id_col: str = "_id",
@@ -59,10 +61,22 @@ def export_frame(docs: DataFrame, spec: ExportSpec, id_col: str = "_id",
     else:
         deduped = projected.dropDuplicates()
     out = deduped
+    keys = []
+    if spec.slices is not None:
+        # The slice id grows with time, so ordering by it first keeps the time
+        # order and lets the partitioned writer use the order as it is.
+        slice_time = order_key or _T
+        if slice_time not in out.columns:
+            raise ValueError("slices need the time field in the export")
+        # The plan reads only the time column of the matching documents.
+        plan = slice_plan(rows, spec.time_field, spec.slices)
+        out = assign_slices(out, slice_time, spec.slices, plan=plan)
+        keys.append(F.col(SLICE_COL))
     if order_key is not None:
-        keys = [F.asc_nulls_last(qcol(order_key))]
+        keys.append(F.asc_nulls_last(qcol(order_key)))
         if has_id and id_col != order_key:
             keys.append(F.asc_nulls_last(qcol(id_col)))
+    if keys:
         out = out.orderBy(*keys)
     drop = [_T] + ([id_col] if id_col not in spec.columns else [])
     out = out.select([qcol(c) for c in out.columns if c not in drop])
@@ -75,7 +89,8 @@ def _write_export(frame: DataFrame, spec: ExportSpec, path: str) -> str:
                                 rounding=spec.rounding, keep_parts=spec.keep_parts,
                                 max_rows_per_file=spec.max_rows_per_file, overwrite=spec.overwrite)
     return write_csv(frame, path, sep=spec.sep, decimal=spec.decimal, rounding=spec.rounding,
-                     max_rows_per_file=spec.max_rows_per_file, overwrite=spec.overwrite)
+                     max_rows_per_file=spec.max_rows_per_file, overwrite=spec.overwrite,
+                     partition_by=[SLICE_COL] if spec.slices is not None else None)
 
 
 def export(docs: DataFrame, spec: ExportSpec, path: str) -> str:

@@ -54,13 +54,15 @@ def prepare_csv(df: DataFrame, columns=None, rounding: int | None = 2,
 
 def write_csv(df: DataFrame, path: str, columns=None, sep: str = ",", decimal: str = ".",
               rounding: int | None = 2, max_rows_per_file: int | None = None,
-              single_file: bool = False, overwrite: bool = False) -> str:
+              single_file: bool = False, overwrite: bool = False,
+              partition_by: list[str] | None = None) -> str:
     """Write ``df`` as CSV part files under ``path`` (K1, K2, K3, K4).
 
     Part files hold at most ``max_rows_per_file`` rows. ``single_file``
     funnels the rows through one task (for small results such as an
-    aggregate); otherwise every task writes its own parts. An existing
-    ``path`` is an error unless ``overwrite``.
+    aggregate); otherwise every task writes its own parts. ``partition_by``
+    writes one folder per value. An existing ``path`` is an error unless
+    ``overwrite``.
     """
     if sep == decimal:
         raise ValueError("separator and decimal mark must differ")
@@ -70,6 +72,8 @@ def write_csv(df: DataFrame, path: str, columns=None, sep: str = ",", decimal: s
     writer = out.write.mode("overwrite" if overwrite else "errorifexists").options(**text_options(sep))
     if max_rows_per_file is not None:
         writer = writer.option("maxRecordsPerFile", int(max_rows_per_file))
+    if partition_by:
+        writer = writer.partitionBy(*partition_by)  # one folder per value, e.g. per slice
     writer.csv(path)
     return path
 

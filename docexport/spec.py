@@ -133,6 +133,7 @@ class ExportSpec:
     overwrite: bool = False
     falsy: str = "keep"  # "keep" or "null" (flattening drops falsy leaves)
     order: bool = True
+    slices: "SliceSpec | None" = None  # write one folder of parts per time slice
 
     def __post_init__(self):
         object.__setattr__(self, "fields", tuple(parse_list(self.fields)))
@@ -158,6 +159,8 @@ class ExportSpec:
             raise ValueError("max_rows_per_file must be positive")
         if self.rounding is not None and self.rounding < 0:
             raise ValueError("rounding must be >= 0")
+        if self.slices is not None and (not self.time_field or self.single_file):
+            raise ValueError("slices need a time_field and part files (not single_file)")
 
     def bounds(self) -> tuple[datetime | None, datetime | None]:
         lo = parse_instant(self.start, self.zone) if self.start is not None else None

@@ -75,3 +75,22 @@ def test_positions_top_n_first_last(spark):
     assert fl["first_id"] == pdf.o_orderkey.iloc[0]
     last_day = pdf[pdf.o_orderdate == pdf.o_orderdate.max()]
     assert fl["last_id"] == last_day.o_orderkey.max()
+
+
+def test_sliced_export_folders_in_time_order(spark, docs, tmp_path):
+    import os
+
+    from docexport.spec import SliceSpec
+    spec = ExportSpec(fields="ts,event_type", metadata="_id", time_field="ts",
+                      slices=SliceSpec(n=4, step="2d"), max_rows_per_file=100)
+    path = export(docs, spec, str(tmp_path / "sliced"))
+    folders = sorted(f for f in os.listdir(path) if f.startswith("slice_id="))
+    assert folders == [f"slice_id={i}" for i in range(4)]
+    schema = "_id long, ts timestamp_ntz, event_type string"
+    last = None
+    for f in sorted(folders, key=lambda x: int(x.split("=")[1])):
+        times = [r["ts"] for p in part_files(spark, os.path.join(path, f))
+                 for r in read_csv(spark, p, schema).collect()]
+        assert times == sorted(times) and (last is None or times[0] >= last)
+        last = times[-1]
+    assert read_csv(spark, path, schema + ", slice_id int").count() == docs.count()
