@@ -76,6 +76,9 @@ def parser() -> argparse.ArgumentParser:
     ex.add_argument("--keep-parts", action="store_true")
     ex.add_argument("--overwrite", action="store_true")
     ex.add_argument("--falsy-null", action="store_true", help="flattened falsy leaves -> empty")
+    ex.add_argument("--slices", type=int, help="write one folder of parts per time slice")
+    ex.add_argument("--step", help="load-balance step for --slices, such as 1d")
+    ex.add_argument("--allow-short", action="store_true")
     ex.add_argument("--out", required=True)
     _agg_args(ex)
 
@@ -132,7 +135,9 @@ def main(argv=None) -> int:
                           sep=args.sep, decimal=args.decimal,
                           max_rows_per_file=args.max_rows_per_file, single_file=args.single_file,
                           keep_parts=args.keep_parts, overwrite=args.overwrite,
-                          falsy="null" if args.falsy_null else "keep")
+                          falsy="null" if args.falsy_null else "keep",
+                          slices=SliceSpec(n=args.slices, step=args.step,
+                                           allow_short=args.allow_short) if args.slices else None)
         agg = _agg_spec(args) if (args.agg_keys or args.agg_time_field) else None
         if agg is not None and not args.agg_out:
             raise SystemExit("--agg-out is needed with aggregation options")
