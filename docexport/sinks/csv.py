@@ -22,8 +22,14 @@ TIMESTAMP_NTZ_FORMAT = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
 TIMESTAMP_FORMAT = "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"
 
 
-def text_options(sep: str = ",") -> dict[str, str]:
-    return {
+def text_options(sep: str = ",", write: bool = True) -> dict[str, str]:
+    """CSV options; the microsecond timestamp formats are for writing only.
+
+    Reading uses Spark's default ISO-8601 parsing, which keeps microseconds
+    and accepts any fraction length and zone offset (a fixed read pattern
+    would turn other spellings into NULL).
+    """
+    opts = {
         "header": "true",
         "sep": sep,
         "quote": '"',
@@ -36,6 +42,9 @@ def text_options(sep: str = ",") -> dict[str, str]:
         "nullValue": "",
         "emptyValue": "",
     }
+    if not write:
+        del opts["timestampNTZFormat"], opts["timestampFormat"]
+    return opts
 
 
 def prepare_csv(df: DataFrame, columns=None, rounding: int | None = 2,

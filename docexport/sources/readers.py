@@ -89,10 +89,7 @@ def lift_hits(hits: DataFrame, metadata=METADATA_FIELDS) -> DataFrame:
 def read_hits_json(spark: SparkSession, path, source_schema: StructType | str,
                    metadata=METADATA_FIELDS) -> DataFrame:
     """Hit-shaped JSON lines, read with a declared schema and lifted."""
-    hits = (spark.read.schema(hit_schema(source_schema))
-            .option("timestampNTZFormat", TIMESTAMP_NTZ_FORMAT)
-            .option("timestampFormat", TIMESTAMP_FORMAT)
-            .json(path))
+    hits = spark.read.schema(hit_schema(source_schema)).json(path)
     return lift_hits(hits, metadata)
 
 
@@ -122,7 +119,7 @@ def read_csv(spark: SparkSession, path, schema: StructType | str | None = None,
     """
     if isinstance(schema, str):
         schema = StructType.fromDDL(schema)
-    opts = text_options(sep)
+    opts = text_options(sep, write=False)
     opts["multiLine"] = "true" if multi_line else "false"
     if schema is None:
         return spark.read.options(**opts).option("inferSchema", "true").csv(path)

@@ -103,3 +103,29 @@ def test_single_file_and_kept_parts(spark, tmp_path):
         write_single_csv(df, path)
     write_single_csv(df.limit(2), path, overwrite=True)
     assert len(open(path).read().splitlines()) == 3
+
+
+def test_raw_csv_fixture_then_aggregate(spark, tmp_path):
+    """A hand-written raw CSV: decimal comma, quotes, newlines, empty cells, both boolean
+    spellings, zoned timestamps; read with a schema and aggregated by 1-day buckets in Rome."""
+    from docexport.operators.aggregate import aggregate
+    from docexport.spec import AggSpec
+    text = (
+        'k;v;flag;t;note\n'
+        'a;1,5;True;2024-03-30T22:30:00Z;"semi; colon"\n'
+        'a;2,25;false;2024-03-31T00:30:00Z;"two\nlines"\n'
+        'b;;False;2024-03-31T01:30:00+00:00;"say ""hi"""\n'
+        'b;0,125;true;2024-03-31T22:30:00Z;\n'
+    )
+    p = tmp_path / "raw.csv"
+    p.write_text(text)
+    df = read_csv(spark, str(p), "k string, v double, flag boolean, t timestamp, note string",
+                  sep=";", decimal=",")
+    rows = sorted((tuple(r) for r in df.select("k", "v", "flag", "note").collect()), key=repr)
+    assert rows == sorted([("a", 1.5, True, "semi; colon"), ("a", 2.25, False, "two\nlines"),
+                    ("b", None, False, 'say "hi"'), ("b", 0.125, True, None)], key=repr)
+    got = aggregate(df, AggSpec(keys="k", functions="v--sum,flag--sum", bool_columns="flag",
+                                time_field="t", zone="Europe/Rome"))
+    out = sorted((str(r[0]), r[1], r[2], r[3]) for r in got.collect())
+    assert out == [("2024-03-30", "a", 1.5, 1), ("2024-03-31", "a", 2.25, 0),
+                   ("2024-03-31", "b", 0.0, 0), ("2024-04-01", "b", 0.12, 1)]
