@@ -145,9 +145,11 @@ def add_bucket(df: DataFrame, time_field: str, days: int, zone: str,
         bounds = date_bounds(df, time_field, zone)
     # One value, computed once; the whole bounds row is read so the same
     # aggregate serves the dense calendar and can be reused.
-    origin = bounds.select(F.struct(*bounds.columns).alias("b")).scalar().getField(BUCKET_ORIGIN)
+    packed = bounds.select(F.struct(*bounds.columns).alias("b")).scalar()
+    origin = F.col("__b").getField(BUCKET_ORIGIN)
     idx = F.floor(F.datediff(d, origin) / F.lit(days)).cast("int")
-    return df.withColumn(name, F.date_add(origin, idx * F.lit(days)))
+    return (df.withColumn("__b", packed)
+            .withColumn(name, F.date_add(origin, idx * F.lit(days))).drop("__b"))
 
 
 def aggregate(df: DataFrame, spec: AggSpec, sort: bool = True, pre_round: bool = True) -> DataFrame:

@@ -28,11 +28,18 @@ def _with_us(df: DataFrame, time_field: str) -> DataFrame:
     return df.withColumn("__us", epoch_micros(col, dtype))
 
 
-def scalar_columns(one_row: DataFrame, names=None) -> list[Column]:
-    """Columns of a one-row frame as values of one scalar subquery (no join)."""
+def with_scalars(df: DataFrame, one_row: DataFrame, names=None) -> DataFrame:
+    """``df`` plus the columns of a one-row frame, read as one scalar subquery.
+
+    The subquery runs once; its row is one struct column per row of ``df``
+    (kept as a column, not re-evaluated per field), then spread out. No join.
+    """
     names = list(names or one_row.columns)
     packed = one_row.select(F.struct(*names).alias("s")).scalar()
-    return [packed.getField(c).alias(c) for c in names]
+    cols = df.columns
+    return (df.select("*", packed.alias("__one"))
+            .select(*[F.col(f"`{c}`") for c in cols],
+                    *[F.col("__one").getField(c).alias(c) for c in names]))
 
 
 def _bounds(rows_us: DataFrame) -> DataFrame:
@@ -70,12 +77,12 @@ def slice_plan(df: DataFrame, time_field: str, spec: SliceSpec) -> DataFrame:
         .otherwise(F.lit(True)).alias("__ok"))
     # Histogram on the step grid anchored at the first document; only
     # non-empty buckets exist, at most span / step of them.
-    hist = (rows.select("__us", *scalar_columns(checked, ["__lo", "__ok"]))
+    hist = (with_scalars(rows, checked, ["__lo", "__ok"])
             .filter(F.col("__ok"))
             .groupBy(F.expr(f"(__us - __lo) div {step_us}").alias("k"))
             .agg(F.count(F.lit(1)).alias("c"), F.min("__us").alias("mn")))
     gathered = hist.agg(F.array_sort(F.collect_list(F.struct("k", "c", "mn"))).alias("__h"))
-    plan = gathered.select(*scalar_columns(checked), "__h")
+    plan = with_scalars(gathered, checked)
 
     quota = F.col("__total").cast("double") / F.lit(float(n))
     room = F.col("__hi") - F.col("__lo")
@@ -125,7 +132,7 @@ def assign_slices(df: DataFrame, time_field: str, spec: SliceSpec,
     the same times, e.g. the filtered documents before deduplication.
     """
     plan = plan if plan is not None else slice_plan(df, time_field, spec)
-    labelled = _with_us(df, time_field).select("*", *scalar_columns(plan))
+    labelled = with_scalars(_with_us(df, time_field), plan)
     return labelled.withColumn(name, _slice_of(F.col("__us"))).drop(*plan.columns, "__us")
 
 
@@ -133,18 +140,16 @@ def slice_table(df: DataFrame, time_field: str, spec: SliceSpec) -> DataFrame:
     """One row per slice: id, start, end and the number of documents (A2).
 
     ``slice_end`` is exclusive except for the last slice, which ends at the
-    last document inclusive. The plan row travels with the labelled rows, so
-    it is computed once: rows -> count per slice (at most n groups) -> one
-    row holding the plan and the counts -> one row per slice.
+    last document inclusive. Rows -> count per slice (at most n groups) ->
+    one row of counts, beside the plan -> one row per slice.
     """
     plan = slice_plan(df, time_field, spec)
-    labelled = (_with_us(df, time_field).select("__us").filter(F.col("__us").isNotNull())
-                .select("__us", *scalar_columns(plan))
-                .withColumn("slice_id", _slice_of(F.col("__us"))))
-    plan_cols = [c for c in plan.columns]
-    per_slice = labelled.groupBy("slice_id", *plan_cols).agg(F.count(F.lit(1)).alias("n"))
-    one = per_slice.groupBy(*plan_cols).agg(
+    rows = _with_us(df, time_field).select("__us").filter(F.col("__us").isNotNull())
+    labelled = with_scalars(rows, plan).withColumn("slice_id", _slice_of(F.col("__us")))
+    per_slice = labelled.groupBy("slice_id").agg(F.count(F.lit(1)).alias("n"))
+    counts = per_slice.agg(  # at most n entries
         F.map_from_entries(F.collect_list(F.struct("slice_id", "n"))).alias("__counts"))
+    one = with_scalars(counts, plan).filter(F.col("__n").isNotNull() & F.col("__lo").isNotNull())
     ids = one.select("*", F.explode(F.sequence(F.lit(0), F.col("__n") - 1)).alias("slice_id"))
     i, m = F.col("slice_id"), F.col("__m")
     lo, hi = F.col("__lo"), F.col("__hi")
