@@ -57,11 +57,14 @@ def scan(spark: SparkSession, source, fmt: str = "parquet", id_field=None,
             index = F.regexp_replace(index, _DATA_EXT, "")
         else:
             index = F.lit(_index_name(path))
-        cols = [index.alias("_index")]
         idf = id_field.get(name) if isinstance(id_field, dict) else id_field
+        # A source that already carries _index (or _id, when no id field is
+        # named) keeps its own values.
+        cols = [] if "_index" in df.columns else [index.alias("_index")]
         if idf is not None:
             cols.append(qcol(idf).alias("_id"))
-        frames.append(df.select(*cols, "*"))
+        body = [qcol(c) for c in df.columns if not (c == "_id" and idf is not None)]
+        frames.append(df.select(*cols, *body))
     return union_parts(*frames)
 
 

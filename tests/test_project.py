@@ -94,3 +94,12 @@ def test_scan_wildcard_index_names(spark, tmp_path):
     df3 = scan(spark, str(tmp_path / "logs-2024.01"), id_field="x")
     assert df3.select("_index", "_id").first() == ("logs-2024.01", 1)
     assert F  # noqa
+
+
+def test_scan_keeps_existing_metadata(spark, tmp_path):
+    p = str(tmp_path / "withmeta")
+    spark.createDataFrame([("ix", "id1", 5)], "_index string, _id string, n int").write.parquet(p)
+    df = scan(spark, p)
+    assert df.columns == ["_index", "_id", "n"] and df.first()["_index"] == "ix"
+    df2 = scan(spark, p, id_field="n")
+    assert sorted(df2.columns) == ["_id", "_index", "n"] and df2.first()["_id"] == 5
