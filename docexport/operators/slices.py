@@ -84,44 +84,47 @@ def slice_plan(df: DataFrame, time_field: str, spec: SliceSpec) -> DataFrame:
     gathered = hist.agg(F.array_sort(F.collect_list(F.struct("k", "c", "mn"))).alias("__h"))
     plan = with_scalars(gathered, checked)
 
-    quota = F.col("__total").cast("double") / F.lit(float(n))
-    room = F.col("__hi") - F.col("__lo")
-
-    def visit(state: Column, b: Column) -> Column:
-        acc = state["acc"] + b["c"]
-        cut = ((F.size(state["cuts"]) < F.lit(n - 1)) & (acc.cast("double") >= quota)
-               & ((b["k"] + F.lit(1)) * F.lit(step_us) <= room))
-        return F.when(cut, F.struct(F.lit(0).cast("long").alias("acc"),
-                                    F.array_append(state["cuts"], b["k"] + F.lit(1)).alias("cuts"))
-                      ).otherwise(F.struct(acc.cast("long").alias("acc"), state["cuts"].alias("cuts")))
-
-    start = F.struct(F.lit(0).cast("long").alias("acc"),
-                     F.array().cast("array<bigint>").alias("cuts"))
-    folded = plan.withColumn("__cuts", F.coalesce(
-        F.aggregate(F.coalesce("__h", F.array().cast("array<struct<k:bigint,c:bigint,mn:bigint>>")),
-                    start, visit)["cuts"],
-        F.array().cast("array<bigint>")))
-    last = F.coalesce(F.try_element_at("__cuts", F.lit(-1)), F.lit(0).cast("long"))
-    r0 = F.array_min(F.transform(F.filter("__h", lambda b: b["k"] >= last), lambda b: b["mn"]))
-    return folded.select(
-        "__lo", "__hi", "__total", F.lit(n).alias("__n"), "__cuts",
-        F.lit(step_us).cast("long").alias("__step"),
-        F.coalesce(r0, F.col("__lo")).alias("__r0"),
-        F.size("__cuts").alias("__m"))
-
-
-def _slice_of(us: Column) -> Column:
-    """Slice id of a time in micros, given the plan columns in scope."""
-    m, w = F.col("__m"), F.col("__n") - F.col("__m")
-    r0, hi = F.col("__r0"), F.col("__hi")
-    cut_us = F.col("__lo") + F.coalesce(F.try_element_at("__cuts", F.lit(-1)), F.lit(0)) * F.coalesce(
-        F.col("__step"), F.lit(0))
-    k = F.expr("(__us - __lo) div __step")
-    before = F.size(F.filter("__cuts", lambda c: c <= k))
-    tail = F.when(hi == r0, F.lit(0).cast("long")).otherwise(
-        F.least(w - F.lit(1), F.expr("((__us - __r0) * (__n - __m)) div (__hi - __r0)")))
-    return F.when(us.isNull(), F.lit(None)).when(
-        (m > F.lit(0)) & (us < cut_us), before).otherwise(m + tail).cast("int")
+    # The walk over the histogram (see the module notes): grow the current
+    # slice bucket by bucket; cut when it holds at least total/n documents,
+    # fewer than n-1 cuts exist and the cut lies within the span.
+    fold = f"""
+        coalesce(aggregate(
+            coalesce(__h, cast(array() AS array<struct<k:bigint,c:bigint,mn:bigint>>)),
+            named_struct('acc', 0L, 'cuts', cast(array() AS array<bigint>)),
+            (s, b) -> CASE
+                WHEN size(s.cuts) < {n - 1}
+                     AND s.acc + b.c >= __total / {float(n)}
+                     AND (b.k + 1) * {step_us} <= __hi - __lo
+                THEN named_struct('acc', 0L, 'cuts', array_append(s.cuts, b.k + 1))
+                ELSE named_struct('acc', s.acc + b.c, 'cuts', s.cuts) END
+        ).cuts, cast(array() AS array<bigint>))"""
+    # Start of the equal-width remainder: the first document at or after the last cut.
+    remainder_start = """
+        coalesce(array_min(transform(
+            filter(__h, b -> b.k >= coalesce(try_element_at(__cuts, -1), 0L)),
+            b -> b.mn)), __lo)"""
+    return (plan.withColumn("__cuts", F.expr(fold))
+            .select("__lo", "__hi", "__total", F.lit(n).alias("__n"), "__cuts",
+                    F.lit(step_us).cast("long").alias("__step"),
+                    F.expr(remainder_start).alias("__r0"),
+                    F.size("__cuts").alias("__m")))
+
+
+# Slice of a time in micros ``__us``, with the plan columns in scope: before
+# the last cut, the number of cuts at or below its grid step; after it, its
+# share of the equal-width remainder [__r0, __hi].
+SLICE_OF_SQL = """
+    CAST(CASE
+        WHEN __us IS NULL THEN NULL
+        WHEN __m > 0 AND __us < __lo + try_element_at(__cuts, -1) * __step
+            THEN size(filter(__cuts, c -> c <= (__us - __lo) div __step))
+        WHEN __hi = __r0 THEN __m
+        ELSE __m + least(__n - __m - 1, ((__us - __r0) * (__n - __m)) div (__hi - __r0))
+    END AS INT)"""
+
+
+def _slice_of() -> Column:
+    return F.expr(SLICE_OF_SQL)
 
 
 def assign_slices(df: DataFrame, time_field: str, spec: SliceSpec,
@@ -133,7 +136,7 @@ def assign_slices(df: DataFrame, time_field: str, spec: SliceSpec,
     """
     plan = plan if plan is not None else slice_plan(df, time_field, spec)
     labelled = with_scalars(_with_us(df, time_field), plan)
-    return labelled.withColumn(name, _slice_of(F.col("__us"))).drop(*plan.columns, "__us")
+    return labelled.withColumn(name, _slice_of()).drop(*plan.columns, "__us")
 
 
 def slice_table(df: DataFrame, time_field: str, spec: SliceSpec) -> DataFrame:
@@ -145,24 +148,28 @@ def slice_table(df: DataFrame, time_field: str, spec: SliceSpec) -> DataFrame:
     """
     plan = slice_plan(df, time_field, spec)
     rows = _with_us(df, time_field).select("__us").filter(F.col("__us").isNotNull())
-    labelled = with_scalars(rows, plan).withColumn("slice_id", _slice_of(F.col("__us")))
+    labelled = with_scalars(rows, plan).withColumn("slice_id", _slice_of())
     per_slice = labelled.groupBy("slice_id").agg(F.count(F.lit(1)).alias("n"))
     counts = per_slice.agg(  # at most n entries
         F.map_from_entries(F.collect_list(F.struct("slice_id", "n"))).alias("__counts"))
     one = with_scalars(counts, plan).filter(F.col("__n").isNotNull() & F.col("__lo").isNotNull())
     ids = one.select("*", F.explode(F.sequence(F.lit(0), F.col("__n") - 1)).alias("slice_id"))
-    i, m = F.col("slice_id"), F.col("__m")
-    lo, hi = F.col("__lo"), F.col("__hi")
-    step = F.coalesce(F.col("__step"), F.lit(0))
-    cut_at = lambda idx: lo + F.try_element_at("__cuts", idx) * step  # noqa: E731 (1-based idx)
-
-    def eq_start(shift: int) -> Column:
-        # r0 + ceil(j * (hi - r0) / w) with j = slice_id - m + shift, in integers
-        return F.expr(f"__r0 + ((slice_id - __m + {shift}) * (__hi - __r0) + (__n - __m) - 1)"
-                      f" div (__n - __m)")
-
-    start = F.when(i < m, F.when(i == 0, lo).otherwise(cut_at(i))).otherwise(eq_start(0))
-    end = F.when(i < m, cut_at(i + 1)).when(i == F.col("__n") - 1, hi).otherwise(eq_start(1))
+    # Grid slices start and end at cut points; remainder slices at
+    # __r0 + ceil(j * (__hi - __r0) / w), j counted within the remainder.
+    start = """
+        CASE WHEN slice_id < __m THEN
+                 CASE WHEN slice_id = 0 THEN __lo
+                      ELSE __lo + try_element_at(__cuts, slice_id) * __step END
+             ELSE __r0 + ((slice_id - __m) * (__hi - __r0) + (__n - __m) - 1)
+                         div (__n - __m) END"""
+    end = """
+        CASE WHEN slice_id < __m THEN __lo + try_element_at(__cuts, slice_id + 1) * __step
+             WHEN slice_id = __n - 1 THEN __hi
+             ELSE __r0 + ((slice_id - __m + 1) * (__hi - __r0) + (__n - __m) - 1)
+                         div (__n - __m) END"""
     return ids.select(
-        "slice_id", micros_to_ntz(start).alias("slice_start"), micros_to_ntz(end).alias("slice_end"),
-        F.coalesce(F.try_element_at("__counts", i), F.lit(0).cast("long")).alias("n_docs"))
+        "slice_id",
+        micros_to_ntz(F.expr(start)).alias("slice_start"),
+        micros_to_ntz(F.expr(end)).alias("slice_end"),
+        F.coalesce(F.try_element_at("__counts", F.col("slice_id")), F.lit(0).cast("long"))
+        .alias("n_docs"))
