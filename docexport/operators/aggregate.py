@@ -74,7 +74,12 @@ def occurrences(col: Column, dtype: DataType) -> Column:
     return F.when(cond, F.lit(1)).otherwise(F.lit(0)).cast("long")
 
 
-def _agg_exprs(fn: str, col: Column, dtype: DataType, rounding: int | None) -> list[Column]:
+def _exact_scaled(dtype: DataType, rounding: int | None) -> bool:
+    return isinstance(dtype, (DoubleType, FloatType)) and rounding is not None
+
+
+def _agg_exprs(fn: str, col: Column, dtype: DataType, rounding: int | None,
+               guard: bool = False) -> list[Column]:
     """Spark aggregate expressions for one function; see ``_finish``."""
     if fn == "count":
         return [F.count(col)]
@@ -82,25 +87,37 @@ def _agg_exprs(fn: str, col: Column, dtype: DataType, rounding: int | None) -> l
         return [F.min(col) if fn == "min" else F.max(col)]
     if not isinstance(dtype, NumericType):
         raise ValueError(f"{fn} needs a numeric column, got {dtype.simpleString()}")
-    if isinstance(dtype, (DoubleType, FloatType)) and rounding is not None:
+    if _exact_scaled(dtype, rounding):
         # Values already have ``rounding`` decimals: summing them as whole
         # multiples of 10^-rounding in a long is exact, does not depend on the
         # partitioning, and stays in codegen (a wide decimal sum does not).
-        # Overflow raises under ANSI mode rather than wrapping.
-        total = F.sum(F.rint(col * F.lit(float(10 ** rounding))).cast("long"))
-    else:
-        total = F.sum(col)
-    return [total, F.count(col)]
-
-
-def _finish(fn: str, parts: list[Column], dtype: DataType, rounding: int | None) -> Column:
+        # Under ANSI mode a long overflow raises; without it a plain double
+        # sum and the sum of magnitudes ride along to catch one (``_finish``).
+        scaled = F.rint(col * F.lit(float(10 ** rounding))).cast("long")
+        if guard:
+            return [F.sum(scaled), F.count(col), F.sum(col), F.sum(F.abs(col))]
+        return [F.sum(scaled), F.count(col)]
+    if isinstance(dtype, IntegralType):
+        return [F.sum(col), F.count(col)]
+    return [F.sum(col), F.count(col)]
+
+
+def _finish(fn: str, parts: list[Column], dtype: DataType, rounding: int | None,
+            guard: bool = False) -> Column:
     if fn == "count":
         return F.coalesce(parts[0], F.lit(0).cast("long"))
     if fn in ("min", "max"):
         return parts[0]
-    total, n = parts
-    if isinstance(dtype, (DoubleType, FloatType)) and rounding is not None:
+    total, n = parts[0], parts[1]
+    if _exact_scaled(dtype, rounding):
         value = total.cast("double") / F.lit(float(10 ** rounding))
+        if guard:
+            approx, magnitude = parts[2], parts[3]
+            # A wrapped long is off by about 2^64 units; double rounding error
+            # is far below one millionth of the summed magnitudes.
+            fits = total.isNull() | (F.abs(value - approx) <= magnitude * F.lit(1e-6) + F.lit(1.0))
+            value = F.when(fits, value).otherwise(
+                F.raise_error(F.lit("exact sum overflowed 64 bits; lower the rounding")))
     elif isinstance(dtype, IntegralType):
         value = total
     else:
@@ -112,6 +129,12 @@ def _finish(fn: str, parts: list[Column], dtype: DataType, rounding: int | None)
     return F.when(n > 0, value.cast("double") / n.cast("double"))
 
 
+def _n_parts(fn: str, dtype: DataType, rounding: int | None, guard: bool) -> int:
+    if fn in ("count", "min", "max"):
+        return 1
+    return 4 if _exact_scaled(dtype, rounding) and guard else 2
+
+
 def _is_double_result(fn: str, dtype: DataType) -> bool:
     if fn == "mean":
         return True
@@ -193,11 +216,13 @@ def aggregate(df: DataFrame, spec: AggSpec, sort: bool = True, pre_round: bool =
     if not spec.keep_null_keys and group_cols:
         work = work.filter(reduce(lambda a, b: a & b, [qcol(k).isNotNull() for k in group_cols]))
 
+    # Without ANSI mode a long sum wraps silently; guard exact sums then.
+    guard = str(df.sparkSession.conf.get("spark.sql.ansi.enabled", "true")).lower() != "true"
     exprs: list[Column] = []
     plan: list[tuple[str, str, int, DataType]] = []
     for c, fn in r.functions.items():
         dtype = types[c]
-        parts = _agg_exprs(fn, qcol(c), dtype, spec.rounding)
+        parts = _agg_exprs(fn, qcol(c), dtype, spec.rounding, guard)
         base = len(exprs)
         for j, p in enumerate(parts):
             exprs.append(p.alias(f"__p{base + j}"))
@@ -209,9 +234,8 @@ def aggregate(df: DataFrame, spec: AggSpec, sort: bool = True, pre_round: bool =
 
     out = [qcol(k) for k in group_cols]
     for c, fn, base, dtype in plan:
-        n_parts = 1 if fn in ("count", "min", "max") else 2
-        parts = [F.col(f"__p{base + j}") for j in range(n_parts)]
-        value = _finish(fn, parts, dtype, spec.rounding)
+        parts = [F.col(f"__p{base + j}") for j in range(_n_parts(fn, dtype, spec.rounding, guard))]
+        value = _finish(fn, parts, dtype, spec.rounding, guard)
         if spec.rounding is not None and _is_double_result(fn, dtype):
             value = round_half_even(value.cast("double"), spec.rounding)  # A10: round again
         out.append(value.alias(r.names[c]))

@@ -154,3 +154,14 @@ def test_calendar_buckets_with_keys_are_sparse(frame, days):
 def test_count_rows(frame):
     assert count_rows(frame.filter("key1 = 'a'")).first()[0] == 3
     assert isinstance(dt.date.today(), dt.date)
+
+
+def test_exact_sum_overflow_is_an_error_in_any_mode(spark):
+    big = spark.createDataFrame([("k", 4e16)] * 300, "k string, v double")
+    for ansi in ("true", "false"):
+        spark.conf.set("spark.sql.ansi.enabled", ansi)
+        try:
+            with pytest.raises(Exception, match="overflow"):
+                aggregate(big, AggSpec(keys="k", functions="v--sum")).collect()
+        finally:
+            spark.conf.set("spark.sql.ansi.enabled", "true")
