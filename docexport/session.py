@@ -55,7 +55,15 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     On a cluster the directory must come from ``spark.checkpoint.dir``; a
     local temporary folder is made only for local masters (tests, bench).
     """
-    sc = spark.sparkContext
+    try:
+        sc = spark.sparkContext
+    except Exception:  # a remote (Connect) session: the folder comes from the config
+        conf_dir = spark.conf.get("spark.checkpoint.dir", None)
+        if conf_dir:
+            return conf_dir
+        local = tempfile.mkdtemp(prefix="docexport-ckpt-")
+        spark.conf.set("spark.checkpoint.dir", local)
+        return local
     current = sc.getCheckpointDir()
     if current:
         return current
