@@ -42,3 +42,27 @@ def test_rounding_matches_numpy(spark):
     assert (got["b"].values == pd.Series(raw["b"]).round(2).values).all()
     halves = spark.createDataFrame([(0.125,), (2.675,), (0.575,), (-0.125,), (1.005,)], "x double")
     assert [r.x for r in round_floats(halves, 2).collect()] == list(np.round([0.125, 2.675, 0.575, -0.125, 1.005], 2))
+
+
+def test_instant_time_columns(spark):
+    """A ``timestamp`` (instant) time field behaves like UTC wall clock, whatever the session zone."""
+    from docexport.operators.predicate import time_range
+    ntz = spark.read.parquet(f"{SF}/events.parquet").select("event_id", "ts")
+    old = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "America/Los_Angeles")
+        # the instant whose UTC wall clock is ts
+        ltz = ntz.selectExpr("event_id", "timestamp_micros(timestampdiff(MICROSECOND, "
+                             "TIMESTAMP_NTZ'1970-01-01 00:00:00', ts)) AS ts")
+        a = time_range(ntz, "ts", "2024-01-05T00:00:00", "2024-01-06T00:00:00", "Europe/Rome")
+        b = time_range(ltz, "ts", "2024-01-05T00:00:00", "2024-01-06T00:00:00", "Europe/Rome")
+        assert sorted(r[0] for r in a.select("event_id").collect()) == \
+            sorted(r[0] for r in b.select("event_id").collect())
+        spec = AggSpec(functions="event_id--count", time_field="ts", days=2, zone="Europe/Rome")
+        assert sorted(map(tuple, aggregate(ntz, spec).collect())) == \
+            sorted(map(tuple, aggregate(ltz, spec).collect()))
+        s = SliceSpec(n=3, step="2d")
+        assert [r.n_docs for r in slice_table(ntz, "ts", s).orderBy("slice_id").collect()] == \
+            [r.n_docs for r in slice_table(ltz, "ts", s).orderBy("slice_id").collect()]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
