@@ -71,7 +71,7 @@ def parser() -> argparse.ArgumentParser:
     ex.add_argument("--rounding", type=int, default=2)
     ex.add_argument("--sep", default=",")
     ex.add_argument("--decimal", default=".")
-    ex.add_argument("--max-rows-per-file", type=int)
+    ex.add_argument("--max-rows-per-file", type=int, default=10_000_000)
     ex.add_argument("--single-file", action="store_true")
     ex.add_argument("--keep-parts", action="store_true")
     ex.add_argument("--overwrite", action="store_true")

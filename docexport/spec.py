@@ -127,7 +127,7 @@ class ExportSpec:
     rounding: int | None = 2
     sep: str = ","
     decimal: str = "."
-    max_rows_per_file: int | None = None
+    max_rows_per_file: int | None = 10_000_000  # rows per part file at most
     single_file: bool = False
     keep_parts: bool = False
     overwrite: bool = False
