@@ -79,6 +79,7 @@ def parser() -> argparse.ArgumentParser:
     ex.add_argument("--slices", type=int, help="write one folder of parts per time slice")
     ex.add_argument("--step", help="load-balance step for --slices, such as 1d")
     ex.add_argument("--allow-short", action="store_true")
+    ex.add_argument("--title-bools", action="store_true", help="write True/False, not true/false")
     ex.add_argument("--out", required=True)
     _agg_args(ex)
 
@@ -137,7 +138,8 @@ def main(argv=None) -> int:
                           keep_parts=args.keep_parts, overwrite=args.overwrite,
                           falsy="null" if args.falsy_null else "keep",
                           slices=SliceSpec(n=args.slices, step=args.step,
-                                           allow_short=args.allow_short) if args.slices else None)
+                                           allow_short=args.allow_short) if args.slices else None,
+                          bool_text=("True", "False") if args.title_bools else None)
         agg = _agg_spec(args) if (args.agg_keys or args.agg_time_field) else None
         if agg is not None and not args.agg_out:
             raise SystemExit("--agg-out is needed with aggregation options")

@@ -87,10 +87,12 @@ def _write_export(frame: DataFrame, spec: ExportSpec, path: str) -> str:
     if spec.single_file:
         return write_single_csv(frame, path, sep=spec.sep, decimal=spec.decimal,
                                 rounding=spec.rounding, keep_parts=spec.keep_parts,
-                                max_rows_per_file=spec.max_rows_per_file, overwrite=spec.overwrite)
+                                max_rows_per_file=spec.max_rows_per_file, overwrite=spec.overwrite,
+                                bool_text=spec.bool_text)
     return write_csv(frame, path, sep=spec.sep, decimal=spec.decimal, rounding=spec.rounding,
                      max_rows_per_file=spec.max_rows_per_file, overwrite=spec.overwrite,
-                     partition_by=[SLICE_COL] if spec.slices is not None else None)
+                     partition_by=[SLICE_COL] if spec.slices is not None else None,
+                     bool_text=spec.bool_text)
 
 
 def export(docs: DataFrame, spec: ExportSpec, path: str) -> str:
@@ -115,7 +117,8 @@ def export_and_aggregate(docs: DataFrame, spec: ExportSpec, agg: AggSpec, path:
     try:
         _write_export(rename_columns(frame, spec.rename), spec, path)
         write_single_csv(aggregate_frame(frame, agg, spec.rename), agg_path, sep=spec.sep,
-                         decimal=spec.decimal, rounding=agg.rounding, overwrite=spec.overwrite)
+                         decimal=spec.decimal, rounding=agg.rounding, overwrite=spec.overwrite,
+                         bool_text=spec.bool_text)
     finally:
         frame.unpersist()
     return path, agg_path

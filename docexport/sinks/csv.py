@@ -10,8 +10,8 @@ Options that make the text faithful on a round trip:
 from __future__ import annotations
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame
-from pyspark.sql.types import DoubleType, FloatType
+from pyspark.sql import DataFrame, functions as F
+from pyspark.sql.types import BooleanType, DoubleType, FloatType
 
 from ..functions.fmt import decimal_mark, round_floats
 from ..operators.project import cells_as_text, qcol
@@ -48,23 +48,33 @@ def text_options(sep: str = ",", write: bool = True) -> dict[str, str]:
 
 
 def prepare_csv(df: DataFrame, columns=None, rounding: int | None = 2,
-                decimal: str = ".") -> DataFrame:
-    """Chosen columns in order, floats rounded, objects as JSON, decimal mark set."""
+                decimal: str = ".", bool_text: tuple[str, str] | None = None) -> DataFrame:
+    """Chosen columns in order, floats rounded, objects as JSON, decimal mark set.
+
+    ``bool_text`` spells booleans, e.g. ``("True", "False")`` as pandas does;
+    by default Spark writes ``true``/``false``.
+    """
     if columns is not None:
         df = df.select([qcol(c) for c in columns])
     df = cells_as_text(round_floats(df, rounding))
-    if decimal != ".":
-        df = df.select([
-            decimal_mark(qcol(f.name), decimal).alias(f.name)
-            if isinstance(f.dataType, (DoubleType, FloatType)) else qcol(f.name)
-            for f in df.schema.fields])
+    if decimal != "." or bool_text is not None:
+        cols = []
+        for f in df.schema.fields:
+            c = qcol(f.name)
+            if decimal != "." and isinstance(f.dataType, (DoubleType, FloatType)):
+                c = decimal_mark(c, decimal)
+            elif bool_text is not None and isinstance(f.dataType, BooleanType):
+                c = F.when(c, F.lit(bool_text[0])).when(~c, F.lit(bool_text[1]))
+            cols.append(c.alias(f.name))
+        df = df.select(cols)
     return df
 
 
 def write_csv(df: DataFrame, path: str, columns=None, sep: str = ",", decimal: str = ".",
               rounding: int | None = 2, max_rows_per_file: int | None = None,
               single_file: bool = False, overwrite: bool = False,
-              partition_by: list[str] | None = None) -> str:
+              partition_by: list[str] | None = None,
+              bool_text: tuple[str, str] | None = None) -> str:
     """Write ``df`` as CSV part files under ``path`` (K1, K2, K3, K4).
 
     Part files hold at most ``max_rows_per_file`` rows. ``single_file``
@@ -75,7 +85,7 @@ def write_csv(df: DataFrame, path: str, columns=None, sep: str = ",", decimal: s
     """
     if sep == decimal:
         raise ValueError("separator and decimal mark must differ")
-    out = prepare_csv(df, columns, rounding, decimal)
+    out = prepare_csv(df, columns, rounding, decimal, bool_text)
     if single_file:
         out = out.coalesce(1)
     writer = out.write.mode("overwrite" if overwrite else "errorifexists").options(**text_options(sep))
@@ -89,7 +99,8 @@ def write_csv(df: DataFrame, path: str, columns=None, sep: str = ",", decimal: s
 
 def write_single_csv(df: DataFrame, path: str, columns=None, sep: str = ",", decimal: str = ".",
                      rounding: int | None = 2, keep_parts: bool = False,
-                     max_rows_per_file: int | None = None, overwrite: bool = False) -> str:
+                     max_rows_per_file: int | None = None, overwrite: bool = False,
+                     bool_text: tuple[str, str] | None = None) -> str:
     """Write ``df`` as one CSV file at ``path`` (for results small enough for one task).
 
     The rows go through a single task into a staging folder next to
@@ -107,7 +118,7 @@ def write_single_csv(df: DataFrame, path: str, columns=None, sep: str = ",", dec
         if not overwrite:
             raise FileExistsError(f"{path} exists (pass overwrite=True to replace it)")
         fs.delete(target, True)
-    out = prepare_csv(df, columns, rounding, decimal)
+    out = prepare_csv(df, columns, rounding, decimal, bool_text)
     if keep_parts:
         out = out.persist(StorageLevel.MEMORY_AND_DISK)
     try:

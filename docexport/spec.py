@@ -134,6 +134,7 @@ class ExportSpec:
     falsy: str = "keep"  # "keep" or "null" (flattening drops falsy leaves)
     order: bool = True
     slices: "SliceSpec | None" = None  # write one folder of parts per time slice
+    bool_text: tuple[str, str] | None = None  # e.g. ("True", "False"); default true/false
 
     def __post_init__(self):
         object.__setattr__(self, "fields", tuple(parse_list(self.fields)))

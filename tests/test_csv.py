@@ -129,3 +129,13 @@ def test_raw_csv_fixture_then_aggregate(spark, tmp_path):
     out = sorted((str(r[0]), r[1], r[2], r[3]) for r in got.collect())
     assert out == [("2024-03-30", "a", 1.5, 1), ("2024-03-31", "a", 2.25, 0),
                    ("2024-03-31", "b", 0.0, 0), ("2024-04-01", "b", 0.12, 1)]
+
+
+def test_boolean_spelling(spark, tmp_path):
+    df = spark.createDataFrame([(1, True), (2, False), (3, None)], "id int, b boolean")
+    path = str(tmp_path / "bools")
+    write_csv(df, path, single_file=True, bool_text=("True", "False"))
+    text = open(part_files(spark, path)[0].replace("file:", "")).read()
+    assert "1,True" in text and "2,False" in text and "3," in text
+    back = {r["id"]: r["b"] for r in read_csv(spark, path, "id int, b boolean").collect()}
+    assert back == {1: True, 2: False, 3: None}
