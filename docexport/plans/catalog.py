@@ -23,6 +23,7 @@ from ..session import scratch_path
 from ..sinks.csv import write_csv
 from ..sources.readers import read_csv, read_hits_json, read_parts, scan, write_hits_json
 from ..spec import AggSpec, ExportSpec, SliceSpec
+from ..streaming.incremental import export_stream
 from .job import export, export_and_aggregate, export_frame
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -622,6 +623,22 @@ def export_then_aggregate(spark, d):
                     "day date, kind string, agg__event_id__count long, total double")
 
 
+@register("stream_export", f"""
+SELECT DISTINCT event_id AS _id, ts, event_type, {r2('value')} AS value FROM events
+WHERE ts >= TIMESTAMP '2024-01-03 00:00:00'
+""")
+def stream_export(spark, d):
+    """The export as a Structured Streaming job over the index files, run to completion."""
+    events = table(spark, d, "events")
+    spec = ExportSpec(fields=["ts", "event_type", "value"], metadata=["_id"], time_field="ts",
+                      start="2024-01-03T00:00:00")
+    out, ckpt = scratch_path(spark, "stream-out"), scratch_path(spark, "stream-ckpt")
+    query = export_stream(spark, f"{d}/ev*.parquet", events.schema, spec, out, ckpt,
+                          id_field="event_id", watermark="365 days")
+    query.awaitTermination()
+    return read_csv(spark, out, "_id long, ts timestamp_ntz, event_type string, value double")
+
+
 # ------------------------------------------------------------ U2 U3
 
 @register("dedup_by_id", f"""
