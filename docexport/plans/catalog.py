@@ -24,7 +24,7 @@ from ..sinks.csv import write_csv
 from ..sources.readers import read_csv, read_hits_json, read_parts, scan, write_hits_json
 from ..spec import AggSpec, ExportSpec, SliceSpec
 from ..streaming.incremental import export_stream
-from .job import export, export_and_aggregate, export_frame
+from .job import aggregate_only, export, export_and_aggregate, export_frame
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -639,6 +639,26 @@ def stream_export(spark, d):
     return read_csv(spark, out, "_id long, ts timestamp_ntz, event_type string, value double")
 
 
+@register("aggregate_only_job", f"""
+WITH e AS (SELECT {_ROME_DATE_EVENTS} AS d, event_type, {r2('value')} AS v FROM events),
+b AS (SELECT min(d) AS d0 FROM e)
+SELECT d0 + CAST(floor(date_diff('day', d0, d) / 7) * 7 AS INTEGER) AS ts, event_type,
+       {dmean('v')} AS mean_value
+FROM e, b WHERE d IS NOT NULL AND event_type IS NOT NULL
+GROUP BY 1, 2
+""")
+def aggregate_only_job(spark, d):
+    """Aggregation alone over a raw CSV (semicolons, decimal comma) written earlier."""
+    events = table(spark, d, "events").select("event_id", "ts", "event_type", "value")
+    raw, out = scratch_path(spark, "raw-semicolon"), scratch_path(spark, "agg-only") + ".csv"
+    write_csv(events, raw, sep=";", decimal=",")
+    agg = AggSpec(keys=["event_type"], functions="value--mean", names="value--mean_value",
+                  time_field="ts", days=7, zone="Europe/Rome")
+    aggregate_only(spark, raw, agg, out, schema=events.schema, sep=";", decimal=",")
+    return read_csv(spark, out, "ts date, event_type string, mean_value double",
+                    sep=";", decimal=",")
+
+
 # ------------------------------------------------------------ U2 U3
 
 @register("dedup_by_id", f"""
