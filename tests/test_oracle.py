@@ -7,6 +7,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry_mod
+from docexport.plans.catalog import ORACLE, QUERIES
 from conftest import SF
 
 sys.path.insert(0, os.path.join(os.path.dirname(os.path.dirname(os.path.abspath(__file__))), "tools"))
@@ -22,18 +23,18 @@ def con():
     return c
 
 
-@pytest.mark.parametrize("name", sorted(entry_mod.oracle_sql()))
+@pytest.mark.parametrize("name", sorted(ORACLE))
 def test_matches_oracle(spark, con, name):
     df = entry_mod.queries()[name](spark, SF)
     cols, srows = df.columns, [tuple(r) for r in df.collect()]
-    cur = con.execute(entry_mod.oracle_sql()[name])
+    cur = con.execute(ORACLE[name])
     dcols, drows = [c[0] for c in cur.description], cur.fetchall()
     assert sorted(cols) == sorted(dcols)
     assert rows_of(cols, srows) == rows_of(dcols, drows)
 
 
 def test_every_query_has_an_oracle():
-    assert set(entry_mod.queries()) == set(entry_mod.oracle_sql())
+    assert set(QUERIES) == set(ORACLE)
 
 
 def test_entry_smoke(spark):

@@ -3,6 +3,7 @@
 import pytest
 
 import __spark_entry__ as entry_mod
+from docexport.plans.catalog import QUERIES
 from conftest import SF
 from docexport.operators.dedup import dedup_by_id
 from docexport.operators.predicate import time_range
@@ -28,7 +29,7 @@ def test_default_dedup_is_hash_aggregate(spark):
     assert "HashAggregate" in p and "SortAggregate" not in p
 
 
-@pytest.mark.parametrize("name", sorted(entry_mod.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_no_python_udf_and_no_cross_join_in_any_query(spark, name):
     p = plan(entry_mod.queries()[name](spark, SF))
     for node in ("BatchEvalPython", "ArrowEvalPython", "PythonUDF", "FlatMapGroupsInPandas",
