@@ -12,7 +12,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from . import bpe, decontaminate, naming, ngram_join, toxicity
+from . import bpe, decontaminate, naming, ngram_join, sharding, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -41,6 +41,13 @@ def learnable() -> Column:
     return id_mod(3) != 1
 
 
+@register("op1_minimax_shards")
+def op1_minimax_shards(spark, d):
+    """All documents in 16 shards whose largest is as small as contiguous cuts allow."""
+    return (sharding.shard_documents(table(spark, d, "documents"))
+            .select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard")))
+
+
 @register("op4_block_naming", """
 WITH d AS (SELECT doc_id, coalesce(text, '') AS t FROM documents),
 g AS (SELECT t, max(doc_id) AS keep_id, count(*) AS group_size FROM d GROUP BY t)
