@@ -12,7 +12,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from . import bpe, decontaminate, naming, ngram_join, sharding, toxicity
+from . import bpe, decontaminate, naming, ngram_join, sharding, site_style, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -110,3 +110,10 @@ def op9_suffix_automaton(spark, d):
     return found.select("doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
                         F.sha2(F.encode(F.concat_ws(",", "items"), "UTF-8"), 256).alias("items_sha256"),
                         (F.col("n_hit") > 0).alias("contaminated"))
+
+
+@register("op10_site_style_tree")
+def op10_site_style_tree(spark, d):
+    """Main text of every page."""
+    return (site_style.extract_main_text(table(spark, d, "pages"))
+            .withColumn("n_chars", F.length("text").cast("long")))
