@@ -12,7 +12,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from . import bpe, decontaminate, naming, ngram_join, sharding, site_style, toxicity
+from . import bpe, decontaminate, naming, ngram_join, sharding, site_style, skip_crf, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -117,3 +117,10 @@ def op10_site_style_tree(spark, d):
     """Main text of every page."""
     return (site_style.extract_main_text(table(spark, d, "pages"))
             .withColumn("n_chars", F.length("text").cast("long")))
+
+
+@register("op3_skip_chain_crf")
+def op3_skip_chain_crf(spark, d):
+    """Personal data of every document."""
+    return (skip_crf.find_personal_data(table(spark, d, "documents"))
+            .select("doc_id", "n_email", "n_ip", "n_card", "n_phone", F.sha2(F.encode("base", "UTF-8"), 256).alias("base_sha256"), "spans"))
