@@ -12,7 +12,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from . import bpe, decontaminate, naming, ngram_join, sharding, site_style, skip_crf, toxicity
+from . import bpe, decontaminate, naming, ngram_join, sharding, site_style, skip_crf, suffix_dedup, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -124,3 +124,11 @@ def op3_skip_chain_crf(spark, d):
     """Personal data of every document."""
     return (skip_crf.find_personal_data(table(spark, d, "documents"))
             .select("doc_id", "n_email", "n_ip", "n_card", "n_phone", F.sha2(F.encode("base", "UTF-8"), 256).alias("base_sha256"), "spans"))
+
+
+@register("op8_suffix_family")
+def op8_suffix_family(spark, d):
+    """Bytes of every document that lie in a 200-byte string which starts elsewhere too."""
+    found = suffix_dedup.repeated_strings(table(spark, d, "documents"))
+    n_removed = F.expr("aggregate(transform(runs, (x, i) -> if(i % 2 = 1, x, -x)), 0L, (a, x) -> a + x)")
+    return found.select("doc_id", "n_bytes", n_removed.alias("n_removed"), (F.size("runs") / 2).cast("long").alias("n_spans"), "kept_sha256")
