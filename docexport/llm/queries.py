@@ -12,7 +12,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from . import bpe, decontaminate, naming, ngram_join, sharding, site_style, skip_crf, suffix_dedup, toxicity
+from . import bpe, decontaminate, naming, ngram_join, ppm, sharding, site_style, skip_crf, suffix_dedup, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -132,3 +132,10 @@ def op8_suffix_family(spark, d):
     found = suffix_dedup.repeated_strings(table(spark, d, "documents"))
     n_removed = F.expr("aggregate(transform(runs, (x, i) -> if(i % 2 = 1, x, -x)), 0L, (a, x) -> a + x)")
     return found.select("doc_id", "n_bytes", n_removed.alias("n_removed"), (F.size("runs") / 2).cast("long").alias("n_spans"), "kept_sha256")
+
+
+@register("op2_ppm")
+def op2_ppm(spark, d):
+    """Code length of every document by prediction by partial matching, beside the smoothed word counts."""
+    return (ppm.score_documents(table(spark, d, "documents"))
+            .select("doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"))
