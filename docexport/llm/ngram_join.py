@@ -16,6 +16,11 @@ can reach the similarity are ever formed:
   allows (the difference of two sets is at least the number of differing parity
   bits), are discarded inside the tile; no pair is emitted for them.
 * What is left is counted exactly and compared with the bound.
+* Columns of more than ``DENSE`` rows come from large groups of near copies.
+  The rows that such columns connect form clusters, whose square is taken in
+  tiles of whole rows: overlaps are counted in the tile, and a tile gives the
+  links of a spanning forest of its rows, not all its pairs. Rows of one
+  cluster need no further pairs from other columns.
 
 Links are joined into components by rounds of contraction in Spark; no link or
 component passes through the driver.
@@ -34,6 +39,10 @@ N = 4
 PERCENT = 85
 #: Rows of a tile side; a tile holds at most its square of entries.
 TILE = 1024
+#: Rows of a tile side in a cluster, about.
+CLUSTER_TILE = 2048
+#: Rows of a column from which it is multiplied by clusters.
+DENSE = 32
 #: Bits of the parity bitmap.
 BITMAP = 1024
 
@@ -258,6 +267,54 @@ def _verify(percent: int):
     return verify, schema
 
 
+def _cluster_links(percent: int):
+    """Links of a tile of a cluster: a forest that connects all its rows that links connect."""
+    def links(key, table):
+        across = key[1].as_py() != key[2].as_py()
+        rid, size, alone, tile = (table.column(c).to_numpy() for c in ("rid", "size", "alone", "tile"))
+        order = np.lexsort((rid, size))
+        cols = table.column("cols").to_pylist()
+        sets = [np.frombuffer(cols[i], np.uint64) for i in order]
+        rid, size, alone, tile = rid[order], size[order], alone[order], tile[order]
+        bits = np.frombuffer(b"".join(map(_bitmap, sets)), np.uint64).reshape(len(rid), -1)
+        sets = [np.sort(s) for s in sets]
+        a, b = column_pairs(np.arange(len(rid)), size, alone, np.ones(len(rid), bool), bits, percent)
+        if across:
+            far = tile[a] != tile[b]
+            a, b = a[far], b[far]
+        need = least_overlap(size[a], size[b], percent)
+        up = list(range(len(rid)))
+        out = []
+        for x, y, m in zip(a.tolist(), b.tolist(), need.tolist(), strict=True):
+            rx, ry = x, y
+            while up[rx] != rx:
+                up[rx] = rx = up[up[rx]]
+            while up[ry] != ry:
+                up[ry] = ry = up[up[ry]]
+            if rx != ry and len(np.intersect1d(sets[x], sets[y], assume_unique=True)) >= m:
+                up[rx] = ry
+                out.append((x, y))
+        got = np.array(out, np.int64).reshape(-1, 2)
+        return pa.table({"a": rid[got[:, 0]], "b": rid[got[:, 1]]})
+    return links
+
+
+def _clusters(entries: DataFrame, columns: DataFrame) -> DataFrame:
+    """``rid, cluster`` of the rows that dense columns connect."""
+    dense = columns.filter(F.col("n") > DENSE).select("col", "hub")
+    star = entries.select("col", "rep").join(dense, "col").select(F.col("hub").alias("a"), F.col("rep").alias("b"))
+    return components(star).select(F.col("node").alias("rid"), F.col("root").alias("cluster"))
+
+
+def _links_in_clusters(reps: DataFrame, clusters: DataFrame, percent: int) -> DataFrame:
+    sizes = clusters.groupBy("cluster").agg(F.ceil(F.count("*") / CLUSTER_TILE).cast("int").alias("tiles"))
+    rows = (reps.join(clusters, "rid").join(materialize(sizes, "join-cluster-sizes"), "cluster")
+            .withColumn("tile", F.pmod(F.xxhash64("rid"), F.col("tiles")).cast("int"))
+            .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)))
+            .select("cluster", F.least("tile", "other").alias("low"), F.greatest("tile", "other").alias("high"), "tile", "rid", "size", "alone", "cols"))
+    return rows.groupBy("cluster", "low", "high").applyInArrow(_cluster_links(percent), "a long, b long")
+
+
 def components(links: DataFrame) -> DataFrame:
     """``node, root`` for every node of ``links`` (``a, b``); the root is the smallest node it can reach.
 
@@ -316,12 +373,18 @@ def similar_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     make, schema = _entries(percent)
     entry_type = "col long, rep long, size long, alone long, indexed boolean, bits binary"
     entries = materialize(reps.mapInArrow(make, entry_type), "join-entries")
+    columns = materialize(entries.groupBy("col").agg(F.count("*").alias("n"), F.min("rep").alias("hub")).filter("n > 1"), "join-columns")
+    clusters = materialize(_clusters(entries, columns), "join-clusters")
     tile, _ = _tiles(percent)
-    pairs = (entries.repartition("col").sortWithinPartitions("col", "size", "rep").mapInArrow(tile, "a long, b long").distinct())
-    pairs = materialize(pairs, "join-pairs")
+    pairs = (entries.join(columns.filter(F.col("n") <= DENSE).select("col"), "col").select(*entries.columns)
+             .repartition("col").sortWithinPartitions("col", "size", "rep").mapInArrow(tile, "a long, b long").distinct())
+    in_cluster = {c: clusters.select(F.col("rid").alias(c), F.col("cluster").alias(f"cluster_{c}")) for c in "ab"}
+    pairs = materialize(pairs.join(in_cluster["a"], "a", "left").join(in_cluster["b"], "b", "left")
+                        .filter("cluster_a is null or cluster_b is null or cluster_a != cluster_b").select("a", "b"), "join-pairs")
     side = {c: reps.select(F.col("rid").alias(c), F.col("size").alias(f"size_{c}"), F.col("cols").alias(f"cols_{c}")) for c in "ab"}
     check, _ = _verify(percent)
-    links = materialize(pairs.join(side["a"], "a").join(side["b"], "b").mapInArrow(check, "a long, b long"), "join-links")
+    links = pairs.join(side["a"], "a").join(side["b"], "b").mapInArrow(check, "a long, b long")
+    links = materialize(links.unionAll(_links_in_clusters(reps, clusters, percent)), "join-links")
     out = rows.select("rid", "doc_id", F.col("size").alias("n_ngrams")).join(member, "rid", "left")
     out = out.withColumn("class", F.when(F.col("n_ngrams") > 0, F.coalesce("class", "rid")))
     return out, links
