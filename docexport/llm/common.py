@@ -26,7 +26,7 @@ from ..session import scratch_path
 
 #: Rows in a block at most; the widest unit a task holds at once.
 BLOCK_ROWS = 2048
-#: Bytes of text for which one bucket is made, at the most.
+#: Bytes of text for which one bucket is made.
 BUCKET_BYTES = 8 << 20
 
 
@@ -55,10 +55,10 @@ def to_blocks(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     return materialize(df.withColumn("block", F.expr(f"rid div {rows}")), name)
 
 
-def bucket_bits(blocks: DataFrame, least: int = 6) -> int:
-    """Bits of a bucket number: one bucket for each ``BUCKET_BYTES`` of text at most."""
+def bucket_bits(blocks: DataFrame, least: int = 6, each: int = BUCKET_BYTES) -> int:
+    """Bits of a bucket number: one bucket for about ``each`` bytes of text, ``2 ** least`` at least."""
     total = blocks.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    return max(least, int(total // BUCKET_BYTES).bit_length())
+    return max(least, int(total // each).bit_length())
 
 
 def text_buffers(column) -> tuple[np.ndarray, np.ndarray]:

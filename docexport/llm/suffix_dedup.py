@@ -130,7 +130,7 @@ def _repeated(table: pa.Table) -> pa.Table:
     totals = [family.total(k) for k, _ in batches]
     return pa.table({"block": table.column("block"),
                      "keys": pa.array([pack(k[n > 1]) for (k, _), n in zip(batches, totals, strict=True)], pa.binary()),
-                     "counts": pa.array([pack(n[n > 1]) for n in totals], pa.binary())})
+                     "counts": pa.array([pack(n[n > 1].astype(np.uint32)) for n in totals], pa.binary())})
 
 
 def _documents(column):
@@ -142,11 +142,11 @@ def _documents(column):
 def _keys(table: pa.Table) -> tuple[np.ndarray, np.ndarray]:
     """Sorted answered keys and their totals."""
     keys = [np.frombuffer(k, np.uint64) for k in table.column("keys").to_pylist() if k]
-    counts = [np.frombuffer(c, np.int64) for c in table.column("counts").to_pylist() if c]
+    counts = [np.frombuffer(c, np.uint32) for c in table.column("counts").to_pylist() if c]
     if not keys:
         return np.empty(0, np.uint64), np.empty(0, np.int64)
     known, first = np.unique(np.concatenate(keys), return_index=True)
-    return known, np.concatenate(counts)[first]
+    return known, np.concatenate(counts)[first].astype(np.int64)
 
 
 def _count(values: np.ndarray, known: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
