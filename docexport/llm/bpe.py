@@ -24,13 +24,19 @@ import json
 import re
 import struct
 import unicodedata
+from array import array
+from collections import defaultdict
+from collections.abc import Iterator
+from itertools import chain, count
 
 import pandas as pd
 import regex
 from pyspark.sql import Column, DataFrame, functions as F
 
+from .common import bounded_batches, release
+
 #: Pairs of tokens whose compatibility is remembered, at most.
-MAX_PAIRS = 2_000_000
+MAX_PAIRS = 500_000
 _NO_LIMIT = 1 << 60
 
 # Fixed value: the word pattern of the supported vocabulary files.
@@ -210,23 +216,26 @@ class WordBPE:
             return [(text, None)]
         return [(p, self.special.get(p)) for p in self.added.split(text) if p]
 
-    def tokenize(self, texts: list[str]) -> list[list[int | str]]:
-        """For each text its words in order, special tokens as ids."""
-        out = []
+    def tokenize(self, texts: list[str]) -> tuple[list[int | str], list[array]]:
+        """The distinct words of the texts (special tokens as ids), and each text as places among them."""
+        place: dict[int | str, int] = defaultdict(count().__next__)
+        rows = []
         for text in texts:
-            got: list[int | str] = []
+            row = array("I")
             for part, special in self.parts(text):
-                if special is None:
-                    got += self.split_words(part)
-                else:
-                    got.append(special)
-            out.append(got)
-        return out
+                row.extend(map(place.__getitem__, [special] if special is not None else self.split_words(part)))
+            rows.append(row)
+        return list(place), rows
+
+    def encode_distinct(self, words: list[int | str]) -> list[list[int]]:
+        """Ids of each entry of ``tokenize``'s first list."""
+        ids = self.encode_words({w for w in words if isinstance(w, str)})
+        return [ids[w] if isinstance(w, str) else [w] for w in words]
 
     def encode(self, texts: list[str]) -> list[list[int]]:
-        rows = self.tokenize(texts)
-        ids = self.encode_words({w for row in rows for w in row if isinstance(w, str)})
-        return [[i for w in row for i in (ids[w] if isinstance(w, str) else [w])] for row in rows]
+        words, rows = self.tokenize(texts)
+        ids = self.encode_distinct(words)
+        return [list(chain.from_iterable(map(ids.__getitem__, row))) for row in rows]
 
     def decode(self, ids: list[int]) -> str:
         """Without a decoder in the file, tokens are joined by one space."""
@@ -242,7 +251,7 @@ def load(path: str) -> WordBPE:
     return _loaded[path]
 
 
-def _in_pieces(texts: pd.Series, limit: int = 24 << 20):
+def _in_pieces(texts: pd.Series, limit: int = 6 << 20):
     """Consecutive texts of about ``limit`` characters, so that one trie stays bounded."""
     piece, n = [], 0
     for t in texts:
@@ -259,21 +268,24 @@ def _in_pieces(texts: pd.Series, limit: int = 24 << 20):
 def digests(text: Column, path: str) -> Column:
     """Struct of ``n_tokens``, ``ids_sha256`` and ``decoded_sha256`` of each text; null counts as empty."""
     @F.pandas_udf("n_tokens long, ids_sha256 string, decoded_sha256 string")
-    def coded(texts: pd.Series) -> pd.DataFrame:
+    def coded(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         bpe = load(path)
-        rows = []
-        for piece in _in_pieces(texts):
-            split = bpe.tokenize(piece)
-            distinct = set().union(*split) if split else set()
-            ids = bpe.encode_words({w for w in distinct if isinstance(w, str)})
-            ids |= {w: [w] for w in distinct if not isinstance(w, str)}
-            packed = {w: struct.pack(f"<{len(x)}I", *x) for w, x in ids.items()}
-            shown = {w: bpe.decode(x).encode() for w, x in ids.items()}
-            for row in split:
-                raw = b"".join(map(packed.__getitem__, row))
-                rows.append((len(raw) // 4, hashlib.sha256(raw).hexdigest(),
-                             hashlib.sha256(b" ".join(map(shown.__getitem__, row))).hexdigest()))
-        return pd.DataFrame(rows, columns=["n_tokens", "ids_sha256", "decoded_sha256"])
+        for texts in batches:
+            rows = []
+            for piece in _in_pieces(texts):
+                words, split = bpe.tokenize(piece)
+                packed, shown = [], []
+                for ids in bpe.encode_distinct(words):
+                    packed.append(struct.pack(f"<{len(ids)}I", *ids))
+                    shown.append(bpe.decode(ids).encode())
+                for row in split:
+                    raw = b"".join(map(packed.__getitem__, row))
+                    rows.append((len(raw) // 4, hashlib.sha256(raw).hexdigest(),
+                                 hashlib.sha256(b" ".join(map(shown.__getitem__, row))).hexdigest()))
+            yield pd.DataFrame(rows, columns=["n_tokens", "ids_sha256", "decoded_sha256"])
+        del bpe
+        _loaded.clear()  # the worker goes on to other stages
+        release()
     return coded(text)
 
 
@@ -297,5 +309,6 @@ def decode_column(ids: Column, path: str) -> Column:
 
 def encode_documents(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``doc_id, n_tokens, ids_sha256, decoded_sha256`` of every row."""
+    bounded_batches(docs.sparkSession)
     return (docs.select(F.col(id_col).alias("doc_id"), digests(F.col(text_col), path).alias("d"))
             .select("doc_id", "d.n_tokens", "d.ids_sha256", "d.decoded_sha256"))

@@ -15,7 +15,9 @@ buckets grows with the corpus.
 
 from __future__ import annotations
 
-import struct
+import ctypes
+import gc
+import sys
 from collections.abc import Iterator
 
 import numpy as np
@@ -30,6 +32,27 @@ BLOCK_ROWS = 2048
 BUCKET_BYTES = 8 << 20
 
 
+#: Rows that Spark hands to Python at once, at most.
+BATCH_ROWS = 2048
+
+
+def bounded_batches(spark) -> None:
+    """Lower the session's Arrow batch to ``BATCH_ROWS`` rows: texts are long, and both sides hold whole batches."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if int(spark.conf.get(key)) not in range(1, BATCH_ROWS + 1):
+        spark.conf.set(key, str(BATCH_ROWS))
+
+
+def release() -> None:
+    """Give freed memory back to the system: Python workers live on and serve the next stage."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    if sys.platform == "linux":
+        trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+        if trim is not None:
+            trim(0)
+
+
 def materialize(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` under the shared checkpoint folder and read it back.
 
@@ -43,16 +66,19 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
 
 
 def to_blocks(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-              name: str = "blocks", rows: int = BLOCK_ROWS) -> DataFrame:
+              name: str = "blocks", rows: int = BLOCK_ROWS, row_id: str | None = None) -> DataFrame:
     """``rid, block, doc_id, text`` of every row, written; null texts are empty.
 
     ``rid`` names the row (ids may repeat or be null); ``block`` holds at most
-    ``rows`` consecutive rows of one input partition.
+    ``rows`` consecutive rows of one input partition. With ``row_id``, a
+    column of such ids in a table that is already written, nothing is written.
     """
-    df = docs.select(F.monotonically_increasing_id().alias("rid"),
+    bounded_batches(docs.sparkSession)
+    df = docs.select((F.monotonically_increasing_id() if row_id is None else F.col(row_id)).alias("rid"),
                      F.col(id_col).cast("long").alias("doc_id"),
                      F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    return materialize(df.withColumn("block", F.expr(f"rid div {rows}")), name)
+    df = df.withColumn("block", F.expr(f"rid div {rows}"))
+    return materialize(df, name) if row_id is None else df
 
 
 def bucket_bits(blocks: DataFrame, least: int = 6, each: int = BUCKET_BYTES) -> int:
@@ -167,6 +193,3 @@ def word_hashes(raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.nd
     sums = prefix_sums(BYTE_CODE[data])
     return span_hash(sums, starts, ends), np.searchsorted(off, starts, side="right") - 1
 
-
-def put_u32(*values: int) -> bytes:
-    return struct.pack(f"<{len(values)}I", *values)

@@ -19,6 +19,8 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
+from .common import bounded_batches
+
 WINDOW = 10
 #: Words of items in one automaton at most (about 120 MB of states).
 PART_WORDS = 150_000
@@ -148,13 +150,13 @@ def _automaton(token: tuple, part, window: int) -> ItemAutomaton:
     return _made[token]
 
 
-def _search_column(part, window: int, text: Column, before: Column | None) -> Column:
-    """Struct of ``spans`` (flat, merged ranges of hit words) and ``items``, added to those of ``before``."""
+def _search_column(part, window: int, text: Column, before: Column | None, cut: bool) -> Column:
+    """Struct of ``spans`` (flat, merged ranges of hit words), ``items`` and what is left, added to those of ``before``."""
     token = (hashlib.sha256(repr(part).encode()).hexdigest(), window)
 
     def found(texts: pd.Series, had: pd.DataFrame | None) -> pd.DataFrame:
         auto = _automaton(token, part, window)
-        n_words, spans, items = [], [], []
+        n_words, spans, items, left = [], [], [], []
         for i, t in enumerate(texts):
             ws = words(t) if t else []
             hits, ks = auto.search(ws)
@@ -172,9 +174,10 @@ def _search_column(part, window: int, text: Column, before: Column | None) -> Co
             n_words.append(len(ws))
             spans.append(merged)
             items.append(sorted(names))
-        return pd.DataFrame({"n_words": n_words, "spans": spans, "items": items})
+            left.append(_without_spans(t, merged) if cut and merged else None)
+        return pd.DataFrame({"n_words": n_words, "spans": spans, "items": items, "left": pd.Series(left, dtype=object)})
 
-    kind = "n_words long, spans array<int>, items array<string>"
+    kind = "n_words long, spans array<int>, items array<string>, left string"
     if before is None:
         @F.pandas_udf(kind)
         def first(texts: pd.Series) -> pd.DataFrame:
@@ -188,15 +191,16 @@ def _search_column(part, window: int, text: Column, before: Column | None) -> Co
 
 
 def match_benchmark(docs: DataFrame, items: DataFrame, text: Column, item_id_col: str = "item_id",
-                    item_text_col: str = "text", window: int = WINDOW, part_words: int = PART_WORDS) -> Column:
-    """A column over ``docs``: ``n_words``, ``spans`` (word ranges, flat) and ``items`` (sorted ids).
+                    item_text_col: str = "text", window: int = WINDOW, part_words: int = PART_WORDS, cut: bool = False) -> Column:
+    """A column over ``docs``: ``n_words``, ``spans`` (word ranges, flat), ``items`` (sorted ids) and, with ``cut``, the text left.
 
     Null texts have no words; null item ids or texts are left out; rows that
     share an item id count as one item. No items, no hits.
     """
+    bounded_batches(docs.sparkSession)
     out = None
     for part in _item_parts(items, item_id_col, item_text_col, part_words):
-        out = _search_column(part, window, text, out)
+        out = _search_column(part, window, text, out, cut)
     return out
 
 
@@ -233,20 +237,15 @@ def remove_benchmark_passages(docs: DataFrame, items: DataFrame, text_col: str =
     altogether. Texts without a hit are unchanged; ``chars_col``, if there is
     one, counts the code points of what is left of a cut text.
     """
-    @F.pandas_udf("string")
-    def cut(texts: pd.Series, spans: pd.Series) -> pd.Series:
-        return pd.Series([_without_spans(t, s) for t, s in zip(texts, spans, strict=True)], dtype=object)
-
-    held, left = "benchmark_match", "benchmark_left"
-    while held in docs.columns or left in docs.columns:
-        held, left = held + "_", left + "_"
-    found = docs.withColumn(held, match_benchmark(docs, items, F.col(text_col), **options))
+    held = "benchmark_match"
+    while held in docs.columns:
+        held += "_"
+    found = docs.withColumn(held, match_benchmark(docs, items, F.col(text_col), cut=True, **options))
     n_hit = F.expr(f"aggregate(transform({held}.spans, (x, i) -> if(i % 2 = 1, x, -x)), 0L, (a, x) -> a + x)")
     keep = found.filter(n_hit <= max_coverage * F.col(f"{held}.n_words"))
-    keep = keep.withColumn(left, F.when(F.size(f"{held}.spans") > 0, cut(F.col(text_col), F.col(f"{held}.spans")))
-                           .otherwise(F.col(text_col)))
-    changed = {text_col: F.col(left)}
+    left = F.when(F.size(f"{held}.spans") > 0, F.col(f"{held}.left")).otherwise(F.col(text_col))
+    changed = {text_col: left}
     if chars_col in docs.columns:
-        changed[chars_col] = (F.when(F.size(f"{held}.spans") > 0, F.length(left).cast(docs.schema[chars_col].dataType))
+        changed[chars_col] = (F.when(F.size(f"{held}.spans") > 0, F.length(f"{held}.left").cast(docs.schema[chars_col].dataType))
                               .otherwise(F.col(chars_col)))
     return keep.select(*[changed.get(c, F.col(c)).alias(c) for c in docs.columns])

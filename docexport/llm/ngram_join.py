@@ -32,7 +32,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from .common import (bucket_bits, materialize, mix64, pack, pieces, runs, table_runs, text_buffers, to_blocks,
+from .common import (bucket_bits, materialize, mix64, pack, pieces, release, runs, table_runs, text_buffers, to_blocks,
                      word_hashes)
 
 N = 4
@@ -110,6 +110,7 @@ def _send(bits: int, n: int):
                     total = np.minimum(np.add.reduceat(c[a:b], first), 65535).astype(np.uint16)
                     rows.append((int(bucket[a]), block, pack(k), pack(total)))
                 yield pa.RecordBatch.from_pylist([dict(zip(schema.names, r, strict=True)) for r in rows], schema=schema)
+        release()
     return send
 
 
@@ -158,6 +159,8 @@ def _rows(bits: int, n: int, percent: int):
             else:
                 for k in ("cols", "sig_a", "sig_b"):
                     out[k].append(None)
+        del names, counts, known, common
+        release()
         return pa.table({"rid": docs.column("rid"), "doc_id": docs.column("doc_id"),
                          "size": pa.array(out["size"], pa.int64()), "alone": pa.array(out["alone"], pa.int64()),
                          "sig_a": pa.array(out["sig_a"], pa.int64()), "sig_b": pa.array(out["sig_b"], pa.int64()),
@@ -234,7 +237,7 @@ def _tiles(percent: int):
             bits = np.frombuffer(b"".join(table.column("bits").to_pylist()), np.uint64).reshape(len(rep), -1)
             a, b = column_pairs(rep, size, alone, indexed, bits, percent)
             fresh = [(x, y) for x, y in zip(a.tolist(), b.tolist(), strict=True) if (key := hash((x, y))) not in seen and not seen.add(key)]
-            if len(seen) > 1_000_000:
+            if len(seen) > 200_000:
                 seen.clear()
             return pa.RecordBatch.from_arrays([pa.array([p[k] for p in fresh], pa.int64()) for k in (0, 1)], schema=schema)
 
@@ -350,7 +353,8 @@ def components(links: DataFrame) -> DataFrame:
     return root
 
 
-def similar_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: int = N, percent: int = PERCENT) -> tuple[DataFrame, DataFrame]:
+def similar_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: int = N, percent: int = PERCENT,
+                      row_id: str | None = None) -> tuple[DataFrame, DataFrame]:
     """Rows and links of the join.
 
     The first frame has ``rid, doc_id, n_ngrams, class`` for every row (rows of
@@ -358,7 +362,7 @@ def similar_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     links ``a, b`` between classes. Rows without words have no n-gram, a null
     class and no link. Ids may repeat or be null; each row counts for itself.
     """
-    blocks = to_blocks(docs, id_col, text_col, "join-blocks")
+    blocks = to_blocks(docs, id_col, text_col, "join-blocks", row_id=row_id)
     bits = bucket_bits(blocks)
     sent = blocks.select("block", "text").mapInArrow(_send(bits, n), "bucket int, block long, keys binary, counts binary")
     answers = sent.groupBy("bucket").applyInArrow(_answer, "block long, bucket int, keys binary, counts binary")
@@ -415,12 +419,11 @@ def drop_similar(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     while held in docs.columns:
         held += "_"
     copy = materialize(docs.withColumn(held, F.monotonically_increasing_id()), "join-copy")
-    found = similar_components(copy.select(F.col(held).alias("doc_id"), F.col(text_col).alias("text")), **options)
+    found = similar_components(copy, id_col, text_col, row_id=held, **options)
     # the row that stays: smallest id, then first row
-    marks = (copy.select(held, F.col(id_col).cast("long").alias("own_id"))
-             .join(found.select(F.col("doc_id").alias(held), "component"), held))
+    marks = found.select(F.col("rid").alias(held), F.col("doc_id").alias("own_id"), "first_rid")
     marks = materialize(marks, "join-marks")
-    stay = marks.groupBy("component").agg(F.coalesce(F.min_by(held, "own_id"), F.min(held)).alias("stay"), F.count("*").alias("m")).filter("m > 1")
+    stay = marks.groupBy("first_rid").agg(F.coalesce(F.min_by(held, "own_id"), F.min(held)).alias("stay"), F.count("*").alias("m")).filter("m > 1")
     stay = materialize(stay, "join-stay")
-    gone = marks.join(stay, "component").filter(F.col(held) != F.col("stay")).select(held)
+    gone = marks.join(stay, "first_rid").filter(F.col(held) != F.col("stay")).select(held)
     return copy.join(gone, held, "left_anti").select(*docs.columns)

@@ -24,7 +24,7 @@ import pandas as pd
 import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
 
-from .common import materialize
+from .common import bounded_batches, materialize
 
 #: Pages that must share a path before entropy says anything about it.
 MIN_PAGES = 5
@@ -248,6 +248,7 @@ def extract_main_text(pages: DataFrame, id_col: str = "page_id", url_col: str =
 
     Pages without a host, or whose url is null, are merged as one site.
     """
+    bounded_batches(pages.sparkSession)
     low = (style_importance(pages, url_col, html_col)
            .filter((F.col("pages") >= min_pages) & (F.col("importance") < low_importance)))
     low = materialize(low.groupBy("host").agg(F.collect_list("path").alias("low")), "site-styles")

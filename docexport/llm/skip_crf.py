@@ -25,12 +25,16 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
+from .common import bounded_batches
+
 #: Documents with base spans that learning reads at most.
 MAX_TRAIN = 5_000
 KINDS = ("email", "ip", "card", "phone")
 #: Marginal probability from which a token becomes a span.
 CERTAIN = 0.8
 ROUNDS = 6
+#: Log potential that a repetition adds to what agreement has taught.
+REPEATS = 4
 #: Hash slots of unary features.
 SLOTS = 512
 
@@ -155,7 +159,10 @@ class Field:
 def learn(examples: list[list[Token]], rounds: int = 200, rate: float = 0.5) -> Field:
     """A field from labelled token lists (label 0: no span)."""
     n = len(KINDS) + 1
-    rows = [t for ts in examples for t in ts]
+    rows = []
+    for ts in examples:  # an unlabelled repetition of a labelled token teaches nothing: it is what is to be found
+        near = {i for a, b in skip_edges(ts) for i in (a, b) if ts[a].label or ts[b].label}
+        rows += [t for i, t in enumerate(ts) if t.label or i not in near]
     w = np.zeros((SLOTS, n))
     if rows:
         slots = np.array([t.slots for t in rows])
@@ -181,7 +188,7 @@ def learn(examples: list[list[Token]], rounds: int = 200, rate: float = 0.5) ->
     chain = log_odds((a.label, b.label) for ts in examples for a, b in zip(ts, ts[1:], strict=False)) * 0.25
     # an unlabelled repetition of a labelled token is what the field is to find, so only labelled pairs teach disagreement
     skip = log_odds((ts[i].label, ts[j].label) for ts in examples for i, j in skip_edges(ts) if ts[i].label and ts[j].label)
-    skip = np.where(np.eye(n) > 0, np.abs(skip) + 2, np.minimum(skip, -1))
+    skip = np.where(np.eye(n) > 0, np.abs(skip) + REPEATS, np.minimum(skip, -1))
     skip[0, 0] = 0  # two unlabelled repetitions say nothing about each other
     return Field(w, chain, skip)
 
@@ -263,7 +270,7 @@ def train_field(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                           for x in texts], dtype=object)
 
     rows = (docs.select(F.col(id_col).cast("string").alias("k"), F.col(text_col).alias("text"))
-            .withColumn("h", F.xxhash64("text")).join(chosen.distinct(), ["k", "h"], "left_semi")
+            .withColumn("h", F.xxhash64("text")).join(F.broadcast(chosen.distinct()), ["k", "h"], "left_semi")
             .select(tokens("text").alias("t")))
     got = [[Token(*r[:4], tuple(r.slots), r.label) for r in x.t] for x in rows.toLocalIterator()]
     return learn(got)
@@ -287,6 +294,7 @@ def personal_data(text: Column, field: Field) -> Column:
 
 def find_personal_data(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", max_train: int = MAX_TRAIN) -> DataFrame:
     """``doc_id, n_email, n_ip, n_card, n_phone, base, spans`` of every row."""
+    bounded_batches(docs.sparkSession)
     field = train_field(docs, id_col, text_col, max_train)
     return (docs.select(F.col(id_col).alias("doc_id"), personal_data(F.col(text_col), field).alias("p"))
             .select("doc_id", "p.*"))

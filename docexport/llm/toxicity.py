@@ -22,6 +22,8 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
+from .common import bounded_batches, materialize
+
 #: Labelled rows that learning reads at most.
 MAX_LABELLED = 20_000
 #: Words in the learned lexicon at most.
@@ -126,7 +128,7 @@ def _labelled(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, la
              .filter("doc_id is not null and y is not null").groupBy("doc_id").agg(F.max("y").alias("y")))
     chosen = marks.filter(usable).orderBy(F.xxhash64(F.col("doc_id").cast("string"), F.lit(7)), "doc_id").limit(max_labelled)
     texts = docs.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    return texts.join(chosen, "doc_id").select("text", "y")
+    return materialize(texts.join(F.broadcast(chosen), "doc_id").select("text", "y"), "toxicity-labelled")
 
 
 def learn_lexicon(labelled: DataFrame, max_lexicon: int = MAX_LEXICON) -> dict[str, float]:
@@ -136,6 +138,9 @@ def learn_lexicon(labelled: DataFrame, max_lexicon: int = MAX_LEXICON) -> dict[s
     it, so that what one much-copied document says is not taken for a rule.
     """
     def uses(batches):
+        def counted(seen):
+            return pd.DataFrame([(*k, n) for k, n in seen.items()], columns=["w", "b", "y", "n"])
+
         for pdf in batches:
             seen: dict[tuple[str, str, int], int] = {}
             for text, y in zip(pdf["text"], pdf["y"], strict=True):
@@ -146,7 +151,10 @@ def learn_lexicon(labelled: DataFrame, max_lexicon: int = MAX_LEXICON) -> dict[s
                 for w, before in first.items():
                     k = (w, before if y else "", int(y))
                     seen[k] = seen.get(k, 0) + 1
-            yield pd.DataFrame([(*k, n) for k, n in seen.items()], columns=["w", "b", "y", "n"])
+                if len(seen) > 100_000:
+                    yield counted(seen)
+                    seen = {}
+            yield counted(seen)
 
     once = labelled.groupBy(F.sha2("text", 256).alias("k")).agg(F.first("text").alias("text"), F.max("y").alias("y"))
     n_doc = {r.y: r["count"] for r in once.groupBy("y").count().collect()}
@@ -187,6 +195,7 @@ def learn(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
 
     Without both labels the grammar knows only threats, with fixed weights.
     """
+    bounded_batches(docs.sparkSession)
     labelled = _labelled(docs, labels, id_col, text_col, label_col, F.lit(True) if usable is None else usable, max_labelled)
     lexicon = learn_lexicon(labelled)
     if not lexicon:
