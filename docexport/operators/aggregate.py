@@ -198,6 +198,8 @@ def aggregate(df: DataFrame, spec: AggSpec, sort: bool = True, pre_round: bool =
             col, dt = round_half_even(qcol(c).cast("double"), rounding), DoubleType()
         else:
             col = qcol(c)
+        if isinstance(dt, (DoubleType, FloatType)):
+            col = F.when(~F.isnan(col), col)  # NaN is a missing value
         cols.append(col.alias(c))
         types[c] = dt
     work = df.select(cols)

@@ -13,6 +13,11 @@ from pyspark.sql.types import (ArrayType, BinaryType, BooleanType, DataType, Map
                                NumericType, StringType, StructType)
 
 
+# Microseconds are kept: the defaults cut to milliseconds.
+JSON_TIMES = {"timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS",
+              "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"}
+
+
 def qcol(name: str) -> Column:
     """A top-level column by its exact name, dots included."""
     return F.col("`" + name.replace("`", "``") + "`")
@@ -131,7 +136,7 @@ def cells_as_text(df: DataFrame) -> DataFrame:
     cols = []
     for f in df.schema.fields:
         if isinstance(f.dataType, (StructType, ArrayType, MapType)):
-            cols.append(F.to_json(qcol(f.name)).alias(f.name))
+            cols.append(F.to_json(qcol(f.name), JSON_TIMES).alias(f.name))
         else:
             cols.append(qcol(f.name))
     return df.select(cols)

@@ -595,7 +595,7 @@ def merge_partials(spark, d):
     orders = table(spark, d, "orders")
     first = orders.filter("o_orderstatus = 'F'").select(
         "o_orderkey", "o_orderdate", "o_orderstatus", "o_totalprice")
-    rest = orders.filter("NOT (o_orderstatus = 'F')").select(
+    rest = orders.filter("NOT (o_orderstatus <=> 'F')").select(
         "o_orderkey", "o_orderdate", "o_orderstatus", "o_orderpriority")
     p1, p2 = scratch_path(spark, "parts-a"), scratch_path(spark, "parts-b")
     write_csv(first, p1, max_rows_per_file=1000)

@@ -59,7 +59,7 @@ def export_frame(docs: DataFrame, spec: ExportSpec, id_col: str = "_id",
     elif has_id:
         deduped = dedup_by_id(projected, exported + extra, id_col)
     else:
-        deduped = projected.dropDuplicates()
+        deduped = projected  # without ids, equal rows may be different documents
     out = deduped
     keys = []
     if spec.slices is not None:

@@ -61,9 +61,7 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         conf_dir = spark.conf.get("spark.checkpoint.dir", None)
         if conf_dir:
             return conf_dir
-        local = tempfile.mkdtemp(prefix="docexport-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", local)
-        return local
+        raise RuntimeError("spark.checkpoint.dir is unset: name a folder that the cluster shares")
     current = sc.getCheckpointDir()
     if current:
         return current

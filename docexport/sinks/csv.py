@@ -117,7 +117,6 @@ def write_single_csv(df: DataFrame, path: str, columns=None, sep: str = ",", dec
     if fs.exists(target):
         if not overwrite:
             raise FileExistsError(f"{path} exists (pass overwrite=True to replace it)")
-        fs.delete(target, True)
     out = prepare_csv(df, columns, rounding, decimal, bool_text)
     if keep_parts:
         out = out.persist(StorageLevel.MEMORY_AND_DISK)
@@ -127,9 +126,21 @@ def write_single_csv(df: DataFrame, path: str, columns=None, sep: str = ",", dec
                       max_rows_per_file=max_rows_per_file, overwrite=overwrite)
         staging = path + ".staging"
         # coalesce keeps partition order, so a sorted frame stays sorted
-        write_csv(out.coalesce(1), staging, sep=sep, rounding=None, overwrite=True)
+        # 0: one file, whatever maxRecordsPerFile the session sets
+        write_csv(out.coalesce(1), staging, sep=sep, rounding=None, max_rows_per_file=0, overwrite=True)
         staged = part_files(spark, staging)
-        fs.rename(jvm.org.apache.hadoop.fs.Path(staged[0]), target)
+        if len(staged) != 1:
+            raise RuntimeError(f"{staging} holds {len(staged)} part files, not one; {path} is unchanged")
+        old = jvm.org.apache.hadoop.fs.Path(path + ".old")
+        held = fs.exists(target)
+        if held and not fs.rename(target, old):
+            raise RuntimeError(f"{path} could not be set aside; the new file is {staged[0]}")
+        if not fs.rename(jvm.org.apache.hadoop.fs.Path(staged[0]), target):
+            if held:
+                fs.rename(old, target)
+            raise RuntimeError(f"{staged[0]} could not be renamed to {path}")
+        if held:
+            fs.delete(old, True)
         fs.delete(jvm.org.apache.hadoop.fs.Path(staging), True)
     finally:
         if keep_parts:

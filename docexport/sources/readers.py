@@ -42,7 +42,9 @@ def scan(spark: SparkSession, source, fmt: str = "parquet", id_field=None,
         items = [(None, p) for p in paths]
     frames = []
     for name, path in items:
-        reader = spark.read.format(fmt).options(**(options or {}))
+        # Files of one index, and indices of one pattern, may have different fields.
+        merge = {"mergeSchema": "true"} if fmt in ("parquet", "orc") else {}
+        reader = spark.read.format(fmt).options(**(merge | (options or {})))
         if schema is not None:
             reader = reader.schema(schema)
         df = reader.load(path)
