@@ -32,15 +32,20 @@ BLOCK_ROWS = 2048
 BUCKET_BYTES = 8 << 20
 
 
-#: Rows that Spark hands to Python at once, at most.
+#: Rows and bytes that Spark hands to Python at once, at most (a longer row is a batch alone).
 BATCH_ROWS = 2048
+BATCH_BYTES = 8 << 20
 
 
 def bounded_batches(spark) -> None:
-    """Lower the session's Arrow batch to ``BATCH_ROWS`` rows: texts are long, and both sides hold whole batches."""
+    """Lower the session's Arrow batches to ``BATCH_ROWS`` rows and ``BATCH_BYTES`` bytes.
+
+    Texts are long, and both sides hold whole batches.
+    """
     key = "spark.sql.execution.arrow.maxRecordsPerBatch"
     if int(spark.conf.get(key)) not in range(1, BATCH_ROWS + 1):
         spark.conf.set(key, str(BATCH_ROWS))
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
 
 
 def release() -> None:

@@ -39,8 +39,9 @@ N = 4
 PERCENT = 85
 #: Rows of a tile side; a tile holds at most its square of entries.
 TILE = 1024
-#: Rows of a tile side in a cluster, about.
+#: Rows and bytes of columns of a tile side in a cluster, about.
 CLUSTER_TILE = 2048
+CLUSTER_TILE_BYTES = 8 << 20
 #: Rows of a column from which it is multiplied by clusters.
 DENSE = 32
 #: Bits of the parity bitmap.
@@ -127,6 +128,8 @@ def _answer(table: pa.Table) -> pa.Table:
         at += len(k)
         out_k.append(pack(k[t > 1]))
         out_c.append(pack(t[t > 1]))
+    del keys, counts, all_keys, place, total
+    release()
     return pa.table({"block": table.column("block"), "bucket": table.column("bucket"),
                      "keys": pa.array(out_k, pa.binary()), "counts": pa.array(out_c, pa.binary())})
 
@@ -267,6 +270,7 @@ def _verify(percent: int):
                   for x, y, m in zip(batch.column("cols_a").to_pylist(), batch.column("cols_b").to_pylist(), need.tolist(), strict=True)]
             ok = np.array(ok, bool)
             yield pa.RecordBatch.from_arrays([pa.array(a[ok]), pa.array(b[ok])], schema=schema)
+        release()
     return verify, schema
 
 
@@ -276,8 +280,8 @@ def _cluster_links(percent: int):
         across = key[1].as_py() != key[2].as_py()
         rid, size, alone, tile = (table.column(c).to_numpy() for c in ("rid", "size", "alone", "tile"))
         order = np.lexsort((rid, size))
-        cols = table.column("cols").to_pylist()
-        sets = [np.frombuffer(cols[i], np.uint64) for i in order]
+        cols = table.column("cols").combine_chunks()
+        sets = [np.frombuffer(cols[i].as_buffer(), np.uint64) for i in order]
         rid, size, alone, tile = rid[order], size[order], alone[order], tile[order]
         bits = np.frombuffer(b"".join(map(_bitmap, sets)), np.uint64).reshape(len(rid), -1)
         sets = [np.sort(s) for s in sets]
@@ -298,6 +302,8 @@ def _cluster_links(percent: int):
                 up[rx] = ry
                 out.append((x, y))
         got = np.array(out, np.int64).reshape(-1, 2)
+        del sets, cols, bits
+        release()
         return pa.table({"a": rid[got[:, 0]], "b": rid[got[:, 1]]})
     return links
 
@@ -310,7 +316,9 @@ def _clusters(entries: DataFrame, columns: DataFrame) -> DataFrame:
 
 
 def _links_in_clusters(reps: DataFrame, clusters: DataFrame, percent: int) -> DataFrame:
-    sizes = clusters.groupBy("cluster").agg(F.ceil(F.count("*") / CLUSTER_TILE).cast("int").alias("tiles"))
+    members = reps.select("rid", F.octet_length("cols").alias("width")).join(clusters, "rid")
+    sizes = members.groupBy("cluster").agg(
+        F.greatest(F.ceil(F.count("*") / CLUSTER_TILE), F.ceil(F.sum("width") / CLUSTER_TILE_BYTES)).cast("int").alias("tiles"))
     rows = (reps.join(clusters, "rid").join(materialize(sizes, "join-cluster-sizes"), "cluster")
             .withColumn("tile", F.pmod(F.xxhash64("rid"), F.col("tiles")).cast("int"))
             .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)))
