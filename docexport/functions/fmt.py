@@ -5,7 +5,7 @@ from __future__ import annotations
 import re
 
 from pyspark.sql import Column, DataFrame, functions as F
-from pyspark.sql.types import DoubleType, FloatType
+from pyspark.sql.types import DataType, DoubleType, FloatType
 
 # Characters that split words for word matching: anything that is neither a
 # letter nor a digit, in any script.
@@ -43,10 +43,18 @@ def decimal_mark(col: Column, mark: str = ",") -> Column:
     return text if mark == "." else F.replace(text, F.lit("."), F.lit(mark))
 
 
-def parse_decimal_mark(col: Column, mark: str = ",") -> Column:
-    """Number from text written with ``mark`` as decimal separator (S3)."""
+def parse_decimal_mark(col: Column, mark: str = ",", dtype: DataType | str = "double") -> Column:
+    """Number from text written with ``mark`` as decimal separator (S3).
+
+    An empty cell is NULL; text that is no such number raises, also with ANSI mode off.
+    """
     text = col if mark == "." else F.replace(col, F.lit(mark), F.lit("."))
-    return text.try_cast("double")
+    if mark != ".":  # a dot is not this file's decimal mark
+        text = F.when(~F.contains(col, F.lit(".")), text).when(col.isNotNull(), F.lit("?"))
+    number = text.try_cast(dtype)
+    filled = col.isNotNull() & (F.trim(col) != "")
+    bad = F.raise_error(F.concat(F.lit("not a number: "), col)).cast(dtype)
+    return F.when(filled & number.isNull(), bad).otherwise(number)
 
 
 def word_match(col: Column, word: str) -> Column:

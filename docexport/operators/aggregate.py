@@ -22,7 +22,8 @@ from ..spec import AggSpec
 from .project import qcol
 
 BUCKET_ORIGIN = "__d0"
-MAX_CALENDAR_BUCKETS = 10_000_000
+#: Buckets of a dense calendar that one task makes.
+CALENDAR_CHUNK = 10_000
 
 
 def count_rows(df: DataFrame, name: str = "count") -> DataFrame:
@@ -251,14 +252,14 @@ def _densify(grouped: DataFrame, bucket: str, days: int, bounds: DataFrame) -> D
     """Every bucket from the first to the last, empty ones included.
 
     The calendar is generated from the one-row date bounds, so it holds
-    span / width rows whatever the size of the data.
+    span / width rows whatever the size of the data. Starts of chunks are made
+    first and dealt out, then each is spread into its buckets.
     """
-    lo, hi = F.col(BUCKET_ORIGIN), F.col("__d1")
-    last = F.date_add(lo, (F.floor(F.datediff(hi, lo) / F.lit(days)) * F.lit(days)).cast("int"))
-    n_buckets = F.datediff(hi, lo) / F.lit(days)
-    calendar = bounds.filter(lo.isNotNull()).select(F.explode(
-        F.when(n_buckets <= MAX_CALENDAR_BUCKETS,
-               F.sequence(lo, last, F.expr(f"interval {int(days)} days")))
-        .otherwise(F.raise_error(F.lit("calendar too large for a dense result")))
-    ).alias(bucket))
+    lo = F.col(BUCKET_ORIGIN)
+    n = bounds.filter(lo.isNotNull()).select(lo, F.floor(F.datediff(F.col("__d1"), lo) / F.lit(days)).cast("int").alias("__last"))
+    chunks = n.select("*", F.explode(F.sequence(F.lit(0), F.col("__last"), F.lit(CALENDAR_CHUNK))).alias("__from"))
+    chunks = chunks.repartition("__from")
+    until = F.least(F.col("__from") + F.lit(CALENDAR_CHUNK - 1), F.col("__last"))
+    calendar = (chunks.select(lo, F.explode(F.sequence(F.col("__from"), until)).alias("__i"))
+                .select(F.date_add(lo, F.col("__i") * F.lit(days)).alias(bucket)))
     return calendar.join(grouped, bucket, "left")

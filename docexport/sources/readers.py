@@ -5,7 +5,7 @@ from __future__ import annotations
 import re
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
-from pyspark.sql.types import DoubleType, StringType, StructField, StructType
+from pyspark.sql.types import DoubleType, FractionalType, StringType, StructField, StructType
 
 from ..functions.fmt import parse_decimal_mark
 from ..operators.dedup import union_parts
@@ -117,10 +117,15 @@ def read_csv(spark: SparkSession, path, schema: StructType | str | None = None,
              sep: str = ",", decimal: str = ".", multi_line: bool = True) -> DataFrame:
     """A raw CSV with header, separator and decimal mark (S3).
 
-    With a decimal comma, columns declared as double are read as text and
-    converted; Spark's CSV reader itself only knows the dot. Cells may hold
-    line breaks, so each file is read whole by one task; for big files known
-    to have none, ``multi_line=False`` lets Spark split them.
+    With a schema, its columns are found by header name: the file may order
+    them differently and hold more. A schema with as many columns as the header
+    may give columns new names, if every name that both know stands at the same
+    place. Any other declared column that the header lacks, a file of the path
+    with another header and a cell that is not of the declared type raise. With a decimal mark other than the dot, declared fractional
+    columns are read as text and converted; Spark's CSV reader itself only
+    knows the dot. Cells may hold line breaks, so each file is read whole by
+    one task; for big files known to have none, ``multi_line=False`` lets
+    Spark split them.
     """
     if isinstance(schema, str):
         schema = StructType.fromDDL(schema)
@@ -128,14 +133,25 @@ def read_csv(spark: SparkSession, path, schema: StructType | str | None = None,
     opts["multiLine"] = "true" if multi_line else "false"
     if schema is None:
         return spark.read.options(**opts).option("inferSchema", "true").csv(path)
-    if decimal == ".":
-        return spark.read.options(**opts).schema(schema).csv(path)
-    as_text = StructType([StructField(f.name, StringType() if isinstance(f.dataType, DoubleType)
-                                      else f.dataType, f.nullable) for f in schema.fields])
-    raw = spark.read.options(**opts).schema(as_text).csv(path)
-    return raw.select([parse_decimal_mark(qcol(f.name), decimal).alias(f.name)
-                       if isinstance(f.dataType, DoubleType) else qcol(f.name)
-                       for f in schema.fields])
+    marked = {f.name: f.dataType for f in schema.fields
+              if decimal != "." and isinstance(f.dataType, FractionalType)}
+    declared = {f.name: StructField(f.name, StringType() if f.name in marked else f.dataType) for f in schema.fields}
+    header = spark.read.options(**opts).csv(path).columns
+    if header:  # without any, there is no row either
+        absent = [c for c in declared if c not in header]
+        renamed = len(declared) == len(header) and all(c == h or (c not in header and h not in declared)
+                                                       for c, h in zip(declared, header))
+        if absent and not renamed:
+            raise ValueError(f"the CSV header has no column {', '.join(absent)}: {header}")
+        types = list(declared.values()) if renamed else [declared.get(c) for c in header]
+        in_file = StructType([StructField(h, f.dataType if f else StringType()) for h, f in zip(header, types)])
+        raw = spark.read.options(**opts).option("enforceSchema", "false").option("mode", "FAILFAST").schema(in_file).csv(path)
+        if renamed:
+            raw = raw.toDF(*declared)
+    else:
+        raw = spark.createDataFrame([], StructType(list(declared.values())))
+    return raw.select([parse_decimal_mark(qcol(c), decimal, marked[c]).alias(c) if c in marked else qcol(c)
+                       for c in declared])
 
 
 def read_parts(spark: SparkSession, paths, schemas=None, sep: str = ",",

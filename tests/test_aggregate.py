@@ -1,5 +1,6 @@
 """Aggregation semantics, cross-checked against pandas group-by (the reference's engine)."""
 
+import datetime as dt
 import math
 
 import numpy as np
@@ -163,3 +164,10 @@ def test_exact_sum_overflow_is_an_error_in_any_mode(spark):
                 aggregate(big, AggSpec(keys="k", functions="v--sum")).collect()
         finally:
             spark.conf.set("spark.sql.ansi.enabled", "true")
+
+
+def test_dense_calendar_of_many_chunks(spark):
+    days = spark.sql("SELECT explode(array(timestamp_ntz'1900-01-01 05:00:00', timestamp_ntz'1999-12-31 00:00:00')) AS t, 1 AS n")
+    got = aggregate(days, AggSpec(functions="n--sum", time_field="t", days=1, zone="UTC"), sort=False)
+    assert got.selectExpr("count(*)", "count(distinct t)", "min(t)", "max(t)", "sum(agg__n__sum)").first()[:] == (
+        36524, 36524, dt.date(1900, 1, 1), dt.date(1999, 12, 31), 2)

@@ -1,6 +1,7 @@
 """CSV sinks and sources: round trips, separators, decimal comma, parts, overwrite guard."""
 
 import datetime as dt
+from decimal import Decimal
 
 import pytest
 
@@ -139,3 +140,33 @@ def test_boolean_spelling(spark, tmp_path):
     assert "1,True" in text and "2,False" in text and "3," in text
     back = {r["id"]: r["b"] for r in read_csv(spark, path, "id int, b boolean").collect()}
     assert back == {1: True, 2: False, 3: None}
+
+
+def _text_file(folder, name, body):
+    folder.mkdir(parents=True, exist_ok=True)
+    (folder / name).write_text(body)
+    return str(folder)
+
+
+def test_declared_columns_are_found_by_header_name(spark, tmp_path):
+    path = _text_file(tmp_path / "a", "x.csv", "b,extra,a\nq,9,1.5\n")
+    assert [tuple(r) for r in read_csv(spark, path, "a double, b string").collect()] == [(1.5, "q")]
+
+
+def test_absent_column_other_header_and_bad_cell_raise(spark, tmp_path):
+    with pytest.raises(ValueError, match="no column v"):
+        read_csv(spark, _text_file(tmp_path / "a", "x.csv", "k\n1\n"), "k int, v int")
+    mixed = _text_file(tmp_path / "b", "x.csv", "a,b\n1,2\n")
+    _text_file(tmp_path / "b", "y.csv", "b,a\n3,4\n")
+    with pytest.raises(Exception):
+        read_csv(spark, mixed, "a int, b int").collect()
+    with pytest.raises(Exception):
+        read_csv(spark, _text_file(tmp_path / "c", "x.csv", 'a,b\n"1,234.5",2\n'), "a double, b int").collect()
+    with pytest.raises(Exception, match="not a number"):
+        read_csv(spark, _text_file(tmp_path / "d", "x.csv", "a;b\n1.234,5;2\n"), "a double, b int", sep=";", decimal=",").collect()
+
+
+def test_decimal_mark_in_every_fractional_type(spark, tmp_path):
+    path = _text_file(tmp_path / "a", "x.csv", "a;b;c\n1,5;2,5;3,25\n;;\n")
+    rows = read_csv(spark, path, "a double, b float, c decimal(10,2)", sep=";", decimal=",").collect()
+    assert [tuple(r) for r in rows] == [(1.5, 2.5, Decimal("3.25")), (None, None, None)]
