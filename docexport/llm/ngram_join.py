@@ -18,9 +18,10 @@ can reach the similarity are ever formed:
 * What is left is counted exactly and compared with the bound.
 * Columns of more than ``DENSE`` rows come from large groups of near copies.
   The rows that such columns connect form clusters, whose square is taken in
-  tiles of whole rows: overlaps are counted in the tile, and a tile gives the
-  links of a spanning forest of its rows, not all its pairs. Rows of one
-  cluster need no further pairs from other columns.
+  tiles of whole rows: every entry of a tile is counted exactly, a tile gives
+  each row's number of links and, in place of all its pairs, the links of a
+  spanning forest of its rows. Rows of one cluster need no further pairs from
+  other columns.
 
 Links are joined into components by rounds of contraction in Spark; no link or
 component passes through the driver.
@@ -44,6 +45,9 @@ CLUSTER_TILE = 2048
 CLUSTER_TILE_BYTES = 8 << 20
 #: Rows of a column from which it is multiplied by clusters.
 DENSE = 32
+#: Words of columns, as bits, that a cluster tile counts at once, and words of its pairs.
+COUNT_WORDS = 1024
+PAIR_WORDS = 1 << 21
 #: Bits of the parity bitmap.
 BITMAP = 1024
 
@@ -201,28 +205,35 @@ def _entries(percent: int):
     return entries, schema
 
 
-def column_pairs(rep: np.ndarray, size: np.ndarray, alone: np.ndarray, indexed: np.ndarray, bits: np.ndarray,
-                 percent: int = PERCENT) -> tuple[np.ndarray, np.ndarray]:
-    """Pairs of one column that its tiles can't rule out; rows are sorted by (size, rep)."""
-    left, right = [], []
+def _pair_chunks(size: np.ndarray, alone: np.ndarray, indexed: np.ndarray, bits: np.ndarray, percent: int, part: np.ndarray | None = None):
+    """Bounded chunks of the pairs of rows, sorted by size, that tiles can't rule out; with ``part``, of unequal parts only."""
     first = np.flatnonzero(indexed)
     for lo in range(0, len(first), TILE):
         x = first[lo:lo + TILE]
-        for at in range(int(x[0]) + 1, len(rep), TILE):
-            y = np.arange(at, min(at + TILE, len(rep)))
+        for at in range(int(x[0]) + 1, len(size), TILE):
+            y = np.arange(at, min(at + TILE, len(size)))
             if 100 * int(size[x[-1]]) < percent * int(size[y[0]]):
                 break
             fits = (y[None, :] > x[:, None]) & (100 * size[x][:, None] >= percent * size[y][None, :])
+            if part is not None:
+                fits &= part[x][:, None] != part[y][None, :]
             i, j = np.nonzero(fits)
-            if not len(i):
-                continue
             for k in range(0, len(i), 1 << 17):
                 a, b = x[i[k:k + (1 << 17)]], y[j[k:k + (1 << 17)]]
                 apart = np.bitwise_count(bits[a] ^ bits[b]).sum(axis=1, dtype=np.int64) + alone[a] + alone[b]
                 both = size[a] + size[b]
                 ok = apart <= both - 2 * least_overlap(size[a], size[b], percent)
-                left.append(rep[a[ok]])
-                right.append(rep[b[ok]])
+                if ok.any():
+                    yield a[ok], b[ok]
+
+
+def column_pairs(rep: np.ndarray, size: np.ndarray, alone: np.ndarray, indexed: np.ndarray, bits: np.ndarray,
+                 percent: int = PERCENT) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs of one column that its tiles can't rule out; rows are sorted by (size, rep)."""
+    left, right = [], []
+    for a, b in _pair_chunks(size, alone, indexed, bits, percent):
+        left.append(rep[a])
+        right.append(rep[b])
     none = np.empty(0, np.int64)
     return np.concatenate(left or [none]), np.concatenate(right or [none])
 
@@ -259,52 +270,101 @@ def _tiles(percent: int):
     return tiles, schema
 
 
+#: A link and what it adds to the numbers of links of its ends; a degree alone has no ``b``.
+_LINKS_TYPE = "a long, b long, n_a long, n_b long"
+
+
 def _verify(percent: int):
-    schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
+    schema = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("n_a", pa.int64()), ("n_b", pa.int64())])
 
     def verify(batches):
         for batch in batches:
-            a, b, sa, sb = (batch.column(c).to_numpy() for c in ("a", "b", "size_a", "size_b"))
+            a, b, sa, sb, ca, cb = (batch.column(c).to_numpy() for c in ("a", "b", "size_a", "size_b", "copies_a", "copies_b"))
             need = least_overlap(sa, sb, percent)
             ok = [len(np.intersect1d(np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64), assume_unique=True)) >= m
                   for x, y, m in zip(batch.column("cols_a").to_pylist(), batch.column("cols_b").to_pylist(), need.tolist(), strict=True)]
             ok = np.array(ok, bool)
-            yield pa.RecordBatch.from_arrays([pa.array(a[ok]), pa.array(b[ok])], schema=schema)
+            yield pa.RecordBatch.from_arrays([pa.array(x[ok]) for x in (a, b, cb, ca)], schema=schema)
         release()
     return verify, schema
 
 
+class _Overlaps:
+    """Exact overlaps of rows of a tile, counted on bits of the columns that several of its rows have."""
+
+    def __init__(self, sets: list[np.ndarray]):
+        entries = np.concatenate(sets)
+        row = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
+        order = np.argsort(entries, kind="stable")
+        entries, row = entries[order], row[order]
+        new = np.ones(len(entries), bool)
+        new[1:] = entries[1:] != entries[:-1]
+        name = np.cumsum(new) - 1
+        shared = np.bincount(name)[name] > 1
+        self.row = row[shared]
+        self.col = np.cumsum(new[shared]) - 1
+        self.rows, self.words = len(sets), int(self.col[-1]) // 64 + 1 if len(self.col) else 0
+        self.first = self._bits(0) if self.words <= COUNT_WORDS else None
+
+    def _bits(self, at: int) -> np.ndarray:
+        """Bits of the columns from word ``at``; columns ascend, so a range of entries holds them."""
+        width = min(COUNT_WORDS, self.words - at)
+        lo, hi = np.searchsorted(self.col, [64 * at, 64 * (at + width)])
+        bits = np.zeros((self.rows, width), np.uint64)
+        col = self.col[lo:hi] - 64 * at
+        np.bitwise_or.at(bits, (self.row[lo:hi], col >> 6), np.uint64(1) << (col & 63).astype(np.uint64))
+        return bits
+
+    def count(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        total = np.zeros(len(a), np.int64)
+        for at in range(0, self.words, COUNT_WORDS):
+            bits = self._bits(at) if self.first is None else self.first
+            step = max(1, PAIR_WORDS // bits.shape[1])
+            for k in range(0, len(a), step):
+                total[k:k + step] += np.bitwise_count(bits[a[k:k + step]] & bits[b[k:k + step]]).sum(axis=1, dtype=np.int64)
+        return total
+
+
 def _cluster_links(percent: int):
-    """Links of a tile of a cluster: a forest that connects all its rows that links connect."""
+    """Links of a tile of a cluster: how many each of its rows has, and a forest that connects all rows that links connect."""
     def links(key, table):
         across = key[1].as_py() != key[2].as_py()
-        rid, size, alone, tile = (table.column(c).to_numpy() for c in ("rid", "size", "alone", "tile"))
+        rid, size, alone, copies, tile = (table.column(c).to_numpy() for c in ("rid", "size", "alone", "copies", "tile"))
         order = np.lexsort((rid, size))
         cols = table.column("cols").combine_chunks()
         sets = [np.frombuffer(cols[i].as_buffer(), np.uint64) for i in order]
-        rid, size, alone, tile = rid[order], size[order], alone[order], tile[order]
+        rid, size, alone, copies, tile = rid[order], size[order], alone[order], copies[order], tile[order]
         bits = np.frombuffer(b"".join(map(_bitmap, sets)), np.uint64).reshape(len(rid), -1)
-        sets = [np.sort(s) for s in sets]
-        a, b = column_pairs(np.arange(len(rid)), size, alone, np.ones(len(rid), bool), bits, percent)
-        if across:
-            far = tile[a] != tile[b]
-            a, b = a[far], b[far]
-        need = least_overlap(size[a], size[b], percent)
-        up = list(range(len(rid)))
+        overlaps = _Overlaps(sets)
+        degree = np.zeros(len(rid), np.int64)
+        up = np.arange(len(rid))
         out = []
-        for x, y, m in zip(a.tolist(), b.tolist(), need.tolist(), strict=True):
-            rx, ry = x, y
-            while up[rx] != rx:
-                up[rx] = rx = up[up[rx]]
-            while up[ry] != ry:
-                up[ry] = ry = up[up[ry]]
-            if rx != ry and len(np.intersect1d(sets[x], sets[y], assume_unique=True)) >= m:
-                up[rx] = ry
-                out.append((x, y))
+        for a, b in _pair_chunks(size, alone, np.ones(len(rid), bool), bits, percent, tile if across else None):
+            ok = overlaps.count(a, b) >= least_overlap(size[a], size[b], percent)
+            a, b = a[ok], b[ok]
+            np.add.at(degree, a, copies[b])
+            np.add.at(degree, b, copies[a])
+            while (up != up[up]).any():
+                up = up[up]
+            fresh = up[a] != up[b]
+            for x, y in zip(a[fresh].tolist(), b[fresh].tolist(), strict=True):
+                rx, ry = x, y
+                while up[rx] != rx:
+                    up[rx] = rx = up[up[rx]]
+                while up[ry] != ry:
+                    up[ry] = ry = up[up[ry]]
+                if rx != ry:
+                    up[rx] = ry
+                    out.append((x, y))
         got = np.array(out, np.int64).reshape(-1, 2)
-        del sets, cols, bits
+        linked = np.flatnonzero(degree)
+        del sets, cols, bits, overlaps
         release()
-        return pa.table({"a": rid[got[:, 0]], "b": rid[got[:, 1]]})
+        n_a = np.zeros(len(got) + len(linked), np.int64)
+        n_a[len(got):] = degree[linked]
+        return pa.table({"a": pa.array(np.concatenate([rid[got[:, 0]], rid[linked]])),
+                         "b": pa.concat_arrays([pa.array(rid[got[:, 1]], pa.int64()), pa.nulls(len(linked), pa.int64())]),
+                         "n_a": pa.array(n_a), "n_b": pa.array(np.zeros(len(n_a), np.int64))})
     return links
 
 
@@ -322,8 +382,8 @@ def _links_in_clusters(reps: DataFrame, clusters: DataFrame, percent: int) -> Da
     rows = (reps.join(clusters, "rid").join(materialize(sizes, "join-cluster-sizes"), "cluster")
             .withColumn("tile", F.pmod(F.xxhash64("rid"), F.col("tiles")).cast("int"))
             .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)))
-            .select("cluster", F.least("tile", "other").alias("low"), F.greatest("tile", "other").alias("high"), "tile", "rid", "size", "alone", "cols"))
-    return rows.groupBy("cluster", "low", "high").applyInArrow(_cluster_links(percent), "a long, b long")
+            .select("cluster", F.least("tile", "other").alias("low"), F.greatest("tile", "other").alias("high"), "tile", "rid", "size", "alone", "copies", "cols"))
+    return rows.groupBy("cluster", "low", "high").applyInArrow(_cluster_links(percent), _LINKS_TYPE)
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -365,10 +425,15 @@ def similar_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
                       row_id: str | None = None) -> tuple[DataFrame, DataFrame]:
     """Rows and links of the join.
 
-    The first frame has ``rid, doc_id, n_ngrams, class`` for every row (rows of
-    a class have equal sets; the class is the smallest rid), the second the
-    links ``a, b`` between classes. Rows without words have no n-gram, a null
-    class and no link. Ids may repeat or be null; each row counts for itself.
+    The first frame has ``rid, doc_id, n_ngrams, class, n_links`` for every row
+    (rows of a class have equal sets; the class is the smallest rid). ``n_links``
+    is the number of all other rows similar to the row, those of its class
+    included. The second frame has links ``a, b`` between classes that connect
+    every component: all links of classes that no column of more than ``DENSE``
+    classes connects, but within the clusters of such columns only a spanning
+    forest per tile, whose other links are counted in ``n_links``, not listed.
+    Rows without words have no n-gram, a null class and no link. Ids may repeat
+    or be null; each row counts for itself.
     """
     blocks = to_blocks(docs, id_col, text_col, "join-blocks", row_id=row_id)
     bits = bucket_bits(blocks)
@@ -379,9 +444,9 @@ def similar_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
         .applyInArrow(_rows(bits, n, percent), "rid long, doc_id long, size long, alone long, sig_a long, sig_b long, cols binary"),
         "join-rows")
     live = rows.filter("cols is not null")
-    classes = materialize(live.groupBy("size", "sig_a", "sig_b").agg(F.min("rid").alias("class")), "join-classes")
-    member = live.select("rid", "size", "sig_a", "sig_b").join(classes, ["size", "sig_a", "sig_b"]).select("rid", "class")
-    reps = materialize(live.select("rid", "size", "alone", "cols").join(classes.select(F.col("class").alias("rid")), "rid", "left_semi"), "join-reps")
+    classes = materialize(live.groupBy("size", "sig_a", "sig_b").agg(F.min("rid").alias("class"), F.count("*").alias("copies")), "join-classes")
+    member = live.select("rid", "size", "sig_a", "sig_b").join(classes, ["size", "sig_a", "sig_b"]).select("rid", "class", "copies")
+    reps = materialize(live.select("rid", "size", "alone", "cols").join(classes.select(F.col("class").alias("rid"), "copies"), "rid"), "join-reps")
     make, schema = _entries(percent)
     entry_type = "col long, rep long, size long, alone long, indexed boolean, bits binary"
     entries = materialize(reps.mapInArrow(make, entry_type), "join-entries")
@@ -393,31 +458,35 @@ def similar_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     in_cluster = {c: clusters.select(F.col("rid").alias(c), F.col("cluster").alias(f"cluster_{c}")) for c in "ab"}
     pairs = materialize(pairs.join(in_cluster["a"], "a", "left").join(in_cluster["b"], "b", "left")
                         .filter("cluster_a is null or cluster_b is null or cluster_a != cluster_b").select("a", "b"), "join-pairs")
-    side = {c: reps.select(F.col("rid").alias(c), F.col("size").alias(f"size_{c}"), F.col("cols").alias(f"cols_{c}")) for c in "ab"}
+    side = {c: reps.select(F.col("rid").alias(c), F.col("size").alias(f"size_{c}"), F.col("copies").alias(f"copies_{c}"),
+                       F.col("cols").alias(f"cols_{c}")) for c in "ab"}
     check, _ = _verify(percent)
-    links = pairs.join(side["a"], "a").join(side["b"], "b").mapInArrow(check, "a long, b long")
+    links = pairs.join(side["a"], "a").join(side["b"], "b").mapInArrow(check, _LINKS_TYPE)
     links = materialize(links.unionAll(_links_in_clusters(reps, clusters, percent)), "join-links")
-    out = rows.select("rid", "doc_id", F.col("size").alias("n_ngrams")).join(member, "rid", "left")
-    out = out.withColumn("class", F.when(F.col("n_ngrams") > 0, F.coalesce("class", "rid")))
-    return out, links
+    degrees = (links.select(F.col("a").alias("class"), F.col("n_a").alias("n"))
+               .unionAll(links.filter("b is not null").select("b", "n_b")).groupBy("class").agg(F.sum("n").alias("far")))
+    out = rows.select("rid", "doc_id", F.col("size").alias("n_ngrams")).join(member, "rid", "left").join(degrees, "class", "left")
+    out = out.select("rid", "doc_id", "n_ngrams", F.when(F.col("n_ngrams") > 0, F.coalesce("class", "rid")).alias("class"),
+                     (F.coalesce("copies", F.lit(1)) - 1 + F.coalesce("far", F.lit(0))).alias("n_links"))
+    return out, links.filter("b is not null").select("a", "b")
 
 
 def similar_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
-    """``rid, doc_id, n_ngrams, component, first_rid`` of every row.
+    """``rid, doc_id, n_ngrams, n_links, component, first_rid`` of every row.
 
-    ``component`` is the smallest id that links reach from the row, its own
-    included; rows without words are alone. ``first_rid`` is the smallest row
-    of the component.
+    ``n_links`` is the number of rows similar to the row. ``component`` is the
+    smallest id that links reach from the row, its own included; rows without
+    words are alone. ``first_rid`` is the smallest row of the component.
     """
     rows, links = similar_documents(docs, id_col, text_col, **options)
     roots = components(links)
     rows = rows.join(roots, F.col("class") == F.col("node"), "left")
-    rows = materialize(rows.select("rid", "doc_id", "n_ngrams", F.coalesce("root", "class", "rid").alias("root")), "join-members")
+    rows = materialize(rows.select("rid", "doc_id", "n_ngrams", "n_links", F.coalesce("root", "class", "rid").alias("root")), "join-members")
     groups = materialize(rows.groupBy("root").agg(F.min("doc_id").alias("component"), F.min("rid").alias("first_rid"), F.count("*").alias("m"))
                          .filter("m > 1"), "join-groups")
     out = rows.join(groups, "root", "left")
     alone = F.col("m").isNull()
-    return out.select("rid", "doc_id", "n_ngrams", F.when(alone, F.col("doc_id")).otherwise(F.col("component")).alias("component"),
+    return out.select("rid", "doc_id", "n_ngrams", "n_links", F.when(alone, F.col("doc_id")).otherwise(F.col("component")).alias("component"),
                       F.coalesce("first_rid", "rid").alias("first_rid"))
 
 

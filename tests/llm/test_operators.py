@@ -143,6 +143,21 @@ def test_similar_components(docs, monkeypatch, n, percent, dense):
     assert kept.columns == docs.columns and kept.count() == len({find(a) for a, _, _ in source})
 
 
+@pytest.mark.parametrize("dense,tile", [(1, 16), (32, 2048)])
+def test_links_are_all_counted(spark, docs, monkeypatch, dense, tile):
+    monkeypatch.setattr(ngram_join, "DENSE", dense)
+    monkeypatch.setattr(ngram_join, "CLUSTER_TILE", tile)
+    base = long_text(11, 60).split()
+    near = [" ".join([*base[:k], f"changed{k}", *base[k + 1:]]) for k in range(50)]
+    copies = spark.createDataFrame([(100 + i, t) for i, t in enumerate([" ".join(base), *near, near[7]])], "doc_id long, text string")
+    both = docs.select("doc_id", "text").unionByName(copies)
+    source = [(r.doc_id, shingles(r.text, 4)) for r in rows(both)]
+    expected = collections.Counter((i, sum(bool(s and t) and 100 * len(s & t) >= 85 * len(s | t) for _, t in source) - bool(s)) for i, s in source)
+    found, links = ngram_join.similar_documents(both)
+    assert collections.Counter((r.doc_id, r.n_links) for r in rows(found)) == expected
+    assert max(n for _, n in expected) > 40 and all(r.a is not None and r.b is not None for r in rows(links))
+
+
 def test_components_of_a_long_path(spark):
     links = spark.createDataFrame([(i, i + 1) for i in range(60)] + [(100, 101)], "a long, b long")
     assert {(r.node, r.root) for r in rows(ngram_join.components(links))} == {(i, 0) for i in range(61)} | {(100, 100), (101, 100)}
