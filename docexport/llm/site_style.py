@@ -6,12 +6,16 @@ of its presentation, the entropy of the child sequences seen under it, and
 that of its content, which is low where the same content stands on many pages.
 Branches of low importance go, as do elements whose tag, role or class says
 that they are no article text (menus, headers, footers, sidebars, notices,
-adverts, forms, scripts, reader comments). Where a page marks its article
-(``article`` or ``main``), text outside it goes too, and running text inside
-it always stays: copies of an article on one host don't make it boilerplate.
-
-Pages are parsed twice; what is merged are counts per host, path and content,
-pre-aggregated before they are shuffled, so a host with a third of all pages
+adverts, forms, scripts, reader comments). Neither importance nor a class name
+drops ``html``, ``body`` or a branch that holds most of its page's text. Where
+a page marks its article (``article`` or ``main``) and most of the text that
+stays is in it, text outside it goes too; running text inside it always stays.
+Importance counts pages with equal blocks once, and inside articles equal
+articles: copies of an article on one host don't make it boilerplate.
+
+Pages are parsed twice; what is merged are counts of different pages per host,
+path and content. Equal features of copies fall together before they are
+shuffled, and the page is part of the key, so a host with a third of all pages
 is no hot key.
 """
 
@@ -59,32 +63,37 @@ _SAME = {"li": ("li", ("ul", "ol", "menu")), "dt": ("dt dd", ("dl",)), "dd": ("d
 
 
 class _Node:
-    __slots__ = ("tag", "path", "gone", "article", "children", "text")
+    __slots__ = ("tag", "path", "gone", "named", "article", "up", "size", "children", "text")
 
-    def __init__(self, tag: str, path: str, gone: bool, article: bool):
-        self.tag, self.path, self.gone, self.article = tag, path, gone, article
+    def __init__(self, tag: str, path: str, gone: bool, named: bool, article: bool, up: "_Node | None"):
+        self.tag, self.path, self.gone, self.named, self.article, self.up = tag, path, gone, named, article, up
+        self.size = 0
         self.children: list[str] = []
-        self.text: list[str] | None = None
+        self.text: list[str] = []
 
 
 def _says_no(tag: str, attrs: dict[str, str], in_article: bool) -> bool:
+    """Whether the kind, role or state of an element says that it is no article text."""
     if tag in NEVER or (tag == "header" and not in_article):
         return True
     if not attrs:
         return False
     if "hidden" in attrs or attrs.get("aria-hidden") == "true" or "display:none" in attrs.get("style", "").replace(" ", ""):
         return True
-    if attrs.get("role", "").lower() in ROLES:
-        return True
-    if tag in ("html", "body", *ARTICLE):
+    return attrs.get("role", "").lower() in ROLES
+
+
+def _named(tag: str, attrs: dict[str, str], in_article: bool) -> bool:
+    """Whether a part of an element's class or id says so."""
+    if not attrs or tag in ("html", "body", *ARTICLE):
         return False
     parts = {p for k in ("class", "id") if k in attrs for p in _PART.split(attrs[k].lower())}
     return not parts.isdisjoint(SIGNS) or (not in_article and not parts.isdisjoint(OUTSIDE_SIGNS))
 
 
 def parse(html: str):
-    """Blocks of text in page order, ``(text, node path, chain of paths, in article)``, and the merged-tree nodes."""
-    stack = [_Node("", "", False, False)]
+    """Blocks of text in page order, ``(text, chain of nodes, in article)``, the merged-tree nodes and the size of all text."""
+    stack = [_Node("", "", False, False, False, None)]
     nodes: list[_Node] = []
     blocks: list[tuple[str, tuple[_Node, ...], bool]] = []
     buffer: list[str] = []
@@ -97,8 +106,7 @@ def parse(html: str):
                 chain = tuple(n for n in stack if n.path)
                 blocks.append((text, chain, stack[-1].article))
                 for n in chain:
-                    if n.text is not None:
-                        n.text.append(text)
+                    n.size += len(text)
 
     def close(k: int):
         flush()
@@ -144,7 +152,7 @@ def parse(html: str):
         if raw and "=" in raw or raw and "hidden" in raw:
             attrs = {k.lower(): (a or b or c or "") for k, a, b, c in _ATTR.findall(raw)}
         if tag in INLINE:
-            if not (attrs and _says_no(tag, attrs, stack[-1].article)) and tag != "label":
+            if not (attrs and (_says_no(tag, attrs, stack[-1].article) or _named(tag, attrs, stack[-1].article))) and tag != "label":
                 continue
         else:
             flush()
@@ -167,10 +175,8 @@ def parse(html: str):
         article = top.article or tag in ARTICLE
         style = tag + ("." + ".".join(sorted(attrs["class"].split())) if attrs.get("class") else "")
         top.children.append(style)
-        node = _Node(tag, f"{top.path}/{style}", top.gone or _says_no(tag, attrs, top.article), article)
-        if not node.gone and tag not in INLINE:
-            node.text = []
-            nodes.append(node)
+        node = _Node(tag, f"{top.path}/{style}", top.gone or _says_no(tag, attrs, top.article), _named(tag, attrs, top.article), article, top)
+        nodes.append(node)
         if raw and raw.endswith("/") and tag not in RAW and tag in ("svg", "path", "circle", "use", "rect"):
             continue
         if tag in RAW:  # their content is no markup
@@ -184,19 +190,29 @@ def parse(html: str):
             continue
         stack.append(node)
     flush()
-    return blocks, nodes
-
-
-def node_features(html: str | None) -> list[tuple[str, int, int]]:
-    """For each merged-tree node of a page its presence (0), content (1) and presentation (2), each once."""
+    total = sum(len(text) for text, _, _ in blocks)
+    for n in nodes:  # parents come first
+        n.gone = n.gone or n.up.gone or (n.named and 2 * n.size <= total)
+    blocks = [b for b in blocks if not (b[1] and b[1][-1].gone)]
+    for text, chain, _ in blocks:
+        for n in chain:
+            n.text.append(text)
+    return blocks, [n for n in nodes if not n.gone and n.tag not in INLINE], total
+
+
+def node_features(html: str | None) -> list[tuple[str, int, int, int]]:
+    """For each merged-tree node of a page its presence (0), content (1) and presentation (2), each once, with a hash of
+    the blocks whose copies count once: those of the page, inside an article those of the article."""
     if not html:
         return []
     out = set()
-    for n in parse(html)[1]:
-        out.add((n.path, 0, 0))
-        out.add((n.path, 2, xxhash.xxh3_64_intdigest(" ".join(n.children)) >> 1))
+    blocks, nodes, _ = parse(html)
+    copy = [xxhash.xxh3_64_intdigest("\n".join(text for text, _, article in blocks if article >= inside)) >> 1 for inside in (False, True)]
+    for n in nodes:
+        out.add((n.path, 0, 0, copy[n.article]))
+        out.add((n.path, 2, xxhash.xxh3_64_intdigest(" ".join(n.children)) >> 1, copy[n.article]))
         if n.text:
-            out.add((n.path, 1, xxhash.xxh3_64_intdigest(" ".join(n.text)) >> 1))
+            out.add((n.path, 1, xxhash.xxh3_64_intdigest(" ".join(n.text)) >> 1, copy[n.article]))
     return list(out)
 
 
@@ -204,16 +220,13 @@ def main_text(html: str | None, low: frozenset[str]) -> str:
     """Text of the page's article; ``low`` are the host's paths of low importance."""
     if not html:
         return ""
-    blocks, _ = parse(html)
-    marked = any(article for _, _, article in blocks)
-    kept = []
-    for text, chain, article in blocks:
-        if marked and not article:
-            continue
-        if low and any(n.path in low and not (article and n.tag in RUNNING) for n in chain):
-            continue
-        kept.append(text)
-    return " ".join(kept)
+    blocks, _, total = parse(html)
+
+    def stays(n: _Node, article: bool) -> bool:
+        return n.path not in low or n.tag in ("html", "body") or 2 * n.size > total or (article and n.tag in RUNNING)
+    kept = [(text, article) for text, chain, article in blocks if not low or all(stays(n, article) for n in chain)]
+    marked = 2 * sum(len(text) for text, article in kept if article) >= sum(len(text) for text, _ in kept)
+    return " ".join(text for text, article in kept if article or not marked)
 
 
 def host_column(url: Column) -> Column:
@@ -222,13 +235,14 @@ def host_column(url: Column) -> Column:
 
 
 def style_importance(pages: DataFrame, url_col: str = "url", html_col: str = "html") -> DataFrame:
-    """``host, path, pages, importance`` of every node of the merged trees."""
-    @F.pandas_udf("array<struct<path:string,kind:int,value:long>>")
+    """``host, path, pages, importance`` of every node of the merged trees; copies of a page or article count once."""
+    @F.pandas_udf("array<struct<path:string,kind:int,value:long,copy:long>>")
     def features(htmls: pd.Series) -> pd.Series:
         return pd.Series([node_features(h) for h in htmls], dtype=object)
 
     seen = (pages.select(host_column(F.col(url_col)).alias("host"), F.explode(features(F.col(html_col))).alias("f"))
-            .groupBy("host", "f.path", "f.kind", "f.value").agg(F.count("*").alias("n")))
+            .select("host", "f.*").distinct()
+            .groupBy("host", "path", "kind", "value").agg(F.count("*").alias("n")))
     n = F.col("n").cast("double")
     per = seen.groupBy("host", "path").agg(
         F.sum(F.when(F.col("kind") == 0, F.col("n"))).alias("pages"),

@@ -297,6 +297,23 @@ def test_main_text(spark):
     assert got[50] == got[51] == "" and got[52] == "A bc d" and got[53] == "open"
 
 
+def test_main_text_of_copies(spark):
+    story = "<p>the whole story at some length</p><ul><li>one point</li><li>another point</li></ul><div><section><p>and its end</p></section></div>"
+    text = "the whole story at some length one point another point and its end"
+    bodies = [f"<article><div>{story}</div></article>", f"<body><div class='page with-sidebar'>{story}</div></body>", f"<div id='search-results-article'>{story}</div>",
+              f"<article><p>a card</p></article><div>{story}</div>"]
+    shown = [text, text, text, "a card " + text]
+    pages = [(100 * k + i, f"http://h{k}.example/{i}", f"<html>{body}</html>") for k, body in enumerate(bodies) for i in range(6)]
+    # three groups of 33 copies on one host
+    pages += [(1000 + i, f"http://g.example/{i}", f"<div>{story}<p>group {i % 3}</p></div>") for i in range(99)]
+    # pages that differ only outside their article, and comments that stay away
+    pages += [(2000 + i, f"http://d.example/{i}", f"<body><p>no {i}</p><article><div>{story}</div><div class='comments'>well</div></article></body>") for i in range(6)]
+    got = {r.page_id: r.text for r in rows(site_style.extract_main_text(spark.createDataFrame(pages, "page_id long, url string, html string")))}
+    assert all(got[100 * k + i] == shown[k] for k in range(4) for i in range(6))
+    assert all(got[1000 + i] == f"{text} group {i % 3}" for i in range(99))
+    assert all(got[2000 + i] == text for i in range(6)), got[2000]
+
+
 def test_empty_tables(spark, no_docs):
     labels = spark.createDataFrame([], "doc_id long, toxic int")
     items = spark.createDataFrame([], "item_id long, text string")
