@@ -634,7 +634,7 @@ def stream_export(spark, d):
                       start="2024-01-03T00:00:00")
     out, ckpt = scratch_path(spark, "stream-out"), scratch_path(spark, "stream-ckpt")
     query = export_stream(spark, f"{d}/ev*.parquet", events.schema, spec, out, ckpt,
-                          id_field="event_id", watermark="365 days")
+                          id_field="event_id")
     query.awaitTermination()
     return read_csv(spark, out, "_id long, ts timestamp_ntz, event_type string, value double")
 
