@@ -12,7 +12,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from . import bpe, decontaminate, naming, ngram_join, ppm, sharding, site_style, skip_crf, suffix_dedup, toxicity
+from . import bpe, decontaminate, naming, ngram_join, phrases, ppm, sharding, site_style, skip_crf, suffix_dedup, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -139,3 +139,35 @@ def op2_ppm(spark, d):
     """Code length of every document by prediction by partial matching, beside the smoothed word counts."""
     return (ppm.score_documents(table(spark, d, "documents"))
             .select("doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"))
+
+
+@register("op11_weighted_automata", r"""
+WITH pieces AS (
+  SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece FROM documents),
+w AS (SELECT lang, list_filter(regexp_split_to_array(piece, '[\x20\x09]+'), lambda x: x <> '') AS w FROM pieces),
+total AS (SELECT lang, CAST(sum(len(w)) AS BIGINT) AS n FROM w GROUP BY lang),
+g AS (
+  SELECT lang, k, phrase, count(*) AS f
+  FROM (SELECT lang, ks.k, array_to_string(w[i:i + ks.k - 1], ' ') AS phrase
+        FROM w, (SELECT unnest([1, 2, 3, 4, 5]) AS k) ks, unnest(generate_series(1, len(w) - ks.k + 1)) AS u(i))
+  GROUP BY ALL HAVING count(*) >= 100),
+c AS (SELECT *, string_split(phrase, ' ') AS w FROM g WHERE k > 1),
+inside AS (
+  SELECT DISTINCT c.lang, array_to_string(c.w[i:j], ' ') AS phrase, c.f
+  FROM c, unnest(generate_series(1, c.k - 1)) AS a(i), unnest(generate_series(2, c.k)) AS b(j)
+  WHERE j > i AND j - i + 1 < c.k),
+kept AS (SELECT c.* FROM c WHERE NOT EXISTS (SELECT 1 FROM inside i WHERE i.lang = c.lang AND i.phrase = c.phrase AND i.f >= c.f)),
+cuts AS (
+  SELECT kept.lang, kept.phrase, kept.f AS a, cut, l.f AS l, r.f AS r, n,
+         CAST((CAST(1000 AS HUGEINT) * kept.f * n) // (CAST(l.f AS HUGEINT) * r.f) AS BIGINT) AS score
+  FROM kept JOIN total USING (lang), unnest(generate_series(1, kept.k - 1)) AS u(cut)
+  JOIN g l ON l.lang = kept.lang AND l.phrase = array_to_string(kept.w[1:cut], ' ')
+  JOIN g r ON r.lang = kept.lang AND r.phrase = array_to_string(kept.w[cut + 1:], ' ')),
+best AS (SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, cut) = 1)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, n, score
+FROM best QUALIFY row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) <= 2000
+""")
+def op11_weighted_automata(spark, d):
+    """The first 2000 phrase collocations of every language."""
+    return phrases.mine_phrases(table(spark, d, "documents"))
