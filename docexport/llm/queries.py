@@ -12,7 +12,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from . import bpe, decontaminate, naming, ngram_join, phrases, ppm, sharding, site_style, skip_crf, suffix_dedup, toxicity
+from . import bpe, decontaminate, naming, ngram_join, phrases, ppm, sharding, simhash, site_style, skip_crf, suffix_dedup, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -171,3 +171,10 @@ FROM best QUALIFY row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DE
 def op11_weighted_automata(spark, d):
     """The first 2000 phrase collocations of every language."""
     return phrases.mine_phrases(table(spark, d, "documents"))
+
+
+@register("op12_trie_self_join")
+def op12_trie_self_join(spark, d):
+    """Components of documents whose SimHash fingerprints differ in at most 3 bits."""
+    found = simhash.near_duplicates(table(spark, d, "documents"))
+    return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), F.col("component").alias("component_id"), "n_links")
