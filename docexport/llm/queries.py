@@ -12,7 +12,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from . import bpe, decontaminate, naming, ngram_join, phrases, ppm, sharding, simhash, site_style, skip_crf, suffix_dedup, toxicity
+from . import bpe, decontaminate, naming, ngram_join, phrases, ppm, sharding, simhash, site_style, skip_crf, suffix_dedup, toxicity, vector_codes
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -178,3 +178,11 @@ def op12_trie_self_join(spark, d):
     """Components of documents whose SimHash fingerprints differ in at most 3 bits."""
     found = simhash.near_duplicates(table(spark, d, "documents"))
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), F.col("component").alias("component_id"), "n_links")
+
+
+@register("op13_hilbert_blocks")
+def op13_hilbert_blocks(spark, d):
+    """Codes of all embeddings, eight parts with codebooks of 16 entries, and their exact errors."""
+    coded, books = vector_codes.compress_vectors(table(spark, d, "embeddings"))
+    return coded.select("vec_id", F.lower(F.lpad(F.hex("codes"), 16, "0")).alias("code"), "error", "label_error",
+                        F.lit(vector_codes.books_digest(books)).alias("codebooks_sha256"))
