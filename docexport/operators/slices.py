@@ -1,11 +1,12 @@
 """Time slicing: equal-width and load-balanced slices of a time range.
 
 A slice plan is a one-row DataFrame (bounds in epoch microseconds, grid
-step, cut points, remainder start). It is built from two distributed
-aggregates over the data (bounds, then a histogram on the step grid) and
-reaches the rows as a scalar subquery (computed once, inlined as a value)
-to label each row with its slice. The only array ever built holds the non-empty histogram buckets,
-whose number is bounded by span / step and checked inside the plan.
+step, cut points, remainder start) that reaches the rows as a scalar subquery
+(computed once, inlined as a value) to label each row with its slice. Equal
+widths need the bounds only. Load-balanced cuts are found by a walk over a
+written histogram on the step grid: totals of wide blocks of steps first, then
+only the blocks that hold a cut, down to single steps. The driver sees at most
+``FAN`` totals for a block, whatever the number of steps in the span.
 
 Slice membership: slices are half-open ``[start, end)``, the last one is
 closed at the last document, so every row with a time is in exactly one
@@ -14,13 +15,19 @@ slice.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.timefn import epoch_micros, micros_to_ntz
-from ..spec import SliceSpec
+from ..session import scratch_table
+from ..spec import SliceSpec, check_step_below_span
 from .predicate import time_column
 
 _US = 1_000_000
+#: Blocks that a block of steps is split into, and blocks fetched by one job at most.
+FAN = 1024
+AHEAD = 32
 
 
 def _with_us(df: DataFrame, time_field: str) -> DataFrame:
@@ -47,12 +54,90 @@ def _bounds(rows_us: DataFrame) -> DataFrame:
                        F.count("__us").alias("__total"))
 
 
+class _Histogram:
+    """Counts of steps ``k`` of a written histogram, fetched in blocks of blocks."""
+
+    def __init__(self, table: DataFrame, steps: int):
+        self.table, self.width = table, FAN
+        while self.width < steps:
+            self.width *= FAN
+        self.known: dict[tuple[int, int], list[tuple[int, int]]] = {}
+
+    def parts(self, width: int, starts: list[int]) -> list[tuple[int, int]]:
+        """(start, count) of the non-empty parts of the first of the blocks; the others are fetched with it."""
+        if (width, starts[0]) not in self.known:
+            wanted = [s for s in starts if (width, s) not in self.known]
+            k, part = F.col("k"), width // FAN
+            cond = reduce(lambda a, b: a | b, [k.between(s, s + width - 1) for s in wanted])
+            rows = (self.table.filter(cond).groupBy(F.expr(f"k div {part}").alias("p"))
+                    .agg(F.sum("c").alias("c")).orderBy("p").collect())
+            self.known.update({(width, s): [] for s in wanted})
+            for r in rows:
+                start = r["p"] * part
+                self.known[(width, start // width * width)].append((start, r["c"]))
+        return self.known.pop((width, starts[0]))
+
+
+def load_cuts(table: DataFrame, n: int, total: int, steps: int, last: int) -> list[int]:
+    """Steps at which slices end: after a step with which the slice holds at least ``total / n`` rows.
+
+    ``table`` holds ``k, c``: the rows of every non-empty step. There are at
+    most ``n - 1`` cuts, none after step ``last``. A block that can't fill the
+    slice is added whole; only one that can is opened, and with it those that
+    the next cuts will probably need.
+    """
+    hist = _Histogram(table, steps)
+    cuts: list[int] = []
+    held = 0
+
+    def probable(parts, i, have):
+        found = []
+        for start, c in parts[i:]:
+            have += c
+            if n * have >= total:
+                found.append(start)
+                have = max(0, have - total // n)
+                if len(found) == AHEAD:
+                    break
+        return found
+
+    def walk(width, starts):
+        nonlocal held
+        parts = hist.parts(width, starts)
+        for i, (start, c) in enumerate(parts):
+            if len(cuts) == n - 1:
+                return
+            if n * (held + c) < total:
+                held += c
+            elif width > FAN:
+                walk(width // FAN, probable(parts, i, held))
+            elif start + 1 <= last:
+                cuts.append(start + 1)
+                held = 0
+            else:
+                held += c
+
+    if n > 1 and total:
+        walk(hist.width, [0])
+    return cuts
+
+
+def _plan_row(df: DataFrame, lo, hi, total, n, cuts, step_us, r0) -> DataFrame:
+    def num(v):
+        return F.lit(v).cast("bigint")
+    return df.sparkSession.range(1).select(
+        num(lo).alias("__lo"), num(hi).alias("__hi"), num(total).alias("__total"), F.lit(n).alias("__n"),
+        F.array(*map(F.lit, cuts)).cast("array<bigint>").alias("__cuts"), num(step_us).alias("__step"),
+        num(r0).alias("__r0"), F.lit(len(cuts)).alias("__m"))
+
+
 def slice_plan(df: DataFrame, time_field: str, spec: SliceSpec) -> DataFrame:
     """One row describing the slices of ``df`` over ``time_field``.
 
     Columns: ``__lo``, ``__hi`` (first and last document, epoch micros),
     ``__n``, ``__cuts`` (grid indices of the cuts), ``__step`` (micros),
     ``__r0`` (start of the equal-width remainder), ``__m`` (number of cuts).
+    With a step the cuts are found here, by jobs over the time column.
     """
     n = spec.n
     rows = _with_us(df, time_field).select("__us").filter(F.col("__us").isNotNull())
@@ -65,49 +150,17 @@ def slice_plan(df: DataFrame, time_field: str, spec: SliceSpec) -> DataFrame:
             F.col("__lo").alias("__r0"), F.lit(0).alias("__m"))
 
     step_us = spec.step_seconds * _US
-    span = F.col("__hi") - F.col("__lo")
-    checked = bounds.select(
-        "__lo", "__hi", "__total",
-        F.when(span <= F.lit(0), F.lit(True))
-        .when(F.lit(step_us) >= span, F.raise_error(F.concat(
-            F.lit(f"step of {spec.step_seconds}s is not smaller than the span of "),
-            (span / F.lit(_US)).cast("string"), F.lit("s"))))
-        .when(span / F.lit(step_us) > F.lit(spec.max_buckets), F.raise_error(F.lit(
-            f"more than {spec.max_buckets} steps in the span: choose a longer step")))
-        .otherwise(F.lit(True)).alias("__ok"))
-    # Histogram on the step grid anchored at the first document; only
-    # non-empty buckets exist, at most span / step of them.
-    hist = (with_scalars(rows, checked, ["__lo", "__ok"])
-            .filter(F.col("__ok"))
-            .groupBy(F.expr(f"(__us - __lo) div {step_us}").alias("k"))
+    lo, hi, total = bounds.first()
+    if lo is None or hi == lo:
+        return _plan_row(df, lo, hi, total, n, [], step_us, lo)
+    check_step_below_span((hi - lo) / _US, spec.step_seconds)
+    hist = (rows.groupBy(F.expr(f"(__us - ({lo})) div {step_us}").alias("k"))
             .agg(F.count(F.lit(1)).alias("c"), F.min("__us").alias("mn")))
-    gathered = hist.agg(F.array_sort(F.collect_list(F.struct("k", "c", "mn"))).alias("__h"))
-    plan = with_scalars(gathered, checked)
-
-    # The walk over the histogram (see the module notes): grow the current
-    # slice bucket by bucket; cut when it holds at least total/n documents,
-    # fewer than n-1 cuts exist and the cut lies within the span.
-    fold = f"""
-        coalesce(aggregate(
-            coalesce(__h, cast(array() AS array<struct<k:bigint,c:bigint,mn:bigint>>)),
-            named_struct('acc', 0L, 'cuts', cast(array() AS array<bigint>)),
-            (s, b) -> CASE
-                WHEN size(s.cuts) < {n - 1}
-                     AND s.acc + b.c >= __total / {float(n)}
-                     AND (b.k + 1) * {step_us} <= __hi - __lo
-                THEN named_struct('acc', 0L, 'cuts', array_append(s.cuts, b.k + 1))
-                ELSE named_struct('acc', s.acc + b.c, 'cuts', s.cuts) END
-        ).cuts, cast(array() AS array<bigint>))"""
-    # Start of the equal-width remainder: the first document at or after the last cut.
-    remainder_start = """
-        coalesce(array_min(transform(
-            filter(__h, b -> b.k >= coalesce(try_element_at(__cuts, -1), 0L)),
-            b -> b.mn)), __lo)"""
-    return (plan.withColumn("__cuts", F.expr(fold))
-            .select("__lo", "__hi", "__total", F.lit(n).alias("__n"), "__cuts",
-                    F.lit(step_us).cast("long").alias("__step"),
-                    F.expr(remainder_start).alias("__r0"),
-                    F.size("__cuts").alias("__m")))
+    with scratch_table(hist.repartitionByRange("k").sortWithinPartitions("k"), "slice-histogram") as steps:
+        cuts = load_cuts(steps, n, total, (hi - lo) // step_us + 1, (hi - lo) // step_us)
+        # The remainder starts at the first document at or after the last cut.
+        r0 = steps.filter(F.col("k") >= cuts[-1]).agg(F.min("mn")).first()[0] if cuts else lo
+    return _plan_row(df, lo, hi, total, n, cuts, step_us, r0)
 
 
 # Slice of a time in micros ``__us``, with the plan columns in scope: before

@@ -26,12 +26,13 @@ import sys
 if __package__ in (None, ""):
     sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__)))))
 
+from docexport.operators.predicate import select_documents  # noqa: E402
 from docexport.operators.slices import slice_table  # noqa: E402
 from docexport.plans.job import aggregate_only, export, export_and_aggregate  # noqa: E402
 from docexport.session import build_session  # noqa: E402
 from docexport.sinks.csv import write_single_csv  # noqa: E402
 from docexport.sources.readers import scan  # noqa: E402
-from docexport.spec import AggSpec, ExportSpec, SliceSpec, parse_couples  # noqa: E402
+from docexport.spec import AggSpec, ExportSpec, SliceSpec, parse_couples, parse_instant  # noqa: E402
 
 
 def _source_args(p: argparse.ArgumentParser) -> None:
@@ -97,6 +98,10 @@ def parser() -> argparse.ArgumentParser:
     sl = sub.add_parser("slices", help="cut the time range into slices")
     _source_args(sl)
     sl.add_argument("--time-field", required=True)
+    sl.add_argument("--query", help="SQL predicate over the documents")
+    sl.add_argument("--start")
+    sl.add_argument("--end")
+    sl.add_argument("--zone", default="UTC", help="zone of bounds without an offset")
     sl.add_argument("--slices", type=int, required=True)
     sl.add_argument("--step", help="load-balance step such as 1d; none = equal widths")
     sl.add_argument("--allow-short", action="store_true")
@@ -149,6 +154,9 @@ def main(argv=None) -> int:
             raise SystemExit("--agg-out is needed")
     else:
         slices = SliceSpec(n=args.slices, step=args.step, allow_short=args.allow_short)
+        for bound in (args.start, args.end):
+            if bound is not None:
+                parse_instant(bound, args.zone)
 
     spark = build_session(args.master, app=f"docexport-{args.command}")
     if args.command == "export":
@@ -162,7 +170,8 @@ def main(argv=None) -> int:
                        sep=args.sep, decimal=args.decimal, rename=parse_couples(args.rename),
                        overwrite=args.overwrite)
     else:
-        table = slice_table(_docs(spark, args), args.time_field, slices)
+        docs = select_documents(_docs(spark, args), args.query, args.time_field, args.start, args.end, args.zone)
+        table = slice_table(docs, args.time_field, slices)
         write_single_csv(table, args.out, overwrite=args.overwrite)
     return 0
 

@@ -11,8 +11,10 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings every job of this package assumes. Timestamps without a zone are
 # read as UTC wall clock, so the session zone is pinned to UTC.
@@ -82,3 +84,29 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path under the shared checkpoint folder for files a job writes."""
     base = ensure_checkpoint_dir(spark)
     return os.path.join(base, "scratch", f"{name}-{uuid.uuid4().hex}")
+
+
+def remove_path(spark: SparkSession, path: str) -> None:
+    """Delete a file or folder where Spark's own file systems find it."""
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+
+
+def write_scratch(df: DataFrame, name: str) -> tuple[DataFrame, str]:
+    """A written copy of ``df`` in the shared scratch folder, and its path."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.option("compression", "zstd").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path), path
+
+
+@contextmanager
+def scratch_table(df: DataFrame, name: str) -> Iterator[DataFrame]:
+    """A written copy of ``df`` that several jobs share; deleted at the end.
+
+    A lost executor costs the tasks that read it, not the plan that made it.
+    """
+    copy, path = write_scratch(df, name)
+    try:
+        yield copy
+    finally:
+        remove_path(df.sparkSession, path)

@@ -217,7 +217,6 @@ class SliceSpec:
     n: int
     step: str | None = None  # duration text; None = equal width
     allow_short: bool = False
-    max_buckets: int = 1_000_000
 
     def __post_init__(self):
         if self.n < 1:

@@ -27,3 +27,14 @@ def test_export_aggregate_and_slices(spark, tmp_path):
                  "--slices", "4", "--step", "2d", "--out", sl]) == 0
     t = read_csv(spark, sl, "slice_id int, slice_start timestamp_ntz, slice_end timestamp_ntz, n long")
     assert t.groupBy().sum("n").first()[0] == 1000
+
+
+def test_slices_of_a_query_and_a_range_in_a_zone(spark, tmp_path):
+    sl = str(tmp_path / "slices.csv")
+    assert main(["slices", "--source", f"{SF}/events.parquet", "--time-field", "ts", "--query", "event_type = 'view'",
+                 "--start", "2024-01-02T01:00:00", "--end", "2024-01-20T00:00:00", "--zone", "Europe/Rome",
+                 "--slices", "3", "--out", sl]) == 0
+    t = read_csv(spark, sl, "slice_id int, slice_start timestamp_ntz, slice_end timestamp_ntz, n long")
+    want = spark.read.parquet(f"{SF}/events.parquet").filter(
+        "event_type = 'view' and ts >= timestamp_ntz'2024-01-02 00:00:00' and ts <= timestamp_ntz'2024-01-19 23:00:00'").count()
+    assert want > 0 and t.groupBy().sum("n").first()[0] == want

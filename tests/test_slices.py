@@ -1,10 +1,12 @@
 """Time slices: properties, edge cases, and a brute-force restatement of the walk."""
 
 import datetime as dt
+import os
 import random
 
 import pytest
 
+from docexport.operators import slices
 from docexport.operators.slices import assign_slices, slice_table
 from docexport.spec import SliceSpec
 
@@ -110,3 +112,56 @@ def test_null_times_have_no_slice(spark):
     df = spark.createDataFrame([(1, None), (2, EPOCH)], "id long, t timestamp_ntz")
     got = {r["id"]: r["slice_id"] for r in assign_slices(df, "t", SliceSpec(n=2)).collect()}
     assert got == {1: None, 2: 0}
+
+
+def test_over_a_million_steps_match_brute_force(spark, monkeypatch):
+    """A span of 1.5 million one-minute steps, walked through several levels of blocks; nothing is refused."""
+    rng = random.Random(11)
+    minute = 60 * US
+    micros = [rng.randrange(0, 1_500_000) * minute + rng.randrange(minute) for _ in range(700)]
+    micros += [0, 1_500_000 * minute] + [micros[5]] * 300  # a hot instant
+    n = 9
+    steps = sorted((u // minute, u) for u in micros)
+    cuts, held = [], 0
+    for k in sorted({k for k, _ in steps}):
+        held += sum(1 for x, _ in steps if x == k)
+        if len(cuts) < n - 1 and n * held >= len(micros) and (k + 1) * minute <= max(micros):
+            cuts.append(k + 1)
+            held = 0
+    for fan in (1024, 8):
+        monkeypatch.setattr(slices, "FAN", fan)
+        plan = slices.slice_plan(frame(spark, micros), "t", SliceSpec(n=n, step="1m", allow_short=True)).first()
+        assert plan["__cuts"] == cuts and len(cuts) > 3
+        assert plan["__r0"] == min(u for u in micros if u >= cuts[-1] * minute)
+
+
+def test_the_walk_opens_only_blocks_with_a_cut(spark, monkeypatch):
+    """Every job of the walk fetches bounded totals, and blocks without a cut stay closed."""
+    monkeypatch.setattr(slices, "FAN", 16)
+    hist = spark.createDataFrame([(k, 1) for k in range(0, 60_000, 7)], "k long, c long")
+    fetched = []
+    plain = slices._Histogram.parts
+
+    def parts(self, width, starts):
+        out = plain(self, width, starts)
+        fetched.append((width, len(out)))
+        return out
+    monkeypatch.setattr(slices._Histogram, "parts", parts)
+    total = len(range(0, 60_000, 7))
+    cuts = slices.load_cuts(hist, 3, total, 60_000, 59_999)
+    assert cuts == [7 * (-(-total // 3) - 1) + 1, 7 * (2 * -(-total // 3) - 1) + 1]
+    assert max(n for _, n in fetched) <= 16 and len(fetched) <= 1 + 2 * 3
+
+
+def test_empty_table_has_no_slices(spark):
+    df = spark.createDataFrame([], "id long, t timestamp_ntz")
+    for spec in (SliceSpec(n=3), SliceSpec(n=3, step="1d")):
+        assert slice_table(df, "t", spec).collect() == []
+        assert assign_slices(df, "t", spec).collect() == []
+
+
+def test_scratch_histogram_is_deleted(spark):
+    from docexport.session import ensure_checkpoint_dir
+    base = os.path.join(ensure_checkpoint_dir(spark).removeprefix("file:"), "scratch")
+    slice_table(frame(spark, CASES["even"]), "t", SliceSpec(n=4, step="1d")).collect()
+    assert not [x for x in os.listdir(base) if x.startswith("slice-histogram")]
