@@ -4,24 +4,32 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window, functions as F
 
+from ..functions.timefn import order_key
 from .project import qcol
 
 
+def _time_key(df: DataFrame, time_field: str):
+    return order_key(qcol(time_field), df.schema[time_field].dataType)
+
+
 def sort_by_time(df: DataFrame, time_field: str, id_col: str = "_id") -> DataFrame:
-    """Ascending by time, nulls last, ``_id`` as tie-break.
+    """Ascending by time, nulls last, ``_id`` as tie-break (T1); time texts by their instants.
 
     A global sort range-partitions the rows, so part files written in
     partition order are in time order.
     """
-    keys = [F.asc_nulls_last(qcol(time_field))]
+    keys = [F.asc_nulls_last(_time_key(df, time_field))]
     if id_col in df.columns and id_col != time_field:
         keys.append(F.asc_nulls_last(qcol(id_col)))
     return df.orderBy(*keys)
 
 
 def time_bounds(df: DataFrame, time_field: str) -> DataFrame:
-    """One row: first and last time and the count of rows with a time."""
-    t = qcol(time_field)
+    """One row: first and last time and the count of rows with a time.
+
+    Of time texts the earliest and the latest instant are taken, as UTC wall clock.
+    """
+    t = _time_key(df, time_field)
     return df.agg(F.min(t).alias("first_time"), F.max(t).alias("last_time"),
                   F.count(t).alias("n_docs"))
 
@@ -32,7 +40,7 @@ def first_last(df: DataFrame, time_field: str, id_col: str = "_id") -> DataFrame
     Ties on time are broken by the smaller id for the first and the larger
     id for the last document; a single aggregation pass, no sort.
     """
-    t, i = qcol(time_field), qcol(id_col)
+    t, i = _time_key(df, time_field), qcol(id_col)
     rows = df.filter(t.isNotNull())
     return rows.agg(
         F.min_by(i, F.struct(t, i)).alias("first_id"),

@@ -1,16 +1,17 @@
 """Filters: closed time range in a named zone, open bounds, user predicate.
 
 Bounds are turned into literals of the time column's own type on the
-driver, so the comparison reaches the Parquet scan as ``PushedFilters``.
+driver, so the comparison reaches the Parquet scan as ``PushedFilters``; for
+times kept as text these are wide text bounds, and the instants decide.
 """
 
 from __future__ import annotations
 
 from datetime import datetime
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F
 
-from ..functions.timefn import instant_literal
+from ..functions.timefn import between_instants
 from ..spec import parse_instant
 from .project import resolve_path
 
@@ -28,15 +29,13 @@ def time_range(df: DataFrame, time_field: str,
     """Rows with ``start <= t <= end`` (both ends closed, F1).
 
     A missing side is open (F2); rows without a time value always drop out.
-    Bound text without an offset is wall clock in ``zone`` (F5).
+    Bound text without an offset is wall clock in ``zone`` (F5). The field may
+    be a timestamp, a date (its midnight in UTC) or ISO-8601 text, whose own
+    offset counts and which is UTC without one.
     """
     col, dtype = time_column(df, time_field)
-    cond: Column = col.isNotNull()
-    if start is not None:
-        cond = cond & (col >= instant_literal(parse_instant(start, zone), dtype))
-    if end is not None:
-        cond = cond & (col <= instant_literal(parse_instant(end, zone), dtype))
-    return df.filter(cond)
+    lo, hi = (None if b is None else parse_instant(b, zone) for b in (start, end))
+    return df.filter(between_instants(col, dtype, lo, hi))
 
 
 def where(df: DataFrame, predicate) -> DataFrame:

@@ -15,8 +15,10 @@ from __future__ import annotations
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql.types import StringType
 
 from ..functions.fmt import round_floats
+from ..functions.timefn import order_key as instant_key
 from ..operators.aggregate import aggregate
 from ..operators.dedup import dedup_by_fields, dedup_by_id
 from ..operators.predicate import select_documents, time_column
@@ -44,10 +46,11 @@ def export_frame(docs: DataFrame, spec: ExportSpec, id_col: str = "_id",
                          drop_parents=spec.falsy == "null")
     order_key = None
     if spec.time_field is not None and spec.order:
-        if spec.time_field in spec.columns and spec.time_field in rows.columns:
+        time, dtype = time_column(rows, spec.time_field)
+        if spec.time_field in spec.columns and spec.time_field in rows.columns and not isinstance(dtype, StringType):
             order_key = spec.time_field  # exported as is: order on the exported column
         else:
-            cols.append(time_column(rows, spec.time_field)[0].alias(_T))  # order key only
+            cols.append(instant_key(time, dtype).alias(_T))  # order key only
             order_key = _T
     projected = round_floats(rows.select(cols), spec.rounding)
     has_id = id_col in projected.columns
