@@ -10,6 +10,7 @@ bounded by the time span divided by the bucket width, not by the data.
 from __future__ import annotations
 
 from dataclasses import dataclass
+from decimal import Decimal
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
@@ -79,8 +80,14 @@ def _exact_scaled(dtype: DataType, rounding: int | None) -> bool:
     return isinstance(dtype, (DoubleType, FloatType)) and rounding is not None
 
 
-def _agg_exprs(fn: str, col: Column, dtype: DataType, rounding: int | None,
-               guard: bool = False) -> list[Column]:
+#: Values of one low limb of a sum; scaled values below 2 ** 53 are exact in a double.
+LIMB = 1 << 24
+EXACT = float(1 << 53)
+#: From here on a double has no digits that a wide decimal could add.
+HUGE = 1e24
+
+
+def _agg_exprs(fn: str, col: Column, dtype: DataType, rounding: int | None) -> list[Column]:
     """Spark aggregate expressions for one function; see ``_finish``."""
     if fn == "count":
         return [F.count(col)]
@@ -89,40 +96,37 @@ def _agg_exprs(fn: str, col: Column, dtype: DataType, rounding: int | None,
     if not isinstance(dtype, NumericType):
         raise ValueError(f"{fn} needs a numeric column, got {dtype.simpleString()}")
     if _exact_scaled(dtype, rounding):
-        # Values already have ``rounding`` decimals: summing them as whole
-        # multiples of 10^-rounding in a long is exact, does not depend on the
-        # partitioning, and stays in codegen (a wide decimal sum does not).
-        # Under ANSI mode a long overflow raises; without it a plain double
-        # sum and the sum of magnitudes ride along to catch one (``_finish``).
-        scaled = F.rint(col * F.lit(float(10 ** rounding))).cast("long")
-        if guard:
-            return [F.sum(scaled), F.count(col), F.sum(col), F.sum(F.abs(col))]
-        return [F.sum(scaled), F.count(col)]
-    if isinstance(dtype, IntegralType):
-        return [F.sum(col), F.count(col)]
+        # Values already have ``rounding`` decimals. They are summed as whole
+        # multiples of 10^-rounding in two limbs, each a sum of longs: exact,
+        # independent of the partitioning, without a wide decimal in the
+        # aggregate buffer, and with room for 2^39 rows. Multiples beyond the
+        # whole numbers of a double are cut into limbs as decimals, value by
+        # value; where a double has no such digits left, it is summed as it is.
+        scale = F.lit(float(10 ** rounding))
+        size = F.abs(col)
+        small = F.rint(col * scale).cast("long")
+        wide = (col.cast(f"decimal(38,{rounding})") * F.lit(Decimal(10) ** rounding)).cast("decimal(38,0)")
+        fits, huge = size * scale < F.lit(EXACT), size * scale >= F.lit(HUGE)
+        high = (F.when(fits, F.call_function("div", small, F.lit(LIMB)))
+                .when(~huge, F.call_function("div", wide, F.lit(LIMB).cast("decimal(38,0)"))))
+        low = F.when(fits, small % F.lit(LIMB)).when(~huge, (wide % F.lit(LIMB).cast("decimal(38,0)")).cast("long"))
+        return [F.sum(high), F.sum(low), F.sum(F.when(huge, col.cast("double"))), F.count(col)]
     return [F.sum(col), F.count(col)]
 
 
-def _finish(fn: str, parts: list[Column], dtype: DataType, rounding: int | None,
-            guard: bool = False) -> Column:
+def _finish(fn: str, parts: list[Column], dtype: DataType, rounding: int | None) -> Column:
     if fn == "count":
         return F.coalesce(parts[0], F.lit(0).cast("long"))
     if fn in ("min", "max"):
         return parts[0]
-    total, n = parts[0], parts[1]
     if _exact_scaled(dtype, rounding):
-        value = total.cast("double") / F.lit(float(10 ** rounding))
-        if guard:
-            approx, magnitude = parts[2], parts[3]
-            # A wrapped long is off by about 2^64 units; double rounding error
-            # is far below one millionth of the summed magnitudes.
-            fits = total.isNull() | (F.abs(value - approx) <= magnitude * F.lit(1e-6) + F.lit(1.0))
-            value = F.when(fits, value).otherwise(
-                F.raise_error(F.lit("exact sum overflowed 64 bits; lower the rounding")))
-    elif isinstance(dtype, IntegralType):
-        value = total
+        high, low, huge, n = parts
+        zero = F.lit(0).cast("long")
+        whole = (F.coalesce(high, zero).cast("decimal(20,0)") * F.lit(LIMB) + F.coalesce(low, zero)).cast("double") / F.lit(float(10 ** rounding))
+        value = F.when(n > 0, whole + F.coalesce(huge, F.lit(0.0)))
     else:
-        value = total.cast("double")
+        total, n = parts
+        value = total if isinstance(dtype, IntegralType) else total.cast("double")
     if fn == "sum":
         zero = F.lit(0).cast("long") if isinstance(dtype, IntegralType) else F.lit(0.0)
         return F.coalesce(value, zero)
@@ -130,10 +134,10 @@ def _finish(fn: str, parts: list[Column], dtype: DataType, rounding: int | None,
     return F.when(n > 0, value.cast("double") / n.cast("double"))
 
 
-def _n_parts(fn: str, dtype: DataType, rounding: int | None, guard: bool) -> int:
+def _n_parts(fn: str, dtype: DataType, rounding: int | None) -> int:
     if fn in ("count", "min", "max"):
         return 1
-    return 4 if _exact_scaled(dtype, rounding) and guard else 2
+    return 4 if _exact_scaled(dtype, rounding) else 2
 
 
 def _is_double_result(fn: str, dtype: DataType) -> bool:
@@ -219,13 +223,11 @@ def aggregate(df: DataFrame, spec: AggSpec, sort: bool = True, pre_round: bool =
     if not spec.keep_null_keys and group_cols:
         work = work.filter(reduce(lambda a, b: a & b, [qcol(k).isNotNull() for k in group_cols]))
 
-    # Without ANSI mode a long sum wraps silently; guard exact sums then.
-    guard = str(df.sparkSession.conf.get("spark.sql.ansi.enabled", "true")).lower() != "true"
     exprs: list[Column] = []
     plan: list[tuple[str, str, int, DataType]] = []
     for c, fn in r.functions.items():
         dtype = types[c]
-        parts = _agg_exprs(fn, qcol(c), dtype, spec.rounding, guard)
+        parts = _agg_exprs(fn, qcol(c), dtype, spec.rounding)
         base = len(exprs)
         for j, p in enumerate(parts):
             exprs.append(p.alias(f"__p{base + j}"))
@@ -237,8 +239,8 @@ def aggregate(df: DataFrame, spec: AggSpec, sort: bool = True, pre_round: bool =
 
     out = [qcol(k) for k in group_cols]
     for c, fn, base, dtype in plan:
-        parts = [F.col(f"__p{base + j}") for j in range(_n_parts(fn, dtype, spec.rounding, guard))]
-        value = _finish(fn, parts, dtype, spec.rounding, guard)
+        parts = [F.col(f"__p{base + j}") for j in range(_n_parts(fn, dtype, spec.rounding))]
+        value = _finish(fn, parts, dtype, spec.rounding)
         if spec.rounding is not None and _is_double_result(fn, dtype):
             value = round_half_even(value.cast("double"), spec.rounding)  # A10: round again
         out.append(value.alias(r.names[c]))

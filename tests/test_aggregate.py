@@ -2,6 +2,9 @@
 
 import datetime as dt
 import math
+import random
+from decimal import Decimal
+import math
 
 import numpy as np
 import pandas as pd
@@ -155,15 +158,41 @@ def test_count_rows(frame):
     assert count_rows(frame.filter("key1 = 'a'")).first()[0] == 3
 
 
-def test_exact_sum_overflow_is_an_error_in_any_mode(spark):
-    big = spark.createDataFrame([("k", 4e16)] * 300, "k string, v double")
-    for ansi in ("true", "false"):
-        spark.conf.set("spark.sql.ansi.enabled", ansi)
-        try:
-            with pytest.raises(Exception, match="overflow"):
-                aggregate(big, AggSpec(keys="k", functions="v--sum")).collect()
-        finally:
-            spark.conf.set("spark.sql.ansi.enabled", "true")
+@pytest.mark.parametrize("ansi", ["true", "false"])
+def test_sums_beyond_64_bits(spark, ansi):
+    """Values and totals whose multiples of 0.01 pass 64 bits, beside small ones, of both signs."""
+    groups = {"total": [4e16] * 300, "value": [2e17, -0.25, 0.5], "mixed": [2e17, 1e14 + 0.37, -9.1e13 - 0.5, 0.01, -0.02, 123456789012.34] * 7,
+              "negative": [-4e16] * 300 + [1.11], "wide": [3e20, 5e21, -1e19, 12.34], "cancel": [5e21, -5e21, 0.07], "huge": [1e300, 2e25, 1.0],
+              "endless": [float("inf"), 1.0], "missing": [None, float("nan")]}
+    rows = [(k, v) for k, vs in groups.items() for v in vs]
+    df = spark.createDataFrame(rows, "k string, v double").repartition(5)
+    spark.conf.set("spark.sql.ansi.enabled", ansi)
+    try:
+        got = {r["k"]: r for r in aggregate(df, AggSpec(keys="k", functions="v--sum")).collect()}
+        mean = {r["k"]: r for r in aggregate(df, AggSpec(keys="k", functions="v--mean")).collect()}
+    finally:
+        spark.conf.set("spark.sql.ansi.enabled", "true")
+    for k, vs in groups.items():
+        vs = [v for v in vs if v is not None and v == v]
+        want = math.inf if math.inf in vs else float(sum((Decimal(repr(v)) for v in vs), Decimal(0)))
+        assert got[k]["agg__v__sum"] == pytest.approx(want, rel=1e-15, abs=1e-9), k
+        assert mean[k]["agg__v__mean"] == (pytest.approx(want / len(vs), rel=1e-14, abs=0.005) if vs else None), k
+    assert got["cancel"]["agg__v__sum"] == 0.07 and got["value"]["agg__v__sum"] == 2e17 + 0.25
+
+
+@pytest.mark.parametrize("rounding", [0, 4, 9])
+def test_sums_at_other_roundings(spark, rounding):
+    rng = random.Random(rounding)
+    vs = [round(rng.uniform(-1, 1) * 10 ** rng.randint(0, 16), rounding) for _ in range(500)]
+    df = spark.createDataFrame([("k", v) for v in vs], "k string, v double").repartition(3)
+    got = aggregate(df, AggSpec(keys="k", functions="v--sum", rounding=rounding), pre_round=False).first()[1]
+    assert got == pytest.approx(float(sum(Decimal(repr(v)) for v in vs)), rel=1e-14)
+
+
+def test_exact_sums_stay_hash_aggregates_without_python(spark):
+    df = spark.range(1000).selectExpr("id % 7 AS k", "id / 3.0D AS v")
+    plan = aggregate(df, AggSpec(keys="k", functions="v--sum"))._jdf.queryExecution().executedPlan().toString()
+    assert "HashAggregate" in plan and "SortAggregate" not in plan and "Python" not in plan
 
 
 def test_dense_calendar_of_many_chunks(spark):
