@@ -36,10 +36,11 @@ from .common import bounded_batches, materialize, pieces, release, text_buffers
 MIN_COUNT = 100
 MAX_WORDS = 5
 PER_LANG = 2000
-#: Bytes of text in a shard, about.
-SHARD_BYTES = 12 << 20
+#: Bytes of text in a shard, about, and in all shards that a task holds.
+SHARD_BYTES = 16 << 20
+HELD_BYTES = 40 << 20
 #: Windows that a sweep holds, about.
-SWEEP = 1 << 20
+SWEEP = 1 << 19
 #: Windows for which one prefix range is made, and most ranges.
 RANGE_WINDOWS = 1 << 19
 MAX_RANGES = 4096
@@ -107,20 +108,18 @@ _SHARD_SCHEMA = pa.schema([("shard", pa.int64()), ("lang", pa.string()), ("words
 def _shards(batches):
     number = TaskContext.get().partitionId() << 32
     held: dict[str, tuple[list, list]] = {}
-    size = 0
+    size: dict[str, int] = {}
 
-    def flush():
+    def flush(lang):
         nonlocal number
-        for lang in sorted(held):
-            dictionary, counts, tokens = _shard(*held[lang])
-            number += 1
-            yield pa.RecordBatch.from_arrays([
-                pa.array([number]), pa.array([lang]),
-                pa.ListArray.from_arrays(pa.array([0, len(dictionary)], pa.int32()), dictionary.cast(pa.string())),
-                pa.ListArray.from_arrays(pa.array([0, len(counts)], pa.int32()), pa.array(counts, pa.int64())),
-                pa.array([tokens.tobytes()], pa.binary())], schema=_SHARD_SCHEMA)
-        held.clear()
-        release()
+        dictionary, counts, tokens = _shard(*held.pop(lang))
+        del size[lang]
+        number += 1
+        yield pa.RecordBatch.from_arrays([
+            pa.array([number]), pa.array([lang]),
+            pa.ListArray.from_arrays(pa.array([0, len(dictionary)], pa.int32()), dictionary.cast(pa.string())),
+            pa.ListArray.from_arrays(pa.array([0, len(counts)], pa.int32()), pa.array(counts, pa.int64())),
+            pa.array([tokens.tobytes()], pa.binary())], schema=_SHARD_SCHEMA)
 
     for batch in batches:
         langs = batch.column("lang").dictionary_encode()
@@ -129,15 +128,18 @@ def _shards(batches):
             raw, off = text_buffers(batch.filter(pa.array(index == k)).column("text"))
             for lo, hi in pieces(off):
                 words, first = split_words(raw, off[lo:hi + 1])
-                size += int(off[hi] - off[lo])
                 if len(words):
                     mine = held.setdefault(lang, ([], []))
                     mine[0].append(words)
                     mine[1].append(first)
-                if size >= SHARD_BYTES:
-                    yield from flush()
-                    size = 0
-    yield from flush()
+                    size[lang] = size.get(lang, 0) + int(off[hi] - off[lo])
+                    if size[lang] >= SHARD_BYTES:
+                        yield from flush(lang)
+                    while sum(size.values()) >= HELD_BYTES:
+                        yield from flush(max(size, key=size.get))
+    for lang in sorted(held):
+        yield from flush(lang)
+    release()
 
 
 # -- transducers -----------------------------------------------------------
@@ -180,30 +182,37 @@ def windows_of(numbers: np.ndarray, width: int) -> np.ndarray:
 def build(rows: np.ndarray, weights: np.ndarray) -> bytes:
     """A count transducer of sorted distinct windows.
 
-    A window leaves the path of the one before it after the words both share;
-    the chain of words it adds, with its weight, is stored once for all
-    windows that end alike.
+    A window leaves the path of the one before it after the words both share.
+    What it adds ends in a final state for its weight; going back from there,
+    equal (word, next state) are one state for all windows.
     """
     m, width = rows.shape
     same = np.zeros((m, width), dtype=bool)
     same[1:] = rows[1:] == rows[:-1]
     shared = np.logical_and.accumulate(same, axis=1).sum(axis=1)
-    at = shared[:, None] + np.arange(width)[None, :]
-    tails = np.where(at < width, np.take_along_axis(rows, np.minimum(at, width - 1), axis=1), 0)
-    order, new = sort_rows(np.column_stack([tails, weights]))
-    ref = np.empty(m, np.int64)
-    ref[order] = np.cumsum(new) - 1
-    chains, loads = tails[order[new]], weights[order[new]]
-    length = (chains > 0).sum(axis=1)
-    labels = chains[chains > 0]
-    parts = [shared.astype(np.uint8), _narrow(ref), length.astype(np.uint8), _narrow(labels), _narrow(loads)]
-    head = np.array([width, *(x for p in parts for x in (len(p), p.itemsize))], np.int64)
-    return b"".join([head.tobytes(), *(p.tobytes() for p in parts)])
-
-
-def _narrow(a: np.ndarray) -> np.ndarray:
-    top = int(a.max()) if len(a) else 0
-    return a.astype(np.uint16 if top < 1 << 16 else np.uint32 if top < 1 << 32 else np.int64)
+    length = (rows > 0).sum(axis=1)
+    loads, state = np.unique(weights, return_inverse=True)
+    words, targets, count = [], [], len(loads)
+    for back in range(1, width + 1):
+        at = np.flatnonzero(length - shared >= back)
+        arcs = np.column_stack([state[at], rows[at, length[at] - back]])
+        order, new = sort_rows(arcs)
+        number = np.empty(len(at), np.int64)
+        number[order] = np.cumsum(new) - 1
+        state[at] = count + number
+        count += int(new.sum())
+        targets.append(arcs[order[new], 0])
+        words.append(arcs[order[new], 1])
+    parts = [shared, state, np.concatenate(words), np.concatenate(targets), loads]
+    planes = [_planes(p) for p in parts]
+    head = np.array([width, *(x for p, (_, size) in zip(parts, planes, strict=True) for x in (len(p), size))], np.int64)
+    return b"".join([head.tobytes(), *(p for p, _ in planes)])
+
+
+def _planes(a: np.ndarray) -> tuple[bytes, int]:
+    """Numbers >= 0 as their lowest bytes, then the next, as many as the greatest needs; like bytes lie together and compress."""
+    size = max(1, -(-int(a.max(initial=0)).bit_length() // 8))
+    return np.ascontiguousarray(a.astype("<i8").view(np.uint8).reshape(-1, 8)[:, :size].T).tobytes(), size
 
 
 def paths(blob: bytes) -> tuple[np.ndarray, np.ndarray]:
@@ -211,20 +220,23 @@ def paths(blob: bytes) -> tuple[np.ndarray, np.ndarray]:
     head = np.frombuffer(blob, np.int64, 11)
     width, at, parts = int(head[0]), 88, []
     for n, size in head[1:].reshape(-1, 2).tolist():
-        parts.append(np.frombuffer(blob, f"u{size}", n, at).astype(np.int64))
+        whole = np.zeros((n, 8), np.uint8)
+        whole[:, :size] = np.frombuffer(blob, np.uint8, n * size, at).reshape(size, n).T
+        parts.append(whole.view("<i8").ravel())
         at += n * size
-    shared, ref, length, labels, loads = parts
-    ends = np.cumsum(length)
-    chain = np.zeros((len(length), width), np.int64)
+    shared, state, words, targets, loads = parts
+    m, finals = len(shared), len(loads)
+    chain = np.zeros((m, width), np.int64)
     for k in range(width):
-        has = length > k
-        chain[has, k] = labels[(ends - length)[has] + k]
-    m = len(shared)
+        on = np.flatnonzero(state >= finals)
+        arc = state[on] - finals
+        chain[on, k] = words[arc]
+        state[on] = targets[arc]
     rows = np.zeros((m, width), np.int64)
     for k in range(width):
         own = np.maximum.accumulate(np.where(shared <= k, np.arange(m), 0))  # the window that last set word k
-        rows[:, k] = chain[ref[own], k - shared[own]]
-    return rows, loads[ref]
+        rows[:, k] = chain[own, k - shared[own]]
+    return rows, loads[state]
 
 
 class Transducer:
@@ -295,13 +307,14 @@ def key_bytes(rows: np.ndarray) -> pa.Array:
 _BUILT = pa.schema([("shard", pa.int64()), ("n", pa.int64()), ("sample", pa.list_(pa.binary())), ("machine", pa.binary())])
 
 
-def _build_shard(width: int):
+def _build_shard(width: int, frequent: int):
     def make(shards: pa.Table, numbers: pa.Table) -> pa.Table:
         out = []
         for shard, tokens in zip(shards.column("shard").to_pylist(), shards.column("tokens").to_pylist(), strict=True):
             tokens = np.frombuffer(tokens, np.int32)
             number = np.zeros(int(tokens.max()) + 1 if len(tokens) else 1, np.int64)
             number[numbers.column("pos").to_numpy() + 1] = numbers.column("number").to_numpy()
+            number[number > frequent] = 0
             rows = windows_of(number[tokens], width)
             rows, weights = sum_windows(rows, np.ones(len(rows), np.int64))
             if len(rows):
@@ -437,8 +450,8 @@ def _bounds(built: DataFrame, ranges: int, width: int) -> bytes:
     return as_rows(cuts, width).tobytes() if cuts else b""
 
 
-def _number(frame: DataFrame) -> tuple[DataFrame, int]:
-    """Rows numbered from 1 without gaps, and how many there are; the driver sees one count per part file."""
+def _number(frame: DataFrame) -> DataFrame:
+    """Rows numbered from 1 in their order, without gaps; the driver sees one count per part file."""
     marked = materialize(frame.withColumn("mark", F.monotonically_increasing_id()), "phrase-words")
     part = F.shiftright("mark", 33)
     sizes = {r["p"]: r["n"] for r in marked.groupBy(part.alias("p")).agg(F.count("*").alias("n")).collect()}
@@ -447,7 +460,7 @@ def _number(frame: DataFrame) -> tuple[DataFrame, int]:
         start.append(total)
         total += sizes.get(p, 0)
     before = F.element_at(F.array(*map(F.lit, start or [0])).cast("array<long>"), part.cast("int") + 1)
-    return marked.withColumn("number", before + F.col("mark").bitwiseAND((1 << 33) - 1) + 1).drop("mark"), total
+    return marked.withColumn("number", before + F.col("mark").bitwiseAND((1 << 33) - 1) + 1).drop("mark")
 
 
 def count_phrases(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", least: int = MIN_COUNT,
@@ -466,11 +479,13 @@ def count_phrases(docs: DataFrame, text_col: str = "text", lang_col: str = "lang
     listed = shards.select("shard", "lang", F.posexplode(F.arrays_zip("words", "counts")).alias("pos", "w"))
     totals = materialize(listed.groupBy("lang", F.col("w.words").alias("word")).agg(F.sum("w.counts").alias("f")), "phrase-totals")
     sums = materialize(totals.groupBy("lang").agg(F.sum("f").alias("n")), "phrase-sums")
-    words, total = _number(totals.filter(F.col("f") >= least).join(sums, "lang"))
-    numbers = (listed.select("shard", "pos", "lang", F.col("w.words").alias("word")).join(words.select("lang", "word", "number"), ["lang", "word"])
+    numbered = _number(totals.orderBy(F.desc("f"), "lang", "word"))  # common words have small numbers
+    frequent = numbered.filter(F.col("f") >= least).agg(F.max("number")).first()[0] or 0
+    words = numbered.filter(F.col("number") <= frequent).join(sums, "lang")
+    numbers = (listed.select("shard", "pos", "lang", F.col("w.words").alias("word")).join(numbered.select("lang", "word", "number"), ["lang", "word"])
                .select(F.col("shard").alias("home"), "pos", "number"))
     built = materialize(shards.select("shard", "tokens").groupBy("shard").cogroup(numbers.groupBy("home"))
-                        .applyInArrow(_build_shard(width), "shard long, n long, sample array<binary>, machine binary"), "phrase-machines")
+                        .applyInArrow(_build_shard(width, frequent), "shard long, n long, sample array<binary>, machine binary"), "phrase-machines")
     size = built.agg(F.count("*").alias("shards"), F.sum("n").alias("windows")).first()
     ranges = min(MAX_RANGES, max(16, (size["windows"] or 0) // RANGE_WINDOWS))
     bounds = _bounds(built, ranges, width)
