@@ -12,10 +12,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.types import (ArrayType, BinaryType, BooleanType, DataType, MapType,
                                NumericType, StringType, StructType)
 
-
-# Microseconds are kept: the defaults cut to milliseconds.
-JSON_TIMES = {"timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS",
-              "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"}
+from .types import JSON_TIMES, common_type, conform
 
 
 def qcol(name: str) -> Column:
@@ -70,7 +67,8 @@ def field_column(schema: StructType, path: str, falsy: str = "keep",
 
     A top-level column whose name is the path itself (a literal dotted key)
     is used when the nested value is missing; a nested value replaces it.
-    With ``falsy="null"`` a falsy nested value counts as missing.
+    With ``falsy="null"`` a falsy nested value counts as missing. If both have
+    values of different types, the column has their common type.
     """
     names = set(schema.fieldNames())
     literal = qcol(path) if path in names else None
@@ -84,7 +82,8 @@ def field_column(schema: StructType, path: str, falsy: str = "keep",
         return literal.alias(path)
     if nested is not None and literal is not None:
         lit_type = schema[path].dataType
-        return F.coalesce(nested.cast(lit_type), literal).alias(path)
+        both = common_type(lit_type, dtype)
+        return F.coalesce(conform(nested, dtype, both), conform(literal, lit_type, both)).alias(path)
     if nested is not None:
         return nested.alias(path)
     if literal is not None:

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import re
 
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import DoubleType, FractionalType, StringType, StructField, StructType
 
@@ -24,6 +26,45 @@ def _index_name(path: str) -> str:
     return re.sub(_DATA_EXT, "", path.rstrip("/").split("/")[-1])
 
 
+def _merged(spark: SparkSession, fmt: str, paths, options: dict) -> DataFrame | None:
+    """The files read as one frame with the fields of all, or None where Spark can't merge their types."""
+    try:
+        return spark.read.format(fmt).options(mergeSchema="true", **options).load(paths)
+    except (PySparkException, Py4JJavaError) as e:
+        if "CANNOT_MERGE" in str(e):
+            return None
+        raise
+
+
+def _same_types(spark: SparkSession, fmt: str, path: str, options: dict, schema) -> list[DataFrame]:
+    """The files of a path in frames of like types: one, unless Parquet or ORC files disagree.
+
+    Disagreeing files are halved in the order of their names until each half
+    can be merged, then groups with equal schemas are read together. Footers
+    are read by Spark; indices that change their types now and then give few groups.
+    """
+    if schema is not None:
+        return [spark.read.format(fmt).options(**options).schema(schema).load(path)]
+    if fmt not in ("parquet", "orc"):
+        return [spark.read.format(fmt).options(**options).load(path)]
+    df = _merged(spark, fmt, path, options)
+    if df is not None:
+        return [df]
+    files = sorted(spark.read.format(fmt).options(**options).schema("any string").load(path).inputFiles())
+    fixed = re.split(r"[*?\[{]", path)[0]
+    options = {"basePath": fixed if fixed == path else fixed.rsplit("/", 1)[0]} | options
+    groups: dict[str, tuple[StructType, list[str]]] = {}
+    todo = [files]
+    while todo:
+        some = todo.pop()
+        df = _merged(spark, fmt, some, options)
+        if df is None:
+            todo += [some[len(some) // 2:], some[:len(some) // 2]]
+            continue
+        groups.setdefault(df.schema.simpleString(), (df.schema, []))[1].extend(some)
+    return [spark.read.format(fmt).options(**options).schema(s).load(some) for s, some in groups.values()]
+
+
 def scan(spark: SparkSession, source, fmt: str = "parquet", id_field=None,
          schema: StructType | str | None = None, options: dict | None = None) -> DataFrame:
     """Documents of one index, a wildcard pattern or several indices.
@@ -32,7 +73,9 @@ def scan(spark: SparkSession, source, fmt: str = "parquet", id_field=None,
     Every row gets ``_index``: the dict key, or the name of the path element
     that the wildcard matched (else the path's last element). ``id_field``
     names the column that plays ``_id`` (a dict gives one per index). Indices
-    with different fields are united by name, missing fields being NULL.
+    with different fields are united by name, missing fields being NULL; a
+    field that files or indices hold in different types gets their common type
+    (numbers widen, times become UTC wall clock, all else text).
     Filters and projections applied later are pushed into each scan.
     """
     if isinstance(source, dict):
@@ -42,12 +85,6 @@ def scan(spark: SparkSession, source, fmt: str = "parquet", id_field=None,
         items = [(None, p) for p in paths]
     frames = []
     for name, path in items:
-        # Files of one index, and indices of one pattern, may have different fields.
-        merge = {"mergeSchema": "true"} if fmt in ("parquet", "orc") else {}
-        reader = spark.read.format(fmt).options(**(merge | (options or {})))
-        if schema is not None:
-            reader = reader.schema(schema)
-        df = reader.load(path)
         if name is not None:
             index = F.lit(name)
         elif any(ch in path for ch in "*?["):
@@ -60,13 +97,14 @@ def scan(spark: SparkSession, source, fmt: str = "parquet", id_field=None,
         else:
             index = F.lit(_index_name(path))
         idf = id_field.get(name) if isinstance(id_field, dict) else id_field
-        # A source that already carries _index (or _id, when no id field is
-        # named) keeps its own values.
-        cols = [] if "_index" in df.columns else [index.alias("_index")]
-        if idf is not None:
-            cols.append(qcol(idf).alias("_id"))
-        body = [qcol(c) for c in df.columns if not (c == "_id" and idf is not None)]
-        frames.append(df.select(*cols, *body))
+        for df in _same_types(spark, fmt, path, options or {}, schema):
+            # A source that already carries _index (or _id, when no id field is
+            # named) keeps its own values.
+            cols = [] if "_index" in df.columns else [index.alias("_index")]
+            if idf is not None:
+                cols.append(qcol(idf).alias("_id"))
+            body = [qcol(c) for c in df.columns if not (c == "_id" and idf is not None)]
+            frames.append(df.select(*cols, *body))
     return union_parts(*frames)
 
 
