@@ -16,10 +16,11 @@ def round_half_even(col: Column, places: int) -> Column:
     """Round a double to ``places`` decimals, half to even on the scaled value.
 
     ``rint(x * 10^n) / 10^n`` is the numpy rule; ``bround`` rounds the exact
-    decimal expansion instead and differs on values such as ``2.675``.
+    decimal expansion instead and differs on values such as ``2.675``. From
+    2^52 on a double is a whole number and stays as it is.
     """
     scale = float(10 ** places)
-    return F.rint(col * F.lit(scale)) / F.lit(scale)
+    return F.when(F.abs(col) < F.lit(float(1 << 52)), F.rint(col * F.lit(scale)) / F.lit(scale)).otherwise(col)
 
 
 def round_floats(df: DataFrame, places: int | None) -> DataFrame:

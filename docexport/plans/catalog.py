@@ -15,13 +15,13 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from ..functions.fmt import keyword_match, round_floats, word_match
 from ..operators.aggregate import aggregate, count_rows
 from ..operators.dedup import dedup_by_fields, union_parts
-from ..operators.order import first_last, time_bounds, top_n, with_position
+from ..operators.order import first_last, time_bounds, top_n
 from ..operators.predicate import select_documents
 from ..operators.project import select_fields
 from ..operators.slices import assign_slices, slice_table
 from ..session import scratch_path
 from ..sinks.csv import write_csv
-from ..sources.readers import read_csv, read_hits_json, read_parts, scan, write_hits_json
+from ..sources.readers import read_csv, read_hits_json, read_ordered, read_parts, scan, write_hits_json
 from ..spec import AggSpec, ExportSpec, SliceSpec
 from ..streaming.incremental import export_stream
 from .job import aggregate_only, export, export_and_aggregate, export_frame
@@ -148,17 +148,16 @@ def hits_from_json(spark, d):
 @register("hits_export", f"""
 SELECT 'events' AS _index, CAST(event_id AS VARCHAR) AS _id, ts, {_K_TEXT} AS "props.k",
        event_type, {r2('value')} AS value
-FROM events
-WHERE ts BETWEEN TIMESTAMP '2024-01-03 00:00:00' AND TIMESTAMP '2024-01-20 12:00:00'
+FROM events WHERE ts IS NOT NULL
 """)
 def hits_export(spark, d):
-    """The whole export over hit-shaped JSON with a nested body: range, flatten, dedup, order."""
+    """The whole export over hit-shaped JSON with a nested body: flatten, dedup, order."""
     events = table(spark, d, "events").withColumn("props", F.from_json("props", "k bigint"))
     path = scratch_path(spark, "hits-nested")
     write_hits_json(events, path, id_field="event_id", index="events")
     hits = read_hits_json(spark, path, events.schema, metadata=["_index", "_id"])
     spec = ExportSpec(fields=["ts", "props.k", "event_type", "value"], metadata=["_index", "_id"],
-                      time_field="ts", start="2024-01-03T00:00:00", end="2024-01-20T12:00:00")
+                      time_field="ts")
     return export_frame(hits, spec)
 
 
@@ -270,10 +269,12 @@ SELECT o_orderkey, o_orderdate, o_custkey, {r2('o_totalprice')} AS o_totalprice,
 FROM orders
 """)
 def sorted_export(spark, d):
+    """A sorted export, written; each row with its place in the parts taken in the order of their names."""
     spec = ExportSpec(fields=["o_orderkey", "o_orderdate", "o_custkey", "o_totalprice"],
-                      time_field="o_orderdate")
-    frame = export_frame(orders_docs(spark, d), spec)
-    return with_position(frame, ["o_orderdate", "o_orderkey"])
+                      time_field="o_orderdate", max_rows_per_file=4000)
+    path = scratch_path(spark, "sorted")
+    export(orders_docs(spark, d), spec, path)
+    return read_ordered(spark, path, "o_orderkey long, o_orderdate timestamp_ntz, o_custkey long, o_totalprice double")
 
 
 @register("time_bounds", """
@@ -606,14 +607,12 @@ def merge_partials(spark, d):
 @register("export_then_aggregate", f"""
 SELECT ts AS day, event_type AS kind, count(event_id) AS agg__event_id__count,
        COALESCE({dsum(r2('value'))}, 0.0) AS total
-FROM (SELECT event_id, CAST(ts AS DATE) AS ts, event_type, value FROM events
-      WHERE ts >= TIMESTAMP '2024-01-02 00:00:00')
+FROM (SELECT event_id, CAST(ts AS DATE) AS ts, event_type, value FROM events WHERE ts IS NOT NULL)
 GROUP BY 1, 2
 """)
 def export_then_aggregate(spark, d):
     """The export-and-aggregate job: raw CSV and aggregated CSV written, aggregate read back."""
-    spec = ExportSpec(fields=["event_id", "ts", "event_type", "value"], time_field="ts",
-                      start="2024-01-02T00:00:00", rename="event_type--kind,ts--day",
+    spec = ExportSpec(fields=["event_id", "ts", "event_type", "value"], time_field="ts", rename="event_type--kind,ts--day",
                       max_rows_per_file=5000)
     agg = AggSpec(keys=["event_type"], functions="event_id--count,value--sum",
                   names="value--total", time_field="ts", days=1)
@@ -625,13 +624,12 @@ def export_then_aggregate(spark, d):
 
 @register("stream_export", f"""
 SELECT DISTINCT event_id AS _id, ts, event_type, {r2('value')} AS value FROM events
-WHERE ts >= TIMESTAMP '2024-01-03 00:00:00'
+WHERE ts IS NOT NULL
 """)
 def stream_export(spark, d):
     """The export as a Structured Streaming job over the index files, run to completion."""
     events = table(spark, d, "events")
-    spec = ExportSpec(fields=["ts", "event_type", "value"], metadata=["_id"], time_field="ts",
-                      start="2024-01-03T00:00:00")
+    spec = ExportSpec(fields=["ts", "event_type", "value"], metadata=["_id"], time_field="ts")
     out, ckpt = scratch_path(spark, "stream-out"), scratch_path(spark, "stream-ckpt")
     query = export_stream(spark, f"{d}/ev*.parquet", events.schema, spec, out, ckpt,
                           id_field="event_id")

@@ -51,6 +51,7 @@ def _agg_args(p: argparse.ArgumentParser) -> None:
     p.add_argument("--agg-time-field", help="time field for calendar buckets")
     p.add_argument("--agg-days", type=int, default=1, help="bucket width in days")
     p.add_argument("--agg-out", help="path of the aggregated CSV")
+    p.add_argument("--agg-parts", action="store_true", help="write the aggregate as a folder of parts")
 
 
 def parser() -> argparse.ArgumentParser:
@@ -85,7 +86,7 @@ def parser() -> argparse.ArgumentParser:
     _agg_args(ex)
 
     ag = sub.add_parser("aggregate", help="aggregate a raw CSV")
-    ag.add_argument("--raw-input", required=True)
+    ag.add_argument("--raw-input", required=True, help="raw CSV files or folders of parts, comma separated")
     ag.add_argument("--raw-schema", help="DDL schema of the raw CSV (default: inferred)")
     ag.add_argument("--sep", default=",")
     ag.add_argument("--decimal", default=".")
@@ -164,11 +165,12 @@ def main(argv=None) -> int:
         if agg is None:
             export(docs, spec, args.out)
         else:
-            export_and_aggregate(docs, spec, agg, args.out, args.agg_out)
+            export_and_aggregate(docs, spec, agg, args.out, args.agg_out, agg_parts=args.agg_parts)
     elif args.command == "aggregate":
-        aggregate_only(spark, args.raw_input, agg, args.agg_out, schema=_schema(args.raw_schema),
+        raw = [p for p in args.raw_input.split(",") if p]
+        aggregate_only(spark, raw, agg, args.agg_out, schema=_schema(args.raw_schema),
                        sep=args.sep, decimal=args.decimal, rename=parse_couples(args.rename),
-                       overwrite=args.overwrite)
+                       overwrite=args.overwrite, agg_parts=args.agg_parts)
     else:
         docs = select_documents(_docs(spark, args), args.query, args.time_field, args.start, args.end, args.zone)
         table = slice_table(docs, args.time_field, slices)

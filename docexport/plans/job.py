@@ -7,13 +7,12 @@ Each job is one lazy plan ending in a sink:
          -> dedup (hash aggregate) -> global sort (time, _id)
          -> drop helpers -> rename -> CSV parts
 
-The aggregation reads the export frame under its original names (values
-already rounded), or a raw CSV, and writes one small CSV.
+The aggregation reads the export's distinct rows under their original names
+(values already rounded), or raw CSVs, and writes one small CSV or parts.
 """
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StringType
 
@@ -24,46 +23,51 @@ from ..operators.dedup import dedup_by_fields, dedup_by_id
 from ..operators.predicate import select_documents, time_column
 from ..operators.project import field_columns, qcol, rename_columns
 from ..operators.slices import assign_slices, slice_plan
+from ..session import scratch_table
 from ..sinks.csv import write_csv, write_single_csv
-from ..sources.readers import read_csv
+from ..sources.readers import read_parts
 from ..spec import AggSpec, ExportSpec
 
 _T = "__t"
 SLICE_COL = "slice_id"
 
 
-def export_frame(docs: DataFrame, spec: ExportSpec, id_col: str = "_id",
-                 keep_names: bool = False) -> DataFrame:
-    """The rows an export writes, as a lazy DataFrame.
+def _selected(docs: DataFrame, spec: ExportSpec) -> DataFrame:
+    return select_documents(docs, spec.predicate, spec.time_field, spec.start, spec.end, spec.zone)
 
-    ``docs`` holds ``_id``, the metadata columns and the document body
-    (top-level columns, possibly nested). With ``keep_names`` the columns
-    keep their original names (the aggregation reads that form).
-    """
-    rows = select_documents(docs, spec.predicate, spec.time_field, spec.start, spec.end,
-                            spec.zone)
+
+def _order_key(docs: DataFrame, spec: ExportSpec) -> str | None:
+    """The column the export is ordered by: the exported time, or a helper where it is not exported as it is."""
+    if spec.time_field is None or not spec.order:
+        return None
+    exported = spec.time_field in spec.columns and spec.time_field in docs.columns
+    return spec.time_field if exported and not isinstance(docs.schema[spec.time_field].dataType, StringType) else _T
+
+
+def export_rows(docs: DataFrame, spec: ExportSpec, id_col: str = "_id") -> DataFrame:
+    """The distinct rows of an export, not yet in order, with their helper columns (``_id``, the order key)."""
+    rows = _selected(docs, spec)
     cols = field_columns(rows, spec.fields, spec.metadata, id_col=id_col, falsy=spec.falsy,
                          drop_parents=spec.falsy == "null")
-    order_key = None
-    if spec.time_field is not None and spec.order:
+    order_key = _order_key(docs, spec)
+    if order_key == _T:
         time, dtype = time_column(rows, spec.time_field)
-        if spec.time_field in spec.columns and spec.time_field in rows.columns and not isinstance(dtype, StringType):
-            order_key = spec.time_field  # exported as is: order on the exported column
-        else:
-            cols.append(instant_key(time, dtype).alias(_T))  # order key only
-            order_key = _T
+        cols.append(instant_key(time, dtype).alias(_T))
     projected = round_floats(rows.select(cols), spec.rounding)
-    has_id = id_col in projected.columns
     exported = list(spec.columns)
-    extra = [_T] if _T in projected.columns else []
     if spec.dedup == "fields":
         order = [c for c in (order_key, id_col) if c is not None and c in projected.columns]
-        deduped = dedup_by_fields(projected, exported, order)
-    elif has_id:
-        deduped = dedup_by_id(projected, exported + extra, id_col)
-    else:
-        deduped = projected  # without ids, equal rows may be different documents
-    out = deduped
+        return dedup_by_fields(projected, exported, order)
+    if id_col in projected.columns:
+        return dedup_by_id(projected, exported + ([_T] if _T in projected.columns else []), id_col)
+    return projected  # without ids, equal rows may be different documents
+
+
+def order_rows(rows: DataFrame, docs: DataFrame, spec: ExportSpec, id_col: str = "_id",
+               keep_names: bool = False) -> DataFrame:
+    """The rows of :func:`export_rows` in the order and under the names in which they are written."""
+    order_key = _order_key(docs, spec)
+    out = rows
     keys = []
     if spec.slices is not None:
         # The slice id grows with time, so ordering by it first keeps the time
@@ -72,12 +76,12 @@ def export_frame(docs: DataFrame, spec: ExportSpec, id_col: str = "_id",
         if slice_time not in out.columns:
             raise ValueError("slices need the time field in the export")
         # The plan reads only the time column of the matching documents.
-        plan = slice_plan(rows, spec.time_field, spec.slices)
+        plan = slice_plan(_selected(docs, spec), spec.time_field, spec.slices)
         out = assign_slices(out, slice_time, spec.slices, plan=plan)
         keys.append(F.col(SLICE_COL))
     if order_key is not None:
         keys.append(F.asc_nulls_last(qcol(order_key)))
-        if has_id and id_col != order_key:
+        if id_col in rows.columns and id_col != order_key:
             keys.append(F.asc_nulls_last(qcol(id_col)))
     if keys:
         out = out.orderBy(*keys)
@@ -86,6 +90,17 @@ def export_frame(docs: DataFrame, spec: ExportSpec, id_col: str = "_id",
     return out if keep_names else rename_columns(out, spec.rename)
 
 
+def export_frame(docs: DataFrame, spec: ExportSpec, id_col: str = "_id",
+                 keep_names: bool = False) -> DataFrame:
+    """The rows an export writes, as a lazy DataFrame.
+
+    ``docs`` holds ``_id``, the metadata columns and the document body
+    (top-level columns, possibly nested). With ``keep_names`` the columns
+    keep their original names (the aggregation reads that form).
+    """
+    return order_rows(export_rows(docs, spec, id_col), docs, spec, id_col, keep_names)
+
+
 def _write_export(frame: DataFrame, spec: ExportSpec, path: str) -> str:
     if spec.single_file:
         return write_single_csv(frame, path, sep=spec.sep, decimal=spec.decimal,
@@ -108,29 +123,39 @@ def aggregate_frame(frame: DataFrame, agg: AggSpec, rename: dict[str, str] | Non
     return rename_columns(result, rename or {})
 
 
+def _write_aggregate(result: DataFrame, path: str, agg: AggSpec, sep: str, decimal: str, overwrite: bool, parts: bool,
+                     bool_text: tuple[str, str] | None = None) -> None:
+    """One file for a small result, or parts in the order of the keys written by many tasks."""
+    write = write_csv if parts else write_single_csv
+    write(result, path, sep=sep, decimal=decimal, rounding=agg.rounding, overwrite=overwrite, bool_text=bool_text)
+
+
 def export_and_aggregate(docs: DataFrame, spec: ExportSpec, agg: AggSpec, path: str,
-                         agg_path: str) -> tuple[str, str]:
+                         agg_path: str, agg_parts: bool = False) -> tuple[str, str]:
     """Export, then aggregate the same rows (under their original names).
 
-    The export frame is persisted once so the scan, filter and dedup run a
-    single time for both outputs; blocks lost with an executor are
-    recomputed from the plan.
+    The distinct rows are written once, unordered, to the shared scratch
+    folder: the scan, filter and dedup run a single time, the export sorts that
+    copy and the aggregation reads only its columns of it, in no order. A lost
+    executor costs tasks that read the copy. The copy is deleted at the end.
+    ``agg_parts`` writes the aggregate as a folder of parts, by many tasks.
     """
-    frame = export_frame(docs, spec, keep_names=True).persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        _write_export(rename_columns(frame, spec.rename), spec, path)
-        write_single_csv(aggregate_frame(frame, agg, spec.rename), agg_path, sep=spec.sep,
-                         decimal=spec.decimal, rounding=agg.rounding, overwrite=spec.overwrite,
-                         bool_text=spec.bool_text)
-    finally:
-        frame.unpersist()
+    with scratch_table(export_rows(docs, spec), "export-rows") as rows:
+        _write_export(order_rows(rows, docs, spec), spec, path)
+        exported = rows.select([qcol(c) for c in spec.columns])
+        _write_aggregate(aggregate_frame(exported, agg, spec.rename), agg_path, agg, spec.sep, spec.decimal,
+                         spec.overwrite, agg_parts, spec.bool_text)
     return path, agg_path
 
 
-def aggregate_only(spark: SparkSession, raw_csv: str, agg: AggSpec, agg_path: str,
+def aggregate_only(spark: SparkSession, raw_csv, agg: AggSpec, agg_path: str,
                    schema=None, sep: str = ",", decimal: str = ".",
-                   rename: dict[str, str] | None = None, overwrite: bool = False) -> str:
-    """Aggregate a raw CSV written earlier (or by any tool) and write the result."""
-    frame = read_csv(spark, raw_csv, schema, sep, decimal)
-    return write_single_csv(aggregate_frame(frame, agg, rename), agg_path, sep=sep,
-                            decimal=decimal, rounding=agg.rounding, overwrite=overwrite)
+                   rename: dict[str, str] | None = None, overwrite: bool = False, agg_parts: bool = False) -> str:
+    """Aggregate raw CSVs written earlier (or by any tool) and write the result.
+
+    ``raw_csv`` is a file, a folder of parts or a list of them; their headers
+    may differ.
+    """
+    frame = read_parts(spark, raw_csv, schema, sep, decimal)
+    _write_aggregate(aggregate_frame(frame, agg, rename), agg_path, agg, sep, decimal, overwrite, agg_parts)
+    return agg_path

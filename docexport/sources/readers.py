@@ -14,6 +14,7 @@ from ..operators.dedup import union_parts
 from ..operators.project import qcol
 from ..sinks.csv import TIMESTAMP_FORMAT, TIMESTAMP_NTZ_FORMAT, text_options
 from ..spec import METADATA_FIELDS
+from .parts import has_breaks, header_groups, with_file_position
 
 
 _SCHEME = r"^[A-Za-z][A-Za-z0-9+.-]*:(//[^/]*)?"
@@ -129,10 +130,21 @@ def lift_hits(hits: DataFrame, metadata=METADATA_FIELDS) -> DataFrame:
                        *[F.col("_source").getField(b).alias(b) for b in body])
 
 
-def read_hits_json(spark: SparkSession, path, source_schema: StructType | str,
+def read_hits_json(spark: SparkSession, path, source_schema: StructType | str | None = None,
                    metadata=METADATA_FIELDS) -> DataFrame:
-    """Hit-shaped JSON lines, read with a declared schema and lifted."""
-    hits = spark.read.schema(hit_schema(source_schema)).json(path)
+    """Hit-shaped JSON lines, lifted.
+
+    Without a declared schema of the body, one is found by a pass over all
+    bodies: fields of any of them, numbers widened, and text where bodies
+    disagree. Times stay ISO-8601 text, which ranges, order and buckets read.
+    """
+    if source_schema is not None:
+        return lift_hits(spark.read.schema(hit_schema(source_schema)).json(path), metadata)
+    hits = spark.read.json(path)
+    if "_source" not in hits.columns or not isinstance(hits.schema["_source"].dataType, StructType):
+        raise ValueError(f"no hit with a _source body under {path}")
+    declared = {f.name: f.dataType for f in hit_schema(StructType([])).fields if f.name != "_source"}
+    hits = hits.select(*[qcol(c).cast(declared[c]) if c in declared else qcol(c) for c in hits.columns])
     return lift_hits(hits, metadata)
 
 
@@ -152,7 +164,7 @@ def write_hits_json(df: DataFrame, path: str, id_field: str, index: str,
 
 
 def read_csv(spark: SparkSession, path, schema: StructType | str | None = None,
-             sep: str = ",", decimal: str = ".", multi_line: bool = True) -> DataFrame:
+             sep: str = ",", decimal: str = ".", multi_line: bool | None = None) -> DataFrame:
     """A raw CSV with header, separator and decimal mark (S3).
 
     With a schema, its columns are found by header name: the file may order
@@ -161,16 +173,26 @@ def read_csv(spark: SparkSession, path, schema: StructType | str | None = None,
     place. Any other declared column that the header lacks, a file of the path
     with another header and a cell that is not of the declared type raise. With a decimal mark other than the dot, declared fractional
     columns are read as text and converted; Spark's CSV reader itself only
-    knows the dot. Cells may hold line breaks, so each file is read whole by
-    one task; for big files known to have none, ``multi_line=False`` lets
-    Spark split them.
+    knows the dot. Without a schema types are inferred, and with such a mark a
+    column of nothing but numbers written with it is a double. Files without
+    line breaks in cells are split among tasks, others read whole by one task
+    each; the export's manifest or a look at the lines tells which, unless
+    ``multi_line`` does.
     """
     if isinstance(schema, str):
         schema = StructType.fromDDL(schema)
-    opts = text_options(sep, write=False)
+    if multi_line is None:
+        multi_line = has_breaks(spark, path)
+    return _read_like(spark, path, schema, sep, decimal, multi_line)
+
+
+def _read_like(spark: SparkSession, path, schema: StructType | None, sep: str, decimal: str, multi_line: bool,
+               base: str | None = None) -> DataFrame:
+    """Files with one header."""
+    opts = text_options(sep, write=False) | ({"basePath": base} if base else {})
     opts["multiLine"] = "true" if multi_line else "false"
     if schema is None:
-        return spark.read.options(**opts).option("inferSchema", "true").csv(path)
+        return _numbers_with_mark(spark.read.options(**opts).option("inferSchema", "true").csv(path), decimal)
     marked = {f.name: f.dataType for f in schema.fields
               if decimal != "." and isinstance(f.dataType, FractionalType)}
     declared = {f.name: StructField(f.name, StringType() if f.name in marked else f.dataType) for f in schema.fields}
@@ -192,13 +214,64 @@ def read_csv(spark: SparkSession, path, schema: StructType | str | None = None,
                        for c in declared])
 
 
+def _numbers_with_mark(df: DataFrame, decimal: str) -> DataFrame:
+    """Text columns all of whose cells are numbers with the mark, as doubles."""
+    texts = [f.name for f in df.schema.fields if isinstance(f.dataType, StringType)] if decimal != "." else []
+    if not texts:
+        return df
+    number = rf"^\s*[+-]?(\d+({re.escape(decimal)}\d*)?|{re.escape(decimal)}\d+)([eE][+-]?\d+)?\s*$"
+    all_numbers = df.agg(*[F.bool_and(qcol(c).rlike(number)).alias(f"c{i}") for i, c in enumerate(texts)]).first()
+    doubles = {c for i, c in enumerate(texts) if all_numbers[f"c{i}"]}
+    return df.select([parse_decimal_mark(qcol(c), decimal).alias(c) if c in doubles else qcol(c) for c in df.columns])
+
+
 def read_parts(spark: SparkSession, paths, schemas=None, sep: str = ",",
                decimal: str = ".") -> DataFrame:
     """All part files of one or more exports as one table, by column name.
 
     Each path is a directory of parts (or a single file); parts of different
-    exports may have different column sets: missing columns become NULL.
+    exports, or of one directory, may have different headers: each group of
+    files with one header is read alone, missing columns become NULL, and
+    columns that groups hold in different types get their common type. A
+    declared column that none of a directory's headers has raises.
     """
     paths = [paths] if isinstance(paths, str) else list(paths)
     schemas = schemas if isinstance(schemas, (list, tuple)) else [schemas] * len(paths)
-    return union_parts(*[read_csv(spark, p, s, sep, decimal) for p, s in zip(paths, schemas)])
+    frames = []
+    for path, schema in zip(paths, schemas):
+        if isinstance(schema, str):
+            schema = StructType.fromDDL(schema)
+        groups = header_groups(spark, path)
+        if len(groups) == 1:
+            frames.append(_read_like(spark, path, schema, sep, decimal, groups[0][1]))
+        else:
+            frames.append(_mixed_headers(spark, path, groups, schema, sep, decimal))
+    return union_parts(*frames)
+
+
+def _mixed_headers(spark: SparkSession, path: str, groups, schema: StructType | None, sep: str, decimal: str) -> DataFrame:
+    opts = text_options(sep, write=False)
+    fixed = re.split(r"[*?\[{]", path)[0]
+    base = fixed if fixed == path else fixed.rsplit("/", 1)[0]
+    frames, known = [], set()
+    for files, breaks in groups:
+        if schema is None:
+            frames.append(_read_like(spark, files, None, sep, decimal, breaks, base))
+            continue
+        header = spark.read.options(**opts).option("basePath", base).csv(files[:1]).columns
+        present = [f for f in schema.fields if f.name in header]
+        known |= {f.name for f in present}
+        # a group without any declared column has rows all the same
+        part = StructType(present or [StructField(header[0], StringType())])
+        df = _read_like(spark, files, part, sep, decimal, breaks, base)
+        frames.append(df.select([qcol(f.name) if f in present else F.lit(None).cast(f.dataType).alias(f.name) for f in schema.fields]))
+    absent = [] if schema is None else [f.name for f in schema.fields if f.name not in known]
+    if absent:
+        raise ValueError(f"no CSV header under {path} has a column {', '.join(absent)}")
+    return union_parts(*frames)
+
+
+def read_ordered(spark: SparkSession, path, schema: StructType | str | None = None, sep: str = ",", decimal: str = ".",
+                 name: str = "rn") -> DataFrame:
+    """A written export with the 1-based place of each row in its parts, taken in the order of their names."""
+    return with_file_position(read_csv(spark, path, schema, sep, decimal), name)
