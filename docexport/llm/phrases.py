@@ -25,6 +25,8 @@ bounds, which decides nothing but the balance, comes from a bounded sample.
 
 from __future__ import annotations
 
+import bisect
+
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
@@ -38,7 +40,7 @@ MAX_WORDS = 5
 PER_LANG = 2000
 #: Bytes of text in a shard, about, and in all shards that a task holds.
 SHARD_BYTES = 16 << 20
-HELD_BYTES = 40 << 20
+HELD_BYTES = 32 << 20
 #: Windows that a sweep holds, about.
 SWEEP = 1 << 19
 #: Windows for which one prefix range is made, and most ranges.
@@ -147,8 +149,8 @@ def _shards(batches):
 def sort_rows(rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Order of the rows of a matrix of numbers >= 0, and where, in that order, a new row begins."""
     cols = [rows[:, k] for k in range(rows.shape[1])]
-    if len(rows) and int(rows.max()) < 1 << 31:
-        cols = [cols[k] << 32 | cols[k + 1] if k + 1 < len(cols) else cols[k] for k in range(0, len(cols), 2)]
+    if int(rows.max(initial=0)) < 1 << 31:
+        cols = [cols[k].astype(np.int64) << 32 | cols[k + 1] if k + 1 < len(cols) else cols[k] for k in range(0, len(cols), 2)]
     order = np.lexsort(cols[::-1])
     new = np.zeros(len(rows), dtype=bool)
     new[:1] = True
@@ -170,7 +172,7 @@ def windows_of(numbers: np.ndarray, width: int) -> np.ndarray:
     n = len(numbers)
     padded = np.concatenate([numbers, np.zeros(width, numbers.dtype)])
     start = np.flatnonzero((padded[:n] > 0) & (padded[1:n + 1] > 0))
-    rows = np.zeros((len(start), width), np.int64)
+    rows = np.zeros((len(start), width), numbers.dtype)
     alive = np.ones(len(start), dtype=bool)
     for k in range(width):
         w = padded[start + k]
@@ -209,6 +211,10 @@ def build(rows: np.ndarray, weights: np.ndarray) -> bytes:
     return b"".join([head.tobytes(), *(p for p, _ in planes)])
 
 
+def _kind(top: int):
+    return np.int32 if top < 1 << 31 else np.int64
+
+
 def _planes(a: np.ndarray) -> tuple[bytes, int]:
     """Numbers >= 0 as their lowest bytes, then the next, as many as the greatest needs; like bytes lie together and compress."""
     size = max(1, -(-int(a.max(initial=0)).bit_length() // 8))
@@ -226,13 +232,14 @@ def paths(blob: bytes) -> tuple[np.ndarray, np.ndarray]:
         at += n * size
     shared, state, words, targets, loads = parts
     m, finals = len(shared), len(loads)
-    chain = np.zeros((m, width), np.int64)
+    words = words.astype(_kind(int(words.max(initial=0))))
+    chain = np.zeros((m, width), words.dtype)
     for k in range(width):
         on = np.flatnonzero(state >= finals)
         arc = state[on] - finals
         chain[on, k] = words[arc]
         state[on] = targets[arc]
-    rows = np.zeros((m, width), np.int64)
+    rows = np.zeros((m, width), words.dtype)
     for k in range(width):
         own = np.maximum.accumulate(np.where(shared <= k, np.arange(m), 0))  # the window that last set word k
         rows[:, k] = chain[own, k - shared[own]]
@@ -287,6 +294,11 @@ class Transducer:
         return out
 
 
+def _place_of(rows: np.ndarray, key: np.ndarray) -> int:
+    """The first of sorted windows that is not below ``key``."""
+    return bisect.bisect_left(range(len(rows)), key.tolist(), key=lambda i: rows[i].tolist())
+
+
 def as_keys(rows: np.ndarray) -> np.ndarray:
     """Windows as byte strings in the same order (eight bytes a word)."""
     return np.ascontiguousarray(rows.astype(">i8")).view(f"S{8 * rows.shape[1]}").ravel()
@@ -315,6 +327,7 @@ def _build_shard(width: int, frequent: int):
             number = np.zeros(int(tokens.max()) + 1 if len(tokens) else 1, np.int64)
             number[numbers.column("pos").to_numpy() + 1] = numbers.column("number").to_numpy()
             number[number > frequent] = 0
+            number = number.astype(_kind(frequent))
             rows = windows_of(number[tokens], width)
             rows, weights = sum_windows(rows, np.ones(len(rows), np.int64))
             if len(rows):
@@ -330,15 +343,15 @@ def _cut(bounds: bytes, width: int, piece: int):
     schema = pa.schema([("range", pa.int32()), ("first", pa.binary()), ("machine", pa.binary())])
 
     def cut(batches):
-        marks = as_keys(np.frombuffer(bounds, np.int64).reshape(-1, width))
+        marks = np.frombuffer(bounds, np.int64).reshape(-1, width)
         for batch in batches:
             for blob in batch.column("machine").to_pylist():
                 rows, weights = paths(blob)
-                at = np.r_[0, np.searchsorted(as_keys(rows), marks), len(rows)]
+                at = [0, *(_place_of(rows, m) for m in marks), len(rows)]
                 out = []
                 for r in range(len(at) - 1):
-                    for lo in range(int(at[r]), int(at[r + 1]), piece):
-                        hi = min(lo + piece, int(at[r + 1]))
+                    for lo in range(at[r], at[r + 1], piece):
+                        hi = min(lo + piece, at[r + 1])
                         out.append((r, rows[lo:lo + 1].astype(">i8").tobytes(), build(rows[lo:hi], weights[lo:hi])))
                 for lo in range(0, len(out), 4096):
                     yield pa.RecordBatch.from_arrays([pa.array([x[i] for x in out[lo:lo + 4096]], f.type) for i, f in enumerate(schema)], schema=schema)
@@ -378,7 +391,7 @@ def _sweep(width: int, least: int):
             for r, first, blob in zip(batch.column("range").to_pylist(), batch.column("first").to_pylist(), batch.column("machine").to_pylist(), strict=True):
                 if held and (r != now or size >= SWEEP):
                     rows, weights = sum_windows(*(np.concatenate(x) for x in zip(*held, strict=True)))
-                    done = len(rows) if r != now else int(np.searchsorted(as_keys(rows), as_keys(as_rows([first], width)))[0])
+                    done = len(rows) if r != now else _place_of(rows, as_rows([first], width)[0])
                     if done:  # no later piece reaches below its first window
                         yield from emit(rows[:done], weights[:done])
                     held = [(rows[done:], weights[done:])] if done < len(rows) else []
