@@ -111,26 +111,43 @@ _SENT = pa.schema([("bucket", pa.int32()), ("block", pa.int64()), ("keys", pa.bi
 _SENT_TYPE = "bucket int, block long, keys binary, counts binary"
 
 
+def bucket_of(keys: np.ndarray, bits: int) -> np.ndarray:
+    """Anchors have the smallest hashes of their surroundings; mixed again, they fall evenly into buckets."""
+    return (mix64(keys) >> np.uint64(64 - bits)).astype(np.int64)
+
+
 def _parcels(block: int, keys: np.ndarray, bits: int):
-    """A block's distinct keys with their counts, by bucket."""
+    """A block's distinct keys with their counts, by bucket, in order."""
     k, c = np.unique(keys, return_counts=True)
-    c = c.astype(np.uint32)
-    bucket = (k >> np.uint64(64 - bits)).astype(np.int64)
+    bucket = bucket_of(k, bits)
+    order = np.argsort(bucket, kind="stable")
+    k, c, bucket = k[order], c[order], bucket[order]
     for a, b in runs(bucket):
-        yield {"bucket": int(bucket[a]), "block": block, "keys": pack(k[a:b]), "counts": pack(c[a:b])}
+        yield {"bucket": int(bucket[a]), "block": block, "keys": pack(k[a:b]), "counts": pack_counts(c[a:b])}
+
+
+def pack_counts(c: np.ndarray) -> bytes:
+    """Counts as their width in bytes and then as narrow as the greatest allows, up to 64 bits."""
+    top = int(c.max(initial=0))
+    width = next(w for w in (1, 2, 4, 8) if top < 1 << 8 * w)
+    return bytes([width]) + pack(c.astype(f"u{width}"))
+
+
+def unpack_counts(cell: bytes) -> np.ndarray:
+    return np.frombuffer(cell, f"u{cell[0]}", offset=1).astype(np.int64)
 
 
 def _repeated(table: pa.Table) -> pa.Table:
     """For each block the keys of this bucket that came at least twice, with their totals."""
     family = IndexFamily()
-    batches = [(np.frombuffer(k, np.uint64), np.frombuffer(c, np.uint32).astype(np.int64))
+    batches = [(np.frombuffer(k, np.uint64), unpack_counts(c))
                for k, c in zip(table.column("keys").to_pylist(), table.column("counts").to_pylist(), strict=True)]
     for keys, counts in batches:
         family.add(keys, counts)
     totals = [family.total(k) for k, _ in batches]
     return pa.table({"block": table.column("block"),
                      "keys": pa.array([pack(k[n > 1]) for (k, _), n in zip(batches, totals, strict=True)], pa.binary()),
-                     "counts": pa.array([pack(n[n > 1].astype(np.uint32)) for n in totals], pa.binary())})
+                     "counts": pa.array([pack_counts(n[n > 1]) for n in totals], pa.binary())})
 
 
 def _documents(column):
@@ -142,11 +159,11 @@ def _documents(column):
 def _keys(table: pa.Table) -> tuple[np.ndarray, np.ndarray]:
     """Sorted answered keys and their totals."""
     keys = [np.frombuffer(k, np.uint64) for k in table.column("keys").to_pylist() if k]
-    counts = [np.frombuffer(c, np.uint32) for c in table.column("counts").to_pylist() if c]
+    counts = [unpack_counts(c) for k, c in zip(table.column("keys").to_pylist(), table.column("counts").to_pylist(), strict=True) if k]
     if not keys:
         return np.empty(0, np.uint64), np.empty(0, np.int64)
     known, first = np.unique(np.concatenate(keys), return_index=True)
-    return known, np.concatenate(counts)[first].astype(np.int64)
+    return known, np.concatenate(counts)[first]
 
 
 def _count(values: np.ndarray, known: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
