@@ -4,10 +4,11 @@ The element trees of all pages of a host are merged by style path (tags and
 class names from the root). A merged node has two importances in 0 to 1: that
 of its presentation, the entropy of the child sequences seen under it, and
 that of its content, which is low where the same content stands on many pages.
-Branches of low importance go, as do elements whose tag, role or class says
-that they are no article text (menus, headers, footers, sidebars, notices,
-adverts, forms, scripts, reader comments). Neither importance nor a class name
-drops ``html``, ``body`` or a branch that holds most of its page's text. Where
+Whole trees are merged, menus and footers too. Branches of low importance go;
+as a second signal, so do elements whose tag, role or class says that they are
+no article text (menus, headers, footers, sidebars, notices, adverts, forms,
+scripts, reader comments), on sites with too few pages the only one. Neither
+importance nor a class name nor a form drops ``html``, ``body`` or a branch that holds most of its page's text. Where
 a page marks its article (``article`` or ``main``) and most of the text that
 stays is in it, text outside it goes too; running text inside it always stays.
 Importance counts pages with equal blocks once, and inside articles equal
@@ -41,8 +42,9 @@ VOID = frozenset("area base br col embed hr img input link meta param source tra
 INLINE = frozenset("""a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd mark q rp rt ruby s samp
 small span strike strong sub sup time tt u var wbr label""".split())
 RAW = frozenset("script style textarea title noscript template xmp iframe".split())
-NEVER = frozenset("""head script style noscript template iframe object embed svg canvas math nav footer aside form
-button select option input textarea label fieldset dialog menu audio video map""".split())
+NEVER = frozenset("""head script style noscript template iframe object embed svg canvas nav footer aside
+button select option input textarea fieldset menu audio video""".split())
+OUTSIDE_NEVER = frozenset("header math label dialog map".split())
 ARTICLE = frozenset(("article", "main"))
 RUNNING = frozenset("""p h1 h2 h3 h4 h5 h6 blockquote pre article main body html br b i em strong a span td th tr table
 tbody figcaption figure dl dt dd""".split())
@@ -63,10 +65,11 @@ _SAME = {"li": ("li", ("ul", "ol", "menu")), "dt": ("dt dd", ("dl",)), "dd": ("d
 
 
 class _Node:
-    __slots__ = ("tag", "path", "gone", "named", "article", "up", "size", "children", "text")
+    __slots__ = ("tag", "path", "gone", "named", "article", "up", "size", "children", "text", "mute")
 
     def __init__(self, tag: str, path: str, gone: bool, named: bool, article: bool, up: "_Node | None"):
         self.tag, self.path, self.gone, self.named, self.article, self.up = tag, path, gone, named, article, up
+        self.mute = tag == "head" or (up is not None and up.mute)
         self.size = 0
         self.children: list[str] = []
         self.text: list[str] = []
@@ -74,7 +77,7 @@ class _Node:
 
 def _says_no(tag: str, attrs: dict[str, str], in_article: bool) -> bool:
     """Whether the kind, role or state of an element says that it is no article text."""
-    if tag in NEVER or (tag == "header" and not in_article):
+    if tag in NEVER or (tag in OUTSIDE_NEVER and not in_article):
         return True
     if not attrs:
         return False
@@ -84,7 +87,9 @@ def _says_no(tag: str, attrs: dict[str, str], in_article: bool) -> bool:
 
 
 def _named(tag: str, attrs: dict[str, str], in_article: bool) -> bool:
-    """Whether a part of an element's class or id says so."""
+    """Whether it is a form, or a part of its class or id says so."""
+    if tag == "form":
+        return True
     if not attrs or tag in ("html", "body", *ARTICLE):
         return False
     parts = {p for k in ("class", "id") if k in attrs for p in _PART.split(attrs[k].lower())}
@@ -92,7 +97,11 @@ def _named(tag: str, attrs: dict[str, str], in_article: bool) -> bool:
 
 
 def parse(html: str):
-    """Blocks of text in page order, ``(text, chain of nodes, in article)``, the merged-tree nodes and the size of all text."""
+    """Blocks of text in page order, ``(text, chain of nodes, in article)``, all nodes and the size of the text.
+
+    ``text`` of a node are all blocks under it, those included that its kind
+    or name says are no article text; scripts, styles and the head have none.
+    """
     stack = [_Node("", "", False, False, False, None)]
     nodes: list[_Node] = []
     blocks: list[tuple[str, tuple[_Node, ...], bool]] = []
@@ -104,6 +113,10 @@ def parse(html: str):
             buffer.clear()
             if text:
                 chain = tuple(n for n in stack if n.path)
+                for n in chain:
+                    n.text.append(text)
+                if stack[-1].gone:
+                    return
                 blocks.append((text, chain, stack[-1].article))
                 for n in chain:
                     n.size += len(text)
@@ -121,7 +134,7 @@ def parse(html: str):
         at = m.end()
         text = m[4]
         if text is not None:
-            if not stack[-1].gone:
+            if not stack[-1].mute:
                 buffer.append(entities.unescape(text) if "&" in text else text)
             continue
         tag = m[2]
@@ -152,7 +165,7 @@ def parse(html: str):
         if raw and "=" in raw or raw and "hidden" in raw:
             attrs = {k.lower(): (a or b or c or "") for k, a, b, c in _ATTR.findall(raw)}
         if tag in INLINE:
-            if not (attrs and (_says_no(tag, attrs, stack[-1].article) or _named(tag, attrs, stack[-1].article))) and tag != "label":
+            if not (_says_no(tag, attrs, stack[-1].article) or _named(tag, attrs, stack[-1].article)):
                 continue
         else:
             flush()
@@ -194,10 +207,7 @@ def parse(html: str):
     for n in nodes:  # parents come first
         n.gone = n.gone or n.up.gone or (n.named and 2 * n.size <= total)
     blocks = [b for b in blocks if not (b[1] and b[1][-1].gone)]
-    for text, chain, _ in blocks:
-        for n in chain:
-            n.text.append(text)
-    return blocks, [n for n in nodes if not n.gone and n.tag not in INLINE], total
+    return blocks, [n for n in nodes if not n.mute and n.tag not in INLINE and n.tag not in RAW], total
 
 
 def node_features(html: str | None) -> list[tuple[str, int, int, int]]:
