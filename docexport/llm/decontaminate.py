@@ -6,8 +6,9 @@ occurs in some item. A match of at least ``window`` words marks its words, and
 so does an item of fewer words that occurs whole.
 
 The item table is the stated query set. It is taken in parts of at most
-``PART_WORDS`` words, each sent to the executors and searched in one pass over
-the documents, so that neither the driver nor a task holds more than one part.
+``PART_WORDS`` words (an item of more is a part alone), each sent to the
+executors and searched in a pass over the documents of its own, so that a task
+holds one part and the driver the one at hand and the next.
 """
 
 from __future__ import annotations
@@ -19,7 +20,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
-from .common import bounded_batches
+from .common import bounded_batches, materialize
 
 WINDOW = 10
 #: Words of items in one automaton at most (about 120 MB of states).
@@ -177,37 +178,43 @@ def _search_column(part, window: int, text: Column, before: Column | None, cut:
             left.append(_without_spans(t, merged) if cut and merged else None)
         return pd.DataFrame({"n_words": n_words, "spans": spans, "items": items, "left": pd.Series(left, dtype=object)})
 
+    # evaluated once, whatever is later asked of its result
     kind = "n_words long, spans array<int>, items array<string>, left string"
     if before is None:
         @F.pandas_udf(kind)
         def first(texts: pd.Series) -> pd.DataFrame:
             return found(texts, None)
-        return first(text)
+        return first.asNondeterministic()(text)
 
     @F.pandas_udf(kind)
     def further(texts: pd.Series, had: pd.DataFrame) -> pd.DataFrame:
         return found(texts, had)
-    return further(text, before)
+    return further.asNondeterministic()(text, before)
 
 
-def match_benchmark(docs: DataFrame, items: DataFrame, text: Column, item_id_col: str = "item_id",
-                    item_text_col: str = "text", window: int = WINDOW, part_words: int = PART_WORDS, cut: bool = False) -> Column:
-    """A column over ``docs``: ``n_words``, ``spans`` (word ranges, flat), ``items`` (sorted ids) and, with ``cut``, the text left.
+def match_benchmark(docs: DataFrame, items: DataFrame, held: str, text_col: str = "text", item_id_col: str = "item_id",
+                    item_text_col: str = "text", window: int = WINDOW, part_words: int = PART_WORDS, cut: bool = False) -> DataFrame:
+    """``docs`` with a column ``held``: ``n_words``, ``spans`` (word ranges, flat), ``items`` (sorted ids) and, with ``cut``, the text left.
 
     Null texts have no words; null item ids or texts are left out; rows that
-    share an item id count as one item. No items, no hits.
+    share an item id count as one item. No items, no hits. Every part of the
+    items but the last is searched in a pass of its own whose result is
+    written; the last pass is that of the frame returned.
     """
     bounded_batches(docs.sparkSession)
-    out = None
-    for part in _item_parts(items, item_id_col, item_text_col, part_words):
-        out = _search_column(part, window, text, out, cut)
-    return out
+    frame, part, before = docs, None, None
+    for following in _item_parts(items, item_id_col, item_text_col, part_words):
+        if part is not None:
+            frame = materialize(frame.withColumn(held, _search_column(part, window, F.col(text_col), before, cut)), "benchmark-matches")
+            before = F.col(held)
+        part = following
+    return frame.withColumn(held, _search_column(part, window, F.col(text_col), before, cut))
 
 
 def contamination(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
     """``doc_id, n_words, n_hit, spans, items`` of every row."""
-    found = match_benchmark(docs, items, F.col(text_col), **options)
-    return (docs.select(F.col(id_col).alias("doc_id"), found.alias("m"))
+    texts = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
+    return (match_benchmark(texts, items, "m", **options)
             .select("doc_id", F.col("m.n_words").alias("n_words"),
                     F.expr("aggregate(transform(m.spans, (x, i) -> if(i % 2 = 1, x, -x)), 0L, (a, x) -> a + x)").alias("n_hit"),
                     F.col("m.spans").alias("spans"), F.col("m.items").alias("items")))
@@ -240,7 +247,7 @@ def remove_benchmark_passages(docs: DataFrame, items: DataFrame, text_col: str =
     held = "benchmark_match"
     while held in docs.columns:
         held += "_"
-    found = docs.withColumn(held, match_benchmark(docs, items, F.col(text_col), cut=True, **options))
+    found = match_benchmark(docs, items, held, text_col, cut=True, **options)
     n_hit = F.expr(f"aggregate(transform({held}.spans, (x, i) -> if(i % 2 = 1, x, -x)), 0L, (a, x) -> a + x)")
     keep = found.filter(n_hit <= max_coverage * F.col(f"{held}.n_words"))
     left = F.when(F.size(f"{held}.spans") > 0, F.col(f"{held}.left")).otherwise(F.col(text_col))

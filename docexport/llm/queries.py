@@ -64,7 +64,7 @@ def op5_pattern_grammar(spark, d):
     """Toxicity score of every document by the clause grammar."""
     docs = table(spark, d, "documents")
     grammar = toxicity.learn(docs, table(spark, d, "labels"), usable=learnable())
-    scored = docs.select("doc_id", (~learnable()).alias("held_out"), toxicity.score(grammar, F.col("text")).alias("score"))
+    scored = docs.select("doc_id", F.coalesce(~learnable(), F.lit(False)).alias("held_out"), toxicity.score(grammar, F.col("text")).alias("score"))
     return scored.withColumn("predicted", (F.col("score") >= toxicity.THRESHOLD).cast("int"))
 
 

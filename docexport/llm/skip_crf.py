@@ -11,24 +11,27 @@ but that the field labels like its repetitions, becomes a span of their kind.
 A phone number repeated without its plus, say, is found this way.
 
 Potentials are learned from the corpus: the base spans label the tokens of at
-most ``MAX_TRAIN`` documents that have some (in the order of a hash of their
-ids), the shapes' weights are a softmax model, chain and skip weights are
+most ``MAX_TRAIN`` different texts that have some (in the order of a hash of
+their ids and texts) and of at most ``MAX_TOKENS`` candidates of each, the shapes' weights are a softmax model, chain and skip weights are
 smoothed log-odds of agreement.
 """
 
 from __future__ import annotations
 
 import re
+from collections import Counter
 from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
 
 from .common import bounded_batches
 
-#: Documents with base spans that learning reads at most.
+#: Different texts with base spans that learning reads at most, and candidates of each.
 MAX_TRAIN = 5_000
+MAX_TOKENS = 2_000
 KINDS = ("email", "ip", "card", "phone")
 #: Marginal probability from which a token becomes a span.
 CERTAIN = 0.8
@@ -257,25 +260,44 @@ def added_spans(text: str, base: list[list[tuple[int, int]]], field: Field) -> l
     return out
 
 
-def train_field(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", max_train: int = MAX_TRAIN) -> Field:
-    """The field learned from documents that have base spans; without any, a field that adds nothing."""
-    some = F.col(text_col).rlike(r"[0-9@]{1}")
-    chosen = (docs.filter(some & F.col(text_col).rlike(r"@[A-Za-z0-9-]+\.|[0-9]+\.[0-9]+\.[0-9]+\.[0-9]|\+[0-9]|[0-9]{13}"))
-              .select(F.col(id_col).cast("string").alias("k"), F.xxhash64(F.col(text_col)).alias("h"))
-              .orderBy(F.xxhash64("k", "h"), "k", "h").limit(max_train))
+def train_field(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", max_train: int = MAX_TRAIN,
+                max_tokens: int = MAX_TOKENS) -> Field:
+    """The field learned from texts that have base spans; without any, a field that adds nothing.
+
+    At most ``max_train`` different (id, text), in hash order, a copy counting
+    once, teach it; of a text with more than ``max_tokens`` candidates those
+    whose keys come first in hash order, all repetitions of a key together.
+    """
+    @F.pandas_udf("boolean")
+    def any_span(texts: pd.Series) -> pd.Series:
+        return pd.Series([any(base_spans(x)) for x in texts], dtype=bool)
 
     @F.pandas_udf("array<struct<start:int,end:int,key:string,digits:string,slots:array<int>,label:int>>")
     def tokens(texts: pd.Series) -> pd.Series:
-        return pd.Series([[(t.start, t.end, t.key, t.digits, list(t.slots), t.label) for t in candidates(x, base_spans(x))[:200]]
+        return pd.Series([[(t.start, t.end, t.key, t.digits, list(t.slots), t.label) for t in _some(candidates(x, base_spans(x)), max_tokens)]
                           for x in texts], dtype=object)
 
-    rows = (docs.select(F.col(id_col).cast("string").alias("k"), F.col(text_col).alias("text"))
-            .withColumn("h", F.xxhash64("text")).join(F.broadcast(chosen.distinct()), ["k", "h"], "left_semi")
-            .select(tokens("text").alias("t")))
+    some = F.col(text_col).rlike("[0-9@]")  # no base span is without
+    held = docs.filter(some).select(F.col(id_col).cast("string").alias("k"), F.col(text_col).alias("text")).withColumn("h", F.xxhash64("text"))
+    chosen = (held.filter(any_span("text")).select(F.coalesce("k", F.lit("")).alias("ck"), F.col("h").alias("ch")).distinct()
+              .orderBy(F.xxhash64("ck", "ch"), "ck", "ch").limit(max_train))
+    rows = (held.join(F.broadcast(chosen), (F.coalesce("k", F.lit("")) == F.col("ck")) & (F.col("h") == F.col("ch")))
+            .groupBy("ck", "ch").agg(F.min("text").alias("text")).select(tokens("text").alias("t")))
     got = [[Token(*r[:4], tuple(r.slots), r.label) for r in x.t] for x in rows.toLocalIterator()]
     return learn(got)
 
 
+def _some(found: list[Token], most: int) -> list[Token]:
+    if len(found) <= most:
+        return found
+    left, keys = most, set()
+    for key, n in sorted(Counter(t.key for t in found).items(), key=lambda x: xxhash.xxh64_intdigest(x[0])):
+        if n <= left:
+            keys.add(key)
+            left -= n
+    return [t for t in found if t.key in keys]
+
+
 def personal_data(text: Column, field: Field) -> Column:
     """Struct of the base counts and spans and of all spans, each as text; null counts as empty."""
     @F.pandas_udf("n_email long, n_ip long, n_card long, n_phone long, base string, spans string")

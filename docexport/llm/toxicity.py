@@ -16,7 +16,6 @@ from __future__ import annotations
 
 import re
 from dataclasses import dataclass
-from functools import lru_cache
 
 import numpy as np
 import pandas as pd
@@ -93,16 +92,33 @@ def clause_score(clause_words: list[str], lexicon: dict[str, float]) -> tuple[fl
     return insult, threat, softened
 
 
-@lru_cache(maxsize=4)
-def _trigger(words: frozenset[str]) -> re.Pattern:
+def _trigger(words) -> re.Pattern:
     return re.compile(r"(?<![^\W\d_])(?:" + "|".join(map(re.escape, sorted(words))) + r")(?![^\W\d_])")
 
 
+class _Triggers:
+    """The words without which a text or a clause has no evidence, and a pattern that finds them; built once for a lexicon."""
+
+    def __init__(self, lexicon: dict[str, float]):
+        self.words = frozenset(lexicon) | THREAT
+        self.pattern = _trigger(self.words)
+
+
+_triggers: list[tuple[dict[str, float], _Triggers]] = []
+
+
+def _triggers_of(lexicon: dict[str, float]) -> _Triggers:
+    if not _triggers or _triggers[0][0] is not lexicon:
+        _triggers[:] = [(lexicon, _Triggers(lexicon))]
+    return _triggers[0][1]
+
+
 def features(text: str | None, lexicon: dict[str, float]) -> tuple[float, ...]:
     """The evidence of a whole text; an empty or null one has none."""
     low = (text or "").lower()
-    triggers = frozenset(lexicon) | THREAT
-    if not low or not _trigger(triggers).search(low):
+    known = _triggers_of(lexicon)
+    triggers = known.words
+    if not low or not known.pattern.search(low):
         return (0.0,) * len(FEATURES)
     total = strongest = threats = 0.0
     softened = n = 0
@@ -173,15 +189,15 @@ def learn_lexicon(labelled: DataFrame, max_lexicon: int = MAX_LEXICON) -> dict[s
     return {r.w: r.odds / top for r in found}
 
 
-def _fit(x: np.ndarray, y: np.ndarray, steps: int = 60, ridge: float = 1e-2) -> np.ndarray:
-    """Logistic regression by Newton steps; the last value is the bias."""
+def _fit(x: np.ndarray, y: np.ndarray, times: np.ndarray, steps: int = 60, ridge: float = 1e-2) -> np.ndarray:
+    """Logistic regression by Newton steps over rows that count so many times; the last value is the bias."""
     a = np.c_[x, np.ones(len(x))]
     w = np.zeros(a.shape[1])
     pen = np.full(len(w), ridge)
     for _ in range(steps):
         p = 1 / (1 + np.exp(-np.clip(a @ w, -30, 30)))
-        g = a.T @ (p - y) + pen * w
-        h = (a * (p * (1 - p))[:, None]).T @ a + np.diag(pen + 1e-6)
+        g = a.T @ (times * (p - y)) + pen * w
+        h = (a * (times * p * (1 - p))[:, None]).T @ a + np.diag(pen + 1e-6)
         step = np.linalg.solve(h, g)
         w -= step
         if np.abs(step).max() < 1e-8:
@@ -209,7 +225,7 @@ def learn(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     got = labelled.groupBy(row("text").alias("x"), "y").count().collect()
     x, y = np.array([r.x for r in got]), np.array([r.y for r in got], float)
     n = np.array([r["count"] for r in got])
-    w = _fit(np.repeat(x, n, axis=0), np.repeat(y, n))
+    w = _fit(x, y, n)
     w[2] = max(w[2], 4.0)  # threats may be absent from the labelled rows
     return Grammar(lexicon, tuple(w[:-1].tolist()), float(w[-1]))
 

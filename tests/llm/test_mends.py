@@ -97,3 +97,102 @@ def test_what_an_article_holds_stays(spark):
             "<body><article><p>Long enough running text of the article itself.</p><form>Name <input> Send</form></article></body>", "", None]
     assert texts_of(pages_of(spark, html)) == ["Sum x of weights. Chart", "A whole page inside one form keeps its text.",
                                                "Long enough running text of the article itself.", "", ""]
+
+
+# -- bounded driver rows ---------------------------------------------------
+
+CARD = "card 4111 1111 1111 1111 of"
+
+
+def test_copies_teach_the_field_once(spark, monkeypatch):
+    seen = []
+    monkeypatch.setattr(skip_crf, "learn", lambda got: seen.append(got))
+    rows = [(1, f"{CARD} mine")] * 20_000 + [(2, f"write to a@b.example or {i}") for i in range(3)] + [(3, "nothing 12"), (None, f"{CARD} none"), (4, None)]
+    skip_crf.train_field(spark.createDataFrame(rows, "doc_id long, text string").repartition(6))
+    assert len(seen[0]) == 5  # the spaced card, three mails and the row without an id
+    assert sum(t.label == 3 for ts in seen[0] for t in ts) == 2
+
+
+def test_long_texts_teach_whole_repetitions(spark, monkeypatch):
+    seen = []
+    monkeypatch.setattr(skip_crf, "learn", lambda got: seen.append(got))
+    text = "a@b.example " + " ".join(f"no {i:07d}x" for i in range(900)) + " a@b.example again"
+    skip_crf.train_field(spark.createDataFrame([(1, text)], "doc_id long, text string"))
+    assert len(seen[0][0]) > 800 and [t.key for t in seen[0][0]].count("abexample") == 2
+    short = skip_crf._some(seen[0][0], 100)
+    counts = collections.Counter(t.key for t in seen[0][0])
+    assert 50 < len(short) <= 100 and all(n == counts[k] for k, n in collections.Counter(t.key for t in short).items())
+
+
+def test_base_spans_are_those_of_a_plain_scan():
+    rng = random.Random(4)
+    for _ in range(300):
+        text = "".join(rng.choice(["1", "23", "@", ".", "a.b", "-", " ", "+", "4111111111111111", "(", "255", "x@y.z", "é", "999"]) for _ in range(rng.randint(0, 30)))
+        email, ip, card, phone = skip_crf.base_spans(text)
+        assert email == [m.span() for m in skip_crf.EMAIL.finditer(text)]
+        assert ip == [m.span() for m in skip_crf.IP.finditer(text) if max(int(x) for x in m[0].split(".")) <= 255]
+
+        def digits(m):
+            return [int(c) for c in m[0] if c in "0123456789"]
+
+        def luhn(ds):
+            return sum(d if k % 2 == 0 else sum(divmod(2 * d, 10)) for k, d in enumerate(reversed(ds))) % 10 == 0
+        assert card == [m.span() for m in skip_crf.CARD.finditer(text) if 13 <= len(digits(m)) <= 19 and luhn(digits(m))]
+        assert phone == [m.span() for m in skip_crf.PHONE.finditer(text) if 9 <= len(digits(m)) <= 15]
+
+
+def test_marginals_of_a_tree_are_exact():
+    """On a chain without skip links the messages give the marginals of enumeration."""
+    import itertools
+    rng = np.random.default_rng(3)
+    field = skip_crf.Field(rng.normal(size=(skip_crf.SLOTS, 5)), rng.normal(size=(5, 5)), rng.normal(size=(5, 5)))
+    tokens = [skip_crf.Token(i, i + 1, f"key{i}", "", (i * 3, i * 3 + 1), 0) for i in range(4)]
+    assert skip_crf.skip_edges(tokens) == []
+    unary = np.array([field.unary[list(t.slots)].sum(0) for t in tokens])
+    total = np.zeros((4, 5))
+    for labels in itertools.product(range(5), repeat=4):
+        w = math.exp(sum(unary[i, x] for i, x in enumerate(labels)) + sum(field.chain[a, b] for a, b in zip(labels, labels[1:], strict=False)))
+        for i, x in enumerate(labels):
+            total[i, x] += w
+    got = skip_crf.marginals(tokens, field, rounds=60)
+    assert np.allclose(got, total / total.sum(1, keepdims=True), atol=1e-6)
+
+
+def test_repeated_labelled_rows_reach_the_driver_as_counts(spark, monkeypatch):
+    seen, fit = [], toxicity._fit
+    monkeypatch.setattr(toxicity, "_fit", lambda x, y, times: seen.append((len(x), times.sum())) or fit(x, y, times))
+    bad = [f"you are a {w} worthless idiot" for w in "red green blue old new big".split()]
+    rows = [(i, t) for i, t in enumerate(bad + [f"a quiet day number {i}" for i in range(6)])]
+    labels = [(i, int(i < 6)) for i in range(12)]
+    docs = spark.createDataFrame(rows + rows[:1] * 3000 + rows[6:7] * 3000, "doc_id long, text string")
+    grammar = toxicity.learn(docs, spark.createDataFrame(labels, "doc_id long, toxic int"))
+    assert seen and seen[0][0] <= 12 and seen[0][1] == 6012
+    scores = {r.doc_id: r.s for r in docs.select("doc_id", toxicity.score(grammar, F.col("text")).alias("s")).distinct().collect()}
+    assert min(scores[i] for i in range(6)) > max(scores[i] for i in range(6, 12))
+
+
+def test_weights_fit_as_repeated_rows_do():
+    rng = np.random.default_rng(5)
+    x, y, n = rng.normal(size=(30, 3)), rng.integers(0, 2, 30).astype(float), rng.integers(1, 9, 30)
+    assert np.allclose(toxicity._fit(x, y, n), toxicity._fit(np.repeat(x, n, axis=0), np.repeat(y, n), np.ones(n.sum())))
+
+
+# -- decontamination -------------------------------------------------------
+
+def test_the_search_runs_once_for_each_part(spark):
+    docs = spark.createDataFrame([(1, "one two three four five six seven eight nine ten eleven", 5)], "doc_id long, text string, n_chars long")
+    items = spark.createDataFrame([("a", "one two three four five six seven eight nine ten"), ("b", "other words here")], "item_id string, text string")
+    for part_words in (100_000, 5):
+        out = decontaminate.remove_benchmark_passages(docs, items, part_words=part_words)
+        plan = out._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("ArrowEvalPython") == 1
+        found = decontaminate.contamination(docs, items, part_words=part_words)
+        assert found._jdf.queryExecution().executedPlan().toString().count("ArrowEvalPython") == 1
+        assert [(r.n_words, r.n_hit, list(r["items"])) for r in found.collect()] == [(11, 10, ["a"])]
+        assert decontaminate.remove_benchmark_passages(docs, items, part_words=part_words).collect() == []
+
+
+def test_held_out_is_false_without_an_id(spark):
+    rows = spark.createDataFrame([(None,), (1,), (2,), (3,)], "doc_id long")
+    got = rows.select("doc_id", F.coalesce(~queries.learnable(), F.lit(False)).alias("h")).collect()
+    assert all(r.h is not None for r in got) and not got[0].h
