@@ -18,10 +18,12 @@ can reach the similarity are ever formed:
 * What is left is counted exactly and compared with the bound.
 * Columns of more than ``DENSE`` rows come from large groups of near copies.
   The rows that such columns connect form clusters, whose square is taken in
-  tiles of whole rows: every entry of a tile is counted exactly, a tile gives
-  each row's number of links and, in place of all its pairs, the links of a
-  spanning forest of its rows. Rows of one cluster need no further pairs from
-  other columns.
+  tiles of whole rows, in the order of size and of columns that a row has
+  alone: pairs of tiles that these bounds rule out, as among texts of one
+  template with too many words of their own, are never formed. Every entry of
+  a tile is counted exactly, a tile gives each row's number of links and, in
+  place of all its pairs, the links of a spanning forest of its rows. Rows of
+  one cluster need no further pairs from other columns.
 
 Links are joined into components by rounds of contraction in Spark; no link or
 component passes through the driver.
@@ -32,6 +34,7 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
+from pyspark.sql.window import Window
 
 from .common import (bucket_bits, materialize, mix64, pack, pieces, release, runs, table_runs, text_buffers, to_blocks,
                      word_hashes)
@@ -214,6 +217,8 @@ def _pair_chunks(size: np.ndarray, alone: np.ndarray, indexed: np.ndarray, bits:
             y = np.arange(at, min(at + TILE, len(size)))
             if 100 * int(size[x[-1]]) < percent * int(size[y[0]]):
                 break
+            if int(alone[x].min()) + int(alone[y].min()) > spare(int(size[x[-1]]), int(size[y[-1]]), percent):
+                continue
             fits = (y[None, :] > x[:, None]) & (100 * size[x][:, None] >= percent * size[y][None, :])
             if part is not None:
                 fits &= part[x][:, None] != part[y][None, :]
@@ -330,7 +335,7 @@ def _cluster_links(percent: int):
     def links(key, table):
         across = key[1].as_py() != key[2].as_py()
         rid, size, alone, copies, tile = (table.column(c).to_numpy() for c in ("rid", "size", "alone", "copies", "tile"))
-        order = np.lexsort((rid, size))
+        order = np.lexsort((rid, alone, size))
         cols = table.column("cols").combine_chunks()
         sets = [np.frombuffer(cols[i].as_buffer(), np.uint64) for i in order]
         rid, size, alone, copies, tile = rid[order], size[order], alone[order], copies[order], tile[order]
@@ -375,14 +380,50 @@ def _clusters(entries: DataFrame, columns: DataFrame) -> DataFrame:
     return components(star).select(F.col("node").alias("rid"), F.col("root").alias("cluster"))
 
 
+def spare(size_a, size_b, percent: int = PERCENT):
+    """Columns by which two similar rows differ at most; columns of one row alone are such."""
+    both = size_a + size_b
+    return both - 2 * least_overlap(size_a, size_b, percent)
+
+
+def _cluster_tiles(members: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """``rid, cluster, tile`` of the rows of clusters, and ``cluster, tile, least, most, alone`` of the tiles.
+
+    A tile holds neighbours in the order of size and then of lonely columns, so
+    that bounds rule out whole tiles. The order is taken over the (size, alone)
+    that occur; rows that share both are dealt among the tiles they fill.
+    """
+    load = F.greatest(F.count("*") / CLUSTER_TILE, F.sum("width") / CLUSTER_TILE_BYTES)
+    kinds = materialize(members.groupBy("cluster", "size", "alone").agg(load.alias("load")), "join-cluster-kinds")
+    before = F.sum("load").over(Window.partitionBy("cluster").orderBy("size", "alone").rowsBetween(Window.unboundedPreceding, -1))
+    at = F.coalesce(before, F.lit(0.0))
+    kinds = kinds.select("cluster", "size", "alone", F.floor(at).cast("int").alias("first"),
+                         (F.ceil(at + F.col("load") - 1e-9) - F.floor(at)).cast("int").alias("over"))
+    dealt = materialize(members.join(materialize(kinds, "join-cluster-order"), ["cluster", "size", "alone"])
+                        .select("rid", "cluster", "size", "alone", (F.col("first") + F.pmod(F.xxhash64("rid"), F.greatest("over", F.lit(1)))).cast("int").alias("tile")),
+                        "join-cluster-tiles")
+    tiles = dealt.groupBy("cluster", "tile").agg(F.min("size").alias("least"), F.max("size").alias("most"), F.min("alone").alias("alone"))
+    return dealt.select("rid", "cluster", "tile"), materialize(tiles, "join-tiles")
+
+
+def _tile_pairs(tiles: DataFrame, percent: int) -> DataFrame:
+    """``cluster, low, high`` of the pairs of tiles that may hold a link: near enough in size, with few enough lonely columns."""
+    a, b = (tiles.select(*[F.col(c).alias(f"{c}_{side}") for c in tiles.columns]) for side in "ab")
+    both = F.col("most_a") + F.col("most_b")
+    differ = both - 2 * F.ceil(F.lit(percent) * both / (100 + percent)).cast("long")
+    near = (F.lit(100) * F.col("most_a") >= F.lit(percent) * F.col("least_b")) & (F.lit(100) * F.col("most_b") >= F.lit(percent) * F.col("least_a"))
+    pairs = a.join(b, (F.col("cluster_a") == F.col("cluster_b")) & (F.col("tile_a") <= F.col("tile_b")) & near & (F.col("alone_a") + F.col("alone_b") <= differ))
+    return pairs.select(F.col("cluster_a").alias("cluster"), F.col("tile_a").alias("low"), F.col("tile_b").alias("high"))
+
+
 def _links_in_clusters(reps: DataFrame, clusters: DataFrame, percent: int) -> DataFrame:
-    members = reps.select("rid", F.octet_length("cols").alias("width")).join(clusters, "rid")
-    sizes = members.groupBy("cluster").agg(
-        F.greatest(F.ceil(F.count("*") / CLUSTER_TILE), F.ceil(F.sum("width") / CLUSTER_TILE_BYTES)).cast("int").alias("tiles"))
-    rows = (reps.join(clusters, "rid").join(materialize(sizes, "join-cluster-sizes"), "cluster")
-            .withColumn("tile", F.pmod(F.xxhash64("rid"), F.col("tiles")).cast("int"))
-            .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)))
-            .select("cluster", F.least("tile", "other").alias("low"), F.greatest("tile", "other").alias("high"), "tile", "rid", "size", "alone", "copies", "cols"))
+    members = reps.select("rid", "size", "alone", F.octet_length("cols").alias("width")).join(clusters, "rid")
+    dealt, tiles = _cluster_tiles(members)
+    pairs = materialize(_tile_pairs(tiles, percent), "join-tile-pairs")
+    sides = (pairs.select("cluster", F.col("low").alias("tile"), "low", "high")
+             .unionAll(pairs.filter("low != high").select("cluster", F.col("high").alias("tile"), "low", "high")))
+    rows = (reps.join(dealt, "rid").join(sides, ["cluster", "tile"])
+            .select("cluster", "low", "high", "tile", "rid", "size", "alone", "copies", "cols"))
     return rows.groupBy("cluster", "low", "high").applyInArrow(_cluster_links(percent), _LINKS_TYPE)
 
 

@@ -196,3 +196,68 @@ def test_held_out_is_false_without_an_id(spark):
     rows = spark.createDataFrame([(None,), (1,), (2,), (3,)], "doc_id long")
     got = rows.select("doc_id", F.coalesce(~queries.learnable(), F.lit(False)).alias("h")).collect()
     assert all(r.h is not None for r in got) and not got[0].h
+
+
+# -- templates in the n-gram join ------------------------------------------
+
+def template_rows(n, own, seed=1):
+    """Texts of 100 words on one template, each with some words of its own spread over it."""
+    rng = random.Random(seed)
+    base = [f"w{k}" for k in range(100)]
+    rows = []
+    for i in range(n):
+        w = list(base)
+        for k in range(own):
+            w[10 + k * 30] = f"own{i}x{k}"
+        rows.append((i, " ".join(w)))
+    rng.shuffle(rows)
+    return rows
+
+
+def shingle_set(text):
+    w = text.split()
+    return {tuple(w[i:i + 4]) for i in range(len(w) - 3)}
+
+
+def test_a_template_without_links_forms_no_tiles(spark, monkeypatch):
+    """300 texts with three own words each share most shingles, too few for a link: no pair of tiles is formed."""
+    formed = []
+    plain = ngram_join._tile_pairs
+
+    def pairs(tiles, percent):
+        out = plain(tiles, percent)
+        formed.append((tiles.count(), out.count()))
+        return out
+    monkeypatch.setattr(ngram_join, "_tile_pairs", pairs)
+    rows = template_rows(300, 3)
+    a, b = shingle_set(rows[0][1]), shingle_set(rows[1][1])
+    assert 100 * len(a & b) < 85 * len(a | b)
+    found, _ = ngram_join.similar_documents(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert found.filter("n_links > 0").count() == 0 and formed == [(1, 0)]
+
+
+@pytest.mark.parametrize("tile", [7, 2048])
+def test_links_among_templates_are_those_of_brute_force(spark, monkeypatch, tile):
+    """Two templates, texts with no, one, two or three own words, and a few copies."""
+    monkeypatch.setattr(ngram_join, "CLUSTER_TILE", tile)
+    rng = random.Random(3)
+    rows = []
+    for i in range(120):
+        base = [f"{'ab'[i % 2]}{k}" for k in range(100)]
+        for k in range(rng.randint(0, 3)):
+            base[rng.randrange(100)] = f"own{i}x{k}"
+        rows.append((i, " ".join(base[:rng.choice([100, 100, 96, 90])])))
+    rows += [(200, rows[0][1]), (201, rows[0][1])]
+    sets = [(i, shingle_set(t)) for i, t in rows]
+    want = collections.Counter((i, sum(100 * len(s & t) >= 85 * len(s | t) for _, t in sets) - 1) for i, s in sets)
+    found, links = ngram_join.similar_documents(spark.createDataFrame(rows, "doc_id long, text string").repartition(3))
+    assert collections.Counter((r.doc_id, r.n_links) for r in found.collect()) == want
+    assert max(n for _, n in want) > 20
+
+
+def test_many_templated_texts_cost_no_pairs(spark, monkeypatch):
+    seen = []
+    monkeypatch.setattr(ngram_join, "_cluster_links", lambda percent: seen.append(percent) or (lambda key, table: (_ for _ in ()).throw(AssertionError("a tile was formed"))))
+    rows = spark.createDataFrame(template_rows(4000, 3), "doc_id long, text string").repartition(4)
+    found, links = ngram_join.similar_documents(rows)
+    assert seen and found.count() == 4000 and found.filter("n_links > 0").count() == 0 and links.count() == 0
