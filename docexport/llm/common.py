@@ -130,6 +130,21 @@ def pack(a: np.ndarray) -> bytes:
     return np.ascontiguousarray(a).tobytes()
 
 
+def to_planes(a: np.ndarray) -> bytes:
+    """Whole numbers >= 0 as their width in bytes, then all lowest bytes, all next, and so on: like bytes lie together and compress."""
+    size = max(1, -(-int(a.max(initial=0)).bit_length() // 8))
+    return bytes([size]) + np.ascontiguousarray(a.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :size].T).tobytes()
+
+
+def from_planes(cell: bytes) -> np.ndarray:
+    """The numbers of ``to_planes``, as 64 bits."""
+    size = cell[0]
+    n = (len(cell) - 1) // size
+    out = np.zeros((n, 8), np.uint8)
+    out[:, :size] = np.frombuffer(cell, np.uint8, n * size, 1).reshape(size, n).T
+    return out.view("<u8").ravel()
+
+
 def mix64(x: np.ndarray) -> np.ndarray:
     """A bijective 64-bit mix, so that any bits of the result can name a bucket."""
     x = x.astype(np.uint64, copy=True)

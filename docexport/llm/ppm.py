@@ -1,25 +1,28 @@
 """Code lengths by prediction by partial matching over a pretrained byte-context trie.
 
-A text is a sequence of words, each coded byte by byte up to a closing space,
-and one end symbol. A byte is predicted from the trie node of its longest
-context (up to ``ORDER`` bytes back, to the space before the word). A node that
-has not seen the byte escapes to the next shorter context; the escape
-probability is estimated by the number of different bytes the node has seen
-(method C), and bytes seen in the longer context are excluded in the shorter
-one, since they would have been coded there. Below the empty context stand all
-remaining byte values alike.
+A text is its words, lower-cased (A-Z), each followed by one space, and an end
+symbol; it is coded byte by byte as it runs, across spaces, behind one space.
+A byte is predicted from the trie node of its longest context (up to ``ORDER``
+bytes back). A node that has not seen the byte escapes to the next shorter
+context; the escape probability is estimated by the number of different bytes
+the node has seen (method C), and bytes seen in the longer context are excluded
+in the shorter one, since they would have been coded there. Below the empty
+context stand all remaining byte values alike.
 
 The trie is trained on all training rows and never gathered in one place:
 
-1. Blocks of documents send their distinct words with training counts, by
-   bucket; a bucket adds them up to its part of the vocabulary.
-2. Each part sends its distinct (context, byte) grams with counts to the task
-   that holds the subtree of the context's last two bytes. There, the nodes'
-   totals, their distinct bytes and what exclusion takes away are counted, and
-   every gram gets its code length. Only the counts for contexts of no or one
-   byte (at most 256 * 256 numbers) are sent to every task.
-3. Code lengths go back: grams to words, words to the blocks, where documents
-   add them up.
+1. Documents are packed into units of bounded bytes. Each unit counts its
+   (context, byte) grams: training rows count, the others only ask.
+2. The grams go to the task that holds the subtree of the context's last three
+   bytes. There, the nodes' totals, their distinct bytes and what exclusion
+   takes away are counted, and every gram gets its code length. Only the counts
+   for contexts of two bytes and less (at most 256 ** 3 numbers, whatever the
+   corpus) are sent to every task.
+3. Code lengths go back to the units in the order in which these asked, and
+   documents add them up.
+
+The smoothed word counts beside it take the same way: units send their distinct
+words to buckets of the vocabulary and get the training counts back.
 """
 
 from __future__ import annotations
@@ -29,20 +32,31 @@ from collections import Counter
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
-from .common import bucket_bits, materialize, mix64, pack, runs, table_runs, to_blocks, word_hashes
+from .common import bounded_batches, from_planes, materialize, mix64, release, runs, to_planes, word_hashes
 
 #: Bytes of the longest context; a gram and its length fit in 64 bits.
 ORDER = 6
-SPACE, END = 0x20, 0x0A
+#: Context bytes whose counts every task has.
+SHORT = 2
 _SYMBOLS = 256
-#: Bytes of text for which the vocabulary gets a bucket; few large ones share more grams.
+#: Bytes of text and rows in a unit, about (a longer text is a unit alone).
+UNIT_BYTES = 8 << 20
+UNIT_ROWS = 1 << 16
+#: Bytes of text for which a bucket of the vocabulary and a part of the subtrees are made.
 VOCABULARY_BYTES = 64 << 20
+SUBTREE_BYTES = 8 << 20
+#: Steps of a code length of 1 (log10).
+STEPS = float(1 << 18)
 
-_WORDS = pa.schema([("bucket", pa.int32()), ("block", pa.int64()), ("words", pa.binary()), ("counts", pa.binary())])
-_WORDS_TYPE = "bucket int, block long, words binary, counts binary"
-_GRAMS = pa.schema([("subtree", pa.int32()), ("bucket", pa.int32()), ("keys", pa.binary()), ("counts", pa.binary())])
+_UNIT_TYPE = "unit long, bytes long, doc_ids array<long>, texts array<string>"
+_WORDS = pa.schema([("bucket", pa.int32()), ("unit", pa.int64()), ("words", pa.binary()), ("counts", pa.binary())])
+_WORDS_TYPE = "bucket int, unit long, words binary, counts binary"
+_GRAMS = pa.schema([("subtree", pa.int32()), ("unit", pa.int64()), ("keys", pa.binary()), ("counts", pa.binary())])
+_GRAMS_TYPE = "subtree int, unit long, keys binary, counts binary"
+_ANSWER = "unit long, subtree int, words binary, found binary"
 
 
 def tokens(text: str) -> list[bytes]:
@@ -55,6 +69,45 @@ def held_out(doc_id: int | None, fold: int = 2, folds: int = 7) -> bool:
     return doc_id is not None and zlib.crc32(str(doc_id).encode()) % folds == fold
 
 
+def running(words: list[bytes]) -> bytes:
+    """The bytes that are coded, behind the space that is given."""
+    return b" ".join([b"", *words, b"\n"])
+
+
+def _units(batches):
+    """Rows packed into units; a unit is one row, so all passes see it alike."""
+    number = TaskContext.get().partitionId() << 32
+    ids: list[int | None] = []
+    texts: list[str] = []
+    size = 0
+
+    def unit():
+        nonlocal number
+        number += 1
+        return pa.RecordBatch.from_arrays([pa.array([number]), pa.array([size]), pa.array([ids], pa.list_(pa.int64())), pa.array([texts], pa.list_(pa.string()))],
+                                          names=["unit", "bytes", "doc_ids", "texts"])
+
+    for batch in batches:
+        for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist(), strict=True):
+            long = len(text.encode()) if not text.isascii() else len(text)
+            if ids and (size + long > UNIT_BYTES or len(ids) == UNIT_ROWS):
+                yield unit()
+                ids, texts, size = [], [], 0
+            ids.append(doc_id)
+            texts.append(text)
+            size += long
+    if ids:
+        yield unit()
+
+
+def _rows(batches):
+    for batch in batches:
+        for unit, ids, texts in zip(*(batch.column(c).to_pylist() for c in ("unit", "doc_ids", "texts")), strict=True):
+            yield unit, ids, [tokens(t) for t in texts]
+
+
+# -- words -----------------------------------------------------------------
+
 def _buckets(words: list[bytes], bits: int) -> np.ndarray:
     joined = b" ".join(words)
     h, _ = word_hashes(np.frombuffer(joined, np.uint8), np.array([0, len(joined)]))
@@ -63,61 +116,65 @@ def _buckets(words: list[bytes], bits: int) -> np.ndarray:
 
 def _send_words(bits: int):
     def send(batches):
-        for batch in batches:
-            for block, part in table_runs(batch):
-                seen: Counter = Counter()
-                other: set[bytes] = set()
-                for doc_id, text in zip(part.column("doc_id").to_pylist(), part.column("text").to_pylist(), strict=True):
-                    if held_out(doc_id):
-                        other.update(tokens(text))
-                    else:
-                        seen.update(tokens(text))
-                words = sorted(seen.keys() | other)
-                if not words:
-                    continue
-                bucket = _buckets(words, bits)
-                order = np.argsort(bucket, kind="stable")
-                counts = np.fromiter((seen[w] for w in words), np.uint32, len(words))
-                rows = []
-                for a, b in runs(bucket[order]):
-                    at = order[a:b]
-                    rows.append({"bucket": int(bucket[at[0]]), "block": block, "words": b" ".join([words[i] for i in at.tolist()]),
-                                 "counts": pack(counts[at])})
-                yield pa.RecordBatch.from_pylist(rows, schema=_WORDS)
+        for unit, ids, texts in _rows(batches):
+            seen: Counter = Counter()
+            other: set[bytes] = set()
+            for doc_id, ws in zip(ids, texts, strict=True):
+                if held_out(doc_id):
+                    other.update(ws)
+                else:
+                    seen.update(ws)
+            words = sorted(seen.keys() | other)
+            if not words:
+                continue
+            bucket = _buckets(words, bits)
+            order = np.argsort(bucket, kind="stable")
+            counts = np.fromiter((seen[w] for w in words), np.uint64, len(words))
+            rows = []
+            for a, b in runs(bucket[order]):
+                at = order[a:b]
+                rows.append({"bucket": int(bucket[at[0]]), "unit": unit, "words": b" ".join([words[i] for i in at.tolist()]),
+                             "counts": to_planes(counts[at])})
+            yield pa.RecordBatch.from_pylist(rows, schema=_WORDS)
+        release()
     return send
 
 
-def _vocabulary(table: pa.Table) -> pa.Table:
-    """The distinct words of a bucket with their training counts."""
+def _answer_words(table: pa.Table) -> pa.Table:
+    """For each unit its words of this bucket with their training counts, and, once, what the bucket adds to the totals."""
     total: Counter = Counter()
     for words, counts in zip(table.column("words").to_pylist(), table.column("counts").to_pylist(), strict=True):
-        for w, c in zip(words.split(b" "), np.frombuffer(counts, np.uint32).tolist(), strict=True):
+        for w, c in zip(words.split(b" "), from_planes(counts).tolist(), strict=True):
             total[w] += c
-    words = sorted(total)
-    counts = np.fromiter((total[w] for w in words), np.int64, len(words))
-    return pa.table({"bucket": table.column("bucket")[:1], "words": pa.array([b" ".join(words)], pa.binary()),
-                     "counts": pa.array([pack(counts)], pa.binary()), "n": pa.array([int(counts.sum())], pa.int64()),
-                     "known": pa.array([int((counts > 0).sum())], pa.int64())})
+    found = [to_planes(np.fromiter(map(total.__getitem__, words.split(b" ")), np.uint64)) for words in table.column("words").to_pylist()]
+    n, known = sum(total.values()), sum(c > 0 for c in total.values())
+    once = [0] * (len(found) - 1)
+    return pa.table({"unit": table.column("unit"), "words": table.column("words"), "found": pa.array(found, pa.binary()),
+                     "n": pa.array([n, *once], pa.int64()), "known": pa.array([known, *once], pa.int64())})
+
 
+# -- grams -----------------------------------------------------------------
 
-def grams(words: bytes) -> tuple[np.ndarray, np.ndarray]:
-    """Key of every coded byte of the words in a space-joined list, and where each word begins.
+def grams(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """Key of every coded byte of running texts, and where each text begins among them.
 
     A key holds the number of context bytes, the context (latest byte lowest)
-    and the byte itself.
+    and the byte itself. The first byte of a text is given, not coded.
     """
-    data = np.frombuffer(b" " + words + b" ", np.uint8)
-    space = data == SPACE
-    last = np.maximum.accumulate(np.where(space, np.arange(len(data)), -1))
-    i = np.arange(1, len(data))
-    room = np.minimum(i - last[i - 1], ORDER)
-    key = data[1:].astype(np.uint64)
-    for k in range(1, ORDER + 1):
-        ok = room >= k
-        before = data[np.maximum(i - k, 0)].astype(np.uint64)
-        key |= np.where(ok, before << np.uint64(8 * k), np.uint64(0))
-    key |= room.astype(np.uint64) << np.uint64(56)
-    return key, np.flatnonzero(space[:-1])
+    size = np.fromiter(map(len, texts), np.int64, len(texts))
+    data = b"".join([bytes(7), *texts])
+    n = len(data) - 7
+    # at each byte, it and the seven before it as one number
+    key = np.ndarray((n,), ">u8", buffer=data, strides=(1,)).astype(np.uint64)
+    key &= np.uint64((1 << 56) - 1)
+    key |= np.uint64(ORDER << 56)
+    start = np.cumsum(size) - size
+    for r in range(1, ORDER):
+        at = start[size > r] + r
+        key[at] = key[at] & np.uint64((1 << 8 * (r + 1)) - 1) | np.uint64(r << 56)
+    coded = np.ones(n, dtype=bool)
+    coded[start] = False
+    return key[coded], start - np.arange(len(texts))
 
 
 def _lengths(key: np.ndarray) -> np.ndarray:
@@ -130,35 +187,55 @@ def _at_order(key: np.ndarray, k: int) -> np.ndarray:
 
 
 def _subtree(key: np.ndarray, bits: int) -> np.ndarray:
-    two = (key >> np.uint64(8)) & np.uint64(0xFFFF)
-    return (mix64(two) >> np.uint64(64 - bits)).astype(np.int64)
+    three = (key >> np.uint64(8)) & np.uint64((1 << 8 * (SHORT + 1)) - 1)
+    return (mix64(three + np.uint64(1)) >> np.uint64(64 - bits)).astype(np.int64)
+
+
+def _asked(ids, texts) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """A unit's distinct grams in order, their training counts, and of every coded byte its gram."""
+    raw = [running(ws) for ws in texts]
+    key, begin = grams(raw)
+    distinct, place = np.unique(key, return_inverse=True)
+    size = np.diff(np.r_[begin, len(key)])
+    learned = np.repeat(np.fromiter((not held_out(i) for i in ids), bool, len(ids)), size)
+    return distinct, np.bincount(place[learned], minlength=len(distinct)), (place, begin)
 
 
 def _send_grams(bits: int):
     def send(batches):
-        for batch in batches:
-            for bucket, words, counts in zip(*(batch.column(c).to_pylist() for c in ("bucket", "words", "counts")), strict=True):
-                key, begin = grams(words)
-                size = np.diff(np.r_[begin, len(key)])
-                weight = np.repeat(np.frombuffer(counts, np.int64), size)
-                distinct, place = np.unique(key, return_inverse=True)
-                total = np.bincount(place, weights=weight, minlength=len(distinct)).astype(np.int64)
-                tree = _subtree(distinct, bits)
-                order = np.argsort(tree, kind="stable")
-                yield pa.RecordBatch.from_pylist(
-                    [{"subtree": int(tree[order[a]]), "bucket": bucket, "keys": pack(distinct[order[a:b]]), "counts": pack(total[order[a:b]])}
-                     for a, b in runs(tree[order])], schema=_GRAMS)
+        for unit, ids, texts in _rows(batches):
+            distinct, count, _ = _asked(ids, texts)
+            tree = _subtree(distinct, bits)
+            order = np.argsort(tree, kind="stable")
+            rows = []
+            for a, b in runs(tree[order]):
+                k = distinct[order[a:b]]  # ascending; differences are shorter than the keys
+                rows.append({"subtree": int(tree[order[a]]), "unit": unit, "keys": to_planes(np.diff(k, prepend=np.uint64(0))),
+                             "counts": to_planes(count[order[a:b]])})
+            yield pa.RecordBatch.from_pylist(rows, schema=_GRAMS)
+        release()
     return send
 
 
 def _short_counts(batches):
-    """Counts of each byte after each one-byte context, by task."""
-    total = np.zeros(1 << 16, np.int64)
-    for batch in batches:
-        for keys, counts in zip(batch.column("keys").to_pylist(), batch.column("counts").to_pylist(), strict=True):
-            np.add.at(total, _at_order(np.frombuffer(keys, np.uint64), 1).astype(np.int64), np.frombuffer(counts, np.int64))
-    at = np.flatnonzero(total)
-    yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(total[at])], names=["pair", "n"])
+    """Training counts of bytes after contexts of one and of two bytes, by task: ``length, gram, n``."""
+    total: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+    for _, ids, texts in _rows(batches):
+        raw = [running(ws) for i, ws in zip(ids, texts, strict=True) if not held_out(i)]
+        if not raw:
+            continue
+        key, _ = grams(raw)
+        room = _lengths(key)
+        for k in range(1, SHORT + 1):
+            g, n = np.unique(_at_order(key[room >= k], k), return_counts=True)
+            if k in total:
+                both, place = np.unique(np.concatenate([total[k][0], g]), return_inverse=True)
+                n = np.bincount(place, weights=np.concatenate([total[k][1], n]), minlength=len(both)).astype(np.int64)
+                g = both
+            total[k] = (g, n)
+    for k, (g, n) in total.items():
+        yield pa.RecordBatch.from_arrays([pa.array(np.full(len(g), k, np.int32)), pa.array(g.astype(np.int64)), pa.array(n)], names=["length", "gram", "n"])
+    release()
 
 
 class _Level:
@@ -193,18 +270,25 @@ class _Level:
         return tuple(np.where(hit, x[at], 0.0) for x in (self.total, self.distinct, self.taken))
 
 
-def code_lengths(keys: np.ndarray, counts: np.ndarray, short: np.ndarray) -> np.ndarray:
-    """log10 probability of each gram; ``keys`` are whole subtrees, ``short`` the counts for one-byte contexts."""
-    length = _lengths(keys)
-    levels: dict[int, _Level] = {}
-    pair = np.flatnonzero(short).astype(np.uint64)
-    levels[1] = _Level(pair, short[pair.astype(np.int64)])
-    zero = short.reshape(_SYMBOLS, _SYMBOLS).sum(0)
+def short_levels(short: dict[int, tuple[np.ndarray, np.ndarray]]) -> dict[int, _Level]:
+    """Levels of the contexts of up to ``SHORT`` bytes from their (gram, count) arrays."""
+    none = (np.empty(0, np.uint64), np.empty(0, np.int64))
+    levels = {k: _Level(*short.get(k, none)) for k in range(1, SHORT + 1)}
+    grams1, n = short.get(1, none)
+    zero = np.bincount((grams1 & np.uint64(255)).astype(np.int64), weights=n, minlength=_SYMBOLS)
     levels[0] = _Level(np.arange(_SYMBOLS, dtype=np.uint64), zero)
-    for k in range(2, ORDER + 1):
+    for k in range(1, SHORT + 1):
+        levels[k].take_from(levels[k - 1], k)
+    return levels
+
+
+def code_lengths(keys: np.ndarray, counts: np.ndarray, short: dict[int, _Level]) -> np.ndarray:
+    """-log10 probability of each gram; ``keys`` are distinct, sorted, and whole subtrees, ``short`` the levels every task has."""
+    length = _lengths(keys)
+    levels = dict(short)
+    for k in range(SHORT + 1, ORDER + 1):
         p, place = np.unique(_at_order(keys[length >= k], k), return_inverse=True)
         levels[k] = _Level(p, np.bincount(place, weights=counts[length >= k], minlength=len(p)))
-    for k in range(1, ORDER + 1):
         levels[k].take_from(levels[k - 1], k)
     out = np.zeros(len(keys))
     live = np.ones(len(keys), bool)
@@ -219,114 +303,98 @@ def code_lengths(keys: np.ndarray, counts: np.ndarray, short: np.ndarray) -> np.
         some = t + d > 0
         with np.errstate(divide="ignore", invalid="ignore"):
             step = np.where(hit, np.log10(n / (t + d)), np.where(some, np.log10(d / (t + d)), 0.0))
-        out[at] += step
+        out[at] -= step
         live[at[hit]] = False
         seen = total > 0
         taken[at], out_of[at] = np.where(seen, takes, 0.0), np.where(seen, distinct, 0.0)
-    left = max(_SYMBOLS - int((zero > 0).sum()), 1)
-    out[live] -= np.log10(left)
+    left = max(_SYMBOLS - len(levels[0].pairs), 1)
+    out[live] += np.log10(left)
     return out
 
 
-def _score_grams(short: np.ndarray):
+def _score_grams(short: dict[int, tuple[np.ndarray, np.ndarray]]):
+    made: list[dict[int, _Level]] = []  # once for all subtrees of a task
+
     def score(table: pa.Table) -> pa.Table:
-        keys = [np.frombuffer(k, np.uint64) for k in table.column("keys").to_pylist()]
-        counts = [np.frombuffer(c, np.int64) for c in table.column("counts").to_pylist()]
+        if not made:
+            made.append(short_levels(short))
+        keys = [np.cumsum(from_planes(k)) for k in table.column("keys").to_pylist()]
+        counts = np.concatenate([from_planes(c) for c in table.column("counts").to_pylist()])
         distinct, place = np.unique(np.concatenate(keys), return_inverse=True)
-        total = np.bincount(place, weights=np.concatenate(counts), minlength=len(distinct))
-        cost = code_lengths(distinct, total, short)[place]
+        total = np.bincount(place, weights=counts, minlength=len(distinct))
+        steps = np.rint(code_lengths(distinct, total, made[0]) * STEPS).astype(np.uint64)[place]
         ends = np.cumsum([len(k) for k in keys])[:-1]
-        return pa.table({"bucket": table.column("bucket"), "keys": table.column("keys"),
-                         "costs": pa.array([pack(c.astype(np.float32)) for c in np.split(cost, ends)], pa.binary())})
+        out = [to_planes(c) for c in np.split(steps, ends)]
+        release()
+        return pa.table({"unit": table.column("unit"), "subtree": table.column("subtree"),
+                         "words": pa.nulls(len(out), pa.binary()), "found": pa.array(out, pa.binary())})
     return score
 
 
-def _score_words(words: pa.Table, answers: pa.Table) -> pa.Table:
-    """Code length of each word of a bucket of the vocabulary."""
-    keys = np.concatenate([np.frombuffer(k, np.uint64) for k in answers.column("keys").to_pylist()])
-    costs = np.concatenate([np.frombuffer(c, np.float32) for c in answers.column("costs").to_pylist()])
-    order = np.argsort(keys)
-    keys, costs = keys[order], costs[order]
-    out = []
-    for w in words.column("words").to_pylist():
-        key, begin = grams(w)
-        out.append(pack(np.add.reduceat(costs[np.searchsorted(keys, key)].astype(np.float64), begin)))
-    return pa.table({"bucket": words.column("bucket"), "words": words.column("words"), "counts": words.column("counts"),
-                     "costs": pa.array(out, pa.binary())})
-
-
-def _answer_blocks(sent: pa.Table, vocabulary: pa.Table) -> pa.Table:
-    """Training count and code length of each word that a block has sent."""
-    place: dict[bytes, int] = {}
-    for words in vocabulary.column("words").to_pylist():
-        place = {w: i for i, w in enumerate(words.split(b" "))}
-    counts = np.frombuffer(b"".join(vocabulary.column("counts").to_pylist()), np.int64)
-    costs = np.frombuffer(b"".join(vocabulary.column("costs").to_pylist()), np.float64)
-    out_n, out_c = [], []
-    for words in sent.column("words").to_pylist():
-        at = np.fromiter(map(place.__getitem__, words.split(b" ")), np.int64)
-        out_n.append(pack(counts[at].astype(np.uint64)))
-        out_c.append(pack(costs[at].astype(np.float32)))
-    return pa.table({"block": sent.column("block"), "words": sent.column("words"),
-                     "counts": pa.array(out_n, pa.binary()), "costs": pa.array(out_c, pa.binary())})
-
-
-def _score_documents(n: int, v: int, end_count: int, end_cost: float):
-    def score(docs: pa.Table, answers: pa.Table) -> pa.Table:
-        place: dict[bytes, int] = {}
-        for words in answers.column("words").to_pylist():
-            for w in words.split(b" "):
-                place[w] = len(place) if w not in place else place[w]
-        counts, costs = np.zeros(len(place), np.int64), np.zeros(len(place))
-        for words, c, x in zip(*(answers.column(k).to_pylist() for k in ("words", "counts", "costs")), strict=True):
-            at = np.fromiter(map(place.__getitem__, words.split(b" ")), np.int64)
-            counts[at], costs[at] = np.frombuffer(c, np.uint64), np.frombuffer(x, np.float32)
-        logs = np.log10(counts + 1.0)
-        known = counts > 0
+# -- documents -------------------------------------------------------------
+
+def _score_documents(bits: int, n: int, v: int, end_count: int):
+    def score(units: pa.Table, answers: pa.Table) -> pa.Table:
+        out = {k: [] for k in ("doc_id", "held_out", "n_tokens", "n_known", "base_score", "score")}
         floor = np.log10(float(n + v + 1))
-        rows = {k: [] for k in ("held_out", "n_tokens", "n_known", "base_score", "score")}
-        for doc_id, text in zip(docs.column("doc_id").to_pylist(), docs.column("text").to_pylist(), strict=True):
-            at = np.fromiter(map(place.__getitem__, tokens(text)), np.int64)
-            rows["held_out"].append(held_out(doc_id))
-            rows["n_tokens"].append(len(at) + 1)
-            rows["n_known"].append(int(known[at].sum()) + (end_count > 0))
-            rows["base_score"].append(float(logs[at].sum() + np.log10(end_count + 1.0) - (len(at) + 1) * floor))
-            rows["score"].append(float(costs[at].sum() + end_cost))
-        return pa.table({"rid": docs.column("rid"), "doc_id": docs.column("doc_id"), "held_out": pa.array(rows["held_out"], pa.bool_()),
-                         "n_tokens": pa.array(rows["n_tokens"], pa.int64()), "n_known": pa.array(rows["n_known"], pa.int64()),
-                         "base_score": pa.array(rows["base_score"], pa.float64()), "score": pa.array(rows["score"], pa.float64())})
+        for _, ids, texts in _rows(units.to_batches()):
+            count: dict[bytes, int] = {}
+            steps: dict[int, np.ndarray] = {}
+            for subtree, words, found in zip(*(answers.column(k).to_pylist() for k in ("subtree", "words", "found")), strict=True):
+                if words is None:
+                    steps[subtree] = from_planes(found)
+                else:
+                    count.update(zip(words.split(b" "), from_planes(found).tolist(), strict=True))
+            distinct, _, (place, begin) = _asked(ids, texts)
+            tree = _subtree(distinct, bits)
+            order = np.argsort(tree, kind="stable")
+            cost = np.empty(len(distinct), np.uint64)
+            cost[order] = np.concatenate([steps[t] for t in sorted(steps)]) if steps else 0
+            total = np.add.reduceat(cost[place], begin) if len(place) else np.zeros(len(ids))
+            for doc_id, ws, x in zip(ids, texts, total.tolist(), strict=True):
+                c = np.fromiter(map(count.__getitem__, ws), np.float64, len(ws))
+                out["doc_id"].append(doc_id)
+                out["held_out"].append(held_out(doc_id))
+                out["n_tokens"].append(len(ws) + 1)
+                out["n_known"].append(int((c > 0).sum()) + (end_count > 0))
+                out["base_score"].append(float(np.log10(c + 1).sum() + np.log10(end_count + 1.0) - (len(ws) + 1) * floor))
+                out["score"].append(-x / STEPS)
+        release()
+        kinds = {"doc_id": pa.int64(), "held_out": pa.bool_(), "n_tokens": pa.int64(), "n_known": pa.int64(), "base_score": pa.float64(), "score": pa.float64()}
+        return pa.table({k: pa.array(x, kinds[k]) for k, x in out.items()})
     return score
 
 
 def score_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``rid, doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score`` of every row.
+    """``doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score`` of every row.
 
     Both scores are log10 probabilities: of the smoothed word counts and of the
     trie. Null texts are empty and hold the end alone. Without training rows
-    every byte value is equally likely.
+    every byte value is equally likely. Ids must be whole numbers or null; rows
+    without an id are learned from. Equal ids and rows each count for themselves.
+    Code lengths are kept in steps of 2 ** -18.
     """
-    blocks = to_blocks(docs, id_col, text_col, "ppm-blocks")
-    bits = bucket_bits(blocks, 3, VOCABULARY_BYTES)
-    sent = materialize(blocks.select("block", "doc_id", "text").mapInArrow(_send_words(bits), _WORDS_TYPE), "ppm-sent")
-    vocabulary = materialize(sent.groupBy("bucket").applyInArrow(_vocabulary, "bucket int, words binary, counts binary, n long, known long"), "ppm-words")
-    size = vocabulary.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"), F.coalesce(F.sum("known"), F.lit(0)).alias("known")).first()
+    bounded_batches(docs.sparkSession)
+    texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
+    units = materialize(texts.mapInArrow(_units, _UNIT_TYPE), "ppm-units")
+    size = units.agg(F.coalesce(F.sum("bytes"), F.lit(0))).first()[0]
+    word_bits, bits = (max(3, int(size // each).bit_length()) for each in (VOCABULARY_BYTES, SUBTREE_BYTES))
+    plain = units.select("unit", "doc_ids", "texts")
+
+    sent = plain.mapInArrow(_send_words(word_bits), _WORDS_TYPE)
+    words = materialize(sent.groupBy("bucket").applyInArrow(_answer_words, "unit long, words binary, found binary, n long, known long"), "ppm-words")
+    sums = words.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"), F.coalesce(F.sum("known"), F.lit(0)).alias("known")).first()
+    ids = texts.select("doc_id")
     in_training = F.col("doc_id").isNull() | (F.crc32(F.encode(F.col("doc_id").cast("string"), "UTF-8")) % 7 != 2)
-    ends = blocks.filter(in_training).count()
-    n, v = size.n + ends, size.known + (ends > 0)
-    gram_rows = materialize(vocabulary.select("bucket", "words", "counts")
-                            .mapInArrow(_send_grams(bits), "subtree int, bucket int, keys binary, counts binary"), "ppm-grams")
-    short = np.zeros(1 << 16, np.int64)
-    for r in gram_rows.select("keys", "counts").mapInArrow(_short_counts, "pair long, n long").groupBy("pair").agg(F.sum("n").alias("n")).collect():
-        short[r.pair] = r.n
-    short[SPACE << 8 | END] += ends
-    end_key = np.array([(1 << 56) | (SPACE << 8) | END], np.uint64)
-    end_cost = float(code_lengths(end_key, np.array([ends]), short)[0])
-    costs = gram_rows.groupBy("subtree").applyInArrow(_score_grams(short), "bucket int, keys binary, costs binary")
-    scored = materialize(vocabulary.select("bucket", "words", "counts").groupBy("bucket").cogroup(costs.groupBy("bucket"))
-                         .applyInArrow(_score_words, "bucket int, words binary, counts binary, costs binary"), "ppm-scored")
-    answers = (sent.groupBy("bucket").cogroup(scored.groupBy("bucket"))
-               .applyInArrow(_answer_blocks, "block long, words binary, counts binary, costs binary"))
-    out = (blocks.groupBy("block").cogroup(answers.groupBy("block"))
-           .applyInArrow(_score_documents(n, v, ends, end_cost),
-                         "rid long, doc_id long, held_out boolean, n_tokens long, n_known long, base_score double, score double"))
+    ends = ids.filter(in_training).count()
+    n, v = sums["n"] + ends, sums["known"] + (ends > 0)
+
+    counted = (plain.mapInArrow(_short_counts, "length int, gram long, n long").groupBy("length", "gram").agg(F.sum("n").alias("n"))
+               .orderBy("length", "gram").toPandas())  # at most 256 ** 3 grams of two context bytes
+    short = {int(k): (g["gram"].to_numpy().astype(np.uint64), g["n"].to_numpy()) for k, g in counted.groupby("length")}
+    costs = plain.mapInArrow(_send_grams(bits), _GRAMS_TYPE).groupBy("subtree").applyInArrow(_score_grams(short), _ANSWER)
+    answers = costs.unionByName(words.select("unit", F.lit(-1).alias("subtree"), "words", "found")).withColumnRenamed("unit", "home")
+    out = (plain.groupBy("unit").cogroup(answers.groupBy("home"))
+           .applyInArrow(_score_documents(bits, n, v, ends),
+                         "doc_id long, held_out boolean, n_tokens long, n_known long, base_score double, score double"))
     return out.withColumn("train_tokens", F.lit(n).cast("long"))

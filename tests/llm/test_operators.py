@@ -1,6 +1,7 @@
 """Each operator against a brute-force version on a small table with awkward rows, and on an empty one."""
 
 import collections
+import functools
 import hashlib
 import math
 import random
@@ -163,17 +164,15 @@ def test_components_of_a_long_path(spark):
     assert {(r.node, r.root) for r in rows(ngram_join.components(links))} == {(i, 0) for i in range(61)} | {(100, 100), (101, 100)}
 
 
-def test_ppm_against_counts_and_a_plain_trie(docs):
-    source = [(r.doc_id, words(r.text)) for r in rows(docs)]
-    train = [(i, w) for i, w in source if i is None or zlib.crc32(str(i).encode()) % 7 != 2]
-    c = collections.Counter(x for _, w in train for x in [*w, None])
+def plain_trie(texts):
+    """Code length of a running text under a trie of all contexts of the texts, byte by byte."""
     node = collections.defaultdict(collections.Counter)
-    for w, k in c.items():
-        s = b" " + (b"\n" if w is None else w + b" ")
+    for s in texts:
         for j in range(1, len(s)):
             for o in range(min(ppm.ORDER, j) + 1):
-                node[s[j - o:j]][s[j]] += k
+                node[s[j - o:j]][s[j]] += 1
 
+    @functools.cache
     def cost(ctx, sym):
         out, gone = 0.0, set()
         for o in range(len(ctx), -1, -1):
@@ -185,20 +184,36 @@ def test_ppm_against_counts_and_a_plain_trie(docs):
             out += math.log10(len(left) / total) if total else 0
             gone = set(own)
         return out - math.log10(256 - len(node[b""]))
+    return lambda s: sum(cost(s[max(0, j - ppm.ORDER):j], s[j]) for j in range(1, len(s)))
 
-    def of(w):
-        s = b" " + (b"\n" if w is None else w + b" ")
-        return sum(cost(s[max(0, j - ppm.ORDER):j], s[j]) for j in range(1, len(s)))
+
+@pytest.mark.parametrize("unit", [8 << 20, 300])
+def test_ppm_against_counts_and_a_plain_trie(docs, monkeypatch, unit):
+    monkeypatch.setattr(ppm, "UNIT_BYTES", unit)
+    source = [(r.doc_id, words(r.text)) for r in rows(docs)]
+    train = [(i, w) for i, w in source if i is None or zlib.crc32(str(i).encode()) % 7 != 2]
+    c = collections.Counter(x for _, w in train for x in [*w, None])
+    of = plain_trie([b" " + b"".join(x + b" " for x in w) + b"\n" for _, w in train])
     expected = sorted((len(w) + 1, sum(c[x] > 0 for x in [*w, None]), round(sum(math.log10((c[x] + 1) / (c.total() + len(c) + 1)) for x in [*w, None]), 6),
-                       round(sum(map(of, [*w, None])), 2)) for _, w in source)
+                       of(b" " + b"".join(x + b" " for x in w) + b"\n")) for _, w in source)
     got = rows(ppm.score_documents(docs))
-    found = sorted((r.n_tokens, r.n_known, round(r.base_score, 6), round(r.score, 2)) for r in got)
+    found = sorted((r.n_tokens, r.n_known, round(r.base_score, 6), r.score) for r in got)
     assert [x[:2] for x in found] == [x[:2] for x in expected]
     for x, y in zip(found, expected, strict=True):
-        assert x[2:] == pytest.approx(y[2:], rel=1e-4)
+        assert x[2:] == pytest.approx(y[2:], rel=1e-4, abs=1e-4)
     assert {r.train_tokens for r in got} == {c.total()}
 
 
+def test_ppm_knows_the_order_of_words(spark):
+    r = random.Random(9)
+    lines = ["the cat sat on the mat and slept", "a dog ran over the green hill", "rain fell on the old stone town"]
+    train = [(i, r.choice(lines)) for i in range(60)]
+    mixed = lines[0].split()
+    r.shuffle(mixed)
+    got = {x.doc_id: x for x in rows(ppm.score_documents(spark.createDataFrame([*train, (1000, lines[0]), (1001, " ".join(mixed))], "doc_id long, text string")))}
+    assert got[1000].base_score == pytest.approx(got[1001].base_score) and got[1000].score > got[1001].score + 3
+
+
 def test_bpe_round_trip_with_the_library(docs):
     reference = Tokenizer.from_file(VOCABULARY)
     expected = collections.Counter()
