@@ -13,7 +13,8 @@ the states of the current path only. Words never seen again cost nothing after
 their batch; the memory of compatible pairs is bounded.
 
 Only the vocabulary file is read (its path is a parameter); normalisation,
-splitting, merging and decoding are done here.
+splitting, merging and decoding are done here. What counts as a letter, digit
+or space is asked of the file's library, whose Unicode tables differ.
 """
 
 from __future__ import annotations
@@ -27,11 +28,16 @@ import unicodedata
 from array import array
 from collections import defaultdict
 from collections.abc import Iterator
+from functools import cache, cached_property
 from itertools import chain, count
 
+import numpy as np
 import pandas as pd
 import regex
 from pyspark.sql import Column, DataFrame, functions as F
+from tokenizers import Regex
+from tokenizers.normalizers import Lowercase
+from tokenizers.pre_tokenizers import Split
 
 from .common import bounded_batches, release
 
@@ -53,6 +59,46 @@ def low_pattern() -> re.Pattern:
     return re.compile(f"[{letters}]+|'(?:s|t|re|ve|m|ll|d)|[{numbers}]|[^{spaces}{letters}{numbers}]+")
 
 
+_POINTS = [*range(0xD800), *range(0xE000, 0x110000)]
+
+
+@cache
+def class_set(name: str) -> str:
+    """A character class (such as ``\\p{L}``) as the vocabulary's library knows it, as a nested set.
+
+    Unicode gains letters every year, and libraries take them over at
+    different times; a vocabulary file means the classes of its own. Both are
+    let loose on a text of all code points, and the set names the difference.
+    """
+    text = "".join(map(chr, _POINTS))
+    theirs, ours = np.ones(len(text), bool), np.zeros(len(text), bool)
+    for _, (a, b) in Split(Regex(f"{name}+"), "removed").pre_tokenize_str(text):
+        theirs[a:b] = False
+    for m in regex.finditer(f"{name}+", text):
+        ours[m.start():m.end()] = True
+    gone, extra = (_ranges(x) for x in (ours & ~theirs, theirs & ~ours))
+    known = f"[{name}--[{gone}]]" if gone else name
+    return f"[{known}{extra}]"
+
+
+def _ranges(member: np.ndarray) -> str:
+    edge = np.flatnonzero(np.diff(np.r_[False, member, False].astype(np.int8)))
+    return "".join(f"\\U{_POINTS[a]:08x}-\\U{_POINTS[b - 1]:08x}" for a, b in edge.reshape(-1, 2).tolist())
+
+
+def with_sets(pattern: str) -> str:
+    """A pattern with those classes in place of the names; they stand inside brackets or alone."""
+    return "(?V1)" + re.sub(r"\\p\{[LN]\}|\\s", lambda m: class_set(m[0]), pattern)
+
+
+@cache
+def new_lower() -> dict[int, str]:
+    """Lower case of letters that only the library knows."""
+    unknown = [c for c in _POINTS if unicodedata.category(chr(c)) == "Cn"]
+    low = Lowercase().normalize_str("".join(map(chr, unknown)))
+    return {c: x for c, x in zip(unknown, low, strict=True) if ord(x) != c}
+
+
 def byte_symbols() -> list[str]:
     """The printable character that stands for each byte in byte-level vocabularies."""
     plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
@@ -87,11 +133,15 @@ class WordBPE:
         if normal != ["NFC", "Replace", "Lowercase"]:
             raise ValueError(f"normalizer not supported: {normal}")
         pattern = spec["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"]
-        self.split = regex.compile(pattern)
+        self.pattern = pattern
         self.split_low = low_pattern() if pattern == CONTRACTIONS_LETTERS_DIGITS else self.split
         self.added = re.compile("(" + "|".join(map(re.escape, sorted(self.special, key=len, reverse=True))) + ")") if self.special else None
         self.fits: dict[tuple[str, str], bool] = {}
 
+    @cached_property
+    def split(self) -> regex.Pattern:
+        return regex.compile(with_sets(self.pattern))
+
     def compatible(self, left: str, right: str) -> bool:
         """Whether merging the symbols of ``left`` and ``right`` together gives these two tokens.
 
@@ -208,7 +258,9 @@ class WordBPE:
 
     def split_words(self, text: str) -> list[str]:
         text = self.normalize(text)
-        return (self.split if _HIGH.search(text) else self.split_low).findall(text)
+        if _HIGH.search(text):
+            return self.split.findall(text.translate(new_lower()))
+        return self.split_low.findall(text)
 
     def parts(self, text: str) -> list[tuple[str, int | None]]:
         """Runs of plain text, and special tokens with their id, in order."""
