@@ -1,10 +1,11 @@
 """Toxicity as a weighted finite-state pattern grammar over clauses.
 
-Every clause runs through five small transducers (insult, threat, target,
-negation, reported speech) and one composed machine that reads their output:
-an insult or threat adds its weight to the clause, a target word nearby raises
-it, a negation that governs it or a verb of reporting before it lowers it. The
-document's evidence is what its matched clauses score, not a count of words.
+Reported speech, negation, intent and targets are transducers that mark the
+words they govern; insults and threats are transducers that weigh a word by its
+mark. Composed, they are one machine that every clause runs through: an insult
+or threat adds its weight to the clause, a target word or an intention nearby
+raises it, a negation that governs it or a verb of reporting before it lowers
+it. The document's evidence is what its matched clauses score, not a count of words.
 
 The insult lexicon and all weights are learned from labelled rows: words whose
 use is tied to the toxic label in many different surroundings, and a logistic
@@ -44,12 +45,72 @@ INTENT = frozenset("will shall gonna going must should i'll we'll werde werden w
 _CLAUSE = re.compile(r"[.!?;:\n]+|,\s")
 _WORD = re.compile(r"[^\W\d_]+(?:['’][^\W\d_]+)?")
 
-# States of the composed machine: what governs the next insult or threat.
+# What a word is to the grammar, and what governs a word (PLAIN: nothing does).
+OTHER, INSULT, THREATS, REPORTS, NEGATES, INTENDS, TARGETS = range(7)
 PLAIN, AIMED, DENIED, QUOTED, MEANT = range(5)
-#: Words after which a governing state is forgotten.
-REACH = {AIMED: 3, DENIED: 3, QUOTED: 12, MEANT: 4}
-#: Output factor of an insult in each state, before the learned weights.
+CLASS = ({w: TARGETS for w in TARGET} | {w: INTENDS for w in INTENT} | {w: NEGATES for w in NEGATION} | {w: REPORTS for w in REPORTED}
+         | {w: THREATS for w in THREAT})
+
+
+@dataclass(frozen=True)
+class Governor:
+    """A transducer that marks the ``reach`` words after one of its own, unless one before it in the cascade has marked them.
+
+    It reads (class, mark, opened) and passes them on. Where a transducer before
+    it opens, it closes. ``again``: its own word opens it anew while it is open.
+    """
+
+    opens: int
+    mark: int
+    reach: int
+    again: bool
+
+    def step(self, state: int, cls: int, mark: int, opened: bool) -> tuple[int, int, bool]:
+        open_, left = state > 0, max(state - 1, 0)
+        if opened:
+            return 0, mark, True
+        if mark == PLAIN and cls == self.opens and (self.again or not open_):
+            return self.reach, self.mark if open_ else PLAIN, True
+        return left, self.mark if open_ and mark == PLAIN else mark, False
+
+
+#: The governing transducers in the order of the cascade: reported speech over negation over intent over targets.
+GOVERNORS = (Governor(REPORTS, QUOTED, 12, True), Governor(NEGATES, DENIED, 3, True), Governor(INTENDS, MEANT, 4, False),
+             Governor(TARGETS, AIMED, 3, False))
+#: Output of the insult transducer in each mark, as a factor of the word's weight, and of the threat transducer.
 FACTOR = {PLAIN: 1.0, AIMED: 1.25, DENIED: 0.25, QUOTED: 0.35, MEANT: 1.0}
+MENACE = {PLAIN: 0.0, AIMED: 0.4, DENIED: 0.0, QUOTED: 0.0, MEANT: 1.0}
+SOFTENING = (DENIED, QUOTED)
+
+
+def compose(governors: tuple[Governor, ...] = GOVERNORS) -> list[list[tuple[int, float, float, int]]]:
+    """The cascade with the insult and threat transducers behind it as one machine.
+
+    ``table[state][class]`` is the next state, the factor of an insult, the
+    weight of a threat and whether the match is softened. Only states that a
+    clause can reach are made, the first is the start.
+    """
+    number = {(0,) * len(governors): 0}
+    todo, table = list(number), []
+    while todo:
+        row = []
+        for cls in range(7):
+            states, mark, opened = [], PLAIN, False
+            for g, s in zip(governors, todo[0], strict=True):
+                s, mark, opened = g.step(s, cls, mark, opened)
+                states.append(s)
+            to = tuple(states)
+            if to not in number:
+                number[to] = len(number)
+                todo.append(to)
+            insult, threat = FACTOR[mark] if cls == INSULT else 0.0, MENACE[mark] if cls == THREATS else 0.0
+            row.append((number[to], insult, threat, int(cls in (INSULT, THREATS) and mark in SOFTENING)))
+        table.append(row)
+        todo.pop(0)
+    return table
+
+
+MACHINE = compose()
 FEATURES = ("clauses", "strongest", "threats", "softened", "share")
 
 
@@ -62,33 +123,17 @@ class Grammar:
 
 def clause_score(clause_words: list[str], lexicon: dict[str, float]) -> tuple[float, float, int]:
     """Evidence of insult, evidence of threat and number of softened matches of one clause."""
-    state, left = PLAIN, 0
+    state = 0
     insult = threat = 0.0
     softened = 0
     for w in clause_words:
-        if left:
-            left -= 1
-        elif state != PLAIN:
-            state = PLAIN
         weight = lexicon.get(w)
-        if weight is not None:
-            insult = max(insult, weight * FACTOR[state])
-            softened += state in (DENIED, QUOTED)
-        elif w in THREAT:
-            if state == MEANT:
-                threat = max(threat, 1.0)
-            elif state == AIMED:
-                threat = max(threat, 0.4)
-            elif state in (DENIED, QUOTED):
-                softened += 1
-        elif w in REPORTED:
-            state, left = QUOTED, REACH[QUOTED]
-        elif w in NEGATION and state != QUOTED:
-            state, left = DENIED, REACH[DENIED]
-        elif w in INTENT and state in (PLAIN, AIMED):
-            state, left = MEANT, REACH[MEANT]
-        elif w in TARGET and state == PLAIN:
-            state, left = AIMED, REACH[AIMED]
+        cls = CLASS.get(w, OTHER) if weight is None else INSULT
+        state, factor, menace, soft = MACHINE[state][cls]
+        if cls == INSULT:
+            insult = max(insult, weight * factor)
+        threat = max(threat, menace)
+        softened += soft
     return insult, threat, softened
 
 

@@ -5,10 +5,12 @@ import math
 import random
 
 import numpy as np
+import public_tokenizers
 import pytest
 from pyspark.sql import functions as F
+from tokenizers import Tokenizer
 
-from docexport.llm import decontaminate, ngram_join, queries, site_style, skip_crf, suffix_dedup, toxicity
+from docexport.llm import bpe, decontaminate, ngram_join, queries, site_style, skip_crf, suffix_dedup, toxicity
 
 SF = "/root/testdata/sf0.01"
 
@@ -261,3 +263,54 @@ def test_many_templated_texts_cost_no_pairs(spark, monkeypatch):
     rows = spark.createDataFrame(template_rows(4000, 3), "doc_id long, text string").repartition(4)
     found, links = ngram_join.similar_documents(rows)
     assert seen and found.count() == 4000 and found.filter("n_links > 0").count() == 0 and links.count() == 0
+
+
+# -- code points -----------------------------------------------------------
+
+def test_every_code_point_is_split_as_the_library_does():
+    path = public_tokenizers.path("word_bpe_49k.json")
+    library, own = Tokenizer.from_file(path), bpe.WordBPE(path)
+    points = [*range(0xD800), *range(0xE000, 0x110000)]
+    for lo in range(0, len(points), 50_000):
+        texts = [f"a{chr(c)}b {chr(c)}1" for c in points[lo:lo + 50_000]]
+        assert own.encode(texts) == [e.ids for e in library.encode_batch(texts, add_special_tokens=False)]
+
+
+# -- clause grammar --------------------------------------------------------
+
+def govern_by_hand(classes):
+    """What governs each word of a clause, by looking back from it: the last opening that holds, and until where."""
+    t, out, mark, until = toxicity, [], toxicity.PLAIN, -1
+    for i, c in enumerate(classes):
+        if i > until:
+            mark = t.PLAIN
+        out.append(mark)
+        if c == t.REPORTS:
+            mark, until = t.QUOTED, i + 12
+        elif c == t.NEGATES and out[i] != t.QUOTED:
+            mark, until = t.DENIED, i + 3
+        elif c == t.INTENDS and out[i] in (t.PLAIN, t.AIMED):
+            mark, until = t.MEANT, i + 4
+        elif c == t.TARGETS and out[i] == t.PLAIN:
+            mark, until = t.AIMED, i + 3
+    return out
+
+
+def test_the_composed_machine_takes_every_path_as_by_hand():
+    import itertools
+    assert len(toxicity.MACHINE) == 1 + 12 + 3 + 4 + 3
+    rng = random.Random(1)
+    paths = [*itertools.product(range(7), repeat=5), *([rng.randrange(7) for _ in range(rng.randint(6, 40))] for _ in range(3000))]
+    for classes in paths:
+        state = 0
+        for c, mark in zip(classes, govern_by_hand(classes), strict=True):
+            state, factor, menace, soft = toxicity.MACHINE[state][c]
+            assert factor == (toxicity.FACTOR[mark] if c == toxicity.INSULT else 0)
+            assert menace == (toxicity.MENACE[mark] if c == toxicity.THREATS else 0)
+            assert soft == (c in (toxicity.INSULT, toxicity.THREATS) and mark in toxicity.SOFTENING)
+
+
+def test_without_a_governor_nothing_is_marked():
+    assert toxicity.compose(()) == [[(0, 1.0 if c == toxicity.INSULT else 0.0, 0.0, 0) for c in range(7)]]
+    only = toxicity.compose(toxicity.GOVERNORS[:1])
+    assert len(only) == 13 and only[1][toxicity.INSULT][1] == toxicity.FACTOR[toxicity.QUOTED]
