@@ -58,15 +58,20 @@ def release() -> None:
             trim(0)
 
 
-def materialize(df: DataFrame, name: str) -> DataFrame:
+def materialize(df: DataFrame, name: str, clean: bool = False) -> DataFrame:
     """Write ``df`` under the shared checkpoint folder and read it back.
 
     The copy cuts the lineage: a lost executor costs the tasks that read it,
-    and ids made by position stay what they were.
+    and ids made by position stay what they were. With ``clean`` the shuffle
+    files that only the written table needed go at once; Spark drops them when
+    the driver collects the plans that made them.
     """
     spark = df.sparkSession
     path = scratch_path(spark, name)
     df.write.option("compression", "zstd").parquet(path)
+    if clean:
+        gc.collect()
+        spark.sparkContext._jvm.System.gc()
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -1,4 +1,4 @@
-"""Repeated byte strings by a family of sparse suffix arrays of geometric sizes.
+"""Repeated byte strings by a logarithmic family of sparse suffix indexes.
 
 A string of ``length`` bytes that starts in two places is repeated. Every such
 string holds an *anchor*: of its ``length - GRAM + 1`` grams of ``GRAM`` bytes,
@@ -6,22 +6,22 @@ the rightmost with the smallest hash. Equal strings have equal anchors at equal
 places, so suffixes need to be indexed at anchors only, about one position in
 seventy, and strings need to be compared only where anchors meet.
 
-The index is built block by block over the documents:
-
-1. Each block sends the anchors it has (distinct, with counts) and the segment
-   around each: from the first to the last byte of the strings whose anchor it
-   is. In one task per bucket of anchors the blocks are batches of an index
-   family: a new batch's sorted suffix keys are merge-scanned against every
-   level for matches, then become a level themselves, and two levels of equal
-   rank merge into one of the next.
+1. Each block of documents sends the anchors it has (distinct, with counts) and
+   the segment around each: from the first to the last byte of the strings whose
+   anchor it is. In one task per bucket of anchors the blocks are batches of an
+   index family: a batch is a sorted level, and levels of equal rank merge into
+   one of the next, so that every key is moved a logarithmic number of times.
+   What came more than once is then read off by a merge scan over the levels.
 2. An anchor whose whole segment occurs elsewhere has only repeated strings.
    The strings of anchors that occur in several different segments go through
    the same family, one key per string, since there only some are repeated.
 3. The blocks get their answers and cut every byte that a repeated string
    covers. Strings are judged on the input, not on what is left.
 
-Suffixes are ordered by a 64-bit hash of the bytes that count (gram, segment,
-string) instead of by the bytes themselves; that keeps keys of fixed width.
+The levels hold 64-bit hashes of the bytes that count (gram, segment, string),
+sorted as numbers and counted, in place of suffixes sorted by their bytes: of
+a string of fixed length only its identity matters, not its neighbours' common
+prefixes. The family lives as long as the task of its bucket.
 """
 
 from __future__ import annotations
@@ -265,8 +265,8 @@ def repeated_strings(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     by_block = blocks.groupBy("block")
     sent = blocks.select("block", "text").mapInArrow(_send_anchors(bits, length), _SENT_TYPE)
     answer = "block long, keys binary, counts binary"
-    first = materialize(sent.groupBy("bucket").applyInArrow(_repeated, answer), "suffix-anchors")
+    first = materialize(sent.groupBy("bucket").applyInArrow(_repeated, answer), "suffix-anchors", clean=True)
     strings = by_block.cogroup(first.groupBy("block")).applyInArrow(_send_strings(bits, length), _SENT_TYPE)
-    second = materialize(strings.groupBy("bucket").applyInArrow(_repeated, answer), "suffix-strings")
+    second = materialize(strings.groupBy("bucket").applyInArrow(_repeated, answer), "suffix-strings", clean=True)
     return (by_block.cogroup(first.unionAll(second).groupBy("block"))
             .applyInArrow(_cut(length), "rid long, doc_id long, n_bytes long, runs array<int>, kept_sha256 string"))
