@@ -80,7 +80,7 @@ def _exact_scaled(dtype: DataType, rounding: int | None) -> bool:
     return isinstance(dtype, (DoubleType, FloatType)) and rounding is not None
 
 
-#: Values of one low limb of a sum; scaled values below 2 ** 53 are exact in a double.
+#: Values of a low limb of a sum; scaled values below 2 ** 53 are exact in a double.
 LIMB = 1 << 24
 EXACT = float(1 << 53)
 #: From here on a double has no digits that a wide decimal could add.
@@ -97,7 +97,7 @@ def _agg_exprs(fn: str, col: Column, dtype: DataType, rounding: int | None) -> l
         raise ValueError(f"{fn} needs a numeric column, got {dtype.simpleString()}")
     if _exact_scaled(dtype, rounding):
         # Values already have ``rounding`` decimals. They are summed as whole
-        # multiples of 10^-rounding in two limbs, each a sum of longs: exact,
+        # multiples of 10^-rounding in three limbs, each a sum of longs: exact,
         # independent of the partitioning, without a wide decimal in the
         # aggregate buffer, and with room for 2^39 rows. Multiples beyond the
         # whole numbers of a double are cut into limbs as decimals, value by
@@ -110,7 +110,8 @@ def _agg_exprs(fn: str, col: Column, dtype: DataType, rounding: int | None) -> l
         high = (F.when(fits, F.call_function("div", small, F.lit(LIMB)))
                 .when(~huge, F.call_function("div", wide, F.lit(LIMB).cast("decimal(38,0)"))))
         low = F.when(fits, small % F.lit(LIMB)).when(~huge, (wide % F.lit(LIMB).cast("decimal(38,0)")).cast("long"))
-        return [F.sum(high), F.sum(low), F.sum(F.when(huge, col.cast("double"))), F.count(col)]
+        return [F.sum(F.call_function("div", high, F.lit(LIMB))), F.sum(high % F.lit(LIMB)), F.sum(low),
+                F.sum(F.when(huge, col.cast("double"))), F.count(col)]
     return [F.sum(col), F.count(col)]
 
 
@@ -120,9 +121,9 @@ def _finish(fn: str, parts: list[Column], dtype: DataType, rounding: int | None)
     if fn in ("min", "max"):
         return parts[0]
     if _exact_scaled(dtype, rounding):
-        high, low, huge, n = parts
-        zero = F.lit(0).cast("long")
-        whole = (F.coalesce(high, zero).cast("decimal(20,0)") * F.lit(LIMB) + F.coalesce(low, zero)).cast("double") / F.lit(float(10 ** rounding))
+        huge, n = parts[3:]
+        top, mid, low = (F.coalesce(p, F.lit(0).cast("long")).cast("decimal(20,0)") for p in parts[:3])
+        whole = ((top * F.lit(LIMB) + mid) * F.lit(LIMB) + low).cast("double") / F.lit(float(10 ** rounding))
         value = F.when(n > 0, whole + F.coalesce(huge, F.lit(0.0)))
     else:
         total, n = parts
@@ -137,7 +138,7 @@ def _finish(fn: str, parts: list[Column], dtype: DataType, rounding: int | None)
 def _n_parts(fn: str, dtype: DataType, rounding: int | None) -> int:
     if fn in ("count", "min", "max"):
         return 1
-    return 4 if _exact_scaled(dtype, rounding) else 2
+    return 5 if _exact_scaled(dtype, rounding) else 2
 
 
 def _is_double_result(fn: str, dtype: DataType) -> bool:

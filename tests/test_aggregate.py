@@ -162,7 +162,7 @@ def test_count_rows(frame):
 def test_sums_beyond_64_bits(spark, ansi):
     """Values and totals whose multiples of 0.01 pass 64 bits, beside small ones, of both signs."""
     groups = {"total": [4e16] * 300, "value": [2e17, -0.25, 0.5], "mixed": [2e17, 1e14 + 0.37, -9.1e13 - 0.5, 0.01, -0.02, 123456789012.34] * 7,
-              "negative": [-4e16] * 300 + [1.11], "wide": [3e20, 5e21, -1e19, 12.34], "cancel": [5e21, -5e21, 0.07], "huge": [1e300, 2e25, 1.0],
+              "negative": [-4e16] * 300 + [1.11], "wide": [3e20, 5e21, -1e19, 12.34], "cancel": [5e21, -5e21, 0.07], "many wide": [9e21] * 400 + [0.03], "huge": [1e300, 2e25, 1.0],
               "endless": [float("inf"), 1.0], "missing": [None, float("nan")]}
     rows = [(k, v) for k, vs in groups.items() for v in vs]
     df = spark.createDataFrame(rows, "k string, v double").repartition(5)
