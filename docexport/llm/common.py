@@ -63,13 +63,15 @@ def materialize(df: DataFrame, name: str, clean: bool = False) -> DataFrame:
 
     The copy cuts the lineage: a lost executor costs the tasks that read it,
     and ids made by position stay what they were. With ``clean`` the shuffle
-    files that only the written table needed go at once; Spark drops them when
-    the driver collects the plans that made them.
+    files that only the written table needed go at once: Spark drops them when
+    the driver's collector finds no plan that uses them, and the plan of the
+    last job is held, so a small job comes between.
     """
     spark = df.sparkSession
     path = scratch_path(spark, name)
     df.write.option("compression", "zstd").parquet(path)
     if clean:
+        spark.range(1).count()
         gc.collect()
         spark.sparkContext._jvm.System.gc()
     return spark.read.schema(df.schema).parquet(path)

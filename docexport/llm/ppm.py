@@ -29,6 +29,7 @@ from __future__ import annotations
 
 import zlib
 from collections import Counter
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -51,7 +52,10 @@ SUBTREE_BYTES = 8 << 20
 #: Steps of a code length of 1 (log10).
 STEPS = float(1 << 18)
 
-_UNIT_TYPE = "unit long, bytes long, doc_ids array<long>, texts array<string>"
+#: Bytes of the gram windows made at a time.
+CHUNK = 1 << 19
+
+_UNIT_TYPE = "unit long, bytes long, learned int, doc_ids array<long>, sizes binary, words binary, data binary"
 _WORDS = pa.schema([("bucket", pa.int32()), ("unit", pa.int64()), ("words", pa.binary()), ("counts", pa.binary())])
 _WORDS_TYPE = "bucket int, unit long, words binary, counts binary"
 _GRAMS = pa.schema([("subtree", pa.int32()), ("unit", pa.int64()), ("keys", pa.binary()), ("counts", pa.binary())])
@@ -74,36 +78,58 @@ def running(words: list[bytes]) -> bytes:
     return b" ".join([b"", *words, b"\n"])
 
 
+#: What stands between two texts of a unit; nothing of it is coded or context.
+_GAP = b" " * ORDER
+
+
+@dataclass(frozen=True)
+class Unit:
+    """Running texts in one piece, those to learn from first, each behind a gap; with their sizes and numbers of words."""
+
+    unit: int
+    doc_ids: list[int | None]
+    learned: int
+    sizes: np.ndarray
+    words: np.ndarray
+    data: bytes
+
+    def learned_bytes(self) -> int:
+        return int(self.sizes[:self.learned].sum()) + len(_GAP) * self.learned
+
+
 def _units(batches):
     """Rows packed into units; a unit is one row, so all passes see it alike."""
     number = TaskContext.get().partitionId() << 32
-    ids: list[int | None] = []
-    texts: list[str] = []
+    held: list[tuple[bool, int | None, int, bytes]] = []
     size = 0
 
     def unit():
         nonlocal number
         number += 1
-        return pa.RecordBatch.from_arrays([pa.array([number]), pa.array([size]), pa.array([ids], pa.list_(pa.int64())), pa.array([texts], pa.list_(pa.string()))],
-                                          names=["unit", "bytes", "doc_ids", "texts"])
+        rows = sorted(held, key=lambda r: r[0])  # stable
+        return pa.RecordBatch.from_arrays([
+            pa.array([number]), pa.array([size]), pa.array([sum(not r[0] for r in rows)], pa.int32()), pa.array([[r[1] for r in rows]], pa.list_(pa.int64())),
+            pa.array([np.array([len(r[3]) for r in rows], np.int64).tobytes()], pa.binary()), pa.array([np.array([r[2] for r in rows], np.int32).tobytes()], pa.binary()),
+            pa.array([_GAP.join([b"", *(r[3] for r in rows)])], pa.binary())],
+            names=["unit", "bytes", "learned", "doc_ids", "sizes", "words", "data"])
 
     for batch in batches:
         for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist(), strict=True):
-            long = len(text.encode()) if not text.isascii() else len(text)
-            if ids and (size + long > UNIT_BYTES or len(ids) == UNIT_ROWS):
+            ws = tokens(text)
+            raw = running(ws)
+            if held and (size + len(raw) > UNIT_BYTES or len(held) == UNIT_ROWS):
                 yield unit()
-                ids, texts, size = [], [], 0
-            ids.append(doc_id)
-            texts.append(text)
-            size += long
-    if ids:
+                held, size = [], 0
+            held.append((held_out(doc_id), doc_id, len(ws), raw))
+            size += len(raw)
+    if held:
         yield unit()
 
 
 def _rows(batches):
     for batch in batches:
-        for unit, ids, texts in zip(*(batch.column(c).to_pylist() for c in ("unit", "doc_ids", "texts")), strict=True):
-            yield unit, ids, [tokens(t) for t in texts]
+        for unit, ids, learned, sizes, words, data in zip(*(batch.column(c).to_pylist() for c in ("unit", "doc_ids", "learned", "sizes", "words", "data")), strict=True):
+            yield Unit(unit, ids, learned, np.frombuffer(sizes, np.int64), np.frombuffer(words, np.int32), data)
 
 
 # -- words -----------------------------------------------------------------
@@ -116,24 +142,19 @@ def _buckets(words: list[bytes], bits: int) -> np.ndarray:
 
 def _send_words(bits: int):
     def send(batches):
-        for unit, ids, texts in _rows(batches):
-            seen: Counter = Counter()
-            other: set[bytes] = set()
-            for doc_id, ws in zip(ids, texts, strict=True):
-                if held_out(doc_id):
-                    other.update(ws)
-                else:
-                    seen.update(ws)
-            words = sorted(seen.keys() | other)
+        for u in _rows(batches):
+            cut = u.learned_bytes()
+            seen = Counter(u.data[:cut].split())
+            words = list(seen.keys() | set(u.data[cut:].split()))
             if not words:
                 continue
             bucket = _buckets(words, bits)
             order = np.argsort(bucket, kind="stable")
-            counts = np.fromiter((seen[w] for w in words), np.uint64, len(words))
+            counts = np.fromiter(map(seen.__getitem__, words), np.uint64, len(words))
             rows = []
             for a, b in runs(bucket[order]):
                 at = order[a:b]
-                rows.append({"bucket": int(bucket[at[0]]), "unit": unit, "words": b" ".join([words[i] for i in at.tolist()]),
+                rows.append({"bucket": int(bucket[at[0]]), "unit": u.unit, "words": b" ".join([words[i] for i in at.tolist()]),
                              "counts": to_planes(counts[at])})
             yield pa.RecordBatch.from_pylist(rows, schema=_WORDS)
         release()
@@ -155,28 +176,6 @@ def _answer_words(table: pa.Table) -> pa.Table:
 
 # -- grams -----------------------------------------------------------------
 
-def grams(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-    """Key of every coded byte of running texts, and where each text begins among them.
-
-    A key holds the number of context bytes, the context (latest byte lowest)
-    and the byte itself. The first byte of a text is given, not coded.
-    """
-    size = np.fromiter(map(len, texts), np.int64, len(texts))
-    data = b"".join([bytes(7), *texts])
-    n = len(data) - 7
-    # at each byte, it and the seven before it as one number
-    key = np.ndarray((n,), ">u8", buffer=data, strides=(1,)).astype(np.uint64)
-    key &= np.uint64((1 << 56) - 1)
-    key |= np.uint64(ORDER << 56)
-    start = np.cumsum(size) - size
-    for r in range(1, ORDER):
-        at = start[size > r] + r
-        key[at] = key[at] & np.uint64((1 << 8 * (r + 1)) - 1) | np.uint64(r << 56)
-    coded = np.ones(n, dtype=bool)
-    coded[start] = False
-    return key[coded], start - np.arange(len(texts))
-
-
 def _lengths(key: np.ndarray) -> np.ndarray:
     return (key >> np.uint64(56)).astype(np.int64)
 
@@ -191,27 +190,108 @@ def _subtree(key: np.ndarray, bits: int) -> np.ndarray:
     return (mix64(three + np.uint64(1)) >> np.uint64(64 - bits)).astype(np.int64)
 
 
-def _asked(ids, texts) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """A unit's distinct grams in order, their training counts, and of every coded byte its gram."""
-    raw = [running(ws) for ws in texts]
-    key, begin = grams(raw)
-    distinct, place = np.unique(key, return_inverse=True)
-    size = np.diff(np.r_[begin, len(key)])
-    learned = np.repeat(np.fromiter((not held_out(i) for i in ids), bool, len(ids)), size)
-    return distinct, np.bincount(place[learned], minlength=len(distinct)), (place, begin)
+class Grams:
+    """Every coded byte of running texts with its context, as one number.
+
+    The bytes that occur are numbered from 1; 0 stands before a text. So a gram
+    takes ``ORDER + 1`` times ``bits`` bits, and grams sort as numbers. ``gram`` has
+    those of all coded bytes (the first byte of a text is given), ``text`` the
+    place of each one's text.
+    """
+
+    def __init__(self, data: bytes, sizes: np.ndarray):
+        raw = np.frombuffer(data, np.uint8)
+        start = np.cumsum(sizes + ORDER) - sizes
+        self.alphabet = np.flatnonzero(np.bincount(raw, minlength=_SYMBOLS))
+        self.bits = len(self.alphabet).bit_length()
+        number = np.zeros(_SYMBOLS, np.uint16)
+        number[self.alphabet] = np.arange(1, len(self.alphabet) + 1)
+        code = number[raw]
+        gap = (start[:, None] - 1 - np.arange(ORDER)[None, :]).ravel()
+        code[gap] = 0
+        coded = code > 0
+        coded[start] = False
+        self.gram = np.empty(int(sizes.sum()) - len(sizes), np.uint64)
+        done = 0
+        for lo in range(0, len(code), CHUNK):
+            hi = min(lo + CHUNK, len(code))
+            part = self._windows(code[max(0, lo - ORDER):hi])[min(lo, ORDER):][coded[lo:hi]]
+            self.gram[done:done + len(part)] = part
+            done += len(part)
+        self.text = np.repeat(np.arange(len(sizes), dtype=np.uint32), sizes - 1)
+
+    def _windows(self, code: np.ndarray) -> np.ndarray:
+        b = self.bits
+        one = code.astype(np.uint64)
+        two = one.copy()
+        two[1:] |= one[:-1] << np.uint64(b)
+        out = two.copy()
+        out[2:] |= two[:-2] << np.uint64(2 * b)
+        out[4:] |= two[:-4] << np.uint64(4 * b)
+        out[6:] |= one[:-6] << np.uint64(6 * b)
+        return out if (ORDER + 1) * b >= 64 else out & np.uint64((1 << (ORDER + 1) * b) - 1)
+
+    def keys(self, gram: np.ndarray) -> np.ndarray:
+        """Grams as keys that mean the same in every unit: the number of context bytes, the context (latest byte lowest) and the byte."""
+        byte = np.r_[0, self.alphabet].astype(np.uint64)
+        key, room = np.zeros(len(gram), np.uint64), np.zeros(len(gram), np.uint64)
+        for k in range(ORDER + 1):
+            c = (gram >> np.uint64(self.bits * k)) & np.uint64((1 << self.bits) - 1)
+            key |= byte[c.astype(np.int64)] << np.uint64(8 * k)
+            if k:
+                room += c > 0
+        return key | room << np.uint64(56)
+
+
+_THREE, _LOW = np.uint64((1 << 24) - 1), np.uint64((1 << 56) - 1)
+
+
+def to_sent(key: np.ndarray) -> np.ndarray:
+    """The key with the bytes next to the coded one in front, so that grams of one subtree are near each other."""
+    older, near, symbol = (key & _LOW) >> np.uint64(32), (key >> np.uint64(8)) & _THREE, key & np.uint64(255)
+    missing = np.uint64(ORDER) - (key >> np.uint64(56))
+    return missing << np.uint64(56) | near << np.uint64(32) | older << np.uint64(8) | symbol
+
+
+def from_sent(sent: np.ndarray) -> np.ndarray:
+    near, older, symbol = (sent >> np.uint64(32)) & _THREE, (sent >> np.uint64(8)) & _THREE, sent & np.uint64(255)
+    room = np.uint64(ORDER) - (sent >> np.uint64(56))
+    return room << np.uint64(56) | older << np.uint64(32) | near << np.uint64(8) | symbol
+
+
+def _in_order(key: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Order of distinct keys by subtree and within it, with the subtrees and what is sent in that order."""
+    sent = to_sent(key)
+    order = np.argsort(sent)
+    order = order[np.argsort(_subtree(key[order], bits).astype(np.uint16 if bits <= 16 else np.int64), kind="stable")]
+    return order, _subtree(key[order], bits), sent[order]
+
+
+def _first_of_each(values: np.ndarray) -> np.ndarray:
+    new = np.ones(len(values), dtype=bool)
+    new[1:] = values[1:] != values[:-1]
+    return new
 
 
 def _send_grams(bits: int):
     def send(batches):
-        for unit, ids, texts in _rows(batches):
-            distinct, count, _ = _asked(ids, texts)
-            tree = _subtree(distinct, bits)
-            order = np.argsort(tree, kind="stable")
-            rows = []
-            for a, b in runs(tree[order]):
-                k = distinct[order[a:b]]  # ascending; differences are shorter than the keys
-                rows.append({"subtree": int(tree[order[a]]), "unit": unit, "keys": to_planes(np.diff(k, prepend=np.uint64(0))),
-                             "counts": to_planes(count[order[a:b]])})
+        for u in _rows(batches):
+            g = Grams(u.data, u.sizes)
+            cut = int(u.sizes[:u.learned].sum()) - u.learned
+            counted, asked = g.gram[:cut], g.gram[cut:]
+            counted.sort()
+            asked.sort()
+            first = np.flatnonzero(_first_of_each(counted))
+            count = np.diff(np.r_[first, len(counted)])
+            counted, asked = counted[first], asked[_first_of_each(asked)]
+            if len(counted):
+                at = np.minimum(np.searchsorted(counted, asked), len(counted) - 1)
+                asked = asked[counted[at] != asked]
+            key = g.keys(np.concatenate([counted, asked]))
+            count = np.concatenate([count, np.zeros(len(asked), np.int64)])
+            order, tree, sent = _in_order(key, bits)
+            rows = [{"subtree": int(tree[a]), "unit": u.unit, "keys": to_planes(np.diff(sent[a:b], prepend=np.uint64(0))),
+                     "counts": to_planes(count[order[a:b]])} for a, b in runs(tree)]
             yield pa.RecordBatch.from_pylist(rows, schema=_GRAMS)
         release()
     return send
@@ -220,19 +300,19 @@ def _send_grams(bits: int):
 def _short_counts(batches):
     """Training counts of bytes after contexts of one and of two bytes, by task: ``length, gram, n``."""
     total: dict[int, tuple[np.ndarray, np.ndarray]] = {}
-    for _, ids, texts in _rows(batches):
-        raw = [running(ws) for i, ws in zip(ids, texts, strict=True) if not held_out(i)]
-        if not raw:
+    for u in _rows(batches):
+        if not u.learned:
             continue
-        key, _ = grams(raw)
-        room = _lengths(key)
+        g = Grams(u.data[:u.learned_bytes()], u.sizes[:u.learned])
         for k in range(1, SHORT + 1):
-            g, n = np.unique(_at_order(key[room >= k], k), return_counts=True)
+            short, n = np.unique((g.gram & np.uint64((1 << (k + 1) * g.bits) - 1)).astype(np.uint32), return_counts=True)
+            key = g.keys(short.astype(np.uint64))
+            key, n = _at_order(key[_lengths(key) >= k], k), n[_lengths(key) >= k]
             if k in total:
-                both, place = np.unique(np.concatenate([total[k][0], g]), return_inverse=True)
+                both, place = np.unique(np.concatenate([total[k][0], key]), return_inverse=True)
                 n = np.bincount(place, weights=np.concatenate([total[k][1], n]), minlength=len(both)).astype(np.int64)
-                g = both
-            total[k] = (g, n)
+                key = both
+            total[k] = (key, n)
     for k, (g, n) in total.items():
         yield pa.RecordBatch.from_arrays([pa.array(np.full(len(g), k, np.int32)), pa.array(g.astype(np.int64)), pa.array(n)], names=["length", "gram", "n"])
     release()
@@ -318,7 +398,7 @@ def _score_grams(short: dict[int, tuple[np.ndarray, np.ndarray]]):
     def score(table: pa.Table) -> pa.Table:
         if not made:
             made.append(short_levels(short))
-        keys = [np.cumsum(from_planes(k)) for k in table.column("keys").to_pylist()]
+        keys = [from_sent(np.cumsum(from_planes(k))) for k in table.column("keys").to_pylist()]
         counts = np.concatenate([from_planes(c) for c in table.column("counts").to_pylist()])
         distinct, place = np.unique(np.concatenate(keys), return_inverse=True)
         total = np.bincount(place, weights=counts, minlength=len(distinct))
@@ -333,11 +413,36 @@ def _score_grams(short: dict[int, tuple[np.ndarray, np.ndarray]]):
 
 # -- documents -------------------------------------------------------------
 
+def _text_steps(g: Grams, texts: int, bits: int, steps: dict[int, np.ndarray]) -> np.ndarray:
+    """Code length of every text, from the answers for the subtrees in the order in which the grams were sent."""
+    low = max(1, texts.bit_length())
+    if (ORDER + 1) * g.bits + low <= 64:  # gram and text sort as one number
+        both = g.gram << np.uint64(low)
+        both |= g.text
+        both.sort()
+        gram, text = both >> np.uint64(low), (both & np.uint64((1 << low) - 1)).astype(np.uint32)
+        del both
+    else:
+        order = np.argsort(g.gram)
+        gram, text = g.gram[order], g.text[order]
+    new = _first_of_each(gram)
+    order, _, _ = _in_order(g.keys(gram[new]), bits)
+    del gram
+    cost = np.empty(len(order))
+    cost[order] = np.concatenate([steps[t] for t in sorted(steps)]) if steps else 0
+    out, seen = np.zeros(texts), 0
+    for lo in range(0, len(new), CHUNK):
+        place = seen + np.cumsum(new[lo:lo + CHUNK])
+        seen = int(place[-1])
+        out += np.bincount(text[lo:lo + CHUNK], weights=cost[place - 1], minlength=texts)
+    return out
+
+
 def _score_documents(bits: int, n: int, v: int, end_count: int):
     def score(units: pa.Table, answers: pa.Table) -> pa.Table:
-        out = {k: [] for k in ("doc_id", "held_out", "n_tokens", "n_known", "base_score", "score")}
+        parts = []
         floor = np.log10(float(n + v + 1))
-        for _, ids, texts in _rows(units.to_batches()):
+        for u in _rows(units.to_batches()):
             count: dict[bytes, int] = {}
             steps: dict[int, np.ndarray] = {}
             for subtree, words, found in zip(*(answers.column(k).to_pylist() for k in ("subtree", "words", "found")), strict=True):
@@ -345,23 +450,17 @@ def _score_documents(bits: int, n: int, v: int, end_count: int):
                     steps[subtree] = from_planes(found)
                 else:
                     count.update(zip(words.split(b" "), from_planes(found).tolist(), strict=True))
-            distinct, _, (place, begin) = _asked(ids, texts)
-            tree = _subtree(distinct, bits)
-            order = np.argsort(tree, kind="stable")
-            cost = np.empty(len(distinct), np.uint64)
-            cost[order] = np.concatenate([steps[t] for t in sorted(steps)]) if steps else 0
-            total = np.add.reduceat(cost[place], begin) if len(place) else np.zeros(len(ids))
-            for doc_id, ws, x in zip(ids, texts, total.tolist(), strict=True):
-                c = np.fromiter(map(count.__getitem__, ws), np.float64, len(ws))
-                out["doc_id"].append(doc_id)
-                out["held_out"].append(held_out(doc_id))
-                out["n_tokens"].append(len(ws) + 1)
-                out["n_known"].append(int((c > 0).sum()) + (end_count > 0))
-                out["base_score"].append(float(np.log10(c + 1).sum() + np.log10(end_count + 1.0) - (len(ws) + 1) * floor))
-                out["score"].append(-x / STEPS)
+            texts = len(u.doc_ids)
+            total = _text_steps(Grams(u.data, u.sizes), texts, bits, steps)
+            c = np.fromiter(map(count.__getitem__, u.data.split()), np.float64, int(u.words.sum()))
+            text = np.repeat(np.arange(texts), u.words)
+            size = u.words.astype(np.int64) + 1
+            base = np.bincount(text, weights=np.log10(c + 1), minlength=texts) + np.log10(end_count + 1.0) - size * floor
+            known = np.bincount(text, weights=c > 0, minlength=texts).astype(np.int64) + int(end_count > 0)
+            parts.append(pa.table({"doc_id": pa.array(u.doc_ids, pa.int64()), "held_out": pa.array(np.arange(texts) >= u.learned), "n_tokens": pa.array(size),
+                                   "n_known": pa.array(known), "base_score": pa.array(base), "score": pa.array(-total / STEPS)}))
         release()
-        kinds = {"doc_id": pa.int64(), "held_out": pa.bool_(), "n_tokens": pa.int64(), "n_known": pa.int64(), "base_score": pa.float64(), "score": pa.float64()}
-        return pa.table({k: pa.array(x, kinds[k]) for k, x in out.items()})
+        return pa.concat_tables(parts)
     return score
 
 
@@ -379,10 +478,10 @@ def score_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     units = materialize(texts.mapInArrow(_units, _UNIT_TYPE), "ppm-units")
     size = units.agg(F.coalesce(F.sum("bytes"), F.lit(0))).first()[0]
     word_bits, bits = (max(3, int(size // each).bit_length()) for each in (VOCABULARY_BYTES, SUBTREE_BYTES))
-    plain = units.select("unit", "doc_ids", "texts")
+    plain = units.drop("bytes")
 
     sent = plain.mapInArrow(_send_words(word_bits), _WORDS_TYPE)
-    words = materialize(sent.groupBy("bucket").applyInArrow(_answer_words, "unit long, words binary, found binary, n long, known long"), "ppm-words")
+    words = materialize(sent.groupBy("bucket").applyInArrow(_answer_words, "unit long, words binary, found binary, n long, known long"), "ppm-words", clean=True)
     sums = words.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"), F.coalesce(F.sum("known"), F.lit(0)).alias("known")).first()
     ids = texts.select("doc_id")
     in_training = F.col("doc_id").isNull() | (F.crc32(F.encode(F.col("doc_id").cast("string"), "UTF-8")) % 7 != 2)
