@@ -490,7 +490,7 @@ def count_phrases(docs: DataFrame, text_col: str = "text", lang_col: str = "lang
     texts = docs.select(F.coalesce(F.col(lang_col).cast("string"), F.lit("und")).alias("lang"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     shards = materialize(texts.mapInArrow(_shards, _SHARD_TYPE), "phrase-shards")
     listed = shards.select("shard", "lang", F.posexplode(F.arrays_zip("words", "counts")).alias("pos", "w"))
-    totals = materialize(listed.groupBy("lang", F.col("w.words").alias("word")).agg(F.sum("w.counts").alias("f")), "phrase-totals")
+    totals = materialize(listed.groupBy("lang", F.col("w.words").alias("word")).agg(F.sum("w.counts").alias("f")), "phrase-totals", clean=True)
     sums = materialize(totals.groupBy("lang").agg(F.sum("f").alias("n")), "phrase-sums")
     numbered = _number(totals.orderBy(F.desc("f"), "lang", "word"))  # common words have small numbers
     frequent = numbered.filter(F.col("f") >= least).agg(F.max("number")).first()[0] or 0
@@ -498,7 +498,7 @@ def count_phrases(docs: DataFrame, text_col: str = "text", lang_col: str = "lang
     numbers = (listed.select("shard", "pos", "lang", F.col("w.words").alias("word")).join(numbered.select("lang", "word", "number"), ["lang", "word"])
                .select(F.col("shard").alias("home"), "pos", "number"))
     built = materialize(shards.select("shard", "tokens").groupBy("shard").cogroup(numbers.groupBy("home"))
-                        .applyInArrow(_build_shard(width, frequent), "shard long, n long, sample array<binary>, machine binary"), "phrase-machines")
+                        .applyInArrow(_build_shard(width, frequent), "shard long, n long, sample array<binary>, machine binary"), "phrase-machines", clean=True)
     size = built.agg(F.count("*").alias("shards"), F.sum("n").alias("windows")).first()
     ranges = min(MAX_RANGES, max(16, (size["windows"] or 0) // RANGE_WINDOWS))
     bounds = _bounds(built, ranges, width)
@@ -506,7 +506,7 @@ def count_phrases(docs: DataFrame, text_col: str = "text", lang_col: str = "lang
     cells = built.select("machine").mapInArrow(_cut(bounds, width, piece), "range int, first binary, machine binary")
     swept = (cells.repartition("range").sortWithinPartitions("range", "first")
              .mapInArrow(_sweep(width, least), "phrase binary, f long"))
-    found = materialize(swept.groupBy("phrase").agg(F.sum("f").alias("f")).filter(F.col("f") >= least), "phrase-counts")
+    found = materialize(swept.groupBy("phrase").agg(F.sum("f").alias("f")).filter(F.col("f") >= least), "phrase-counts", clean=True)
     return words, found, bounds
 
 
