@@ -84,7 +84,7 @@ _GAP = b" " * ORDER
 
 @dataclass(frozen=True)
 class Unit:
-    """Running texts in one piece, those to learn from first, each behind a gap; with their sizes and numbers of words."""
+    """Running texts in one piece (compressed in its row), those to learn from first, each behind a gap; with their sizes and numbers of words."""
 
     unit: int
     doc_ids: list[int | None]
@@ -110,7 +110,7 @@ def _units(batches):
         return pa.RecordBatch.from_arrays([
             pa.array([number]), pa.array([size]), pa.array([sum(not r[0] for r in rows)], pa.int32()), pa.array([[r[1] for r in rows]], pa.list_(pa.int64())),
             pa.array([np.array([len(r[3]) for r in rows], np.int64).tobytes()], pa.binary()), pa.array([np.array([r[2] for r in rows], np.int32).tobytes()], pa.binary()),
-            pa.array([_GAP.join([b"", *(r[3] for r in rows)])], pa.binary())],
+            pa.array([pa.compress(_GAP.join([b"", *(r[3] for r in rows)]), codec="zstd", asbytes=True)], pa.binary())],
             names=["unit", "bytes", "learned", "doc_ids", "sizes", "words", "data"])
 
     for batch in batches:
@@ -129,7 +129,9 @@ def _units(batches):
 def _rows(batches):
     for batch in batches:
         for unit, ids, learned, sizes, words, data in zip(*(batch.column(c).to_pylist() for c in ("unit", "doc_ids", "learned", "sizes", "words", "data")), strict=True):
-            yield Unit(unit, ids, learned, np.frombuffer(sizes, np.int64), np.frombuffer(words, np.int32), data)
+            sizes = np.frombuffer(sizes, np.int64)
+            raw = pa.decompress(data, int(sizes.sum()) + len(_GAP) * len(sizes), codec="zstd", asbytes=True)
+            yield Unit(unit, ids, learned, sizes, np.frombuffer(words, np.int32), raw)
 
 
 # -- words -----------------------------------------------------------------
