@@ -10,7 +10,7 @@ key of a document (a word, a shingle, a window) over the whole corpus:
 4. documents and answers meet again, cogrouped on the block.
 
 A task never holds more than one block or one bucket, and the number of
-buckets grows with the corpus.
+buckets grows with the corpus. Blocks are bounded in rows and bytes.
 """
 
 from __future__ import annotations
@@ -26,8 +26,9 @@ from pyspark.sql import DataFrame, functions as F
 
 from ..session import scratch_path
 
-#: Rows in a block at most; the widest unit a task holds at once.
+#: Rows in a block at most, and bytes of text, about (a longer text is a block alone); the widest unit a task holds at once.
 BLOCK_ROWS = 2048
+BLOCK_BYTES = 32 << 20
 #: Bytes of text for which one bucket is made.
 BUCKET_BYTES = 8 << 20
 
@@ -82,15 +83,25 @@ def to_blocks(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     """``rid, block, doc_id, text`` of every row, written; null texts are empty.
 
     ``rid`` names the row (ids may repeat or be null); ``block`` holds at most
-    ``rows`` consecutive rows of one input partition. With ``row_id``, a
-    column of such ids in a table that is already written, nothing is written.
+    ``rows`` consecutive rows of one input partition; where these have more than
+    ``BLOCK_BYTES`` bytes, they are dealt out into several blocks. With
+    ``row_id``, a column of such ids in a table that is already written,
+    nothing is written unless blocks have to be dealt out.
     """
     bounded_batches(docs.sparkSession)
     df = docs.select((F.monotonically_increasing_id() if row_id is None else F.col(row_id)).alias("rid"),
                      F.col(id_col).cast("long").alias("doc_id"),
                      F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     df = df.withColumn("block", F.expr(f"rid div {rows}"))
-    return materialize(df, name) if row_id is None else df
+    df = materialize(df, name) if row_id is None else df
+    heavy = df.groupBy("block").agg(F.sum(F.octet_length("text")).alias("bytes")).filter(F.col("bytes") > BLOCK_BYTES)
+    if heavy.isEmpty():
+        return df
+    # twice as many as the bytes ask for, since rows are dealt by hash
+    parts = heavy.select("block", F.least(F.ceil(2 * F.col("bytes") / BLOCK_BYTES), F.lit(rows)).alias("parts"))
+    dealt = (df.join(materialize(parts, f"{name}-heavy"), "block", "left")
+             .withColumn("block", F.col("block") * rows + F.coalesce(F.pmod(F.xxhash64("rid"), "parts"), F.lit(0))))
+    return materialize(dealt.select(*df.columns).repartition("block").sortWithinPartitions("block", "rid"), name)
 
 
 def bucket_bits(blocks: DataFrame, least: int = 6, each: int = BUCKET_BYTES) -> int:

@@ -314,3 +314,36 @@ def test_without_a_governor_nothing_is_marked():
     assert toxicity.compose(()) == [[(0, 1.0 if c == toxicity.INSULT else 0.0, 0.0, 0) for c in range(7)]]
     only = toxicity.compose(toxicity.GOVERNORS[:1])
     assert len(only) == 13 and only[1][toxicity.INSULT][1] == toxicity.FACTOR[toxicity.QUOTED]
+
+
+# -- blocks of bounded bytes -----------------------------------------------
+
+def test_blocks_are_bounded_in_bytes(spark, monkeypatch):
+    from docexport.llm import common
+    monkeypatch.setattr(common, "BLOCK_BYTES", 4000)
+    rows = [(i, "x" * (3000 if i % 5 == 0 else 20)) for i in range(100)] + [(200, "y" * 20_000), (None, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)
+    blocks = common.to_blocks(docs)
+    assert blocks.columns == ["rid", "doc_id", "text", "block"]
+    assert sorted((r.doc_id is None, r.doc_id or 0, r.text) for r in blocks.collect()) == sorted((i is None, i or 0, t or "") for i, t in rows)
+    size = collections.Counter()
+    for r in blocks.collect():
+        size[r.block] += len(r.text)
+    assert len(size) > 12 and sorted(size.values())[-2] < 5 * 4000
+    monkeypatch.setattr(common, "BLOCK_BYTES", 1 << 20)
+    assert {r.block for r in common.to_blocks(docs).collect()} == {0}
+
+
+def test_operators_over_dealt_blocks(spark, monkeypatch):
+    """Joins and repeated strings give the same where texts are too long for common blocks."""
+    from docexport.llm import common
+    rows = template_rows(60, 1) + [(100 + i, f"{'word ' * 80}tail {i} " * 3) for i in range(6)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").coalesce(2)
+
+    def results():
+        found = ngram_join.similar_components(docs).select("doc_id", "n_ngrams", "n_links", "component").collect()
+        cut = suffix_dedup.repeated_strings(docs).select("doc_id", "runs", "kept_sha256").collect()
+        return sorted(map(str, found)), sorted(map(str, cut))
+    plain = results()
+    monkeypatch.setattr(common, "BLOCK_BYTES", 3000)
+    assert results() == plain
