@@ -59,7 +59,11 @@ def low_pattern() -> re.Pattern:
     return re.compile(f"[{letters}]+|'(?:s|t|re|ve|m|ll|d)|[{numbers}]|[^{spaces}{letters}{numbers}]+")
 
 
-_POINTS = [*range(0xD800), *range(0xE000, 0x110000)]
+@cache
+def _points() -> tuple[np.ndarray, str]:
+    """All code points but the surrogates, as numbers and as a text."""
+    points = np.r_[0:0xD800, 0xE000:0x110000]
+    return points, points.astype("<u4").tobytes().decode("utf-32-le")
 
 
 @cache
@@ -70,7 +74,7 @@ def class_set(name: str) -> str:
     different times; a vocabulary file means the classes of its own. Both are
     let loose on a text of all code points, and the set names the difference.
     """
-    text = "".join(map(chr, _POINTS))
+    text = _points()[1]
     theirs, ours = np.ones(len(text), bool), np.zeros(len(text), bool)
     for _, (a, b) in Split(Regex(f"{name}+"), "removed").pre_tokenize_str(text):
         theirs[a:b] = False
@@ -82,8 +86,9 @@ def class_set(name: str) -> str:
 
 
 def _ranges(member: np.ndarray) -> str:
+    points = _points()[0]
     edge = np.flatnonzero(np.diff(np.r_[False, member, False].astype(np.int8)))
-    return "".join(f"\\U{_POINTS[a]:08x}-\\U{_POINTS[b - 1]:08x}" for a, b in edge.reshape(-1, 2).tolist())
+    return "".join(f"\\U{points[a]:08x}-\\U{points[b - 1]:08x}" for a, b in edge.reshape(-1, 2).tolist())
 
 
 def with_sets(pattern: str) -> str:
@@ -94,9 +99,8 @@ def with_sets(pattern: str) -> str:
 @cache
 def new_lower() -> dict[int, str]:
     """Lower case of letters that only the library knows."""
-    unknown = [c for c in _POINTS if unicodedata.category(chr(c)) == "Cn"]
-    low = Lowercase().normalize_str("".join(map(chr, unknown)))
-    return {c: x for c, x in zip(unknown, low, strict=True) if ord(x) != c}
+    unknown = "".join(c for c in _points()[1] if unicodedata.category(c) == "Cn")
+    return {ord(c): x for c, x in zip(unknown, Lowercase().normalize_str(unknown), strict=True) if x != c}
 
 
 def byte_symbols() -> list[str]:
