@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.timefn import as_utc_ntz
 from ..operators.aggregate import aggregate
-from ..operators.dedup import dedup_by_id
+from ..operators.dedup import dedup_by_fields, dedup_by_id
 from ..operators.order import first_last
 from ..operators.predicate import select_documents
 from ..operators.slices import slice_table
@@ -173,6 +173,16 @@ def dedup_maps(spark, d):
     return rows.select("_id", "event_type", F.col("props")["user"].alias("user"), F.col("props")["kind"].alias("kind"))
 
 
+@register("first_by_time_and_id", """
+SELECT user_id, event_type, ts, event_id AS _id FROM events
+QUALIFY row_number() OVER (PARTITION BY user_id, event_type ORDER BY ts NULLS FIRST, event_id NULLS FIRST) = 1
+""")
+def first_by_time_and_id(spark, d):
+    """Of the events with equal fields the first by time and id, in a hash aggregate without a sort."""
+    docs = events_docs(spark, d).select("user_id", "event_type", "ts", "_id")
+    return dedup_by_fields(docs, ["user_id", "event_type"], ["ts", "_id"])
+
+
 # ------------------------------------------------------------ CSV parts
 
 def _mixed_parts(spark, d) -> str:
