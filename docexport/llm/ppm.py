@@ -52,7 +52,7 @@ SUBTREE_BYTES = 8 << 20
 #: Steps of a code length of 1 (log10).
 STEPS = float(1 << 18)
 
-#: Bytes of the gram windows made at a time.
+#: Bytes of a unit that are cut into words or gram windows at a time. Of a whole unit a task holds its text, one number of 64 bits a byte and its distinct grams and words.
 CHUNK = 1 << 19
 
 _UNIT_TYPE = "unit long, bytes long, learned int, doc_ids array<long>, sizes binary, words binary, data binary"
@@ -128,37 +128,66 @@ def _units(batches):
 
 def _rows(batches):
     for batch in batches:
-        for unit, ids, learned, sizes, words, data in zip(*(batch.column(c).to_pylist() for c in ("unit", "doc_ids", "learned", "sizes", "words", "data")), strict=True):
-            sizes = np.frombuffer(sizes, np.int64)
-            raw = pa.decompress(data, int(sizes.sum()) + len(_GAP) * len(sizes), codec="zstd", asbytes=True)
-            yield Unit(unit, ids, learned, sizes, np.frombuffer(words, np.int32), raw)
+        for i in range(batch.num_rows):
+            unit, ids, learned, sizes, words, data = (batch.column(c)[i] for c in ("unit", "doc_ids", "learned", "sizes", "words", "data"))
+            sizes = np.frombuffer(sizes.as_py(), np.int64)
+            yield Unit(unit.as_py(), ids.as_py(), learned.as_py(), sizes, np.frombuffer(words.as_py(), np.int32),
+                       pa.decompress(data.as_buffer(), int(sizes.sum()) + len(_GAP) * len(sizes), codec="zstd", asbytes=True))
+
+
+def _owners(ends: np.ndarray, lo: int, hi: int) -> np.ndarray:
+    """The text of each of the items ``lo`` to ``hi``; ``ends``: items up to the end of each text."""
+    return np.repeat(np.arange(len(ends)), np.diff(np.clip(ends, lo, hi), prepend=lo))
 
 
 # -- words -----------------------------------------------------------------
 
+def _spans(data: bytes, lo: int, hi: int):
+    """Bounds of pieces of whole words, of about ``CHUNK`` bytes each."""
+    while lo < hi:
+        at = data.find(b" ", lo + CHUNK, hi)
+        at = hi if at < 0 else at
+        yield lo, at
+        lo = at
+
+
+def _word_pieces(data: bytes, lo: int, hi: int):
+    """The words from ``lo`` to ``hi`` in lists."""
+    return (data[a:b].split() for a, b in _spans(data, lo, hi))
+
+
 def _buckets(words: list[bytes], bits: int) -> np.ndarray:
+    out = np.empty(len(words), np.int64)
+    done = 0
     joined = b" ".join(words)
-    h, _ = word_hashes(np.frombuffer(joined, np.uint8), np.array([0, len(joined)]))
-    return (h >> np.uint64(64 - bits)).astype(np.int64)
+    for lo, hi in _spans(joined, 0, len(joined)):
+        h, _ = word_hashes(np.frombuffer(joined, np.uint8), np.array([lo, hi]))
+        out[done:done + len(h)] = h >> np.uint64(64 - bits)
+        done += len(h)
+    return out
+
+
+def _unit_words(u: Unit, bits: int) -> pa.RecordBatch:
+    cut = u.learned_bytes()
+    seen: Counter = Counter()
+    for piece in _word_pieces(u.data, 0, cut):
+        seen.update(piece)
+    words = list(set(seen).union(*_word_pieces(u.data, cut, len(u.data))))
+    bucket = _buckets(words, bits)
+    order = np.argsort(bucket, kind="stable")
+    counts = np.fromiter(map(seen.__getitem__, words), np.uint64, len(words))
+    rows = []
+    for a, b in runs(bucket[order]):
+        at = order[a:b]
+        rows.append({"bucket": int(bucket[at[0]]), "unit": u.unit, "words": b" ".join([words[i] for i in at.tolist()]),
+                     "counts": to_planes(counts[at])})
+    return pa.RecordBatch.from_pylist(rows, schema=_WORDS)
 
 
 def _send_words(bits: int):
     def send(batches):
         for u in _rows(batches):
-            cut = u.learned_bytes()
-            seen = Counter(u.data[:cut].split())
-            words = list(seen.keys() | set(u.data[cut:].split()))
-            if not words:
-                continue
-            bucket = _buckets(words, bits)
-            order = np.argsort(bucket, kind="stable")
-            counts = np.fromiter(map(seen.__getitem__, words), np.uint64, len(words))
-            rows = []
-            for a, b in runs(bucket[order]):
-                at = order[a:b]
-                rows.append({"bucket": int(bucket[at[0]]), "unit": u.unit, "words": b" ".join([words[i] for i in at.tolist()]),
-                             "counts": to_planes(counts[at])})
-            yield pa.RecordBatch.from_pylist(rows, schema=_WORDS)
+            yield _unit_words(u, bits)
         release()
     return send
 
@@ -196,31 +225,37 @@ class Grams:
     """Every coded byte of running texts with its context, as one number.
 
     The bytes that occur are numbered from 1; 0 stands before a text. So a gram
-    takes ``ORDER + 1`` times ``bits`` bits, and grams sort as numbers. ``gram`` has
-    those of all coded bytes (the first byte of a text is given), ``text`` the
-    place of each one's text.
+    takes ``ORDER + 1`` times ``bits`` bits, and grams sort as numbers. The first
+    byte of a text is given, all others are coded; ``ends`` are the coded bytes up
+    to the end of each text.
     """
 
     def __init__(self, data: bytes, sizes: np.ndarray):
         raw = np.frombuffer(data, np.uint8)
         start = np.cumsum(sizes + ORDER) - sizes
-        self.alphabet = np.flatnonzero(np.bincount(raw, minlength=_SYMBOLS))
+        self.alphabet = np.flatnonzero(sum(np.bincount(raw[lo:lo + CHUNK], minlength=_SYMBOLS) for lo in range(0, len(raw), CHUNK)))
         self.bits = len(self.alphabet).bit_length()
-        number = np.zeros(_SYMBOLS, np.uint16)
+        number = np.zeros(_SYMBOLS, np.uint8)  # UTF-8 has no 0xFF, so there are at most 255
         number[self.alphabet] = np.arange(1, len(self.alphabet) + 1)
-        code = number[raw]
+        self.code = np.frombuffer(bytearray(data).translate(number.tobytes()), np.uint8)
         gap = (start[:, None] - 1 - np.arange(ORDER)[None, :]).ravel()
-        code[gap] = 0
-        coded = code > 0
-        coded[start] = False
-        self.gram = np.empty(int(sizes.sum()) - len(sizes), np.uint64)
+        self.code[gap] = 0
+        self.coded = self.code > 0
+        self.coded[start] = False
+        self.ends = np.cumsum(sizes - 1)
+
+    def chunks(self):
+        """The grams in the order of the text, a chunk at a time."""
+        for lo in range(0, len(self.code), CHUNK):
+            yield self._windows(self.code[max(0, lo - ORDER):lo + CHUNK])[min(lo, ORDER):][self.coded[lo:lo + CHUNK]]
+
+    def grams(self) -> np.ndarray:
+        out = np.empty(int(self.ends[-1]), np.uint64)
         done = 0
-        for lo in range(0, len(code), CHUNK):
-            hi = min(lo + CHUNK, len(code))
-            part = self._windows(code[max(0, lo - ORDER):hi])[min(lo, ORDER):][coded[lo:hi]]
-            self.gram[done:done + len(part)] = part
+        for part in self.chunks():
+            out[done:done + len(part)] = part
             done += len(part)
-        self.text = np.repeat(np.arange(len(sizes), dtype=np.uint32), sizes - 1)
+        return out
 
     def _windows(self, code: np.ndarray) -> np.ndarray:
         b = self.bits
@@ -261,12 +296,15 @@ def from_sent(sent: np.ndarray) -> np.ndarray:
     return room << np.uint64(56) | older << np.uint64(32) | near << np.uint64(8) | symbol
 
 
-def _in_order(key: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Order of distinct keys by subtree and within it, with the subtrees and what is sent in that order."""
-    sent = to_sent(key)
+def _in_order(g: Grams, gram: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Order of distinct grams by subtree and within it, with the subtrees and what is sent in that order."""
+    sent, tree = np.empty(len(gram), np.uint64), np.empty(len(gram), np.uint16 if bits <= 16 else np.int64)
+    for lo in range(0, len(gram), CHUNK):
+        key = g.keys(gram[lo:lo + CHUNK])
+        sent[lo:lo + CHUNK], tree[lo:lo + CHUNK] = to_sent(key), _subtree(key, bits)
     order = np.argsort(sent)
-    order = order[np.argsort(_subtree(key[order], bits).astype(np.uint16 if bits <= 16 else np.int64), kind="stable")]
-    return order, _subtree(key[order], bits), sent[order]
+    order = order[np.argsort(tree[order], kind="stable")]
+    return order, tree[order], sent[order]
 
 
 def _first_of_each(values: np.ndarray) -> np.ndarray:
@@ -275,30 +313,40 @@ def _first_of_each(values: np.ndarray) -> np.ndarray:
     return new
 
 
+def _unit_grams(u: Unit, bits: int) -> pa.RecordBatch:
+    g = Grams(u.data, u.sizes)
+    cut = int(u.sizes[:u.learned].sum()) - u.learned
+    gram = g.grams()
+    counted, asked = gram[:cut], gram[cut:]
+    counted.sort()
+    asked.sort()
+    first = np.flatnonzero(_first_of_each(counted))
+    count = np.diff(np.r_[first, len(counted)])
+    counted, asked = counted[first], asked[_first_of_each(asked)]
+    del gram, first
+    if len(counted):
+        at = np.minimum(np.searchsorted(counted, asked), len(counted) - 1)
+        asked = asked[counted[at] != asked]
+    count = np.concatenate([count, np.zeros(len(asked), np.int64)])
+    order, tree, sent = _in_order(g, np.concatenate([counted, asked]), bits)
+    rows = [{"subtree": int(tree[a]), "unit": u.unit, "keys": to_planes(np.diff(sent[a:b], prepend=np.uint64(0))),
+             "counts": to_planes(count[order[a:b]])} for a, b in runs(tree)]
+    return pa.RecordBatch.from_pylist(rows, schema=_GRAMS)
+
+
 def _send_grams(bits: int):
     def send(batches):
         for u in _rows(batches):
-            g = Grams(u.data, u.sizes)
-            cut = int(u.sizes[:u.learned].sum()) - u.learned
-            counted, asked = g.gram[:cut], g.gram[cut:]
-            counted.sort()
-            asked.sort()
-            first = np.flatnonzero(_first_of_each(counted))
-            count = np.diff(np.r_[first, len(counted)])
-            counted, asked = counted[first], asked[_first_of_each(asked)]
-            if len(counted):
-                at = np.minimum(np.searchsorted(counted, asked), len(counted) - 1)
-                asked = asked[counted[at] != asked]
-            key = g.keys(np.concatenate([counted, asked]))
-            count = np.concatenate([count, np.zeros(len(asked), np.int64)])
-            order, tree, sent = _in_order(key, bits)
-            rows = [{"subtree": int(tree[a]), "unit": u.unit, "keys": to_planes(np.diff(sent[a:b], prepend=np.uint64(0))),
-                     "counts": to_planes(count[order[a:b]])} for a, b in runs(tree)]
-            yield pa.RecordBatch.from_pylist(rows, schema=_GRAMS)
+            yield _unit_grams(u, bits)
         release()
     return send
 
 
+def _summed(keys: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    distinct, place = np.unique(keys, return_inverse=True)
+    return distinct, np.bincount(place, weights=n, minlength=len(distinct)).astype(np.int64)
+
+
 def _short_counts(batches):
     """Training counts of bytes after contexts of one and of two bytes, by task: ``length, gram, n``."""
     total: dict[int, tuple[np.ndarray, np.ndarray]] = {}
@@ -306,15 +354,12 @@ def _short_counts(batches):
         if not u.learned:
             continue
         g = Grams(u.data[:u.learned_bytes()], u.sizes[:u.learned])
+        found = [np.unique((part & np.uint64((1 << (SHORT + 1) * g.bits) - 1)).astype(np.uint32), return_counts=True) for part in g.chunks()]
+        short, times = _summed(*(np.concatenate(x) for x in zip(*found, strict=True)))
         for k in range(1, SHORT + 1):
-            short, n = np.unique((g.gram & np.uint64((1 << (k + 1) * g.bits) - 1)).astype(np.uint32), return_counts=True)
-            key = g.keys(short.astype(np.uint64))
-            key, n = _at_order(key[_lengths(key) >= k], k), n[_lengths(key) >= k]
-            if k in total:
-                both, place = np.unique(np.concatenate([total[k][0], key]), return_inverse=True)
-                n = np.bincount(place, weights=np.concatenate([total[k][1], n]), minlength=len(both)).astype(np.int64)
-                key = both
-            total[k] = (key, n)
+            key = g.keys(short.astype(np.uint64) & np.uint64((1 << (k + 1) * g.bits) - 1))
+            more = _at_order(key[_lengths(key) >= k], k), times[_lengths(key) >= k]
+            total[k] = _summed(*(np.concatenate(x) for x in zip(more, *([total[k]] if k in total else []), strict=True)))
     for k, (g, n) in total.items():
         yield pa.RecordBatch.from_arrays([pa.array(np.full(len(g), k, np.int32)), pa.array(g.astype(np.int64)), pa.array(n)], names=["length", "gram", "n"])
     release()
@@ -415,28 +460,47 @@ def _score_grams(short: dict[int, tuple[np.ndarray, np.ndarray]]):
 
 # -- documents -------------------------------------------------------------
 
-def _text_steps(g: Grams, texts: int, bits: int, steps: dict[int, np.ndarray]) -> np.ndarray:
-    """Code length of every text, from the answers for the subtrees in the order in which the grams were sent."""
-    low = max(1, texts.bit_length())
-    if (ORDER + 1) * g.bits + low <= 64:  # gram and text sort as one number
-        both = g.gram << np.uint64(low)
-        both |= g.text
-        both.sort()
-        gram, text = both >> np.uint64(low), (both & np.uint64((1 << low) - 1)).astype(np.uint32)
-        del both
+def _sorted_chunks(g: Grams):
+    """A function that goes through the grams in their order, a chunk at a time: grams, whether each is the first of its kind, texts."""
+    gram = g.grams()
+    low = max(1, len(g.ends).bit_length())
+    if (ORDER + 1) * g.bits + low <= 64:  # gram and text sort as one number, in place
+        for lo in range(0, len(gram), CHUNK):
+            part = gram[lo:lo + CHUNK]
+            part <<= np.uint64(low)
+            part |= _owners(g.ends, lo, lo + len(part)).astype(np.uint64)
+        gram.sort()
+
+        def at(lo: int, hi: int) -> tuple[np.ndarray, np.ndarray]:
+            return gram[lo:hi] >> np.uint64(low), (gram[lo:hi] & np.uint64((1 << low) - 1)).astype(np.int64)
     else:
-        order = np.argsort(g.gram)
-        gram, text = g.gram[order], g.text[order]
-    new = _first_of_each(gram)
-    order, _, _ = _in_order(g.keys(gram[new]), bits)
-    del gram
+        order = np.argsort(gram)
+
+        def at(lo: int, hi: int) -> tuple[np.ndarray, np.ndarray]:
+            return gram[order[lo:hi]], np.searchsorted(g.ends, order[lo:hi], side="right")
+
+    def chunks():
+        last = None
+        for lo in range(0, len(gram), CHUNK):
+            part, text = at(lo, lo + CHUNK)
+            new = _first_of_each(part)
+            new[0] = last is None or part[0] != last
+            last = part[-1]
+            yield part, new, text
+    return chunks
+
+
+def _text_steps(g: Grams, bits: int, steps: dict[int, np.ndarray]) -> np.ndarray:
+    """Code length of every text, from the answers for the subtrees in the order in which the grams were sent."""
+    chunks = _sorted_chunks(g)
+    order, _, _ = _in_order(g, np.concatenate([part[new] for part, new, _ in chunks()]), bits)
     cost = np.empty(len(order))
-    cost[order] = np.concatenate([steps[t] for t in sorted(steps)]) if steps else 0
-    out, seen = np.zeros(texts), 0
-    for lo in range(0, len(new), CHUNK):
-        place = seen + np.cumsum(new[lo:lo + CHUNK])
+    cost[order] = np.concatenate([steps[t] for t in sorted(steps)])
+    out, seen = np.zeros(len(g.ends)), 0
+    for _, new, text in chunks():
+        place = seen + np.cumsum(new)
         seen = int(place[-1])
-        out += np.bincount(text[lo:lo + CHUNK], weights=cost[place - 1], minlength=texts)
+        out += np.bincount(text, weights=cost[place - 1], minlength=len(out))
     return out
 
 
@@ -453,12 +517,16 @@ def _score_documents(bits: int, n: int, v: int, end_count: int):
                 else:
                     count.update(zip(words.split(b" "), from_planes(found).tolist(), strict=True))
             texts = len(u.doc_ids)
-            total = _text_steps(Grams(u.data, u.sizes), texts, bits, steps)
-            c = np.fromiter(map(count.__getitem__, u.data.split()), np.float64, int(u.words.sum()))
-            text = np.repeat(np.arange(texts), u.words)
+            total = _text_steps(Grams(u.data, u.sizes), bits, steps)
+            ends, done = np.cumsum(u.words), 0
             size = u.words.astype(np.int64) + 1
-            base = np.bincount(text, weights=np.log10(c + 1), minlength=texts) + np.log10(end_count + 1.0) - size * floor
-            known = np.bincount(text, weights=c > 0, minlength=texts).astype(np.int64) + int(end_count > 0)
+            base, known = np.log10(end_count + 1.0) - size * floor, np.full(texts, int(end_count > 0))
+            for piece in _word_pieces(u.data, 0, len(u.data)):
+                c = np.fromiter(map(count.__getitem__, piece), np.float64, len(piece))
+                text = _owners(ends, done, done + len(piece))
+                done += len(piece)
+                base += np.bincount(text, weights=np.log10(c + 1), minlength=texts)
+                known += np.bincount(text[c > 0], minlength=texts)
             parts.append(pa.table({"doc_id": pa.array(u.doc_ids, pa.int64()), "held_out": pa.array(np.arange(texts) >= u.learned), "n_tokens": pa.array(size),
                                    "n_known": pa.array(known), "base_score": pa.array(base), "score": pa.array(-total / STEPS)}))
         release()

@@ -3,14 +3,17 @@
 import collections
 import math
 import random
+import tracemalloc
+import types
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from docexport.llm import bpe, decontaminate, ngram_join, queries, site_style, skip_crf, suffix_dedup, toxicity
+from docexport.llm import bpe, decontaminate, ngram_join, ppm, queries, site_style, skip_crf, suffix_dedup, toxicity
 
 SF = "/root/testdata/sf0.01"
 
@@ -347,3 +350,60 @@ def test_operators_over_dealt_blocks(spark, monkeypatch):
     plain = results()
     monkeypatch.setattr(common, "BLOCK_BYTES", 3000)
     assert results() == plain
+
+
+# -- units of the byte trie ------------------------------------------------
+
+def test_passes_of_the_trie_hold_little_beside_a_unit(monkeypatch):
+    """Text, one number of 64 bits a byte and distinct grams and words: also when units follow each other."""
+    monkeypatch.setattr(ppm, "CHUNK", 1 << 15)
+    monkeypatch.setattr(ppm, "TaskContext", types.SimpleNamespace(get=lambda: types.SimpleNamespace(partitionId=lambda: 0)))
+    rng = random.Random(4)
+    known = ["".join(rng.choices("etaoinshrdlu", k=rng.randint(2, 9))) for _ in range(200)]
+    texts = [" ".join(rng.choices(known, k=800)) for _ in range(400)]
+    [unit] = ppm._units([pa.RecordBatch.from_pydict({"doc_id": list(range(400)), "text": texts})])
+    size = unit.column("bytes")[0].as_py()
+    assert size > 1 << 20
+
+    def held(f):
+        tracemalloc.start()
+        out = f()
+        most = tracemalloc.get_traced_memory()[1] / size
+        tracemalloc.stop()
+        return out, most
+
+    def sent(send):
+        return held(lambda: [x for i, x in enumerate(send([unit] * 3)) if not i])
+
+    [words], of_words = sent(ppm._send_words(3))
+    [grams], of_grams = sent(ppm._send_grams(3))
+    counted, of_counts = held(lambda: list(ppm._short_counts([unit] * 3)))
+    short = {b.column("length")[0].as_py(): (b.column("gram").to_numpy().astype(np.uint64), b.column("n").to_numpy() // 3) for b in counted}
+    words, grams = (pa.Table.from_batches([x]) for x in (words, grams))
+    found = [ppm._answer_words(words.slice(i, 1)) for i in range(len(words))]
+    answers = pa.concat_tables([*(ppm._score_grams(short)(grams.slice(i, 1)) for i in range(len(grams))),
+                                *(t.select(["unit", "words", "found"]).add_column(1, "subtree", pa.array([-1] * len(t), pa.int32())) for t in found)])
+    scored, of_documents = held(lambda: ppm._score_documents(3, sum(t.column("n")[0].as_py() for t in found), 200, 0)(pa.Table.from_batches([unit]), answers))
+    assert len(scored) == 400 and set(scored.column("n_known").to_pylist()) == {800}
+    assert of_words < 15 and of_grams < 18 and of_counts < 10 and of_documents < 18, (of_words, of_grams, of_counts, of_documents)
+
+
+@pytest.mark.parametrize("chunk", [5, 1000, 1 << 19])
+@pytest.mark.parametrize("letters", ["abcdef", "".join(map(chr, [*range(33, 65), *range(97, 127), *range(0x400, 0x800), *range(0x4E00, 0x9000, 97)]))])
+def test_steps_of_texts_in_chunks(monkeypatch, chunk, letters):
+    """Few letters: gram and text sort as one number; many letters in many texts: that takes more than 64 bits."""
+    monkeypatch.setattr(ppm, "CHUNK", chunk)
+    rng = random.Random(5)
+    raw = [ppm.running(ppm.tokens("".join(rng.choices(letters + " ", k=rng.randint(0, 40))))) for _ in range(300)]
+    sizes = np.array([len(x) for x in raw], np.int64)
+    g = ppm.Grams(ppm._GAP.join([b"", *raw]), sizes)
+    assert ((ppm.ORDER + 1) * g.bits + len(raw).bit_length() > 64) == (len(letters) > 6)
+    at = [(i, x[max(0, j - ppm.ORDER):j + 1]) for i, x in enumerate(raw) for j in range(1, len(x))]
+    gram = g.grams()
+    assert g.keys(gram).tolist() == [len(x) - 1 << 56 | int.from_bytes(x, "big") for _, x in at]
+    distinct, place = np.unique(gram, return_inverse=True)
+    order, tree, sent = ppm._in_order(g, distinct, 4)
+    assert ppm.from_sent(sent).tolist() == g.keys(distinct[order]).tolist() and (np.diff(tree.astype(int)) >= 0).all()
+    cost = np.array([rng.randrange(1 << 20) for _ in distinct], np.float64)
+    expected = np.bincount([i for i, _ in at], weights=cost[place], minlength=len(raw))
+    assert ppm._text_steps(g, 4, {int(t): cost[order[tree == t]] for t in set(tree.tolist())}).tolist() == expected.tolist()
